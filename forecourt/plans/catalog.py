@@ -7,25 +7,13 @@ DECIMAL and reported as DOUBLE (``as_reported``) so both engines hash equal.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.plans import duck_sql as S
 from forecourt.plans import gold
 from forecourt.plans.workshop import Workshop
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
+from forecourt.plans.registry import ORACLE, QUERIES, register  # noqa: F401
 
 
 FACT_MONEY = {"parts_revenue_ngn", "labour_revenue_ngn", "other_revenue_ngn", "revenue_ngn", "vat_ngn",
@@ -47,3 +35,7 @@ def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def service_profitability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 (A7, A10, J6, O1): month x service type profitability."""
     return gold.as_reported(Workshop(spark, sf_dir).service_profitability())
+
+
+# the remaining query groups register themselves on import
+from forecourt.plans import queries_cleaning  # noqa: E402,F401
