@@ -238,3 +238,24 @@ def parts_raw(part: DataFrame) -> DataFrame:
         pick(REORDER_FORMS, p).alias("reorder_point"),
         F.when(p % 4 == 0, F.lit("USD")).otherwise(F.lit(" ngn")).alias("currency"),
     )
+
+
+def technician_rate_history(supplier: DataFrame) -> DataFrame:
+    """Date-effective hourly rates: four two-year periods per technician.
+
+    Some histories carry deliberate faults for the range check: an early
+    third period (overlap) and a late fourth period (gap).
+    """
+    s = F.col("s_suppkey")
+    base = F.abs(F.col("s_acctbal")).cast("decimal(14,2)") + F.lit(2000)
+    h = supplier.select("s_suppkey", base.alias("_base"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_i"))
+    i = F.col("_i")
+    start = F.make_date(F.lit(2015) + i * 2, F.lit(1), F.lit(1))
+    vfrom = (F.when((i == 2) & (s % 13 == 0), F.date_sub(start, 30))
+             .when((i == 3) & (s % 17 == 0), F.date_add(start, 60)).otherwise(start))
+    vto = F.when(i == 3, F.lit("2099-12-31").cast("date")).otherwise(
+        F.date_sub(F.make_date(F.lit(2017) + i * 2, F.lit(1), F.lit(1)), 1))
+    return h.select(
+        F.concat(F.lit("TECH-"), F.format_string("%04d", s)).alias("technician_id"),
+        vfrom.alias("valid_from"), vto.alias("valid_to"),
+        (F.col("_base") + i * 250).cast("decimal(14,2)").alias("hourly_rate_ngn"))
