@@ -93,3 +93,11 @@ def range_issues(rates: DataFrame, keys: list[str], valid_from: str, valid_to: s
     issue = (F.when(F.col("next_valid_from") <= F.col(valid_to), F.lit("overlap"))
              .when(F.col("next_valid_from") > F.date_add(F.col(valid_to), 1), F.lit("gap")))
     return nxt.withColumn("issue", issue).where(F.col("issue").isNotNull())
+
+
+def fold_rows(parts: list[DataFrame]) -> DataFrame:
+    """Combine single-row global aggregates with distinct columns into one row
+    (stack them, then take each column's only non-NULL value)."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = [c for p in parts for c in p.columns]
+    return stacked.agg(*[F.max(c).alias(c) for c in cols])

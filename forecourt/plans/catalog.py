@@ -40,3 +40,4 @@ def service_profitability(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the remaining query groups register themselves on import
 from forecourt.plans import queries_cleaning  # noqa: E402,F401
 from forecourt.plans import queries_quality  # noqa: E402,F401
+from forecourt.plans import queries_operations  # noqa: E402,F401

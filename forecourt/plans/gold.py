@@ -46,7 +46,8 @@ def with_vat_rate(work_orders: DataFrame, vat_rates: DataFrame) -> DataFrame:
 
 def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, technicians: DataFrame) -> DataFrame:
     """J2-J4 + C22: one priced row per line that has an order."""
-    slim = orders_vat.select("wo_number", "effective_vat_rate", F.col("technician_id").alias("_wo_tech"))
+    slim = orders_vat.select("wo_number", "effective_vat_rate", "opened_at",
+                             F.col("technician_id").alias("_wo_tech"))
     j = lines.join(slim, "wo_number", "inner")
     p = parts.select(F.col("part_number").alias("_p_part"), F.col("unit_cost_ngn").alias("_unit_cost"))
     j = dim_join(j, p, (j["part_number"] == p["_p_part"]) & (j["line_type"] == "part"))
@@ -63,7 +64,7 @@ def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, techn
     cost = (F.when(F.col("line_type") == "part", q0 * F.coalesce("_unit_cost", F.lit(0)))
             .when(F.col("line_type") == "labour", q0 * F.coalesce("_hourly", F.lit(0)))
             .otherwise(F.lit(0))).cast(COST)
-    j = j.select("wo_number", "line_id", "line_type", "effective_vat_rate",
+    j = j.select("wo_number", "line_id", "line_type", "effective_vat_rate", "opened_at",
                  "line_total_ngn_source_raw",
                  subtotal.alias("line_subtotal_ngn"), cost.alias("line_cost_ngn"))
     sub = F.col("line_subtotal_ngn")

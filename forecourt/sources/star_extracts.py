@@ -259,3 +259,65 @@ def technician_rate_history(supplier: DataFrame) -> DataFrame:
         F.concat(F.lit("TECH-"), F.format_string("%04d", s)).alias("technician_id"),
         vfrom.alias("valid_from"), vto.alias("valid_to"),
         (F.col("_base") + i * 250).cast("decimal(14,2)").alias("hourly_rate_ngn"))
+
+
+# ---------------------------------------------------------------- FIXED VALUES
+ISSUE_FORMS = ["ISSUE", "issue", " Issue "]
+RETURN_FORMS = ["RETURN", "return"]
+RECEIPT_FORMS = ["RECEIPT", "GRN", "receipt"]
+WAREHOUSE_FORMS = ["MAIN", "main", "WH-01"]
+RECEIPT_DATE = "2015-01-01 00:00:00"
+# ------------------------------------------------------------ END FIXED VALUES
+
+
+def _part_number_text(partkey: Column, style: Column) -> Column:
+    pn = F.concat(F.lit("P-"), F.format_string("%05d", partkey))
+    s = style % 4
+    return (F.when(s == 0, pn).when(s == 1, F.concat(F.lit("P"), F.format_string("%05d", partkey)))
+            .when(s == 2, F.lower(pn)).otherwise(F.concat(F.lit(" "), pn, F.lit(" "))))
+
+
+def stock_movements_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """erp.stock_movements: issues from part lines, returns from return lines,
+    and one opening receipt per part sized so the ledger meets the on-hand
+    figure (every ninth part is off by five units, for the reconciliation)."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                         "l_shipdate", "l_returnflag")
+    is_issue = F.col("l_returnflag") == "N"
+    is_return = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 5 == 2)
+    moves = li.where(is_issue | is_return)
+    q = F.col("l_quantity").cast("bigint")
+    sk = F.col("l_suppkey")
+    lines_mv = moves.select(
+        F.concat(F.lit("MV-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string")).alias("movement_id"),
+        _part_number_text(F.col("l_partkey"), sk).alias("part_number"),
+        F.when(is_issue, pick(ISSUE_FORMS, sk)).otherwise(pick(RETURN_FORMS, F.col("l_partkey"))).alias("movement_type"),
+        F.when(is_issue & (sk % 2 == 0), F.concat(F.lit("-"), q.cast("string"))).otherwise(q.cast("string"))
+         .alias("movement_qty"),
+        F.date_format(shift(F.col("l_shipdate")), "yyyy-MM-dd HH:mm:ss").alias("movement_date"),
+        pick(WAREHOUSE_FORMS, sk).alias("warehouse"),
+    )
+    net = moves.groupBy("l_partkey").agg(
+        F.sum(F.when(is_issue, q).otherwise(-q)).alias("_issued_net"))
+    p = F.col("p_partkey")
+    on_hand = (p * 13) % 183 - 2
+    rc = part.select("p_partkey").join(net, part["p_partkey"] == net["l_partkey"], "left")
+    rqty = on_hand + F.coalesce(F.col("_issued_net"), F.lit(0)) + F.when(p % 9 == 0, F.lit(5)).otherwise(F.lit(0))
+    receipts = rc.select(
+        F.concat(F.lit("RC-"), p.cast("string")).alias("movement_id"),
+        _part_number_text(p, p).alias("part_number"),
+        pick(RECEIPT_FORMS, p).alias("movement_type"),
+        rqty.cast("string").alias("movement_qty"),
+        F.lit(RECEIPT_DATE).alias("movement_date"),
+        pick(WAREHOUSE_FORMS, p).alias("warehouse"),
+    )
+    return lines_mv.unionByName(receipts)
+
+
+def fx_quotes(lineitem: DataFrame) -> DataFrame:
+    """Twice-monthly USD->NGN quotes on the (shifted) ship dates present in the data."""
+    d = lineitem.select(F.to_date(shift(F.col("l_shipdate"))).alias("quote_date")).distinct()
+    d = d.where(F.dayofmonth("quote_date").isin(1, 15))
+    rate = (F.lit(300) + (F.dayofyear("quote_date") * 7) % 150 + (F.year("quote_date") - 2015) * 40)
+    return d.select("quote_date", rate.cast("decimal(10,4)").alias("usd_ngn"))
