@@ -64,4 +64,17 @@ MOVEMENT_SIGN = {"receipt": 1, "return": 1, "adjustment": 1, "issue": -1, "write
 
 # Payment status vocabulary.
 PAYMENT_STATUS = ["unpaid", "partial", "paid", "written_off"]
+# Customer type (after upper + trim) -> controlled value.
+CUSTOMER_TYPES = {"INDIVIDUAL": "individual", "FLEET": "fleet", "CORPORATE": "corporate", "INSURANCE": "insurance"}
+
+# City spelling variants (after upper + trim) -> canonical city; others title-cased.
+CITY_ALIASES = {"LAGOS": "Lagos", "LAG": "Lagos", "LAGOS STATE": "Lagos"}
+
+# Vehicle engine and transmission vocabularies (after lower + trim).
+ENGINE_TYPES = {"petrol": "petrol", "diesel": "diesel", "hybrid": "hybrid", "electric": "electric", "ev": "electric"}
+TRANSMISSIONS = {"manual": "manual", "automatic": "automatic", "auto": "automatic", "cvt": "cvt"}
+VEHICLE_MIN_YEAR = 1950
+
+# Technician skill levels.
+SKILL_LEVELS = ["apprentice", "junior", "senior", "master"]
 # ------------------------------------------------------------ END FIXED VALUES

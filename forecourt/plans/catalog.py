@@ -41,3 +41,4 @@ def service_profitability(spark: SparkSession, sf_dir: str) -> DataFrame:
 from forecourt.plans import queries_cleaning  # noqa: E402,F401
 from forecourt.plans import queries_quality  # noqa: E402,F401
 from forecourt.plans import queries_operations  # noqa: E402,F401
+from forecourt.plans import queries_marts  # noqa: E402,F401

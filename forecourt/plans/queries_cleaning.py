@@ -119,18 +119,8 @@ def ts_multi_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- C4
-# FIXED VALUES (fixture spellings): mobile prefixes; '602' is deliberately invalid.
-PHONE_PREFIXES = ["803", "706", "905", "812", "602"]
-
-
-def phone_raw_spark(c):
-    m = X.pick(PHONE_PREFIXES, c)
-    s = F.format_string("%07d", (c * 7919) % 10000000)
-    style = (c / 5).cast("bigint") % 4
-    return (F.when(style == 0, F.concat(F.lit("0"), m, s))
-            .when(style == 1, F.concat(F.lit("+234"), m, s))
-            .when(style == 2, F.concat(F.lit("0"), m, F.lit(" "), F.substring(s, 1, 3), F.lit(" "), F.substring(s, 4, 4)))
-            .otherwise(F.concat(F.lit("(0"), m, F.lit(") "), s)))
+PHONE_PREFIXES = X.PHONE_PREFIXES
+phone_raw_spark = X.phone_text
 
 
 def phone_raw_sql(c):

@@ -125,3 +125,57 @@ def clean_parts(raw: DataFrame) -> DataFrame:
         C.reorder_point("reorder_point").alias("reorder_point"),
         C.upper_trim("currency").alias("currency"),
     )
+
+
+def title_case(col):
+    """Collapse whitespace, then capitalise each space-separated word."""
+    return F.initcap(C.collapse_ws(col))
+
+
+def clean_customers(raw: DataFrame, migration: DataFrame) -> DataFrame:
+    """Legacy ids mapped, names title-cased, type vocabulary, E.164 phone,
+    validated e-mail (invalid -> NULL + flag), city aliases."""
+    from forecourt.operators.joins import dim_join
+
+    ids = raw.withColumn("_id", C.upper_trim("customer_id"))
+    mig = migration.select(F.col("legacy_id").alias("_id"), F.col("customer_id").alias("_new_id"))
+    j = dim_join(ids, mig, "_id", "left")
+    city_u = C.upper_trim("address_city")
+    city = F.coalesce(C.map_vocab("address_city", vocab.CITY_ALIASES, default=None), title_case("address_city"))
+    mail = C.email("email")
+    return j.select(
+        F.coalesce("_new_id", "_id").alias("customer_id"),
+        F.col("_id").alias("source_customer_id"),
+        title_case("customer_name").alias("customer_name"),
+        C.map_vocab("customer_type", vocab.CUSTOMER_TYPES).alias("customer_type"),
+        C.phone_e164("phone_primary").alias("phone_e164"),
+        mail.alias("email"),
+        mail.isNull().alias("has_invalid_email"),
+        F.when(city_u.isNull(), F.lit(None)).otherwise(city).alias("city"),
+        F.to_date(C.parse_ts("registration_date")).alias("registration_date"),
+    )
+
+
+def clean_vehicles(raw: DataFrame, make_aliases: DataFrame, max_year: int) -> DataFrame:
+    """VIN strip/validate/check digit, plate, make via alias seed (raw
+    value kept when unmapped), model title case, year range, vocabularies."""
+    from forecourt.functions import vin as V
+
+    aliases = F.broadcast(make_aliases.select(F.col("raw_make").alias("_raw_make"), "canonical_make"))
+    v = raw.withColumn("_raw_make", C.utrim("make")).join(aliases, "_raw_make", "left")
+    vin = C.vin_strip("vin")
+    year = C.to_int("year_manufactured")
+    year_ok = year.between(vocab.VEHICLE_MIN_YEAR, max_year)
+    return v.select(
+        F.when(C.vin_valid(vin), vin).alias("vin"),
+        C.vin_valid(vin).alias("is_vin_valid"),
+        V.check_digit_ok(vin).alias("is_check_digit_valid"),
+        F.nullif(F.regexp_replace(F.upper("plate_number"), r"[\s\-]", ""), F.lit("")).alias("plate_number"),
+        C.upper_trim("customer_id").alias("customer_id"),
+        F.coalesce("canonical_make", "_raw_make").alias("make"),
+        title_case("model").alias("model"),
+        F.when(year_ok, year).alias("year_manufactured"),
+        (year.isNotNull() & ~year_ok).alias("has_invalid_year"),
+        C.map_vocab("engine_type", vocab.ENGINE_TYPES, normalise=C.lower_trim).alias("engine_type"),
+        C.map_vocab("transmission", vocab.TRANSMISSIONS, normalise=C.lower_trim).alias("transmission"),
+    )

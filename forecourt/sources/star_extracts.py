@@ -321,3 +321,84 @@ def fx_quotes(lineitem: DataFrame) -> DataFrame:
     d = d.where(F.dayofmonth("quote_date").isin(1, 15))
     rate = (F.lit(300) + (F.dayofyear("quote_date") * 7) % 150 + (F.year("quote_date") - 2015) * 40)
     return d.select("quote_date", rate.cast("decimal(10,4)").alias("usd_ngn"))
+
+
+# ---------------------------------------------------------------- FIXED VALUES
+CUSTOMER_TYPE_FORMS = ["individual", "FLEET", " Corporate ", "insurance", "Fleet"]
+CITY_FORMS = ["Lagos", "LAGOS", "Lag", "Lagos State", "Ibadan", "abeokuta", "Abuja "]
+MAKE_FORMS = ["TOYOTA", "toyota", "Toyota Motors", "HONDA", "Honda", "MERC", "Mercedes-Benz", "lexus",
+              "NISSAN", "Kia Motors"]
+MODEL_FORMS = ["corolla", "CAMRY", " Accord ", "c300", "sienna  van"]
+ENGINE_FORMS = ["Petrol", "DIESEL", "hybrid", "petrol ", "EV", "steam"]
+TRANSMISSION_FORMS = ["AUTO", "manual", "Automatic", "CVT"]
+PLATE_AREAS = ["lag", "KJA", "abj"]
+PLATE_SUFFIXES = ["AA", "xy", "KT"]
+# ------------------------------------------------------------ END FIXED VALUES
+
+
+PHONE_PREFIXES = ["803", "706", "905", "812", "602"]  # '602' is not a mobile prefix
+
+
+def phone_text(c: Column) -> Column:
+    """Local, +234, spaced and bracketed spellings of a Nigerian number."""
+    m = pick(PHONE_PREFIXES, c)
+    s = F.format_string("%07d", (c * 7919) % 10000000)
+    style = (c / 5).cast("bigint") % 4
+    return (F.when(style == 0, F.concat(F.lit("0"), m, s))
+            .when(style == 1, F.concat(F.lit("+234"), m, s))
+            .when(style == 2, F.concat(F.lit("0"), m, F.lit(" "), F.substring(s, 1, 3), F.lit(" "),
+                                       F.substring(s, 4, 4)))
+            .otherwise(F.concat(F.lit("(0"), m, F.lit(") "), s)))
+
+
+def legacy_customer_id(c: Column) -> Column:
+    return F.concat(F.lit("L"), F.format_string("%05d", c))
+
+
+def customers_raw(customer: DataFrame) -> DataFrame:
+    """crm.customers: every 11th customer still carries its legacy id."""
+    c = F.col("c_custkey")
+    name = F.col("c_name")
+    email_ok = F.concat(F.lit("customer"), c.cast("string"), F.lit("@example.ng"))
+    email = (F.when(c % 20 == 0, F.lit("")).when(c % 20 == 1, F.lit("n/a")).when(c % 20 == 2, F.lit("notanemail"))
+             .when(c % 2 == 0, email_ok)
+             .otherwise(F.concat(F.lit(" Customer"), c.cast("string"), F.lit("@Example.NG "))))
+    reg = F.timestamp_add("DAY", ((c * 7) % 4000).cast("int"), F.lit("2010-01-01 09:00:00").cast("timestamp_ntz"))
+    return customer.select(
+        F.when(c % 11 == 0, legacy_customer_id(c))
+         .otherwise(F.concat(F.when(c % 2 == 0, F.lit("CUST-")).otherwise(F.lit(" cust-")),
+                             F.format_string("%06d", c))).alias("customer_id"),
+        (F.when(c % 3 == 0, name).when(c % 3 == 1, F.concat(F.upper(name), F.lit("  ")))
+         .otherwise(F.concat(F.lit(" "), F.lower(F.regexp_replace(name, "#", "  # "))))).alias("customer_name"),
+        pick(CUSTOMER_TYPE_FORMS, c).alias("customer_type"),
+        phone_text(c).alias("phone_primary"),
+        email.alias("email"),
+        pick(CITY_FORMS, F.col("c_nationkey")).alias("address_city"),
+        ts_text(reg, c).alias("registration_date"),
+    )
+
+
+def customer_id_migration(customer: DataFrame) -> DataFrame:
+    """Legacy id -> current id for the customers that still use a legacy id."""
+    c = F.col("c_custkey")
+    return customer.where(c % 11 == 0).select(
+        legacy_customer_id(c).alias("legacy_id"),
+        F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("customer_id"))
+
+
+def vehicles_raw(customer: DataFrame) -> DataFrame:
+    """crm.vehicles: one vehicle per customer, VIN as used on the work orders."""
+    c = F.col("c_custkey")
+    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", c))
+    return customer.select(
+        F.when(c % 9 == 0, F.lower(F.concat(F.substring(vin, 1, 5), F.lit("-"), F.substring(vin, 6, 12))))
+         .otherwise(vin).alias("vin"),
+        F.concat(pick(PLATE_AREAS, c), F.when(c % 2 == 0, F.lit("-")).otherwise(F.lit(" ")),
+                 F.format_string("%03d", c % 1000), pick(PLATE_SUFFIXES, c)).alias("plate_number"),
+        F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("customer_id"),
+        pick(MAKE_FORMS, c).alias("make"),
+        pick(MODEL_FORMS, c).alias("model"),
+        F.when(c % 10 == 3, F.lit("1899")).otherwise((F.lit(2000) + c % 22).cast("string")).alias("year_manufactured"),
+        pick(ENGINE_FORMS, c).alias("engine_type"),
+        pick(TRANSMISSION_FORMS, c).alias("transmission"),
+    )
