@@ -402,3 +402,40 @@ def vehicles_raw(customer: DataFrame) -> DataFrame:
         pick(ENGINE_FORMS, c).alias("engine_type"),
         pick(TRANSMISSION_FORMS, c).alias("transmission"),
     )
+
+
+def person_name(key: Column) -> Column:
+    """A two-word pseudo name derived from the key's MD5 (letters only)."""
+    h = F.md5(key.cast("string"))
+    first = F.translate(F.substring(h, 1, 5), "0123456789", "ghijklmnop")
+    last = F.translate(F.substring(h, 6, 6), "0123456789", "ghijklmnop")
+    return F.concat(F.upper(F.substring(first, 1, 1)), F.substring(first, 2, 4), F.lit(" "),
+                    F.upper(F.substring(last, 1, 1)), F.substring(last, 2, 5))
+
+
+def customer_contacts(customer: DataFrame) -> DataFrame:
+    """crm.customers for entity resolution: every customer plus re-entered
+    copies (every 12th customer, offset 5) and near copies (offset 7).
+
+    Copy styles: upper-cased name with the same phone; extra spaces with the
+    same phone; one letter changed with an unusable phone; three letters
+    changed (a review-queue candidate)."""
+    c = F.col("c_custkey")
+    name = person_name(c)
+    city = pick(CITY_FORMS, F.col("c_nationkey"))
+    email = (F.when(c % 20 < 3, F.lit(None).cast("string"))
+             .otherwise(F.concat(F.lit("customer"), c.cast("string"), F.lit("@example.ng"))))
+    base = customer.select(F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("customer_id"),
+                           name.alias("customer_name"), phone_text(c).alias("phone_primary"),
+                           email.alias("email"), city.alias("address_city"))
+    dup = customer.where((c % 12 == 5) | (c % 12 == 7))
+    v = (c / 12).cast("bigint") % 3
+    one_sub = F.overlay(name, F.lit("z"), 3, 1)
+    three_sub = F.overlay(F.overlay(F.overlay(name, F.lit("q"), 2, 1), F.lit("q"), 5, 1), F.lit("q"), 9, 1)
+    dname = (F.when(c % 12 == 7, three_sub).when(v == 0, F.upper(name))
+             .when(v == 1, F.concat(F.regexp_replace(name, " ", "   "), F.lit(" "))).otherwise(one_sub))
+    dphone = F.when((c % 12 == 5) & (v < 2), phone_text(c)).otherwise(F.lit("0602 000 0000"))
+    dups = dup.select(F.concat(F.lit("DUP-"), F.format_string("%06d", c)).alias("customer_id"),
+                      dname.alias("customer_name"), dphone.alias("phone_primary"),
+                      F.lit(None).cast("string").alias("email"), city.alias("address_city"))
+    return base.unionByName(dups)
