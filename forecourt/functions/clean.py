@@ -7,6 +7,8 @@ follow the survey's operator inventory.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,10 +19,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# ASCII control whitespace plus every Unicode space separator (category Z*),
+# built by rule so NBSP and friends are trimmed like ordinary spaces.
+WHITESPACE = "\t\n\x0b\x0c\r" + "".join(
+    ch for ch in map(chr, range(0x3001)) if unicodedata.category(ch).startswith("Z"))
+
+
 # ---------------------------------------------------------------- text basics
 def utrim(col) -> Column:
-    """Trim ASCII *and* Unicode spaces (NBSP etc.) from both ends."""
-    return F.regexp_replace(_c(col), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    """Trim ASCII *and* Unicode spaces (NBSP etc.) from both ends (no regex)."""
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def upper_trim(col) -> Column:
@@ -53,13 +61,15 @@ def sentence_case(col) -> Column:
 def clean_numeric(col) -> Column:
     """Strip currency/unit markers and thousands commas, decimal comma -> point.
 
-    Units are removed *before* thousands commas so ``145,300KM`` and ``145KMS``
-    both clean correctly.  Returns text (NULL for empty input).
+    Markers are removed as literals in the fixed order of ``NUMERIC_NOISE``
+    (KMS before KM) and *before* thousands commas, so ``145,300KM`` and
+    ``145KMS`` both clean correctly.  Returns text (NULL for empty input).
     """
     u = F.upper(utrim(F.coalesce(_c(col).cast("string"), F.lit(""))))
-    u = F.regexp_replace(u, "(" + "|".join(vocab.NUMERIC_NOISE) + ")", "")
-    u = F.regexp_replace(u, r",(\d{3})\b", "$1")
-    u = F.translate(u, ",", ".")
+    for token in vocab.NUMERIC_NOISE:  # literal removals, in list order
+        u = F.replace(u, F.lit(token), F.lit(""))
+    # the thousands-separator regex only runs on text that has a comma
+    u = F.when(F.instr(u, ",") > 0, F.translate(F.regexp_replace(u, r",(\d{3})\b", "$1"), ",", ".")).otherwise(u)
     return F.nullif(utrim(u), F.lit(""))
 
 
@@ -79,9 +89,12 @@ def parse_error(raw, parsed) -> Column:
 
 
 def percent_or_fraction(col) -> Column:
-    """Values above 1 are percentages; exactly 1 stays (100%)."""
+    """Values above 1 are percentages; exactly 1 stays (100%).
+
+    Written as one division by a chosen divisor so the cleaned value is
+    evaluated once per row."""
     d = to_decimal(col, 6, 3)
-    return F.when(d > 1, d / 100).otherwise(d).try_cast("decimal(7,5)")
+    return (d / F.when(d > 1, F.lit(100)).otherwise(F.lit(1))).try_cast("decimal(7,5)")
 
 
 def reorder_point(col) -> Column:

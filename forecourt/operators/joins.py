@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables up to this many rows are broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
 # Rate tables up to this many rows are broadcast into a range join.
 RANGE_BROADCAST_MAX_ROWS = 100_000
 
@@ -22,11 +20,13 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a dimension, broadcasting it only when its size is proven small."""
-    if row_count_at_most(dim, max_rows):
-        dim = F.broadcast(dim)
+def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a dimension table.
+
+    No hint: Spark broadcasts the dimension only when its size estimate is
+    under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks with the
+    measured shuffle size at run time; a large dimension stays a shuffle join.
+    """
     return fact.join(dim, on, how)
 
 

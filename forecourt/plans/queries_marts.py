@@ -57,7 +57,7 @@ FROM g"""))
 def tech_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Technician x month performance mart."""
     w = Workshop(spark, sf_dir)
-    wo = w.work_orders
+    wo = w.work_orders_table
     return marts.technician_performance(w.order_fact(wo), wo)
 
 

@@ -70,7 +70,7 @@ def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- P50-P53
 def quarantine_records(w: Workshop) -> DataFrame:
     """Unified quarantine table over work orders and lines."""
-    wo = w.work_orders
+    wo = w.work_orders_table
     codes = F.broadcast(w.service_types.select(F.col("service_type_code").alias("_code"), F.lit(True).alias("_known")))
     wo_k = wo.join(codes, wo["service_type_code"] == codes["_code"], "left").drop("_code")
     lines = w.lines.join(wo.select("wo_number", "opened_at"), "wo_number", "left")

@@ -130,9 +130,9 @@ def line_total_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mismatch_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-level part-mismatch rate vs the 10% bound, plus the per-line rate."""
     w = Workshop(spark, sf_dir)
-    wo = gold.with_vat_rate(w.work_orders, w.vat_rates)
+    wo = gold.with_vat_rate(w.work_orders_table, w.vat_rates)
     priced = gold.price_lines(w.lines, wo, w.parts, w.technicians)
-    fact = gold.order_fact(w.work_orders, w.lines, w.parts, w.technicians, w.vat_rates)
+    fact = w.order_fact()
     o = Q.rate_bound(fact, "has_part_line_total_mismatch", vocab.MISMATCH_RATE_BOUND)
     part = F.col("line_type") == "part"
     lr = priced.agg(
@@ -157,7 +157,7 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1/Q6: not-null checks, one aggregation pass per table."""
     w, fact, mart = _silver_and_gold(spark, sf_dir)
     return Q.union_reports([
-        Q.not_null(w.work_orders, "silver.work_orders", ["wo_number", "customer_id", "opened_at", "status"]),
+        Q.not_null(w.work_orders_table, "silver.work_orders", ["wo_number", "customer_id", "opened_at", "status"]),
         Q.not_null(w.lines, "silver.lines", ["line_id", "wo_number"]),
         Q.not_null(w.technicians, "silver.technicians", ["technician_id"]),
         Q.not_null(w.parts, "silver.parts", ["part_number"]),
@@ -171,7 +171,7 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: unique keys (one shuffle per key, partial aggregation)."""
     w = Workshop(spark, sf_dir)
     return Q.union_reports([
-        Q.unique(w.work_orders, "silver.work_orders", "wo_number"),
+        Q.unique(w.work_orders_table, "silver.work_orders", "wo_number"),
         Q.unique(w.lines, "silver.lines", "line_id"),
         Q.unique(w.technicians, "silver.technicians", "technician_id"),
         Q.unique(w.parts, "silver.parts", "part_number"),
@@ -193,7 +193,7 @@ def dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4: row expressions (false fails, NULL passes)."""
     w = Workshop(spark, sf_dir)
-    wo = w.work_orders
+    wo = w.work_orders_table
     return Q.union_reports([
         Q.expressions_hold(wo, "silver.work_orders", {
             "closed_at_not_before_opened_at":

@@ -45,11 +45,16 @@ def latest_work_order_events(raw: DataFrame) -> DataFrame:
 
 
 def clean_work_orders(raw: DataFrame) -> DataFrame:
-    """Change events -> one typed row per work order at current state."""
-    cur = latest_work_order_events(raw)
-    vin = C.vin_strip("vehicle_vin")
-    odo_raw = C.to_int("odometer_reading")
-    hours = C.to_decimal("labour_hours", 6, 2)
+    """Change events -> one typed row per work order at current state.
+
+    Values used by several outputs (VIN, odometer, hours) are parsed once in
+    their own projection; Catalyst keeps that projection separate instead of
+    re-inlining an expensive expression into every consumer.
+    """
+    cur = latest_work_order_events(raw).select(
+        "*", C.vin_strip("vehicle_vin").alias("_vin"), C.to_int("odometer_reading").alias("_odo"),
+        C.to_decimal("labour_hours", 6, 2).alias("_hours"))
+    vin, odo_raw, hours = F.col("_vin"), F.col("_odo"), F.col("_hours")
     out = cur.select(
         F.col("_wo").alias("wo_number"),
         C.upper_trim("customer_id").alias("customer_id"),
@@ -76,13 +81,15 @@ def clean_work_orders(raw: DataFrame) -> DataFrame:
 
 def clean_lines(raw: DataFrame) -> DataFrame:
     """Typed lines (map-only).  The order number uses the same normaliser as
-    T2 so lines under any prefix still find their order."""
-    ltype = C.line_type("line_type")
-    qty = C.to_decimal("quantity", 10, 2)
-    price = C.to_decimal("unit_price_ngn", 14, 2)
-    wo = C.order_number("wo_number")
+    T2 so lines under any prefix still find their order.  Parsed values that
+    feed several outputs are computed once in their own projection."""
+    p = raw.select(
+        "line_no", "part_number", "description", "discount_pct", "vat_rate", "line_total_ngn",
+        C.line_type("line_type").alias("_lt"), C.to_decimal("quantity", 10, 2).alias("_qty"),
+        C.to_decimal("unit_price_ngn", 14, 2).alias("_price"), C.order_number("wo_number").alias("_wo"))
+    ltype, qty, price, wo = F.col("_lt"), F.col("_qty"), F.col("_price"), F.col("_wo")
     neg_qty = C.negative_not_return(qty, ltype)
-    return raw.select(
+    return p.select(
         F.concat(wo, F.lit("-"), C.utrim("line_no")).alias("line_id"),
         wo.alias("wo_number"),
         ltype.alias("line_type"),

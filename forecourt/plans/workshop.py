@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from forecourt.plans import gold, silver
 from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
+from forecourt.session import materialise
 from forecourt.sources.tables import Tables
 
 
@@ -65,9 +66,15 @@ class Workshop:
     def service_types(self) -> DataFrame:
         return seeds.service_types(self.spark)
 
+    @cached_property
+    def work_orders_table(self) -> DataFrame:
+        """Silver work orders written once (the keep-latest shuffle runs once even
+        though the fact reads the orders on both sides of its line join)."""
+        return materialise(self.work_orders, "silver_work_orders")
+
     # gold
     def order_fact(self, work_orders: DataFrame | None = None) -> DataFrame:
-        return gold.order_fact(work_orders if work_orders is not None else self.work_orders,
+        return gold.order_fact(work_orders if work_orders is not None else self.work_orders_table,
                                self.lines, self.parts, self.technicians, self.vat_rates)
 
     def service_profitability(self, fact: DataFrame | None = None) -> DataFrame:

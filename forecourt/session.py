@@ -22,6 +22,9 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Wide cleaning projections generate big methods; above 8000 bytes of
+    # bytecode the JVM will not JIT them, so fall back to per-operator codegen.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -37,6 +40,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # let the JIT compile large generated methods (driver JVM launched here)
+    conf["spark.driver.extraJavaOptions"] = "-XX:-DontCompileHugeMethods"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -78,3 +83,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder (never machine-local
     on a cluster, because the folder comes from ``spark.checkpoint.dir``)."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialise(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and return a
+    scan of it: cuts lineage and lets several consumers share one computation
+    (a written table survives executor loss, unlike a local checkpoint)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
