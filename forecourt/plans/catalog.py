@@ -43,3 +43,4 @@ from forecourt.plans import queries_quality  # noqa: E402,F401
 from forecourt.plans import queries_operations  # noqa: E402,F401
 from forecourt.plans import queries_marts  # noqa: E402,F401
 from forecourt.plans import queries_entity  # noqa: E402,F401
+from forecourt.plans import queries_telematics  # noqa: E402,F401

@@ -439,3 +439,34 @@ def customer_contacts(customer: DataFrame) -> DataFrame:
                       dname.alias("customer_name"), dphone.alias("phone_primary"),
                       F.lit(None).cast("string").alias("email"), city.alias("address_city"))
     return base.unionByName(dups)
+
+
+# ---------------------------------------------------------------- FIXED VALUES
+FAULT_FORMS = ["P0300", "p0171", " P0420", "P0128 ", "P0442", "P0999", ""]
+# ------------------------------------------------------------ END FIXED VALUES
+
+
+def telematics_raw(events: DataFrame) -> DataFrame:
+    """telematics.events as delivered: text fields, epoch-ms time, fault code
+    taken from the JSON payload, arrival time in ``_ingested_at``."""
+    from forecourt.operators.events import arrival_time
+
+    e = F.col("event_id")
+    u = F.col("user_id")
+    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", u))
+    vin = (F.when(u % 17 == 0, F.concat(F.lit("1HGCM"), F.format_string("%011d", u)))
+           .when(u % 3 == 0, F.lower(vin)).otherwise(vin))
+    k = F.from_json("props", "k int")["k"]
+    lat = F.concat((F.lit(4) + ((e % 1100) / 100).cast("bigint")).cast("string"), F.lit("."),
+                   F.format_string("%02d", e % 100))
+    lon = F.concat((F.lit(3) + (((e * 7) % 1300) / 100).cast("bigint")).cast("string"), F.lit("."),
+                   F.format_string("%02d", (e * 7) % 100))
+    return events.select(
+        F.concat(F.lit("EV-"), F.format_string("%08d", e)).alias("event_id"),
+        vin.alias("vin"),
+        F.format_string("%013d", F.unix_millis(F.col("ts").cast("timestamp"))).alias("event_timestamp"),
+        F.round(F.col("value") * 1000).cast("bigint").cast("string").alias("odometer_km"),
+        pick(FAULT_FORMS, F.coalesce(k, F.lit(0))).alias("fault_code"),
+        lat.alias("latitude"), lon.alias("longitude"),
+        F.date_format(arrival_time(e, F.col("ts")), "yyyy-MM-dd HH:mm:ss").alias("_ingested_at"),
+    )
