@@ -19,12 +19,14 @@ MATCH_DISTANCE = 2          # pass 2: auto-merge at <= 2 edits
 REVIEW_DISTANCE = 4         # pass 3: 3..4 edits go to the review queue (dagger)
 
 
-def normalised_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = X.customer_contacts(Tables(spark, sf_dir).customer)
+def normalised_contacts(spark: SparkSession, sf_dir: str, suppliers: bool = False) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    raw = X.supplier_contacts(t.supplier) if suppliers else X.customer_contacts(t.customer)
+    id_col, name_col = ("supplier_id", "supplier_name") if suppliers else ("customer_id", "customer_name")
     city = F.coalesce(C.map_vocab("address_city", vocab.CITY_ALIASES, default=None), title_case("address_city"))
     return raw.select(
-        "customer_id",
-        F.upper(C.collapse_ws("customer_name")).alias("name_norm"),
+        id_col,
+        F.upper(C.collapse_ws(name_col)).alias("name_norm"),
         C.phone_e164("phone_primary").alias("phone_e164"),
         C.email("email").alias("email"),
         city.alias("city"))
@@ -47,46 +49,56 @@ def _phone_sql(c):
             f"ELSE '(0' || {m} || ') ' || {s} END")
 
 
-_nm = _person_sql("c_custkey")
 _title = ("array_to_string(list_transform(string_split(" + S.collapse_ws("address_city") + ", ' '), "
           "lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ')")
 _city = ("CASE upper(trim(coalesce(address_city, ''))) "
          + " ".join(f"WHEN {S.q(k)} THEN {S.q(v)}" for k, v in vocab.CITY_ALIASES.items())
          + f" ELSE {_title} END")
 
-CONTACTS_SQL = f"""
+def contacts_sql(table: str, key: str, nation: str, prefix: str, dup_prefix: str) -> str:
+    nm = _person_sql(key)
+    mail = prefix.lower().rstrip("-")
+    return f"""
 contacts AS (
-  SELECT 'CUST-' || printf('%06d', c_custkey) AS customer_id, {_nm} AS customer_name,
-         {_phone_sql('c_custkey')} AS phone_primary,
-         CASE WHEN c_custkey % 20 < 3 THEN NULL ELSE 'customer' || CAST(c_custkey AS VARCHAR) || '@example.ng' END AS email,
-         {S.pick(X.CITY_FORMS, 'c_nationkey')} AS address_city
-  FROM customer
+  SELECT '{prefix}' || printf('%06d', {key}) AS id0, {nm} AS name0,
+         {_phone_sql(key)} AS phone_primary,
+         CASE WHEN {key} % 20 < 3 THEN NULL ELSE '{mail}' || CAST({key} AS VARCHAR) || '@example.ng' END AS email,
+         {S.pick(X.CITY_FORMS, nation)} AS address_city
+  FROM {table}
   UNION ALL
-  SELECT 'DUP-' || printf('%06d', c_custkey),
-         CASE WHEN c_custkey % 12 = 7
-                THEN substring({_nm}, 1, 1) || 'q' || substring({_nm}, 3, 2) || 'q' || substring({_nm}, 6, 3) || 'q'
-                     || substring({_nm}, 10)
-              WHEN (c_custkey // 12) % 3 = 0 THEN upper({_nm})
-              WHEN (c_custkey // 12) % 3 = 1 THEN replace({_nm}, ' ', '   ') || ' '
-              ELSE substring({_nm}, 1, 2) || 'z' || substring({_nm}, 4) END,
-         CASE WHEN c_custkey % 12 = 5 AND (c_custkey // 12) % 3 < 2 THEN {_phone_sql('c_custkey')}
+  SELECT '{dup_prefix}' || printf('%06d', {key}),
+         CASE WHEN {key} % 12 = 7
+                THEN substring({nm}, 1, 1) || 'q' || substring({nm}, 3, 2) || 'q' || substring({nm}, 6, 3) || 'q'
+                     || substring({nm}, 10)
+              WHEN ({key} // 12) % 3 = 0 THEN upper({nm})
+              WHEN ({key} // 12) % 3 = 1 THEN replace({nm}, ' ', '   ') || ' '
+              ELSE substring({nm}, 1, 2) || 'z' || substring({nm}, 4) END,
+         CASE WHEN {key} % 12 = 5 AND ({key} // 12) % 3 < 2 THEN {_phone_sql(key)}
               ELSE '0602 000 0000' END,
          NULL,
-         {S.pick(X.CITY_FORMS, 'c_nationkey')}
-  FROM customer WHERE c_custkey % 12 = 5 OR c_custkey % 12 = 7),
-n AS (SELECT customer_id AS id, upper({S.collapse_ws('customer_name')}) AS nm, {S.phone_e164('phone_primary')} AS ph,
+         {S.pick(X.CITY_FORMS, nation)}
+  FROM {table} WHERE {key} % 12 = 5 OR {key} % 12 = 7),
+n AS (SELECT id0 AS id, upper({S.collapse_ws('name0')}) AS nm, {S.phone_e164('phone_primary')} AS ph,
              {S.email('email')} AS em, {_city} AS city FROM contacts)"""
 
 
-@register("entity_clusters", f"""
-WITH RECURSIVE {CONTACTS_SQL},
+CONTACTS_SQL = contacts_sql("customer", "c_custkey", "c_nationkey", "CUST-", "DUP-")
+SUPPLIER_SQL = contacts_sql("supplier", "s_suppkey", "s_nationkey", "SUP-", "SUPDUP-")
+
+
+def clusters_sql(contacts: str, id_name: str, golden_name: str) -> str:
+    return f"""
+WITH RECURSIVE {contacts},
 e AS (SELECT a.id AS src, b.id AS dst FROM n a JOIN n b ON a.ph = b.ph AND a.id < b.id
       UNION SELECT a.id, b.id FROM n a JOIN n b ON a.em = b.em AND a.id < b.id
       UNION SELECT a.id, b.id FROM n a JOIN n b ON a.city = b.city AND a.id < b.id
                                             AND levenshtein(a.nm, b.nm) <= {MATCH_DISTANCE}),
 ee AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
 cc(id, label) AS (SELECT id, id FROM n UNION SELECT ee.dst, cc.label FROM cc JOIN ee ON cc.id = ee.src)
-SELECT id AS customer_id, min(label) AS golden_customer_id FROM cc GROUP BY id""")
+SELECT id AS {id_name}, min(label) AS {golden_name} FROM cc GROUP BY id"""
+
+
+@register("entity_clusters", clusters_sql(CONTACTS_SQL, "customer_id", "golden_customer_id"))
 def entity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact phone or e-mail, then Levenshtein <= 2 on the name in
     the same city; golden id = smallest id in the connected cluster; every
@@ -109,3 +121,11 @@ def customer_match_review(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("city", "name_norm").agg(F.min("customer_id").alias("customer_id")))
     pairs = ER.passjoin_pairs(reps, "customer_id", "city", "name_norm", REVIEW_DISTANCE)
     return pairs.where(F.col("distance") > MATCH_DISTANCE)
+
+
+@register("supplier_clusters", clusters_sql(SUPPLIER_SQL, "supplier_id", "golden_supplier_id"))
+def supplier_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier de-duplication with the same three passes."""
+    n = normalised_contacts(spark, sf_dir, suppliers=True)
+    mapping, _ = ER.resolve(n, "supplier_id", ["phone_e164", "email"], "name_norm", "city", tau=MATCH_DISTANCE)
+    return mapping.withColumnRenamed("golden_id", "golden_supplier_id")

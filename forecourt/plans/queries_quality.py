@@ -339,3 +339,42 @@ def cycle_time_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     agg = ev.groupBy("user_id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     return agg.withColumn("cycle_time_hours", C.hour_boundaries("first_ts", "last_ts"))
+
+
+# ---------------------------------------------------------------------- P7
+@register("category_hierarchy_check", S.with_ctes(["parts"], """
+SELECT subcategory, count(DISTINCT category) AS n_categories,
+       string_agg(DISTINCT category, ',' ORDER BY category) AS categories,
+       count(DISTINCT category) = 1 AS is_consistent, count(*) AS parts
+FROM parts WHERE subcategory IS NOT NULL GROUP BY subcategory"""))
+def category_hierarchy_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every subcategory must sit under exactly one category."""
+    p = Workshop(spark, sf_dir).parts.where(F.col("subcategory").isNotNull())
+    g = p.groupBy("subcategory").agg(F.array_sort(F.collect_set("category")).alias("_c"),
+                                     F.count(F.lit(1)).alias("parts"))
+    return g.select("subcategory", F.size("_c").cast("bigint").alias("n_categories"),
+                    F.array_join("_c", ",").alias("categories"), (F.size("_c") == 1).alias("is_consistent"), "parts")
+
+
+# ---------------------------------------------------------------------- T8
+@register("dq_report", None)
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared check in one report (one row per check), including the
+    part-line mismatch-rate bound."""
+    rate = mismatch_rate(spark, sf_dir).select(
+        F.lit("rate_bound").alias("check_name"), F.lit("gold.order_fact").alias("table_name"),
+        F.lit("has_part_line_total_mismatch").alias("column_name"),
+        F.col("breaches_bound").cast("bigint").alias("failing_rows"), (~F.col("breaches_bound")).alias("passed"))
+    return Q.union_reports([dq_not_null(spark, sf_dir), dq_unique(spark, sf_dir), dq_accepted(spark, sf_dir),
+                            dq_expression(spark, sf_dir), rate])
+
+
+def _sub(sql: str) -> str:
+    return f"SELECT * FROM ({sql})"
+
+
+ORACLE["dq_report"] = " UNION ALL ".join([
+    _sub(ORACLE["dq_not_null"]), _sub(ORACLE["dq_unique"]), _sub(ORACLE["dq_accepted"]), _sub(ORACLE["dq_expression"]),
+    _sub("SELECT 'rate_bound' AS check_name, 'gold.order_fact' AS table_name, "
+         "'has_part_line_total_mismatch' AS column_name, CAST(breaches_bound AS BIGINT) AS failing_rows, "
+         "NOT breaches_bound AS passed FROM (" + ORACLE["mismatch_rate"] + ")")])

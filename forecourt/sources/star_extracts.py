@@ -413,34 +413,46 @@ def person_name(key: Column) -> Column:
                     F.upper(F.substring(last, 1, 1)), F.substring(last, 2, 5))
 
 
-def customer_contacts(customer: DataFrame) -> DataFrame:
-    """crm.customers for entity resolution: every customer plus re-entered
-    copies (every 12th customer, offset 5) and near copies (offset 7).
+def contacts(df: DataFrame, key: str, nation: str, prefix: str, dup_prefix: str) -> DataFrame:
+    """Contact records for entity resolution: every entity plus re-entered
+    copies (every 12th key, offset 5) and near copies (offset 7).
 
     Copy styles: upper-cased name with the same phone; extra spaces with the
     same phone; one letter changed with an unusable phone; three letters
     changed (a review-queue candidate)."""
-    c = F.col("c_custkey")
+    c = F.col(key)
     name = person_name(c)
-    city = pick(CITY_FORMS, F.col("c_nationkey"))
+    city = pick(CITY_FORMS, F.col(nation))
     email = (F.when(c % 20 < 3, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("customer"), c.cast("string"), F.lit("@example.ng"))))
-    base = customer.select(F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("customer_id"),
-                           name.alias("customer_name"), phone_text(c).alias("phone_primary"),
-                           email.alias("email"), city.alias("address_city"))
-    dup = customer.where((c % 12 == 5) | (c % 12 == 7))
+             .otherwise(F.concat(F.lit(prefix.lower().rstrip("-")), c.cast("string"), F.lit("@example.ng"))))
+    base = df.select(F.concat(F.lit(prefix), F.format_string("%06d", c)).alias("contact_id"),
+                     name.alias("contact_name"), phone_text(c).alias("phone_primary"),
+                     email.alias("email"), city.alias("address_city"))
+    dup = df.where((c % 12 == 5) | (c % 12 == 7))
     v = (c / 12).cast("bigint") % 3
     one_sub = F.overlay(name, F.lit("z"), 3, 1)
     three_sub = F.overlay(F.overlay(F.overlay(name, F.lit("q"), 2, 1), F.lit("q"), 5, 1), F.lit("q"), 9, 1)
     dname = (F.when(c % 12 == 7, three_sub).when(v == 0, F.upper(name))
              .when(v == 1, F.concat(F.regexp_replace(name, " ", "   "), F.lit(" "))).otherwise(one_sub))
     dphone = F.when((c % 12 == 5) & (v < 2), phone_text(c)).otherwise(F.lit("0602 000 0000"))
-    dups = dup.select(F.concat(F.lit("DUP-"), F.format_string("%06d", c)).alias("customer_id"),
-                      dname.alias("customer_name"), dphone.alias("phone_primary"),
+    dups = dup.select(F.concat(F.lit(dup_prefix), F.format_string("%06d", c)).alias("contact_id"),
+                      dname.alias("contact_name"), dphone.alias("phone_primary"),
                       F.lit(None).cast("string").alias("email"), city.alias("address_city"))
     return base.unionByName(dups)
 
 
+def customer_contacts(customer: DataFrame) -> DataFrame:
+    """crm.customers for entity resolution."""
+    return contacts(customer, "c_custkey", "c_nationkey", "CUST-", "DUP-") \
+        .withColumnRenamed("contact_id", "customer_id").withColumnRenamed("contact_name", "customer_name")
+
+
+def supplier_contacts(supplier: DataFrame) -> DataFrame:
+    """erp.suppliers for supplier de-duplication."""
+    return contacts(supplier, "s_suppkey", "s_nationkey", "SUP-", "SUPDUP-") \
+        .withColumnRenamed("contact_id", "supplier_id").withColumnRenamed("contact_name", "supplier_name")
+
+
 # ---------------------------------------------------------------- FIXED VALUES
 FAULT_FORMS = ["P0300", "p0171", " P0420", "P0128 ", "P0442", "P0999", ""]
 # ------------------------------------------------------------ END FIXED VALUES
