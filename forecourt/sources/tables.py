@@ -16,10 +16,34 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
+# Inputs at least this large are spread over all cores when the file layout
+# yields fewer scan splits than the cluster has task slots.
+SPREAD_MIN_BYTES = 2 << 20
+
+
+def _size_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one table.
+
+    A large file written as a single row group gives one scan split, so all
+    downstream text work would run in one task; such scans are round-robin
+    repartitioned to the default parallelism.  On a cluster reading many
+    files the scan already has more splits than slots and nothing is added.
+    """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target and _size_bytes(spark, path) >= SPREAD_MIN_BYTES:
+        df = df.repartition(target)
+    return df
 
 
 class Tables:
