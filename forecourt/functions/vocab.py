@@ -64,6 +64,11 @@ MOVEMENT_SIGN = {"receipt": 1, "return": 1, "adjustment": 1, "issue": -1, "write
 
 # Payment status vocabulary.
 PAYMENT_STATUS = ["unpaid", "partial", "paid", "written_off"]
+
+# Payment method spellings (after upper + trim) -> controlled value.
+PAYMENT_METHODS = {"CASH": "cash", "CARD": "card", "POS": "card", "BANK TRANSFER": "transfer",
+                   "TRANSFER": "transfer", "INSURANCE": "insurance", "CREDIT": "credit"}
+DEFAULT_CURRENCY = "NGN"
 # Customer type (after upper + trim) -> controlled value.
 CUSTOMER_TYPES = {"INDIVIDUAL": "individual", "FLEET": "fleet", "CORPORATE": "corporate", "INSURANCE": "insurance"}
 

@@ -101,3 +101,17 @@ def fold_rows(parts: list[DataFrame]) -> DataFrame:
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     cols = [c for p in parts for c in p.columns]
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
+
+
+class DataQualityError(RuntimeError):
+    """Raised when a check fails: the pipeline's contract is to fail loudly."""
+
+
+def raise_on_failures(report: DataFrame, allow: set[str] | None = None) -> None:
+    """Raise if any check in ``report`` failed.  The report holds one row per
+    check (a few dozen rows), so only the failing check names reach the driver."""
+    failing = [f"{r.check_name}:{r.table_name}.{r.column_name}={r.failing_rows}"
+               for r in report.where(~F.col("passed")).select(*REPORT_COLUMNS[:4]).collect()
+               if f"{r.table_name}.{r.column_name}" not in (allow or set())]
+    if failing:
+        raise DataQualityError("failed checks: " + ", ".join(sorted(failing)))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions import clean as C
+from forecourt.functions import vocab
 from forecourt.operators import inventory as INV
 from forecourt.operators import quality as Q
 from forecourt.operators import quarantine as QU
@@ -27,6 +28,7 @@ from forecourt.sources.tables import Tables
 
 # ---------------------------------------------------------------- FIXED VALUES
 AS_OF_DATE = "2022-01-01"
+CURRENCY_FORMS = ["NGN", "ngn", ""]   # fixture spellings; blank means the default currency
 SKILLS = ["engine", "transmission", "brakes", "electrical", "ac"]
 # ------------------------------------------------------------ END FIXED VALUES
 
@@ -201,13 +203,19 @@ def invoices_and_payments(w: Workshop, fact: DataFrame | None = None) -> DataFra
     k = F.regexp_extract("wo_number", r"(\d+)$", 1).cast("bigint")
     inv = inv.withColumn("_k", k)
     pays = EV.derive_payments(inv, "wo_number", "_k", "invoice_total_source", "invoice_ts")
-    paid = pays.groupBy("wo_number").agg(F.sum("amount_ngn").alias("amount_paid"), F.max("payment_ts").alias("last_payment_ts"))
+    pays = pays.withColumn("payment_method", C.map_vocab("payment_method", vocab.PAYMENT_METHODS))
+    paid = pays.groupBy("wo_number").agg(
+        F.sum("amount_ngn").alias("amount_paid"), F.max("payment_ts").alias("last_payment_ts"),
+        F.array_join(F.array_sort(F.collect_set("payment_method")), ",").alias("payment_methods"))
     j = inv.join(paid, "wo_number", "left")
     amt = F.coalesce("amount_paid", F.lit(0)).cast("decimal(18,2)")
     status = (F.when(amt >= F.col("invoice_total_source"), F.lit("paid"))
               .when(amt > 0, F.lit("partial")).otherwise(F.lit("unpaid")))
     days = F.datediff(F.lit(AS_OF_DATE).cast("date"), F.to_date("invoice_ts"))
-    return j.select("wo_number", "invoice_ts", "invoice_total_source", "invoice_total_recalculated",
+    cur = F.coalesce(F.nullif(C.upper_trim(X.pick(CURRENCY_FORMS, F.col("_k"))), F.lit("")),
+                     F.lit(vocab.DEFAULT_CURRENCY))
+    return j.select("wo_number", "invoice_ts", cur.alias("currency"), "payment_methods",
+                    "invoice_total_source", "invoice_total_recalculated",
                     (F.abs(F.col("invoice_total_source") - F.col("invoice_total_recalculated")) <= 1).alias("reconciles"),
                     amt.alias("amount_paid"), status.alias("payment_status"),
                     F.when(status != "paid", days).alias("days_outstanding"))
@@ -221,16 +229,25 @@ inv AS (SELECT f.wo_number, f.closed_at AS invoice_ts,
                CAST(regexp_extract(f.wo_number, '(\\d+)$', 1) AS BIGINT) AS k
         FROM fact f JOIN src USING (wo_number)
         WHERE f.status = 'completed' AND f.closed_at IS NOT NULL AND src.invoice_total_source > 0),
-pay AS (SELECT wo_number, CAST(round(invoice_total_source * 0.6, 2) AS DECIMAL(18,2)) AS amount_ngn FROM inv WHERE k % 3 = 0
+pay AS (SELECT wo_number, CAST(round(invoice_total_source * 0.6, 2) AS DECIMAL(18,2)) AS amount_ngn,
+               {S.pick(EV.PAYMENT_METHOD_FORMS, 'k + 1')} AS m FROM inv WHERE k % 3 = 0
         UNION ALL
-        SELECT wo_number, CAST(invoice_total_source - CAST(round(invoice_total_source * 0.6, 2) AS DECIMAL(18,2)) AS DECIMAL(18,2))
+        SELECT wo_number, CAST(invoice_total_source - CAST(round(invoice_total_source * 0.6, 2) AS DECIMAL(18,2)) AS DECIMAL(18,2)),
+               {S.pick(EV.PAYMENT_METHOD_FORMS, 'k + 2')}
         FROM inv WHERE k % 3 = 0
         UNION ALL
-        SELECT wo_number, CAST(round(invoice_total_source * 0.5, 2) AS DECIMAL(18,2)) FROM inv WHERE k % 3 = 1),
-paid AS (SELECT wo_number, sum(amount_ngn) AS amount_paid FROM pay GROUP BY wo_number),
-j AS (SELECT inv.*, CAST(coalesce(paid.amount_paid, 0) AS DECIMAL(18,2)) AS amt FROM inv LEFT JOIN paid USING (wo_number)),
+        SELECT wo_number, CAST(round(invoice_total_source * 0.5, 2) AS DECIMAL(18,2)),
+               {S.pick(EV.PAYMENT_METHOD_FORMS, 'k + 1')} FROM inv WHERE k % 3 = 1),
+paid AS (SELECT wo_number, sum(amount_ngn) AS amount_paid,
+                string_agg(DISTINCT {S.map_vocab('m', vocab.PAYMENT_METHODS)}, ',' ORDER BY {S.map_vocab('m', vocab.PAYMENT_METHODS)})
+                  AS payment_methods
+         FROM pay GROUP BY wo_number),
+j AS (SELECT inv.*, CAST(coalesce(paid.amount_paid, 0) AS DECIMAL(18,2)) AS amt, paid.payment_methods
+      FROM inv LEFT JOIN paid USING (wo_number)),
 s AS (SELECT *, CASE WHEN amt >= invoice_total_source THEN 'paid' WHEN amt > 0 THEN 'partial' ELSE 'unpaid' END AS payment_status FROM j)
-SELECT wo_number, invoice_ts, CAST(invoice_total_source AS DOUBLE) AS invoice_total_source,
+SELECT wo_number, invoice_ts,
+       coalesce(nullif(upper(trim({S.pick(CURRENCY_FORMS, 'k')})), ''), '{vocab.DEFAULT_CURRENCY}') AS currency,
+       payment_methods, CAST(invoice_total_source AS DOUBLE) AS invoice_total_source,
        CAST(invoice_total_recalculated AS DOUBLE) AS invoice_total_recalculated,
        abs(invoice_total_source - invoice_total_recalculated) <= 1 AS reconciles,
        CAST(amt AS DOUBLE) AS amount_paid, payment_status,

@@ -143,3 +143,13 @@ def test_quarantine_split_keeps_every_row(spark):
     q = QU.route(df, "line", "id", "negative_quantity", F.col("q") < 0)
     r = q.collect()[0]
     assert r.reason == "negative_quantity" and '"q":-1' in r.payload
+
+
+def test_raise_on_failures(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    report = Q.not_null(df, "t", ["k"])
+    with pytest.raises(Q.DataQualityError):
+        Q.raise_on_failures(report)
+    Q.raise_on_failures(report, allow={"t.k"})
