@@ -111,7 +111,7 @@ def entity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("customer_match_review", f"""
 WITH {CONTACTS_SQL},
 r AS (SELECT city, nm, min(id) AS id FROM n WHERE nm IS NOT NULL AND city IS NOT NULL GROUP BY city, nm)
-SELECT a.id AS id_a, b.id AS id_b, levenshtein(a.nm, b.nm) AS distance
+SELECT a.id AS id_a, b.id AS id_b, CAST(levenshtein(a.nm, b.nm) AS INTEGER) AS distance
 FROM r a JOIN r b ON a.city = b.city AND a.id < b.id
 WHERE levenshtein(a.nm, b.nm) BETWEEN {MATCH_DISTANCE + 1} AND {REVIEW_DISTANCE}""")
 def customer_match_review(spark: SparkSession, sf_dir: str) -> DataFrame:
