@@ -44,11 +44,17 @@ def with_vat_rate(work_orders: DataFrame, vat_rates: DataFrame) -> DataFrame:
     return joined.drop("valid_from", "valid_to")
 
 
-def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, technicians: DataFrame) -> DataFrame:
-    """J2-J4 + C22: one priced row per line that has an order."""
+def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, technicians: DataFrame,
+                keep_orphans: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """J2-J4 + C22: one priced row per line that has an order.
+
+    ``keep_orphans`` keeps lines without an order (order columns NULL, so
+    one pass over the lines can feed both pricing and the orphan check);
+    ``carry`` passes further line columns through.
+    """
     slim = orders_vat.select("wo_number", "effective_vat_rate", "opened_at",
-                             F.col("technician_id").alias("_wo_tech"))
-    j = lines.join(slim, "wo_number", "inner")
+                             F.col("technician_id").alias("_wo_tech"), F.lit(True).alias("_has_order"))
+    j = lines.join(slim, "wo_number", "left" if keep_orphans else "inner")
     p = parts.select(F.col("part_number").alias("_p_part"), F.col("unit_cost_ngn").alias("_unit_cost"))
     j = dim_join(j, p, (j["part_number"] == p["_p_part"]) & (j["line_type"] == "part"))
     t = technicians.select(F.col("technician_id").alias("_t_id"), F.col("hourly_rate_ngn").alias("_hourly"))
@@ -65,7 +71,8 @@ def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, techn
             .when(F.col("line_type") == "labour", q0 * F.coalesce("_hourly", F.lit(0)))
             .otherwise(F.lit(0))).cast(COST)
     j = j.select("wo_number", "line_id", "line_type", "effective_vat_rate", "opened_at",
-                 "line_total_ngn_source_raw",
+                 "line_total_ngn_source_raw", *(carry or []),
+                 F.coalesce("_has_order", F.lit(False)).alias("has_order"),
                  subtotal.alias("line_subtotal_ngn"), cost.alias("line_cost_ngn"))
     sub = F.col("line_subtotal_ngn")
     return j.withColumns({
@@ -96,12 +103,22 @@ def order_aggregates(priced: DataFrame) -> DataFrame:
         F.bool_or(mism).alias("has_line_total_mismatch"),
         F.bool_or((lt == "part") & mism).alias("has_part_line_total_mismatch"),
         F.bool_or((lt == "labour") & mism).alias("has_labour_line_total_mismatch"),
+        # extras for reports that would otherwise re-read the lines
+        F.sum("line_total_ngn_source_raw").cast(MONEY).alias("source_total_ngn"),
+        F.count_if(lt == "part").alias("part_lines"),
+        F.count_if((lt == "part") & mism).alias("part_lines_mismatched"),
     )
 
 
+EXTRA_COLUMNS = ["source_total_ngn", "part_lines", "part_lines_mismatched"]
+
+
 def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
-               technicians: DataFrame, vat_rates: DataFrame) -> DataFrame:
-    """One row per work order with revenue, VAT, cost, profit and flags."""
+               technicians: DataFrame, vat_rates: DataFrame, extras: bool = False) -> DataFrame:
+    """One row per work order with revenue, VAT, cost, profit and flags.
+
+    ``extras`` adds the per-order source total and part-line counts so
+    reconciliation reports need no second pass over the lines."""
     wo = with_vat_rate(work_orders, vat_rates)
     agg = order_aggregates(price_lines(lines, wo, parts, technicians))
     f = wo.join(agg, "wo_number", "left")
@@ -128,6 +145,8 @@ def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
         F.coalesce("has_line_total_mismatch", F.lit(False)).alias("has_line_total_mismatch"),
         F.coalesce("has_part_line_total_mismatch", F.lit(False)).alias("has_part_line_total_mismatch"),
         F.coalesce("has_labour_line_total_mismatch", F.lit(False)).alias("has_labour_line_total_mismatch"),
+        *([F.col("source_total_ngn"), F.coalesce("part_lines", F.lit(0)).alias("part_lines"),
+           F.coalesce("part_lines_mismatched", F.lit(0)).alias("part_lines_mismatched")] if extras else []),
     )
 
 

@@ -75,8 +75,10 @@ def quarantine_records(w: Workshop) -> DataFrame:
     wo = w.work_orders_table
     codes = F.broadcast(w.service_types.select(F.col("service_type_code").alias("_code"), F.lit(True).alias("_known")))
     wo_k = wo.join(codes, wo["service_type_code"] == codes["_code"], "left").drop("_code")
-    lines = w.lines.join(wo.select("wo_number", "opened_at"), "wo_number", "left")
-    priced = gold.price_lines(w.lines, gold.with_vat_rate(wo, w.vat_rates), w.parts, w.technicians)
+    # one pass over the lines: priced, orphans kept, anomaly flags carried along
+    lines = gold.price_lines(w.lines, gold.with_vat_rate(wo, w.vat_rates), w.parts, w.technicians,
+                             keep_orphans=True,
+                             carry=["has_negative_quantity_anomaly", "has_negative_price_anomaly"])
     return QU.unify([
         QU.route(wo, "work_order", "wo_number", "invalid_vin", ~F.coalesce("is_vin_valid", F.lit(False)), "opened_at"),
         QU.route(wo_k.drop("_known"), "work_order", "wo_number", "unknown_service_code",
@@ -84,9 +86,10 @@ def quarantine_records(w: Workshop) -> DataFrame:
         QU.route(wo, "work_order", "wo_number", "odometer_out_of_range", F.col("has_odometer_anomaly"), "opened_at"),
         QU.route(lines, "line", "line_id", "negative_quantity", F.col("has_negative_quantity_anomaly"), "opened_at"),
         QU.route(lines, "line", "line_id", "negative_price", F.col("has_negative_price_anomaly"), "opened_at"),
-        QU.route(lines, "line", "line_id", "orphan_line", F.col("opened_at").isNull(), "opened_at"),
-        QU.route(priced, "line", "line_id", "line_total_mismatch",
-                 C.exceeds_tolerance("line_total_ngn_source_raw", "line_total_recalculated_ngn"), "opened_at"),
+        QU.route(lines, "line", "line_id", "orphan_line", ~F.col("has_order"), "opened_at"),
+        QU.route(lines, "line", "line_id", "line_total_mismatch",
+                 F.col("has_order") & C.exceeds_tolerance("line_total_ngn_source_raw", "line_total_recalculated_ngn"),
+                 "opened_at"),
     ])
 
 
@@ -193,13 +196,13 @@ def inventory_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P31 / P32
 def invoices_and_payments(w: Workshop, fact: DataFrame | None = None) -> DataFrame:
-    fact = fact if fact is not None else w.order_fact()
-    src = w.lines.groupBy("wo_number").agg(F.sum("line_total_ngn_source_raw").cast("decimal(18,2)")
-                                           .alias("invoice_total_source"))
+    # the fact carries each order's summed source line totals: no second pass over the lines
+    fact = fact if fact is not None else w.order_fact(extras=True)
     inv = (fact.where((F.col("status") == "completed") & F.col("closed_at").isNotNull())
            .select("wo_number", F.col("closed_at").alias("invoice_ts"),
-                   (F.col("revenue_ngn") + F.col("vat_ngn")).cast("decimal(18,2)").alias("invoice_total_recalculated"))
-           .join(src, "wo_number", "inner").where(F.col("invoice_total_source") > 0))
+                   (F.col("revenue_ngn") + F.col("vat_ngn")).cast("decimal(18,2)").alias("invoice_total_recalculated"),
+                   F.col("source_total_ngn").alias("invoice_total_source"))
+           .where(F.col("invoice_total_source") > 0))
     k = F.regexp_extract("wo_number", r"(\d+)$", 1).cast("bigint")
     inv = inv.withColumn("_k", k)
     pays = EV.derive_payments(inv, "wo_number", "_k", "invoice_total_source", "invoice_ts")

@@ -127,35 +127,30 @@ def line_total_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("mismatch_rate", None)
-def mismatch_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order-level part-mismatch rate vs the 10% bound, plus the per-line rate."""
-    w = Workshop(spark, sf_dir)
-    wo = gold.with_vat_rate(w.work_orders_table, w.vat_rates)
-    priced = gold.price_lines(w.lines, wo, w.parts, w.technicians)
-    fact = w.order_fact()
-    o = Q.rate_bound(fact, "has_part_line_total_mismatch", vocab.MISMATCH_RATE_BOUND)
-    part = F.col("line_type") == "part"
-    lr = priced.agg(
-        F.count_if(part & C.exceeds_tolerance("line_total_ngn_source_raw", "line_total_recalculated_ngn"))
-        .alias("part_lines_mismatched"),
-        F.count_if(part).alias("part_lines"))
-    lr = lr.withColumn("part_line_rate", F.round(C.safe_ratio("part_lines_mismatched", "part_lines"), 6))
-    # both sides are single-row global aggregates: stack them and fold to one row
-    both = o.unionByName(lr, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in o.columns + lr.columns])
+def mismatch_rate(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> DataFrame:
+    """Order-level part-mismatch rate vs the 10% bound, plus the per-line
+    rate - both from one pass over the fact (which carries per-order part-line
+    counts), so the lines are priced once."""
+    w = w or Workshop(spark, sf_dir)
+    fact = w.order_fact_table if "order_fact_table" in w.__dict__ else w.order_fact(extras=True)
+    agg = fact.agg(F.count_if("has_part_line_total_mismatch").alias("mismatched"), F.count(F.lit(1)).alias("total"),
+                   F.sum("part_lines_mismatched").cast("bigint").alias("part_lines_mismatched"),
+                   F.sum("part_lines").cast("bigint").alias("part_lines"))
+    rate = C.safe_ratio("mismatched", "total")
+    return agg.select("mismatched", "total", F.round(rate, 6).alias("mismatch_rate"),
+                      (F.coalesce(rate, F.lit(0.0)) > vocab.MISMATCH_RATE_BOUND).alias("breaches_bound"),
+                      "part_lines_mismatched", "part_lines",
+                      F.round(C.safe_ratio("part_lines_mismatched", "part_lines"), 6).alias("part_line_rate"))
 
 
 # ------------------------------------------------------------------ Q1-Q4/Q6
-def _silver_and_gold(spark, sf_dir):
-    w = Workshop(spark, sf_dir)
-    fact = w.order_fact()
-    return w, fact, w.service_profitability(fact)
-
-
 @register("dq_not_null", None)
-def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q1/Q6: not-null checks, one aggregation pass per table."""
-    w, fact, mart = _silver_and_gold(spark, sf_dir)
+def dq_not_null(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> DataFrame:
+    """Q1/Q6: not-null checks, one aggregation pass per table (the fact is
+    written once because both its own check and the mart read it)."""
+    w = w or Workshop(spark, sf_dir)
+    fact = w.order_fact_table
+    mart = w.service_profitability(fact)
     return Q.union_reports([
         Q.not_null(w.work_orders_table, "silver.work_orders", ["wo_number", "customer_id", "opened_at", "status"]),
         Q.not_null(w.lines, "silver.lines", ["line_id", "wo_number"]),
@@ -167,22 +162,23 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dq_unique", None)
-def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_unique(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> DataFrame:
     """Q2: unique keys (one shuffle per key, partial aggregation)."""
-    w = Workshop(spark, sf_dir)
+    w = w or Workshop(spark, sf_dir)
     return Q.union_reports([
         Q.unique(w.work_orders_table, "silver.work_orders", "wo_number"),
         Q.unique(w.lines, "silver.lines", "line_id"),
         Q.unique(w.technicians, "silver.technicians", "technician_id"),
         Q.unique(w.parts, "silver.parts", "part_number"),
-        Q.unique(w.order_fact(), "gold.order_fact", "wo_number"),
+        Q.unique(w.order_fact_table if "order_fact_table" in w.__dict__ else w.order_fact(),
+                 "gold.order_fact", "wo_number"),
     ])
 
 
 @register("dq_accepted", None)
-def dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_accepted(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> DataFrame:
     """Q3: accepted values (NULL passes)."""
-    w = Workshop(spark, sf_dir)
+    w = w or Workshop(spark, sf_dir)
     return Q.union_reports([
         Q.accepted_values(w.work_orders, "silver.work_orders", "status", vocab.STATUS_VALUES),
         Q.accepted_values(w.lines, "silver.lines", "line_type", vocab.ACCEPTED_LINE_TYPES),
@@ -190,9 +186,9 @@ def dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dq_expression", None)
-def dq_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_expression(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> DataFrame:
     """Q4: row expressions (false fails, NULL passes)."""
-    w = Workshop(spark, sf_dir)
+    w = w or Workshop(spark, sf_dir)
     wo = w.work_orders_table
     return Q.union_reports([
         Q.expressions_hold(wo, "silver.work_orders", {
@@ -203,7 +199,8 @@ def dq_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
         Q.expressions_hold(w.lines, "silver.lines", {
             "discount_pct_is_a_fraction":
                 F.col("discount_pct").isNull() | F.col("discount_pct").between(0, 1)}),
-        Q.expressions_hold(w.order_fact(wo), "gold.order_fact", {
+        Q.expressions_hold(w.order_fact_table if "order_fact_table" in w.__dict__ else w.order_fact(wo),
+                           "gold.order_fact", {
             "revenue_not_negative": F.col("revenue_ngn") >= 0}),
     ])
 
@@ -361,12 +358,14 @@ def category_hierarchy_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared check in one report (one row per check), including the
     part-line mismatch-rate bound."""
-    rate = mismatch_rate(spark, sf_dir).select(
+    w = Workshop(spark, sf_dir)
+    w.order_fact_table  # written once, shared by every check below
+    rate = mismatch_rate(spark, sf_dir, w).select(
         F.lit("rate_bound").alias("check_name"), F.lit("gold.order_fact").alias("table_name"),
         F.lit("has_part_line_total_mismatch").alias("column_name"),
         F.col("breaches_bound").cast("bigint").alias("failing_rows"), (~F.col("breaches_bound")).alias("passed"))
-    return Q.union_reports([dq_not_null(spark, sf_dir), dq_unique(spark, sf_dir), dq_accepted(spark, sf_dir),
-                            dq_expression(spark, sf_dir), rate])
+    return Q.union_reports([dq_not_null(spark, sf_dir, w), dq_unique(spark, sf_dir, w),
+                            dq_accepted(spark, sf_dir, w), dq_expression(spark, sf_dir, w), rate])
 
 
 def _sub(sql: str) -> str:

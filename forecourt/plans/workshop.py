@@ -73,9 +73,15 @@ class Workshop:
         return materialise(self.work_orders, "silver_work_orders")
 
     # gold
-    def order_fact(self, work_orders: DataFrame | None = None) -> DataFrame:
+    def order_fact(self, work_orders: DataFrame | None = None, extras: bool = False) -> DataFrame:
         return gold.order_fact(work_orders if work_orders is not None else self.work_orders_table,
-                               self.lines, self.parts, self.technicians, self.vat_rates)
+                               self.lines, self.parts, self.technicians, self.vat_rates, extras=extras)
+
+    @cached_property
+    def order_fact_table(self) -> DataFrame:
+        """The fact (with reconciliation extras) written once, for jobs that
+        read it several times."""
+        return materialise(self.order_fact(extras=True), "fct_work_orders")
 
     def service_profitability(self, fact: DataFrame | None = None) -> DataFrame:
         return gold.service_profitability(fact if fact is not None else self.order_fact(),
