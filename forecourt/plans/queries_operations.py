@@ -80,16 +80,18 @@ def quarantine_records(w: Workshop) -> DataFrame:
                              keep_orphans=True,
                              carry=["has_negative_quantity_anomaly", "has_negative_price_anomaly"])
     return QU.unify([
-        QU.route(wo, "work_order", "wo_number", "invalid_vin", ~F.coalesce("is_vin_valid", F.lit(False)), "opened_at"),
-        QU.route(wo_k.drop("_known"), "work_order", "wo_number", "unknown_service_code",
-                 F.col("service_type_code").isNotNull() & F.col("_known").isNull(), "opened_at"),
-        QU.route(wo, "work_order", "wo_number", "odometer_out_of_range", F.col("has_odometer_anomaly"), "opened_at"),
-        QU.route(lines, "line", "line_id", "negative_quantity", F.col("has_negative_quantity_anomaly"), "opened_at"),
-        QU.route(lines, "line", "line_id", "negative_price", F.col("has_negative_price_anomaly"), "opened_at"),
-        QU.route(lines, "line", "line_id", "orphan_line", ~F.col("has_order"), "opened_at"),
-        QU.route(lines, "line", "line_id", "line_total_mismatch",
-                 F.col("has_order") & C.exceeds_tolerance("line_total_ngn_source_raw", "line_total_recalculated_ngn"),
-                 "opened_at"),
+        QU.route_many(wo_k, "work_order", "wo_number", {
+            "invalid_vin": ~F.coalesce("is_vin_valid", F.lit(False)),
+            "unknown_service_code": F.col("service_type_code").isNotNull() & F.col("_known").isNull(),
+            "odometer_out_of_range": F.col("has_odometer_anomaly"),
+        }, "opened_at"),
+        QU.route_many(lines, "line", "line_id", {
+            "negative_quantity": F.col("has_negative_quantity_anomaly"),
+            "negative_price": F.col("has_negative_price_anomaly"),
+            "orphan_line": ~F.col("has_order"),
+            "line_total_mismatch": F.col("has_order") & C.exceeds_tolerance(
+                "line_total_ngn_source_raw", "line_total_recalculated_ngn"),
+        }, "opened_at"),
     ])
 
 
@@ -197,7 +199,7 @@ def inventory_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- P31 / P32
 def invoices_and_payments(w: Workshop, fact: DataFrame | None = None) -> DataFrame:
     # the fact carries each order's summed source line totals: no second pass over the lines
-    fact = fact if fact is not None else w.order_fact(extras=True)
+    fact = fact if fact is not None else w.order_fact_table  # read twice below: written once
     inv = (fact.where((F.col("status") == "completed") & F.col("closed_at").isNotNull())
            .select("wo_number", F.col("closed_at").alias("invoice_ts"),
                    (F.col("revenue_ngn") + F.col("vat_ngn")).cast("decimal(18,2)").alias("invoice_total_recalculated"),

@@ -132,7 +132,7 @@ def mismatch_rate(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -
     rate - both from one pass over the fact (which carries per-order part-line
     counts), so the lines are priced once."""
     w = w or Workshop(spark, sf_dir)
-    fact = w.order_fact_table if "order_fact_table" in w.__dict__ else w.order_fact(extras=True)
+    fact = w.shared_fact(extras=True)
     agg = fact.agg(F.count_if("has_part_line_total_mismatch").alias("mismatched"), F.count(F.lit(1)).alias("total"),
                    F.sum("part_lines_mismatched").cast("bigint").alias("part_lines_mismatched"),
                    F.sum("part_lines").cast("bigint").alias("part_lines"))
@@ -146,10 +146,11 @@ def mismatch_rate(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -
 # ------------------------------------------------------------------ Q1-Q4/Q6
 @register("dq_not_null", None)
 def dq_not_null(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> DataFrame:
-    """Q1/Q6: not-null checks, one aggregation pass per table (the fact is
-    written once because both its own check and the mart read it)."""
+    """Q1/Q6: not-null checks, one aggregation pass per table.  The fact is
+    lazy here (each reader needs few of its columns, so pruning beats writing
+    it); inside the full report the written fact is shared."""
     w = w or Workshop(spark, sf_dir)
-    fact = w.order_fact_table
+    fact = w.shared_fact(extras=False)
     mart = w.service_profitability(fact)
     return Q.union_reports([
         Q.not_null(w.work_orders_table, "silver.work_orders", ["wo_number", "customer_id", "opened_at", "status"]),
@@ -170,8 +171,7 @@ def dq_unique(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -> Da
         Q.unique(w.lines, "silver.lines", "line_id"),
         Q.unique(w.technicians, "silver.technicians", "technician_id"),
         Q.unique(w.parts, "silver.parts", "part_number"),
-        Q.unique(w.order_fact_table if "order_fact_table" in w.__dict__ else w.order_fact(),
-                 "gold.order_fact", "wo_number"),
+        Q.unique(w.shared_fact(extras=False), "gold.order_fact", "wo_number"),
     ])
 
 
@@ -199,8 +199,7 @@ def dq_expression(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -
         Q.expressions_hold(w.lines, "silver.lines", {
             "discount_pct_is_a_fraction":
                 F.col("discount_pct").isNull() | F.col("discount_pct").between(0, 1)}),
-        Q.expressions_hold(w.order_fact_table if "order_fact_table" in w.__dict__ else w.order_fact(wo),
-                           "gold.order_fact", {
+        Q.expressions_hold(w.shared_fact(extras=False), "gold.order_fact", {
             "revenue_not_negative": F.col("revenue_ngn") >= 0}),
     ])
 

@@ -80,9 +80,17 @@ class Workshop:
     @cached_property
     def order_fact_table(self) -> DataFrame:
         """The fact (with reconciliation extras) written once, for jobs that
-        read it several times."""
+        read most of its columns several times.  Jobs needing few columns
+        use the lazy ``order_fact()`` instead: column pruning then skips the
+        pricing work they do not need, which beats writing the table."""
         return materialise(self.order_fact(extras=True), "fct_work_orders")
 
+    def shared_fact(self, extras: bool = True) -> DataFrame:
+        """The written fact if this job already wrote it, else the lazy plan."""
+        if "order_fact_table" in self.__dict__:
+            return self.order_fact_table
+        return self.order_fact(extras=extras)
+
     def service_profitability(self, fact: DataFrame | None = None) -> DataFrame:
         return gold.service_profitability(fact if fact is not None else self.order_fact(),
                                           self.service_types)
