@@ -63,7 +63,8 @@ def union_reports(parts: list[DataFrame]) -> DataFrame:
 
 
 def rate_bound(fact: DataFrame, flag: str, bound: float) -> DataFrame:
-    """Q5: global flagged share vs an upper bound (one row, always returned)."""
+    """Global aggregate + ratio vs an upper bound (one row, always
+    returned; the HAVING-style test is the ``breaches_bound`` column)."""
     agg = fact.agg(F.count_if(F.col(flag)).alias("mismatched"), F.count(F.lit(1)).alias("total"))
     rate = F.when(F.col("total") != 0, F.col("mismatched") / F.col("total"))
     return agg.select("mismatched", "total", F.round(rate, 6).alias("mismatch_rate"),

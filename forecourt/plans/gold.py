@@ -82,11 +82,13 @@ def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, techn
 
 
 def _sum_if(cond, value):
+    """A2: conditional sum."""
     return F.sum(F.when(cond, value).otherwise(F.lit(0)))
 
 
 def order_aggregates(priced: DataFrame) -> DataFrame:
-    """A1-A5 + Q8: per-order sums and reconciliation flags."""
+    """A1-A5 + A8 + Q8: per-order sums (A3), conditional sums (A2), count(*) (A4),
+    filtered counts (A8), bool_or flags (A5) and reconciliation flags."""
     lt = F.col("line_type")
     sub, cost = F.col("line_subtotal_ngn"), F.col("line_cost_ngn")
     mism = C.exceeds_tolerance("line_total_ngn_source_raw", "line_total_recalculated_ngn")
@@ -151,8 +153,10 @@ def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
 
 
 def service_profitability(fact: DataFrame, service_types: DataFrame) -> DataFrame:
-    """Month x service type; margin NULL on zero revenue; ordered by month
-    (NULL last) then gross profit descending."""
+    """Month x service type (A7 group by expression, A6 avg ignoring NULL,
+    A10 second aggregation level over the fact, J6 broadcast seed lookup);
+    margin NULL on zero revenue (C26); ordered by month (NULL last) then gross
+    profit descending (O1)."""
     m = fact.groupBy(C.month_start("opened_at").alias("month"), "service_type_code").agg(
         F.count(F.lit(1)).alias("job_count"),
         F.sum("revenue_ngn").cast(MONEY_SUM).alias("revenue_ngn"),

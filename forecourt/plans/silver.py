@@ -1,5 +1,12 @@
 """Bronze (all text) -> silver (typed, deduplicated, flagged).
 
+Projection / filter vocabulary used here: computed projection with rename
+(F1), ``select *`` plus new columns (F2), qualified star + one column in the
+joins (F3), final column pruning and order (F4), ``rn = 1`` filter (F5),
+BETWEEN / NOT BETWEEN guards (F6), IN lists (F7), NULL-aware three-valued
+predicates (F8) and searched / simple CASE as ``when`` chains or literal map
+lookups (F9).
+
 Bad values are flagged and nulled, never dropped.  Each function is a lazy
 ``DataFrame -> DataFrame``; only T2 shuffles (one exchange on the normalised
 order number for the keep-latest window).
@@ -140,8 +147,8 @@ def title_case(col):
 
 
 def clean_customers(raw: DataFrame, migration: DataFrame) -> DataFrame:
-    """Legacy ids mapped, names title-cased, type vocabulary, E.164 phone,
-    validated e-mail (invalid -> NULL + flag), city aliases."""
+    """Legacy ids mapped (P1), names title-cased, type vocabulary and city
+    aliases (P2), E.164 phone (P3), validated e-mail (invalid -> NULL + flag, P4)."""
     from forecourt.operators.joins import dim_join
 
     ids = raw.withColumn("_id", C.upper_trim("customer_id"))
@@ -164,8 +171,9 @@ def clean_customers(raw: DataFrame, migration: DataFrame) -> DataFrame:
 
 
 def clean_vehicles(raw: DataFrame, make_aliases: DataFrame, max_year: int) -> DataFrame:
-    """VIN strip/validate/check digit, plate, make via alias seed (raw
-    value kept when unmapped), model title case, year range, vocabularies."""
+    """VIN strip/validate/check digit (P16), plate, make via the alias
+    seed with the raw value kept when unmapped (P15), model title case, year
+    range, engine / transmission vocabularies (P14)."""
     from forecourt.functions import vin as V
 
     aliases = F.broadcast(make_aliases.select(F.col("raw_make").alias("_raw_make"), "canonical_make"))

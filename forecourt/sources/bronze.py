@@ -78,7 +78,9 @@ class LandReport:
 
 def land_entity(spark: SparkSession, csv_path: str, out_root: str, source: str, entity: str,
                 ingested_at: str, ingest_date: str) -> int:
-    """Land one extract into ``{out_root}/{source}/{entity}/_ingest_date=.../``.
+    """Land one extract into ``{out_root}/{source}/{entity}/_ingest_date=.../``
+    (S7 layout; the source folder is the namespace, S8; the write replaces the
+    day's data, S6; a daily supplier price-list drop is the same call, P48).
 
     Dynamic partition overwrite makes the job idempotent per run date.  The
     row count comes from an ``Observation`` on the write itself (S9), so the

@@ -1,4 +1,5 @@
-"""Scans of the driver's Parquet tables.
+"""Scans of the driver's Parquet tables (S11); upstream results are passed
+between jobs as DataFrame arguments (S12).
 
 Readers return lazy DataFrames; Catalyst prunes columns and pushes filters
 into the Parquet scan, so callers should select only what they use.
