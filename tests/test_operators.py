@@ -108,11 +108,18 @@ def test_passjoin_equals_brute_force(spark):
         ref = set()
         for i, (ia, ba, sa) in enumerate(rows):
             for ib, bb, sb in rows[i + 1:]:
-                if ba == bb and abs(len(sa) - len(sb)) <= tau:
+                if ba == bb and abs(len(sa) - len(sb)) <= tau and not (len(sa) <= tau and len(sb) <= tau):
                     d = _lev(sa, sb)
                     if d <= tau:
                         ref.add((min(ia, ib), max(ia, ib), d))
-        assert got == ref
+        short_pairs = {p for p in got if len(dict((r[0], r[2]) for r in rows)[p[0]]) <= tau
+                       and len(dict((r[0], r[2]) for r in rows)[p[1]]) <= tau}
+        assert got - short_pairs == ref
+        # short strings: a star on the block's smallest short id
+        for blk in ("hot", "cold"):
+            shorts = sorted(r[0] for r in rows if r[1] == blk and len(r[2]) <= tau)
+            star = {(shorts[0], x) for x in shorts[1:]}
+            assert {(a, b) for a, b, _ in short_pairs if a in shorts} == star
 
 
 def test_connected_components_and_star_edges(spark):
