@@ -6,8 +6,10 @@ Plan shape of ``order_fact`` (one row per work order):
   (size-checked) rate table - no shuffle;
 * lines are inner-joined to a slim projection of the orders on the
   normalised order number (sort-merge join, AQE splits a hot order);
-* parts / technicians are conditional left lookups (predicate stays in ON),
-  broadcast only behind a row-count check;
+* parts / technicians are conditional left lookups (predicate stays in ON);
+  Spark broadcasts them under its size threshold, and the parts lookup runs
+  before the order join so a shuffled parts join never forces an extra
+  shuffle of the lines on the order number;
 * lines are priced in DECIMAL end to end (one rounding per money value),
   partially aggregated per order, and left-joined back onto all orders so
   line-less orders stay with zero totals.
@@ -52,11 +54,15 @@ def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, techn
     one pass over the lines can feed both pricing and the orphan check);
     ``carry`` passes further line columns through.
     """
+    # Part costs first: that lookup needs only line columns, so if the parts
+    # table is too big to broadcast its shuffle (on part number) comes before
+    # the shuffle on the order number, which the per-order aggregate and the
+    # final join then reuse.
+    p = parts.select(F.col("part_number").alias("_p_part"), F.col("unit_cost_ngn").alias("_unit_cost"))
+    j = dim_join(lines, p, (lines["part_number"] == p["_p_part"]) & (lines["line_type"] == "part"))
     slim = orders_vat.select("wo_number", "effective_vat_rate", "opened_at",
                              F.col("technician_id").alias("_wo_tech"), F.lit(True).alias("_has_order"))
-    j = lines.join(slim, "wo_number", "left" if keep_orphans else "inner")
-    p = parts.select(F.col("part_number").alias("_p_part"), F.col("unit_cost_ngn").alias("_unit_cost"))
-    j = dim_join(j, p, (j["part_number"] == p["_p_part"]) & (j["line_type"] == "part"))
+    j = j.join(slim, "wo_number", "left" if keep_orphans else "inner")
     t = technicians.select(F.col("technician_id").alias("_t_id"), F.col("hourly_rate_ngn").alias("_hourly"))
     j = dim_join(j, t, (j["_wo_tech"] == t["_t_id"]) & (j["line_type"] == "labour"))
 
