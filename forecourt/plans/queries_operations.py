@@ -5,7 +5,6 @@ costing (P26), stock ledger and health (P24-P28, P61), invoices and payments
 
 from __future__ import annotations
 
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from forecourt.operators.joins import asof_join, dim_join
 from forecourt.operators.scd import scd2
 from forecourt.plans import duck_sql as S
 from forecourt.plans import gold
-from forecourt.plans.registry import ORACLE, register
+from forecourt.plans.registry import register
 from forecourt.plans.workshop import Workshop
 from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
@@ -147,8 +146,7 @@ def _mtype_sql(x):
     return S.map_vocab(x, INV.MOVEMENT_TYPES, normalise=S.lower_trim)
 
 
-_sign_sql = "CASE mtype " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in
-                                     __import__("forecourt.functions.vocab", fromlist=["x"]).MOVEMENT_SIGN.items()) + " END"
+_sign_sql = "CASE mtype " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in vocab.MOVEMENT_SIGN.items()) + " END"
 S.CTES["signed"] = f"""
 SELECT movement_id, {S.part_key('part_number')} AS part_number, mtype AS movement_type,
        abs({S.to_int('movement_qty')}) * {_sign_sql} AS signed_qty,
