@@ -9,31 +9,20 @@ from pyspark.sql import functions as F
 from forecourt.operators.events import arrival_sql
 from forecourt.plans import duck_sql as S
 from forecourt.plans.registry import register
+from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
 from forecourt.sources.tables import Tables
 from forecourt.streaming import telematics as TM
 
 # ---------------------------------------------------------------- FIXED VALUES
-# Fault code -> description (standard OBD-II powertrain codes).
-OBD_FAULT_CODES = [
-    ("P0128", "Coolant thermostat below regulating temperature"),
-    ("P0171", "System too lean, bank 1"),
-    ("P0300", "Random or multiple cylinder misfire detected"),
-    ("P0420", "Catalyst system efficiency below threshold, bank 1"),
-    ("P0442", "Evaporative emission system leak detected (small leak)"),
-]
 SLA_SEC = 15 * 60  # telematics freshness SLA
 # ------------------------------------------------------------ END FIXED VALUES
 
 
-def fault_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(OBD_FAULT_CODES, "fault_code string, fault_description string")
-
-
 def telematics_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = X.telematics_raw(Tables(spark, sf_dir).events)
     ev = TM.clean_events(raw)
-    return ev.join(F.broadcast(fault_codes(spark)), "fault_code", "left")
+    return ev.join(F.broadcast(seeds.fault_codes(spark)), "fault_code", "left")
 
 
 S.CTES["tm_raw"] = f"""
@@ -49,7 +38,7 @@ SELECT 'EV-' || printf('%08d', event_id) AS event_id,
   strftime({arrival_sql()}, '%Y-%m-%d %H:%M:%S') AS _ingested_at
 FROM events"""
 
-_fc_rows = ", ".join(f"({S.q(c)}, {S.q(d)})" for c, d in OBD_FAULT_CODES)
+_fc_rows = ", ".join(f"({S.q(c)}, {S.q(d)})" for c, d in seeds.fault_code_rows())
 S.CTES["tm"] = f"""
 SELECT trim(event_id) AS event_id,
   CASE WHEN length(v) = 17 THEN v END AS vin, length(v) = 17 AS is_vin_valid,

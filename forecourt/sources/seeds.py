@@ -54,6 +54,15 @@ HYUNDAI,Hyundai
 KIA,Kia
 FORD,Ford
 PEUGEOT,Peugeot"""
+
+# fault_code, description (standard OBD-II powertrain codes; the catalog
+# names an obd_fault_codes seed but ships none)
+OBD_FAULT_CODES = """\
+P0128,Coolant thermostat below regulating temperature
+P0171,System too lean; bank 1
+P0300,Random or multiple cylinder misfire detected
+P0420,Catalyst system efficiency below threshold; bank 1
+P0442,Evaporative emission system leak detected (small leak)"""
 # ------------------------------------------------------------ END FIXED VALUES
 
 SERVICE_TYPE_SCHEMA = T.StructType([
@@ -101,3 +110,11 @@ def make_aliases(spark: SparkSession) -> DataFrame:
 
 def service_codes() -> list[str]:
     return [r[0] for r in _rows(SERVICE_TYPE_CODES)]
+
+
+def fault_code_rows() -> list[tuple[str, str]]:
+    return [tuple(r) for r in _rows(OBD_FAULT_CODES)]
+
+
+def fault_codes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(fault_code_rows(), "fault_code string, fault_description string")

@@ -37,10 +37,12 @@ def test_stream_end_to_end(spark, tmpdir_path):
                            _ev(6, "BAD-VIN", t0 + dt.timedelta(days=5), 10), _ev(3, v2, t0, 50)])
     # file 3: a tolerated late reading (1 day behind) that is *not* a regression in event order,
     # and a reading older than the 3-day window (late)
-    _write(src, "c.json", [_ev(7, v1, t0 + dt.timedelta(days=4), 1300), _ev(8, v2, t0 - dt.timedelta(days=3), 40)])
+    _write(src, "c.json", [_ev(7, v1, t0 + dt.timedelta(days=4), 1300), _ev(8, v2, t0 - dt.timedelta(days=3), 40),
+                           _ev(9, "1HGCM82633A009999", t0 + dt.timedelta(days=5), 10)])  # valid but unknown VIN
     out = os.path.join(tmpdir_path, "out")
     ck = os.path.join(tmpdir_path, "ck")
-    q = TM.start(spark, src, out, ck, max_files_per_trigger=1)
+    vehicles = spark.createDataFrame([(v1,), (v2,)], "vin string")
+    q = TM.start(spark, src, out, ck, max_files_per_trigger=1, known_vins=vehicles)
     q.awaitTermination()
     assert q.exception() is None
 
@@ -52,11 +54,13 @@ def test_stream_end_to_end(spark, tmpdir_path):
     assert ids("quarantine_odometer_regression") == ["E5"]
     assert ids("quarantine_invalid_vin") == ["E6"]
     assert ids("quarantine_late") == ["E8"]
+    assert ids("quarantine_unmatched_vin") == ["E9"]
     loaded = spark.read.parquet(os.path.join(out, "events"))
     r = loaded.where("event_id = 'E1'").collect()[0]
     assert r.fault_code == "P0300" and r.is_out_of_country is False
+    assert r.fault_description.startswith("Random or multiple cylinder misfire")
 
     # replaying a batch reproduces the same outputs (idempotent per batch id)
     batch = TM.clean_events(spark.read.schema(TM.RAW_SCHEMA).json(os.path.join(src, "b.json")))
-    TM.process_batch(batch.dropDuplicates(["event_id"]), 1, out)
+    TM.process_batch(batch.dropDuplicates(["event_id"]), 1, out, vehicles)
     assert ids("quarantine_odometer_regression") == ["E5"]
