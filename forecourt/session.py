@@ -95,3 +95,29 @@ def materialise(df, name: str):
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
+                 target_partition_bytes: int = 200 << 20) -> dict:
+    """Sizing for a large run (e.g. 100 TB on 1000 executors).
+
+    Shuffle partitions are sized so one reduce task handles about
+    ``target_partition_bytes`` of the expected shuffle volume (inputs are
+    mostly pruned to a few columns before a shuffle, hence
+    ``shuffle_fraction``) and never fewer than two per core; AQE then
+    coalesces small partitions and splits skewed ones at run time.
+    """
+    import math
+
+    parts = max(2 * total_cores, math.ceil(input_bytes * shuffle_fraction / target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    }

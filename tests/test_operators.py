@@ -160,3 +160,11 @@ def test_raise_on_failures(spark):
     with pytest.raises(Q.DataQualityError):
         Q.raise_on_failures(report)
     Q.raise_on_failures(report, allow={"t.k"})
+
+
+def test_cluster_conf_sizing():
+    from forecourt.session import cluster_conf
+
+    c = cluster_conf(100 << 40, 4000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 157287  # 30 TiB shuffled / 200 MiB, rounded up
+    assert int(cluster_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 16  # floor: 2 per core
