@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,11 +64,13 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """S3: existence check through the Hadoop file system (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
+    """S3: existence check that works for any file system Spark can read:
+    building a file-source DataFrame lists the path and fails if it is missing."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 @dataclass

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -23,10 +24,9 @@ SPREAD_MIN_BYTES = 2 << 20
 
 
 def _size_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    """Total file size under ``path`` (file metadata only; contents not read)."""
+    lengths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return int(lengths.agg(F.sum("length")).collect()[0][0] or 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
