@@ -23,10 +23,16 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 SPREAD_MIN_BYTES = 2 << 20
 
 
+_SIZES: dict[str, int] = {}
+
+
 def _size_bytes(spark: SparkSession, path: str) -> int:
-    """Total file size under ``path`` (file metadata only; contents not read)."""
-    lengths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return int(lengths.agg(F.sum("length")).collect()[0][0] or 0)
+    """Total file size under ``path`` (file metadata only; contents not read).
+    Remembered per path: it only steers parallelism, never results."""
+    if path not in _SIZES:
+        lengths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        _SIZES[path] = int(lengths.agg(F.sum("length")).collect()[0][0] or 0)
+    return _SIZES[path]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
