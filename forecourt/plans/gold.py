@@ -122,11 +122,16 @@ EXTRA_COLUMNS = ["source_total_ngn", "part_lines", "part_lines_mismatched"]
 
 
 def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
-               technicians: DataFrame, vat_rates: DataFrame, extras: bool = False) -> DataFrame:
+               technicians: DataFrame, vat_rates: DataFrame, extras: bool = False,
+               include_deleted: bool = True) -> DataFrame:
     """One row per work order with revenue, VAT, cost, profit and flags.
 
     ``extras`` adds the per-order source total and part-line counts so
-    reconciliation reports need no second pass over the lines."""
+    reconciliation reports need no second pass over the lines.
+    ``include_deleted=False`` leaves soft-deleted orders (and so their lines)
+    out; the default keeps them, flagged, as the source model does."""
+    if not include_deleted:
+        work_orders = work_orders.where(~F.col("is_deleted"))
     wo = with_vat_rate(work_orders, vat_rates)
     agg = order_aggregates(price_lines(lines, wo, parts, technicians))
     f = wo.join(agg, "wo_number", "left")

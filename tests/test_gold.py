@@ -102,3 +102,30 @@ def test_mart_orders_nulls_last(spark):
     assert [r["service_type_code"] for r in rows] == ["BRK-PAD", "SVC-MIN", "SVC-MAJ"]
     assert rows[-1]["month"] is None and rows[-1]["margin_pct"] is None
     assert rows[0]["service_type_description"] == "Brake pad replacement"
+
+
+def test_include_deleted_switch(spark):
+    raw = spark.createDataFrame([
+        wo_row("WO-000010", "2021-01-05 08:00:00", op="D", cdc="2021-01-05 09:00:00"),
+        wo_row("WO-000011", "2021-01-05 08:00:00"),
+    ], ",".join(f"{c} string" for c in WO_COLS))
+    lines = spark.createDataFrame([("WO-000010", "1", "fee", "", "x", "1", "10.00", "", "", "10.75")],
+                                  ",".join(f"{c} string" for c in LINE_COLS))
+    empty_p = spark.createDataFrame([], "part_number string, part_description string, category string, "
+                                    "subcategory string, unit_cost_ngn string, unit_price_ngn string, "
+                                    "supplier_id string, qty_on_hand string, reorder_point string, currency string")
+    empty_t = spark.createDataFrame([], "technician_id string, technician_name string, skill_level string, "
+                                    "specialisation string, hire_date string, hourly_rate_ngn string, is_active string")
+    args = (silver.clean_work_orders(raw), silver.clean_lines(lines), silver.clean_parts(empty_p),
+            silver.clean_technicians(empty_t), seeds.vat_rates(spark))
+    assert {r.wo_number for r in gold.order_fact(*args).collect()} == {"WO-000010", "WO-000011"}
+    assert {r.wo_number for r in gold.order_fact(*args, include_deleted=False).collect()} == {"WO-000011"}
+
+
+def test_vat_seed_has_no_overlaps_or_gaps(spark):
+    from forecourt.operators import quality as Q
+
+    from pyspark.sql import functions as F
+
+    rates = seeds.vat_rates(spark).withColumn("k", F.lit(1))
+    assert Q.range_issues(rates, ["k"], "valid_from", "valid_to").count() == 0
