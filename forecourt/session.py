@@ -85,16 +85,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
-def materialise(df, name: str):
+def materialise(df, name: str, bucket_by: str | None = None):
     """Write ``df`` as Parquet under the shared checkpoint folder and return a
     scan of it: cuts lineage and lets several consumers share one computation
-    (a written table survives executor loss, unlike a local checkpoint)."""
+    (a written table survives executor loss, unlike a local checkpoint).
+
+    With ``bucket_by`` the table is bucketed on that key into
+    ``spark.sql.shuffle.partitions`` buckets and registered in a scratch
+    database: joins and aggregates on the key then read it without a shuffle
+    (the other side is shuffled into the same number of partitions).
+    """
     import uuid
 
     spark = df.sparkSession
-    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    tag = f"{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, f"tables/{tag}")
+    if bucket_by is None:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB}")
+    table = f"{SCRATCH_DB}.{tag.replace('-', '_')}"
+    (df.write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
+       .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
+SCRATCH_DB = "forecourt_scratch"
 
 
 def cluster_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
