@@ -104,7 +104,10 @@ def materialise(df, name: str, bucket_by: str | None = None):
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB}")
+    # the scratch database lives in the shared checkpoint folder, not in a
+    # warehouse directory relative to the driver's working directory
+    db_path = scratch_path(spark, "scratch_db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{db_path}'")
     table = f"{SCRATCH_DB}.{tag.replace('-', '_')}"
     (df.write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
        .option("path", path).saveAsTable(table))
