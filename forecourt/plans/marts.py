@@ -68,9 +68,27 @@ def customer_retention(fact: DataFrame, as_of: str) -> DataFrame:
                     (days <= ACTIVE_CUSTOMER_DAYS).alias("is_active"))
 
 
-def vehicle_reliability(fact: DataFrame, vehicles: DataFrame) -> DataFrame:
+def _top_k(counts: DataFrame, grp: list[str], item: str, out: str, k: int = TOP_K_CODES) -> DataFrame:
+    """Comma-joined top-k items per group by count (ties by item), as
+    ``_t_<grp>`` key columns plus ``out``; each group keeps at most k rows."""
+    w = Window.partitionBy(*grp).orderBy(F.col("n").desc(), F.col(item).asc_nulls_last())
+    top = (counts.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
+           .groupBy(*grp).agg(F.array_sort(F.collect_list(F.struct("_rk", item))).alias("_top")))
+    return top.select(*[F.col(c).alias(f"_t_{c}") for c in grp],
+                      F.array_join(F.transform("_top", lambda s: s[item]), ",").alias(out))
+
+
+def _null_safe_left(left: DataFrame, right: DataFrame, grp: list[str]) -> DataFrame:
+    """Left join on ``grp`` where NULL keys match (vehicles with a rejected
+    year form their own NULL group)."""
+    cond = [left[c].eqNullSafe(right[f"_t_{c}"]) for c in grp]
+    return left.join(right, cond, "left").drop(*[f"_t_{c}" for c in grp])
+
+
+def vehicle_reliability(fact: DataFrame, vehicles: DataFrame, faults: DataFrame | None = None) -> DataFrame:
     """Make x model x year - vehicles serviced, jobs per vehicle, repeat
-    repair rate (a service code done twice on one vehicle) and top service codes.
+    repair rate (a service code done twice on one vehicle), top service codes
+    and, from telematics (``faults``: vin, fault_code), top fault codes.
 
     Two-level aggregation: jobs are first reduced per (vin, code), then per
     vin, so the group-by on (make, model, year) sees one row per vehicle.
@@ -83,21 +101,18 @@ def vehicle_reliability(fact: DataFrame, vehicles: DataFrame) -> DataFrame:
     grp = ["make", "model", "year_manufactured"]
     g = pv.groupBy(*grp).agg(F.count(F.lit(1)).alias("vehicles"), F.sum("jobs").alias("jobs"),
                              F.count_if("has_repeat").alias("_repeat"))
-    codes = (per_code.join(v, "vin", "inner").groupBy(*grp, "service_type_code")
-             .agg(F.sum("n").alias("n")))
-    w = Window.partitionBy(*grp).orderBy(F.col("n").desc(), F.col("service_type_code").asc_nulls_last())
-    top = (codes.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= TOP_K_CODES)
-           .groupBy(*grp).agg(F.array_sort(F.collect_list(F.struct("_rk", "service_type_code"))).alias("_top")))
-    top = top.select(*[F.col(c).alias(f"_t_{c}") for c in grp],
-                     F.array_join(F.transform("_top", lambda s: s["service_type_code"]), ",")
-                     .alias("top_service_codes"))
-    # NULL-safe: vehicles with a rejected year form their own (NULL) group
-    cond = [g[c].eqNullSafe(top[f"_t_{c}"]) for c in grp]
-    out = g.join(top, cond, "left")
+    codes = per_code.join(v, "vin", "inner").groupBy(*grp, "service_type_code").agg(F.sum("n").alias("n"))
+    out = _null_safe_left(g, _top_k(codes, grp, "service_type_code", "top_service_codes"), grp)
+    cols = ["top_service_codes"]
+    if faults is not None:
+        per_fault = (faults.where(F.col("vin").isNotNull() & F.col("fault_code").isNotNull())
+                     .groupBy("vin", "fault_code").agg(F.count(F.lit(1)).alias("n")))
+        fc = per_fault.join(v, "vin", "inner").groupBy(*grp, "fault_code").agg(F.sum("n").alias("n"))
+        out = _null_safe_left(out, _top_k(fc, grp, "fault_code", "top_fault_codes"), grp)
+        cols.append("top_fault_codes")
     return out.select(*grp, "vehicles", "jobs",
                       F.round(F.col("jobs") / F.col("vehicles"), 6).alias("avg_repairs_per_vehicle"),
-                      F.round(F.col("_repeat") / F.col("vehicles"), 6).alias("repeat_repair_rate"),
-                      "top_service_codes")
+                      F.round(F.col("_repeat") / F.col("vehicles"), 6).alias("repeat_repair_rate"), *cols)
 
 
 def daily_operations(fact: DataFrame) -> DataFrame:

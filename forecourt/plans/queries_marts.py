@@ -14,6 +14,7 @@ from forecourt.plans.registry import register
 from forecourt.plans.workshop import Workshop
 from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
+from forecourt.streaming import telematics as TM
 
 # ---------------------------------------------------------------- FIXED VALUES
 AS_OF_DATE = "2022-01-01"
@@ -142,7 +143,7 @@ def vehicle_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- P63
-@register("vehicle_reliability", S.with_ctes(["fact", "vehicles"], f"""
+@register("vehicle_reliability", S.with_ctes(["fact", "vehicles", "tm"], f"""
 , pc AS (SELECT vehicle_vin AS vin, service_type_code, count(*) AS n FROM fact WHERE vehicle_vin IS NOT NULL
          GROUP BY 1, 2),
 pv AS (SELECT vin, sum(n) AS jobs, max(n) >= 2 AS has_repeat FROM pc GROUP BY vin),
@@ -154,16 +155,27 @@ codes AS (SELECT v.make, v.model, v.year_manufactured, pc.service_type_code, sum
 rk AS (SELECT *, row_number() OVER (PARTITION BY make, model, year_manufactured
                                     ORDER BY n DESC, service_type_code ASC NULLS LAST) AS r FROM codes),
 top AS (SELECT make, model, year_manufactured, string_agg(service_type_code, ',' ORDER BY r) AS top_service_codes
-        FROM rk WHERE r <= {marts.TOP_K_CODES} GROUP BY 1, 2, 3)
+        FROM rk WHERE r <= {marts.TOP_K_CODES} GROUP BY 1, 2, 3),
+fcodes AS (SELECT v.make, v.model, v.year_manufactured, tm.fault_code, count(*) AS n
+           FROM tm JOIN vehicles v ON v.vin = tm.vin
+           WHERE tm.vin IS NOT NULL AND tm.fault_code IS NOT NULL GROUP BY 1, 2, 3, 4),
+frk AS (SELECT *, row_number() OVER (PARTITION BY make, model, year_manufactured
+                                     ORDER BY n DESC, fault_code ASC NULLS LAST) AS r FROM fcodes),
+ftop AS (SELECT make, model, year_manufactured, string_agg(fault_code, ',' ORDER BY r) AS top_fault_codes
+         FROM frk WHERE r <= {marts.TOP_K_CODES} GROUP BY 1, 2, 3)
 SELECT g.make, g.model, g.year_manufactured, g.vehicles, g.jobs,
        round(g.jobs / g.vehicles, 6) AS avg_repairs_per_vehicle, round(g.rep / g.vehicles, 6) AS repeat_repair_rate,
-       top.top_service_codes
+       top.top_service_codes, ftop.top_fault_codes
 FROM g LEFT JOIN top ON g.make IS NOT DISTINCT FROM top.make AND g.model IS NOT DISTINCT FROM top.model
-                    AND g.year_manufactured IS NOT DISTINCT FROM top.year_manufactured"""))
+                    AND g.year_manufactured IS NOT DISTINCT FROM top.year_manufactured
+       LEFT JOIN ftop ON g.make IS NOT DISTINCT FROM ftop.make AND g.model IS NOT DISTINCT FROM ftop.model
+                    AND g.year_manufactured IS NOT DISTINCT FROM ftop.year_manufactured""", extra_deps={}))
 def vehicle_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Make x model x year reliability with top service codes."""
+    """Make x model x year reliability with top service codes and, from
+    the telematics events, top fault codes."""
     w = Workshop(spark, sf_dir)
-    return marts.vehicle_reliability(w.order_fact(), _vehicles(w))
+    faults = TM.clean_events(X.telematics_raw(w.t.events)).select("vin", "fault_code")
+    return marts.vehicle_reliability(w.order_fact(), _vehicles(w), faults)
 
 
 # ---------------------------------------------------------------------- P65
