@@ -302,3 +302,41 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.datediff(F.lit(AS_OF_DATE).cast("date"), F.to_date("last_order_at"))
     return c.withColumn("registration_date", F.col("registration_date").cast("timestamp_ntz")) \
             .withColumn("is_active", F.coalesce(days <= marts.ACTIVE_CUSTOMER_DAYS, F.lit(False)))
+
+
+# ---------------------------------------------------------------------- P18
+S.CTES["ownership"] = """
+SELECT '1HGCM' || printf('%012d', c_custkey) AS vin, 'CUST-' || printf('%06d', c_custkey) AS owner_id,
+       TIMESTAMP '2010-01-01 09:00:00' + to_days(CAST((c_custkey * 7) % 4000 AS INTEGER)) AS changed_at
+FROM customer
+UNION ALL
+SELECT '1HGCM' || printf('%012d', c_custkey), 'CUST-' || printf('%06d', c_custkey + 1),
+       TIMESTAMP '2018-06-01 12:00:00' + to_days(CAST(c_custkey % 30 AS INTEGER))
+FROM customer WHERE c_custkey % 7 = 0"""
+
+
+@register("owner_at_service", S.with_ctes(["wo", "ownership"], """
+, v AS (SELECT vin, owner_id, changed_at AS valid_from,
+               lead(changed_at) OVER (PARTITION BY vin ORDER BY changed_at, owner_id) AS valid_to FROM ownership),
+f AS (SELECT wo_number, vehicle_vin, opened_at, customer_id FROM wo WHERE vehicle_vin IS NOT NULL)
+SELECT f.wo_number, f.vehicle_vin, f.opened_at, f.customer_id, v.owner_id AS owner_at_service,
+       v.valid_from AS owner_since, f.customer_id = v.owner_id AS owner_matches_order
+FROM f LEFT JOIN v ON v.vin = f.vehicle_vin AND f.opened_at >= v.valid_from
+                   AND (v.valid_to IS NULL OR f.opened_at < v.valid_to)"""))
+def owner_at_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-2 vehicle ownership (valid_from / valid_to / is_current from
+    change events) joined to each work order by service time, so historical
+    jobs stay with the owner of the day."""
+    from forecourt.operators.joins import asof_join
+    from forecourt.operators.scd import scd2
+
+    w = Workshop(spark, sf_dir)
+    ev = X.vehicle_ownership_events(w.t.customer)
+    hist = scd2(ev, "vin", "changed_at", "owner_id", ["owner_id"])  # versions of the owner per vehicle
+    wo = w.work_orders.where(F.col("vehicle_vin").isNotNull()).select(
+        "wo_number", F.col("vehicle_vin").alias("vin"), "opened_at", "customer_id")
+    j = asof_join(wo, hist.select("vin", "valid_from", F.col("owner_id").alias("owner_at_service")),
+                  ["vin"], "opened_at", "valid_from", ["owner_at_service"])
+    return j.select("wo_number", F.col("vin").alias("vehicle_vin"), "opened_at", "customer_id", "owner_at_service",
+                    F.col("valid_from_used").alias("owner_since"),
+                    (F.col("customer_id") == F.col("owner_at_service")).alias("owner_matches_order"))

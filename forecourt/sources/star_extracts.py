@@ -482,3 +482,18 @@ def telematics_raw(events: DataFrame) -> DataFrame:
         lat.alias("latitude"), lon.alias("longitude"),
         F.date_format(arrival_time(e, F.col("ts")), "yyyy-MM-dd HH:mm:ss").alias("_ingested_at"),
     )
+
+
+def vehicle_ownership_events(customer: DataFrame) -> DataFrame:
+    """crm ownership changes: every vehicle is registered to its customer; every
+    seventh vehicle is later sold to the next customer id."""
+    c = F.col("c_custkey")
+    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", c))
+    reg = F.timestamp_add("DAY", ((c * 7) % 4000).cast("int"), F.lit("2010-01-01 09:00:00").cast("timestamp_ntz"))
+    sold = F.timestamp_add("DAY", (c % 30).cast("int"), F.lit("2018-06-01 12:00:00").cast("timestamp_ntz"))
+    first = customer.select(vin.alias("vin"), F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("owner_id"),
+                            reg.alias("changed_at"))
+    resale = customer.where(c % 7 == 0).select(
+        vin.alias("vin"), F.concat(F.lit("CUST-"), F.format_string("%06d", c + 1)).alias("owner_id"),
+        sold.alias("changed_at"))
+    return first.unionByName(resale)
