@@ -119,25 +119,13 @@ def ts_multi_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- C4
-PHONE_PREFIXES = X.PHONE_PREFIXES
-phone_raw_spark = X.phone_text
-
-
-def phone_raw_sql(c):
-    m = S.pick(PHONE_PREFIXES, c)
-    s = f"printf('%07d', ({c} * 7919) % 10000000)"
-    return (f"CASE ({c} // 5) % 4 WHEN 0 THEN '0' || {m} || {s} WHEN 1 THEN '+234' || {m} || {s} "
-            f"WHEN 2 THEN '0' || {m} || ' ' || substring({s}, 1, 3) || ' ' || substring({s}, 4, 4) "
-            f"ELSE '(0' || {m} || ') ' || {s} END")
-
-
 @register("phone_e164", f"""
-WITH p AS (SELECT c_custkey, {phone_raw_sql('c_custkey')} AS phone_raw FROM customer)
+WITH p AS (SELECT c_custkey, {S.phone_text('c_custkey')} AS phone_raw FROM customer)
 SELECT c_custkey, phone_raw, {S.phone_e164('phone_raw')} AS phone_e164 FROM p""")
 def phone_e164(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local, +234, spaced and bracketed numbers -> E.164; others NULL."""
     cust = Tables(spark, sf_dir).customer
-    p = cust.select("c_custkey", phone_raw_spark(F.col("c_custkey")).alias("phone_raw"))
+    p = cust.select("c_custkey", X.phone_text(F.col("c_custkey")).alias("phone_raw"))
     return p.select("c_custkey", "phone_raw", C.phone_e164("phone_raw").alias("phone_e164"))
 
 

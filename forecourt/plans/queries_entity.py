@@ -41,14 +41,6 @@ def _person_sql(k):
             f"upper(substring({last}, 1, 1)) || substring({last}, 2, 5))")
 
 
-def _phone_sql(c):
-    m = S.pick(X.PHONE_PREFIXES, c)
-    s = f"printf('%07d', ({c} * 7919) % 10000000)"
-    return (f"CASE ({c} // 5) % 4 WHEN 0 THEN '0' || {m} || {s} WHEN 1 THEN '+234' || {m} || {s} "
-            f"WHEN 2 THEN '0' || {m} || ' ' || substring({s}, 1, 3) || ' ' || substring({s}, 4, 4) "
-            f"ELSE '(0' || {m} || ') ' || {s} END")
-
-
 _title = ("array_to_string(list_transform(string_split(" + S.collapse_ws("address_city") + ", ' '), "
           "lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ')")
 _city = ("CASE upper(trim(coalesce(address_city, ''))) "
@@ -61,7 +53,7 @@ def contacts_sql(table: str, key: str, nation: str, prefix: str, dup_prefix: str
     return f"""
 contacts AS (
   SELECT '{prefix}' || printf('%06d', {key}) AS id0, {nm} AS name0,
-         {_phone_sql(key)} AS phone_primary,
+         {S.phone_text(key)} AS phone_primary,
          CASE WHEN {key} % 20 < 3 THEN NULL ELSE '{mail}' || CAST({key} AS VARCHAR) || '@example.ng' END AS email,
          {S.pick(X.CITY_FORMS, nation)} AS address_city
   FROM {table}
@@ -73,7 +65,7 @@ contacts AS (
               WHEN ({key} // 12) % 3 = 0 THEN upper({nm})
               WHEN ({key} // 12) % 3 = 1 THEN replace({nm}, ' ', '   ') || ' '
               ELSE substring({nm}, 1, 2) || 'z' || substring({nm}, 4) END,
-         CASE WHEN {key} % 12 = 5 AND ({key} // 12) % 3 < 2 THEN {_phone_sql(key)}
+         CASE WHEN {key} % 12 = 5 AND ({key} // 12) % 3 < 2 THEN {S.phone_text(key)}
               ELSE '0602 000 0000' END,
          NULL,
          {S.pick(X.CITY_FORMS, nation)}

@@ -247,12 +247,7 @@ SELECT
   CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN upper(c_name) || '  '
        ELSE ' ' || lower(replace(c_name, '#', '  # ')) END AS customer_name,
   {S.pick(X.CUSTOMER_TYPE_FORMS, 'c_custkey')} AS customer_type,
-  CASE (c_custkey // 5) % 4
-    WHEN 0 THEN '0' || {S.pick(X.PHONE_PREFIXES, 'c_custkey')} || printf('%07d', (c_custkey * 7919) % 10000000)
-    WHEN 1 THEN '+234' || {S.pick(X.PHONE_PREFIXES, 'c_custkey')} || printf('%07d', (c_custkey * 7919) % 10000000)
-    WHEN 2 THEN '0' || {S.pick(X.PHONE_PREFIXES, 'c_custkey')} || ' ' || substring(printf('%07d', (c_custkey * 7919) % 10000000), 1, 3)
-                || ' ' || substring(printf('%07d', (c_custkey * 7919) % 10000000), 4, 4)
-    ELSE '(0' || {S.pick(X.PHONE_PREFIXES, 'c_custkey')} || ') ' || printf('%07d', (c_custkey * 7919) % 10000000) END
+  {S.phone_text('c_custkey')}
     AS phone_primary,
   CASE WHEN c_custkey % 20 = 0 THEN '' WHEN c_custkey % 20 = 1 THEN 'n/a' WHEN c_custkey % 20 = 2 THEN 'notanemail'
        WHEN c_custkey % 2 = 0 THEN {_cust_email_ok}
