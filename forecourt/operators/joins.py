@@ -59,7 +59,9 @@ def asof_join(facts: DataFrame, quotes: DataFrame, keys: list[str], fact_ts: str
     """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*keys).orderBy(F.col(quote_ts))
+    # value columns break ties between quotes stamped at the same instant, so
+    # the surviving quote is the same on every run
+    w = Window.partitionBy(*keys).orderBy(F.col(quote_ts), *[F.col(c) for c in value_cols])
     iv = (quotes.select(*keys, quote_ts, *value_cols)
           .withColumn("_valid_to", F.lead(quote_ts).over(w))
           .withColumnRenamed(quote_ts, "_valid_from"))
