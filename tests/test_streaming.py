@@ -55,6 +55,8 @@ def test_stream_end_to_end(spark, tmpdir_path):
     assert ids("quarantine_invalid_vin") == ["E6"]
     assert ids("quarantine_late") == ["E8"]
     assert ids("quarantine_unmatched_vin") == ["E9"]
+    # the day-partitioned table holds exactly the loaded events, once each
+    assert ids("events_by_day") == ids("events")
     loaded = spark.read.parquet(os.path.join(out, "events"))
     r = loaded.where("event_id = 'E1'").collect()[0]
     assert r.fault_code == "P0300" and r.is_out_of_country is False
@@ -64,3 +66,4 @@ def test_stream_end_to_end(spark, tmpdir_path):
     batch = TM.clean_events(spark.read.schema(TM.RAW_SCHEMA).json(os.path.join(src, "b.json")))
     TM.process_batch(batch.dropDuplicates(["event_id"]), 1, out, vehicles)
     assert ids("quarantine_odometer_regression") == ["E5"]
+    assert ids("events_by_day") == ids("events") == ["E1", "E2", "E3", "E4", "E7"]
