@@ -90,3 +90,28 @@ def test_text_rules(spark):
     assert one_col(spark, ["  a   b  ", "   ", None], C.collapse_ws) == ["a b", None, None]
     assert one_col(spark, [" p-00.12 ", "P0012"], C.part_key) == ["P0012", "P0012"]
     assert one_col(spark, ["  bRAKE   pads "], C.sentence_case) == ["Brake pads"]
+
+
+def test_money_and_units_roundtrip_property(spark):
+    """Random amounts rendered in every source style clean back exactly."""
+    import random
+
+    rnd = random.Random(11)
+    rows, expect = [], []
+    for _ in range(400):
+        cents = rnd.randint(0, 10**11)
+        v = Decimal(cents) / 100
+        grouped = f"{v:,.2f}"
+        for text in (f"{v:.2f}", f"NGN{grouped}", grouped, f"NGN {v:.2f}", f"₦{grouped}", f" {grouped} "):
+            rows.append((text,))
+            expect.append(v.quantize(Decimal("0.01")))
+        km = rnd.randint(0, 2_000_000)
+        for text in (f"{km}", f"{km:,} km", f"{km}KM", f"{km:,}KM", f"{km}KMS"):
+            rows.append((text,))
+            expect.append(Decimal(km).quantize(Decimal("0.01")))
+        frac = rnd.randint(0, 999)
+        rows.append((f"{frac // 100},{frac % 100:02d}",))  # decimal comma, never a thousands group
+        expect.append(Decimal(frac) / 100)
+    df = spark.createDataFrame(rows, "x string")
+    got = [r[0] for r in df.select(C.to_decimal("x", 18, 2)).collect()]
+    assert got == expect
