@@ -98,17 +98,30 @@ def land_entity(spark: SparkSession, csv_path: str, out_root: str, source: str,
 
 
 def land_all(spark: SparkSession, raw_dir: str, out_root: str, ingested_at: str, ingest_date: str,
-             sources: dict | None = None) -> LandReport:
-    """Land every registered extract; missing files are skipped and reported."""
+             sources: dict | None = None, concurrent_jobs: int = 4) -> LandReport:
+    """Land every registered extract; missing files are skipped and reported.
+
+    Entities are independent Spark jobs; up to ``concurrent_jobs`` are
+    submitted at once so many small extracts do not leave the cluster idle
+    (each job is itself split across executors by file split).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     rep = LandReport()
+    todo = []
     for source, entities in (sources or SOURCES).items():
         for entity, fname in entities.items():
             path = os.path.join(raw_dir, fname)
             key = f"{source}.{entity}"
-            if not _exists(spark, path):
+            if _exists(spark, path):
+                todo.append((key, source, entity, path))
+            else:
                 rep.skipped.append(key)
-                continue
-            rep.loaded[key] = land_entity(spark, path, out_root, source, entity, ingested_at, ingest_date)
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        futures = {key: pool.submit(land_entity, spark, path, out_root, source, entity, ingested_at, ingest_date)
+                   for key, source, entity, path in todo}
+        for key, fut in futures.items():
+            rep.loaded[key] = fut.result()
     return rep
 
 
