@@ -203,9 +203,7 @@ c AS (SELECT *, CAST(cost_ngn + bay AS DECIMAL(18,4)) AS full_cost FROM b)
 SELECT wo_number, CAST(parts_cost_ngn AS DOUBLE) AS parts_cost_ngn, CAST(labour_cost_ngn AS DOUBLE) AS labour_cost_ngn,
        CAST(bay AS DOUBLE) AS bay_cost_ngn, CAST(full_cost AS DOUBLE) AS fully_loaded_cost_ngn,
        CAST(CAST(revenue_ngn - full_cost AS DECIMAL(18,4)) AS DOUBLE) AS fully_loaded_profit_ngn,
-       CASE WHEN revenue_ngn = 0 THEN NULL
-            ELSE round(CAST(CAST(revenue_ngn - full_cost AS DECIMAL(18,4)) AS DOUBLE) / CAST(revenue_ngn AS DOUBLE), 6) END
-         AS fully_loaded_margin
+       {S.exact_ratio("CAST(revenue_ngn - full_cost AS DECIMAL(18,4))", "revenue_ngn", 4, 2)} AS fully_loaded_margin
 FROM c"""))
 def job_costing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fully loaded job cost (parts + labour + bay time)."""
