@@ -44,6 +44,8 @@ def effective_join(facts: DataFrame, rates: DataFrame, at: Column, valid_from: s
     # Large rate table: explode each range over the years it covers and
     # equi-join on (year), keeping the exact range test in the ON clause.
     r = rates.withColumn("_bucket", F.explode(F.sequence(F.year(valid_from), F.year(valid_to))))
+    # the exploded side's size is not known to the planner: shuffle, never broadcast
+    r = r.hint("shuffle_hash")
     f = facts.withColumn("_bucket_f", F.year(at))
     cond = (f["_bucket_f"] == r["_bucket"]) & (at >= r[valid_from]) & (at <= r[valid_to])
     return f.join(r, cond, how).drop("_bucket", "_bucket_f")
