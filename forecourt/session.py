@@ -85,6 +85,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``write_scratch`` made and nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_scratch(df, name: str) -> str:
+    """Write ``df`` as Parquet under the shared checkpoint folder; its path."""
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def materialise(df, name: str, bucket_by: str | None = None):
     """Write ``df`` as Parquet under the shared checkpoint folder and return a
     scan of it: cuts lineage and lets several consumers share one computation
