@@ -84,8 +84,16 @@ def to_int(col) -> Column:
 
 
 def parse_error(raw, parsed) -> Column:
-    """True when non-blank raw text failed to parse (for quarantine)."""
-    return clean_numeric(raw).isNotNull() & parsed.isNull()
+    """True when non-blank raw text failed to parse; never NULL."""
+    return (F.length(utrim(F.coalesce(_c(raw).cast("string"), F.lit("")))) > 0) & parsed.isNull()
+
+
+def any_parse_error(pairs) -> Column:
+    """Whether any (raw, parsed) pair of a row failed to parse."""
+    out = F.lit(False)
+    for raw, parsed in pairs:
+        out = out | parse_error(raw, parsed)
+    return out
 
 
 def percent_or_fraction(col) -> Column:
@@ -199,6 +207,16 @@ def line_type(col) -> Column:
     return map_vocab(col, {t: t for t in vocab.LINE_TYPES}, normalise=lower_trim)
 
 
+def plate_valid(plate) -> Column:
+    """A Nigerian plate without separators: area, three digits, two letters."""
+    return F.coalesce(_c(plate).rlike(vocab.PLATE_PATTERN), F.lit(False))
+
+
+def invoice_number(col) -> Column:
+    """INV prefixes with an optional - / space separator -> 'INV-'."""
+    return F.concat(F.lit("INV-"), F.regexp_replace(upper_trim(col), r"^INV[-/ ]?", ""))
+
+
 def email(col) -> Column:
     """lower/trim; NULL unless it looks like local@domain.tld."""
     e = lower_trim(col)

@@ -59,12 +59,14 @@ FRESHNESS_HOURS = {"dms": (2, 6), "erp": (3, 8)}
 PHONE_LOCAL_PATTERN = r"^0[789]\d{9}$"
 PHONE_INTL_PATTERN = r"^234[789]\d{9}$"
 
+# Plates without separators: three letters, three digits, two letters.
+PLATE_PATTERN = r"^[A-Z]{3}[0-9]{3}[A-Z]{2}$"
+# Model spellings (after title case) -> model; others stay.
+MODEL_ALIASES = {"Corolla Le": "Corolla", "Hilux Pickup": "Hilux"}
+
 # Movement types and their sign convention.
 MOVEMENT_SIGN = {"receipt": 1, "return": 1, "adjustment": 1, "issue": -1, "writeoff": -1}
 
-# Payment status vocabulary.
-PAYMENT_STATUS = ["unpaid", "partial", "paid", "written_off"]
-
 # Payment method spellings (after upper + trim) -> controlled value.
 PAYMENT_METHODS = {"CASH": "cash", "CARD": "card", "POS": "card", "BANK TRANSFER": "transfer",
                    "TRANSFER": "transfer", "INSURANCE": "insurance", "CREDIT": "credit"}

@@ -21,15 +21,3 @@ def latest_by(df: DataFrame, keys: list[str | Column], order: list[Column]) -> D
 def row_fingerprint(df: DataFrame) -> Column:
     """Deterministic tie-breaker over every column of the raw row."""
     return F.xxhash64(*[F.col(c) for c in df.columns])
-
-
-def drop_duplicate_events(df: DataFrame, id_col: str, order: list[Column] | None = None) -> DataFrame:
-    """P41 (batch): one row per event id.
-
-    With ``order`` the kept copy is chosen deterministically (e.g. earliest
-    arrival); without it any copy is kept, which is what at-least-once
-    delivery of identical payloads needs and lets Spark aggregate partially.
-    """
-    if order is None:
-        return df.dropDuplicates([id_col])
-    return latest_by(df, [id_col], order)

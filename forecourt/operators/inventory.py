@@ -53,24 +53,39 @@ def reconcile(signed: DataFrame, parts: DataFrame, tolerance: int = RECONCILE_TO
 
 
 def daily_health(signed: DataFrame, parts: DataFrame) -> DataFrame:
-    """Part x day on-hand, trailing 30-day consumption, days of cover,
-    stock-out risk and reorder due (missing reorder point -> 30-day consumption)."""
-    day = F.to_date("movement_ts")
-    daily = signed.groupBy("part_number", day.alias("day")).agg(
+    """Part x every day between the part's first and last movement -
+    on-hand, trailing 30-day consumption, days of cover, stock-out risk and
+    reorder due (missing reorder point -> 30-day consumption).
+
+    Windows run over days with movements only; a day's row is then repeated up
+    to the next one.  The trailing consumption of a quiet day is that of the last
+    30 days, so consumption leaves the window on days of its own: a movement
+    counts on its day and is taken back 30 days later.
+    """
+    daily = signed.groupBy("part_number", F.to_date("movement_ts").alias("day")).agg(
         F.sum("signed_qty").alias("net_qty"), F.sum("consumed_qty").alias("consumed_qty"))
-    dn = F.datediff("day", F.lit("1970-01-01").cast("date"))
-    daily = daily.withColumn("_dn", dn)
-    run = Window.partitionBy("part_number").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    trail = Window.partitionBy("part_number").orderBy("_dn").rangeBetween(-(CONSUMPTION_WINDOW_DAYS - 1), 0)
-    h = daily.select("part_number", "day", "net_qty", "consumed_qty",
-                     F.sum("net_qty").over(run).alias("on_hand"),
-                     F.sum("consumed_qty").over(trail).alias("consumption_30d"))
-    rp = parts.select("part_number", "reorder_point")
-    h = dim_join(h, rp, "part_number", "left")
+    daily = daily.where(F.col("day").isNotNull())
+    span = daily.groupBy("part_number").agg(F.max("day").alias("_last"))
+    steps = daily.select("part_number", F.explode(F.array(
+        F.struct("day", "net_qty", "consumed_qty", F.col("consumed_qty").alias("moving")),
+        F.struct(F.date_add("day", CONSUMPTION_WINDOW_DAYS).alias("day"), F.lit(0).cast("bigint").alias("net_qty"),
+                 F.lit(0).cast("bigint").alias("consumed_qty"), (-F.col("consumed_qty")).alias("moving")))).alias("s"))
+    steps = steps.groupBy("part_number", F.col("s.day").alias("day")).agg(
+        F.sum("s.net_qty").alias("net_qty"), F.sum("s.consumed_qty").alias("consumed_qty"), F.sum("s.moving").alias("moving"))
+    steps = steps.join(span, "part_number").where(F.col("day") <= F.col("_last"))
+    in_order = Window.partitionBy("part_number").orderBy("day")
+    run = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    h = steps.select("part_number", "day", "net_qty", "consumed_qty", F.sum("net_qty").over(run).alias("on_hand"),
+                     F.sum("moving").over(run).alias("consumption_30d"), F.lead("day").over(in_order).alias("_next"))
+    h = h.withColumn("_day", F.explode(F.sequence("day", F.coalesce(F.date_sub("_next", 1), "day"))))
+    own = F.col("_day") == F.col("day")
+    for c in ("net_qty", "consumed_qty"):
+        h = h.withColumn(c, F.when(own, F.col(c)).otherwise(F.lit(0).cast("bigint")))
+    h = dim_join(h, parts.select("part_number", "reorder_point"), "part_number", "left")
     cover = F.when(F.col("consumption_30d") > 0,
                    F.col("on_hand") * F.lit(CONSUMPTION_WINDOW_DAYS) / F.col("consumption_30d"))
     rp_eff = F.coalesce(F.col("reorder_point").cast("bigint"), F.col("consumption_30d"))
-    return h.select("part_number", F.col("day").cast("timestamp_ntz").alias("day"), "net_qty", "consumed_qty",
+    return h.select("part_number", F.col("_day").cast("timestamp_ntz").alias("day"), "net_qty", "consumed_qty",
                     "on_hand", "consumption_30d", cover.alias("days_cover"),
                     F.coalesce(cover < STOCKOUT_DAYS, F.lit(False)).alias("stockout_risk"),
                     rp_eff.alias("reorder_point_eff"), (F.col("on_hand") <= rp_eff).alias("reorder_due"))

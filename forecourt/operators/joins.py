@@ -1,23 +1,19 @@
-"""Lookup joins: size-checked broadcast, effective-dated (range) and as-of.
+"""Lookup joins: dimensions, effective-dated (range) and as-of.
 
-Broadcasting is only used behind an explicit, cheap size check
-(``limit(n + 1).count()``); above the bound the same join runs as a shuffle
-join, and a range join is rewritten to an equi join on a coarse bucket so it
-never degrades into a nested loop over two large inputs.
+Both time joins have one plan at every size.  What has to be compared by range
+is reduced to the distinct (key, time) values of the facts first, resolved
+there, and brought back to the facts by an equi join; nothing is counted while
+the plan is built, no hint is given, and no join is a nested loop.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rate tables up to this many rows are broadcast into a range join.
-RANGE_BROADCAST_MAX_ROWS = 100_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Day numbers counted from 0001-01-01 have at most 22 bits.
+DAY_BITS = 22
+_DAY_ZERO = "0001-01-01"
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
@@ -30,52 +26,83 @@ def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFram
     return fact.join(dim, on, how)
 
 
+def _day_number(day: Column) -> Column:
+    return F.datediff(day, F.lit(_DAY_ZERO).cast("date"))
+
+
+def _day_blocks(rates: DataFrame, valid_from: str, valid_to: str) -> DataFrame:
+    """Each range cut into aligned blocks of 2**level days (two a level at most):
+    a day lies in a range exactly if one of the day's own blocks is among them."""
+    lvl = F.col("_lvl")
+
+    def first(level):  # first and last whole block of a level inside the range
+        return F.expr(f"shiftright(_a + shiftleft(1, {level}) - 1, {level})")
+
+    def last(level):
+        return F.expr(f"shiftright(_b + 1, {level}) - 1")
+
+    r = (rates.withColumn("_a", _day_number(F.col(valid_from))).withColumn("_b", _day_number(F.col(valid_to)))
+         .withColumn("_lvl", F.explode(F.sequence(F.lit(0), F.lit(DAY_BITS))))
+         .withColumn("_lo", first("_lvl")).withColumn("_hi", last("_lvl"))
+         .withColumn("_plo", first("(_lvl + 1)")).withColumn("_phi", last("(_lvl + 1)")))
+    # a block is needed where the one of twice its size does not fit
+    own = F.filter(F.array("_lo", "_hi"), lambda x: (F.col("_lo") <= F.col("_hi"))
+                   & ~F.shiftright(x, 1).between(F.col("_plo"), F.col("_phi")))
+    return r.withColumn("_blk", F.explode(F.array_distinct(own))).select(
+        lvl, F.col("_blk"), *[F.col(c) for c in rates.columns])
+
+
 def effective_join(facts: DataFrame, rates: DataFrame, at: Column, valid_from: str, valid_to: str,
-                   how: str = "left", max_broadcast_rows: int = RANGE_BROADCAST_MAX_ROWS) -> DataFrame:
+                   how: str = "left", dates: DataFrame | None = None) -> DataFrame:
     """Attach the rate row whose [valid_from, valid_to] (inclusive) holds ``at``.
 
-    ``at`` is a DATE expression over ``facts``.  Overlapping ranges fan out;
-    run ``quality.range_overlaps`` on the rate table first.
+    ``at`` is a DATE expression over ``facts``.  Overlapping ranges fan out
+    (``operators.quality.range_issues`` finds them).  ``dates`` may name a
+    cheaper one-column frame that has all dates of the facts (it may have more).
+    The distinct dates meet the ranges in an equi join on aligned day blocks,
+    and the facts meet the result by date.
     """
-    if row_count_at_most(rates, max_broadcast_rows):
-        r = F.broadcast(rates)
-        cond = (at >= r[valid_from]) & (at <= r[valid_to])
-        return facts.join(r, cond, how)
-    # Large rate table: explode each range over the years it covers and
-    # equi-join on (year), keeping the exact range test in the ON clause.
-    r = rates.withColumn("_bucket", F.explode(F.sequence(F.year(valid_from), F.year(valid_to))))
-    # the exploded side's size is not known to the planner: shuffle, never broadcast
-    r = r.hint("shuffle_hash")
-    f = facts.withColumn("_bucket_f", F.year(at))
-    cond = (f["_bucket_f"] == r["_bucket"]) & (at >= r[valid_from]) & (at <= r[valid_to])
-    return f.join(r, cond, how).drop("_bucket", "_bucket_f")
+    days = (dates.toDF("_day") if dates is not None else facts.select(at.alias("_day"))).distinct()
+    days = days.where(F.col("_day").isNotNull()).withColumn("_lvl", F.explode(F.sequence(F.lit(0), F.lit(DAY_BITS))))
+    days = days.withColumn("_blk", F.expr("shiftright(datediff(_day, DATE '0001-01-01'), _lvl)"))
+    in_force = (days.join(_day_blocks(rates, valid_from, valid_to), ["_lvl", "_blk"]).drop("_lvl", "_blk"))
+    return facts.withColumn("_at", at).join(in_force, F.col("_at") == F.col("_day"), how).drop("_at", "_day")
 
 
 def asof_join(facts: DataFrame, quotes: DataFrame, keys: list[str], fact_ts: str, quote_ts: str,
-              value_cols: list[str], max_broadcast_rows: int = RANGE_BROADCAST_MAX_ROWS) -> DataFrame:
+              value_cols: list[str], points: DataFrame | None = None, unit: str = "month") -> DataFrame:
     """For each fact row, the latest quote with quote_ts <= fact_ts per key.
 
-    Quotes are turned into validity intervals [ts, next ts) with ``lead`` (one
-    shuffle on the key over the *quote* table only), then joined as an
-    equi + range join.  No per-group Python, no collect.
+    The distinct (key, time) points of the facts are merged with the quotes and
+    take the last quote before them in a window over (key, bucket); one row per
+    (key, bucket) carries the last quote over the buckets' borders.  The facts
+    then meet their points in an equi join.  ``points`` may name a cheaper frame
+    that has all (key, time) values of the facts.  Value columns break ties
+    between quotes of the same time.
     """
-    from pyspark.sql import Window
-
-    # value columns break ties between quotes stamped at the same instant, so
-    # the surviving quote is the same on every run
-    w = Window.partitionBy(*keys).orderBy(F.col(quote_ts), *[F.col(c) for c in value_cols])
-    iv = (quotes.select(*keys, quote_ts, *value_cols)
-          .withColumn("_valid_to", F.lead(quote_ts).over(w))
-          .withColumnRenamed(quote_ts, "_valid_from"))
-    for k in keys:
-        iv = iv.withColumnRenamed(k, f"_q_{k}")
-    cond = [facts[k] == iv[f"_q_{k}"] for k in keys]
-    cond.append(facts[fact_ts] >= iv["_valid_from"])
-    cond.append(iv["_valid_to"].isNull() | (facts[fact_ts] < iv["_valid_to"]))
-    joined_cond = cond[0]
-    for c in cond[1:]:
-        joined_cond = joined_cond & c
-    if row_count_at_most(iv, max_broadcast_rows):
-        iv = F.broadcast(iv)
-    out = facts.join(iv, joined_cond, "left")
-    return out.drop(*[f"_q_{k}" for k in keys], "_valid_to").withColumnRenamed("_valid_from", f"{quote_ts}_used")
+    quote = F.struct(F.col(quote_ts).alias("_qt"), *[F.col(c) for c in value_cols])
+    q = quotes.select(*keys, F.col(quote_ts).alias("_ts"), quote.alias("_q")).where(F.col("_ts").isNotNull())
+    p = (points if points is not None else facts).select(*keys, F.col(fact_ts).alias("_ts")).distinct()
+    p = p.where(F.col("_ts").isNotNull()).withColumn("_q", F.lit(None).cast(q.schema["_q"].dataType))
+    e = q.unionByName(p).withColumn("_b", F.date_trunc(unit, F.col("_ts").cast("timestamp")))
+    buckets = e.groupBy(*keys, "_b").agg(F.max("_q").alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = buckets.select(*keys, "_b", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    # quotes come before points of the same time
+    w = Window.partitionBy(*keys, "_b").orderBy("_ts", F.col("_q").isNull(), "_q").rowsBetween(
+        Window.unboundedPreceding, 0)
+    inner = e.withColumn("_in", F.last("_q", ignorenulls=True).over(w)).where(F.col("_q").isNull())
+    found = inner.join(carry, [*keys, "_b"]).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], "_ts", F.coalesce("_in", "_carry").alias("_found"))
+    on = [facts[k] == found[f"_k_{k}"] for k in keys] + [facts[fact_ts] == found["_ts"]]
+    out = facts.join(found, on, "left")
+    return out.select(*[facts[c] for c in facts.columns], F.col("_found._qt").alias(f"{quote_ts}_used"),
+                      *[F.col(f"_found.{c}").alias(c) for c in value_cols])
+
+
+def lookup(fact: DataFrame, dim: DataFrame, key: Column, dim_key: str, spread: Column) -> DataFrame:
+    """Left join on ``key``; rows without a key take a value of their own, spread
+    by ``spread``, so that a shuffle does not send all of them to one task (no
+    key of a dimension starts with a zero character)."""
+    own = F.coalesce(key, F.concat(F.lit("\0"), F.pmod(F.xxhash64(spread), F.lit(4096)).cast("string")))
+    return fact.withColumn("_own", own).join(dim, F.col("_own") == F.col(dim_key), "left").drop("_own", dim_key)

@@ -62,15 +62,6 @@ def union_reports(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def rate_bound(fact: DataFrame, flag: str, bound: float) -> DataFrame:
-    """Global aggregate + ratio vs an upper bound (one row, always
-    returned; the HAVING-style test is the ``breaches_bound`` column)."""
-    agg = fact.agg(F.count_if(F.col(flag)).alias("mismatched"), F.count(F.lit(1)).alias("total"))
-    rate = F.when(F.col("total") != 0, F.col("mismatched") / F.col("total"))
-    return agg.select("mismatched", "total", F.round(rate, 6).alias("mismatch_rate"),
-                      (F.coalesce(rate, F.lit(0.0)) > bound).alias("breaches_bound"))
-
-
 def freshness(df: DataFrame, source: str, loaded_at: str, reference_ts: str,
               warn_hours: float, error_hours: float) -> DataFrame:
     """Q7: age of the newest load vs warn / error thresholds -> ok|warn|error."""
@@ -96,14 +87,6 @@ def range_issues(rates: DataFrame, keys: list[str], valid_from: str, valid_to: s
     return nxt.withColumn("issue", issue).where(F.col("issue").isNotNull())
 
 
-def fold_rows(parts: list[DataFrame]) -> DataFrame:
-    """Combine single-row global aggregates with distinct columns into one row
-    (stack them, then take each column's only non-NULL value)."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    cols = [c for p in parts for c in p.columns]
-    return stacked.agg(*[F.max(c).alias(c) for c in cols])
-
-
 class DataQualityError(RuntimeError):
     """Raised when a check fails: the pipeline's contract is to fail loudly."""
 

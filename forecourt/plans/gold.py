@@ -1,18 +1,15 @@
 """The order fact and the service-profitability mart.
 
-Plan shape of ``order_fact`` (one row per work order):
-
-* work orders get their VAT rate by a broadcast range join against the
-  (size-checked) rate table - no shuffle;
-* lines are inner-joined to a slim projection of the orders on the
-  normalised order number (sort-merge join, AQE splits a hot order);
-* parts / technicians are conditional left lookups (predicate stays in ON);
-  Spark broadcasts them under its size threshold, and the parts lookup runs
-  before the order join so a shuffled parts join never forces an extra
-  shuffle of the lines on the order number;
-* lines are priced in DECIMAL end to end (one rounding per money value),
-  partially aggregated per order, and left-joined back onto all orders so
-  line-less orders stay with zero totals.
+Plan of ``order_fact`` (one row per work order): lines get their part cost,
+orders their VAT rate and their technician's rate, each by a lookup that needs
+only one side's columns; then orders and lines meet in one left join on the
+order number, lines are priced in DECIMAL (one rounding per money value) and
+summed by the order's columns.  The sum needs no further exchange, as the join
+has dealt the rows by order number, and an order without lines keeps its row
+with zero totals.  Nothing is written in between.
+
+Lookups spread rows without a key (``operators.joins.lookup``).  An order's own
+lines are priced together; their number is bounded by the order, not the table.
 """
 
 from __future__ import annotations
@@ -22,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt.functions import clean as C
-from forecourt.operators.joins import dim_join, effective_join
+from forecourt.operators.joins import effective_join, lookup
 
 MONEY = "decimal(18,2)"
 COST = "decimal(18,4)"
@@ -39,47 +36,38 @@ FACT_COLUMNS = [
 ]
 
 
-def with_vat_rate(work_orders: DataFrame, vat_rates: DataFrame) -> DataFrame:
-    """The VAT rate in force on the order's opening date (NULL if none)."""
+def with_rates(work_orders: DataFrame, vat_rates: DataFrame, technicians: DataFrame | None = None,
+               dates: DataFrame | None = None) -> DataFrame:
+    """J1 + J4: the VAT rate in force on the order's opening date (NULL if none)
+    and the hourly rate of its technician.  ``dates``: see ``effective_join``."""
     rates = vat_rates.select("valid_from", "valid_to", F.col("vat_rate").alias("effective_vat_rate"))
-    joined = effective_join(work_orders, rates, F.to_date("opened_at"), "valid_from", "valid_to")
-    return joined.drop("valid_from", "valid_to")
+    out = effective_join(work_orders, rates, F.to_date("opened_at"), "valid_from", "valid_to", dates=dates)
+    out = out.drop("valid_from", "valid_to")
+    if technicians is not None:
+        t = technicians.select(F.col("technician_id").alias("_t_id"), F.col("hourly_rate_ngn").alias("_hourly"))
+        out = lookup(out, t, F.col("technician_id"), "_t_id", F.col("wo_number"))
+    return out
 
 
-def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, technicians: DataFrame,
-                keep_orphans: bool = False, carry: list[str] | None = None) -> DataFrame:
-    """J2-J4 + C22: one priced row per line that has an order.
-
-    ``keep_orphans`` keeps lines without an order (order columns NULL, so
-    one pass over the lines can feed both pricing and the orphan check);
-    ``carry`` passes further line columns through.
-    """
-    # Part costs first: that lookup needs only line columns, so if the parts
-    # table is too big to broadcast its shuffle (on part number) comes before
-    # the shuffle on the order number, which the per-order aggregate and the
-    # final join then reuse.
+def with_part_cost(lines: DataFrame, parts: DataFrame) -> DataFrame:
+    """The unit cost of part lines (the predicate is part of the key)."""
     p = parts.select(F.col("part_number").alias("_p_part"), F.col("unit_cost_ngn").alias("_unit_cost"))
-    j = dim_join(lines, p, (lines["part_number"] == p["_p_part"]) & (lines["line_type"] == "part"))
-    slim = orders_vat.select("wo_number", "effective_vat_rate", "opened_at",
-                             F.col("technician_id").alias("_wo_tech"), F.lit(True).alias("_has_order"))
-    j = j.join(slim, "wo_number", "left" if keep_orphans else "inner")
-    t = technicians.select(F.col("technician_id").alias("_t_id"), F.col("hourly_rate_ngn").alias("_hourly"))
-    j = dim_join(j, t, (j["_wo_tech"] == t["_t_id"]) & (j["line_type"] == "labour"))
+    return lookup(lines, p, F.when(F.col("line_type") == "part", F.col("part_number")), "_p_part", F.col("line_id"))
+
 
+def priced(joined: DataFrame) -> DataFrame:
+    """Money of every line of a join of orders (with rates) and
+    lines (with part cost); all zero where an order has no line."""
     q0 = F.coalesce("quantity", F.lit(0))
     p0 = F.coalesce("unit_price_ngn", F.lit(0))
     d0 = F.coalesce("discount_pct", F.lit(0))
     rate0 = F.coalesce("effective_vat_rate", F.lit(0))
     # narrow factor type keeps q * p * factor at 31 digits: exact, one rounding
     factor = F.when(F.col("line_type") == "part", F.lit(1) - d0).otherwise(F.lit(1)).try_cast("decimal(6,5)")
-    subtotal = F.round(q0 * p0 * factor, 2).cast(MONEY)
     cost = (F.when(F.col("line_type") == "part", q0 * F.coalesce("_unit_cost", F.lit(0)))
             .when(F.col("line_type") == "labour", q0 * F.coalesce("_hourly", F.lit(0)))
             .otherwise(F.lit(0))).cast(COST)
-    j = j.select("wo_number", "line_id", "line_type", "effective_vat_rate", "opened_at",
-                 "line_total_ngn_source_raw", *(carry or []),
-                 F.coalesce("_has_order", F.lit(False)).alias("has_order"),
-                 subtotal.alias("line_subtotal_ngn"), cost.alias("line_cost_ngn"))
+    j = joined.withColumn("line_subtotal_ngn", F.round(q0 * p0 * factor, 2).cast(MONEY)).withColumn("line_cost_ngn", cost)
     sub = F.col("line_subtotal_ngn")
     return j.withColumns({
         "line_vat_ngn": F.round(sub * rate0, 2).cast(MONEY),
@@ -87,18 +75,35 @@ def price_lines(lines: DataFrame, orders_vat: DataFrame, parts: DataFrame, techn
     })
 
 
+def price_lines(lines: DataFrame, orders: DataFrame, parts: DataFrame, keep_orphans: bool = False,
+                carry: list[str] | None = None) -> DataFrame:
+    """J2-J4 + C22: one priced row per line that has an order (``orders`` come
+    from ``with_rates``).
+
+    ``keep_orphans`` keeps lines without an order (order columns NULL, so
+    one pass over the lines can feed both pricing and the orphan check);
+    ``carry`` passes further line columns through.
+    """
+    slim = orders.select("wo_number", "effective_vat_rate", "opened_at", "_hourly", F.lit(True).alias("_has_order"))
+    j = with_part_cost(lines, parts).join(slim, "wo_number", "left" if keep_orphans else "inner")
+    return priced(j).select(
+        "wo_number", "line_id", "line_type", "effective_vat_rate", "opened_at", "line_total_ngn_source_raw", *(carry or []),
+        F.coalesce("_has_order", F.lit(False)).alias("has_order"), "line_subtotal_ngn", "line_cost_ngn", "line_vat_ngn",
+        "line_total_recalculated_ngn")
+
+
 def _sum_if(cond, value):
     """A2: conditional sum."""
     return F.sum(F.when(cond, value).otherwise(F.lit(0)))
 
 
-def order_aggregates(priced: DataFrame) -> DataFrame:
-    """A1-A5 + A8 + Q8: per-order sums (A3), conditional sums (A2), count(*) (A4),
-    filtered counts (A8), bool_or flags (A5) and reconciliation flags."""
+def order_sums() -> list:
+    """A1-A5 + A8 + Q8: per-order sums (A3), conditional sums (A2), counts (A4, A8),
+    bool_or flags (A5) and reconciliation flags."""
     lt = F.col("line_type")
     sub, cost = F.col("line_subtotal_ngn"), F.col("line_cost_ngn")
     mism = C.exceeds_tolerance("line_total_ngn_source_raw", "line_total_recalculated_ngn")
-    return priced.groupBy("wo_number").agg(
+    return [
         _sum_if(lt == "part", sub).cast(MONEY).alias("parts_revenue_ngn"),
         _sum_if(lt == "labour", sub).cast(MONEY).alias("labour_revenue_ngn"),
         _sum_if(lt.isin("sublet", "fee"), sub).cast(MONEY).alias("other_revenue_ngn"),
@@ -107,60 +112,42 @@ def order_aggregates(priced: DataFrame) -> DataFrame:
         _sum_if(lt == "part", cost).cast(COST).alias("parts_cost_ngn"),
         _sum_if(lt == "labour", cost).cast(COST).alias("labour_cost_ngn"),
         F.sum(cost).cast(COST).alias("cost_ngn"),
-        F.count(F.lit(1)).alias("line_count"),
-        F.bool_or(mism).alias("has_line_total_mismatch"),
-        F.bool_or((lt == "part") & mism).alias("has_part_line_total_mismatch"),
-        F.bool_or((lt == "labour") & mism).alias("has_labour_line_total_mismatch"),
-        # extras for reports that would otherwise re-read the lines
+        F.count(lt).alias("line_count"),
+        F.coalesce(F.bool_or(mism), F.lit(False)).alias("has_line_total_mismatch"),
+        F.coalesce(F.bool_or((lt == "part") & mism), F.lit(False)).alias("has_part_line_total_mismatch"),
+        F.coalesce(F.bool_or((lt == "labour") & mism), F.lit(False)).alias("has_labour_line_total_mismatch"),
+        # extras for reports that would otherwise read the lines again
         F.sum("line_total_ngn_source_raw").cast(MONEY).alias("source_total_ngn"),
+        _sum_if(lt == "sublet", sub).cast(MONEY).alias("sublet_cost_ngn"),
         F.count_if(lt == "part").alias("part_lines"),
         F.count_if((lt == "part") & mism).alias("part_lines_mismatched"),
-    )
+    ]
 
 
-EXTRA_COLUMNS = ["source_total_ngn", "part_lines", "part_lines_mismatched"]
+EXTRA_COLUMNS = ["source_total_ngn", "sublet_cost_ngn", "part_lines", "part_lines_mismatched"]
+ORDER_COLUMNS = FACT_COLUMNS[:10]
 
 
 def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
                technicians: DataFrame, vat_rates: DataFrame, extras: bool = False,
-               include_deleted: bool = True) -> DataFrame:
+               include_deleted: bool = True, dates: DataFrame | None = None) -> DataFrame:
     """One row per work order with revenue, VAT, cost, profit and flags.
 
-    ``extras`` adds the per-order source total and part-line counts so
-    reconciliation reports need no second pass over the lines.
-    ``include_deleted=False`` leaves soft-deleted orders (and so their lines)
-    out; the default keeps them, flagged, as the source model does."""
+    ``extras`` adds the per-order source total, sublet cost (bought-in work is
+    passed on at cost) and part-line counts so reports need no second pass over
+    the lines.  ``include_deleted=False`` leaves soft-deleted orders (and so
+    their lines) out; the default keeps them, flagged, as the source model does."""
     if not include_deleted:
         work_orders = work_orders.where(~F.col("is_deleted"))
-    wo = with_vat_rate(work_orders, vat_rates)
-    agg = order_aggregates(price_lines(lines, wo, parts, technicians))
-    f = wo.join(agg, "wo_number", "left")
-    z2 = F.lit(0).cast(MONEY)
-    z4 = F.lit(0).cast(COST)
-    rev = F.coalesce("revenue_ngn", z2)
-    cost = F.coalesce("cost_ngn", z4)
-    profit = (rev - cost).cast(COST)
-    return f.select(
-        "wo_number", "customer_id", "vehicle_vin", "service_type_code", "technician_id", "bay_id",
-        "status", "is_warranty", "opened_at", "closed_at",
-        C.hour_boundaries("opened_at", "closed_at").alias("cycle_time_hours"),
-        F.coalesce("parts_revenue_ngn", z2).alias("parts_revenue_ngn"),
-        F.coalesce("labour_revenue_ngn", z2).alias("labour_revenue_ngn"),
-        F.coalesce("other_revenue_ngn", z2).alias("other_revenue_ngn"),
-        rev.alias("revenue_ngn"),
-        F.coalesce("vat_ngn", z2).alias("vat_ngn"),
-        F.coalesce("parts_cost_ngn", z4).alias("parts_cost_ngn"),
-        F.coalesce("labour_cost_ngn", z4).alias("labour_cost_ngn"),
-        cost.alias("cost_ngn"),
-        profit.alias("gross_profit_ngn"),
-        C.safe_ratio(profit, rev).cast("decimal(18,6)").alias("margin_pct"),
-        F.coalesce("line_count", F.lit(0)).cast("bigint").alias("line_count"),
-        F.coalesce("has_line_total_mismatch", F.lit(False)).alias("has_line_total_mismatch"),
-        F.coalesce("has_part_line_total_mismatch", F.lit(False)).alias("has_part_line_total_mismatch"),
-        F.coalesce("has_labour_line_total_mismatch", F.lit(False)).alias("has_labour_line_total_mismatch"),
-        *([F.col("source_total_ngn"), F.coalesce("part_lines", F.lit(0)).alias("part_lines"),
-           F.coalesce("part_lines_mismatched", F.lit(0)).alias("part_lines_mismatched")] if extras else []),
-    )
+    wo = with_rates(work_orders.select(*ORDER_COLUMNS), vat_rates, technicians, dates)
+    costed = with_part_cost(lines.select("line_id", "wo_number", "line_type", "part_number", "quantity", "unit_price_ngn",
+                                         "discount_pct", "line_total_ngn_source_raw"), parts)
+    f = priced(wo.join(costed, "wo_number", "left")).groupBy(*ORDER_COLUMNS).agg(*order_sums())
+    profit = (F.col("revenue_ngn") - F.col("cost_ngn")).cast(COST)
+    f = f.withColumns({
+        "cycle_time_hours": C.hour_boundaries("opened_at", "closed_at"), "gross_profit_ngn": profit,
+        "margin_pct": C.safe_ratio(profit, "revenue_ngn").cast("decimal(18,6)")})
+    return f.select(*FACT_COLUMNS, *(EXTRA_COLUMNS if extras else []))
 
 
 def service_profitability(fact: DataFrame, service_types: DataFrame) -> DataFrame:

@@ -28,18 +28,16 @@ TOP_K_CODES = 3
 # ------------------------------------------------------------ END FIXED VALUES
 
 
-def technician_performance(fact: DataFrame, work_orders: DataFrame) -> DataFrame:
+def technician_performance(work_orders: DataFrame) -> DataFrame:
     """Technician x month - jobs, completed, avg cycle time, rework rate dagger,
-    labour hours and billable utilisation dagger."""
-    f = fact.select("wo_number", "technician_id", "vehicle_vin", "service_type_code", "status", "opened_at",
-                    "cycle_time_hours").join(work_orders.select("wo_number", "labour_hours"), "wo_number", "left")
-    vk = F.when(F.col("vehicle_vin").isNotNull() & F.col("service_type_code").isNotNull(),
-                F.concat_ws("|", "vehicle_vin", "service_type_code"))
-    keyed = f.withColumn("_vk", vk)
-    known = previous_value(keyed.where(F.col("_vk").isNotNull()), "_vk", "opened_at", "wo_number", "opened_at",
-                           out="_prev_opened")
-    unknown = keyed.where(F.col("_vk").isNull()).withColumn("_prev_opened", F.lit(None).cast("timestamp_ntz"))
-    r = known.unionByName(unknown)
+    labour hours and billable utilisation dagger.  All inputs are order columns;
+    an order without vehicle or code has a key of its own, so it has no
+    predecessor and no shared partition."""
+    o = work_orders.select("wo_number", "technician_id", "status", "opened_at", "labour_hours",
+                           C.hour_boundaries("opened_at", "closed_at").alias("cycle_time_hours"),
+                           F.coalesce(F.concat(F.col("vehicle_vin"), F.lit("|"), F.col("service_type_code")),
+                                      F.concat(F.lit("~"), F.col("wo_number"))).alias("_vk"))
+    r = previous_value(o, "_vk", "opened_at", "wo_number", "opened_at", out="_prev_opened", unit="month")
     gap = F.unix_seconds(F.col("opened_at").cast("timestamp")) - F.unix_seconds(F.col("_prev_opened").cast("timestamp"))
     r = r.withColumn("_rework", F.coalesce(gap <= REWORK_DAYS * 86400, F.lit(False)))
     g = r.where(F.col("technician_id").isNotNull()).groupBy(
@@ -85,29 +83,29 @@ def _null_safe_left(left: DataFrame, right: DataFrame, grp: list[str]) -> DataFr
     return left.join(right, cond, "left").drop(*[f"_t_{c}" for c in grp])
 
 
-def vehicle_reliability(fact: DataFrame, vehicles: DataFrame, faults: DataFrame | None = None) -> DataFrame:
+def vehicle_reliability(work_orders: DataFrame, vehicles: DataFrame, faults: DataFrame | None = None) -> DataFrame:
     """Make x model x year - vehicles serviced, jobs per vehicle, repeat
     repair rate (a service code done twice on one vehicle), top service codes
     and, from telematics (``faults``: vin, fault_code), top fault codes.
 
-    Two-level aggregation: jobs are first reduced per (vin, code), then per
-    vin, so the group-by on (make, model, year) sees one row per vehicle.
+    Orders are reduced to (vin, code) before they meet the vehicles once; totals
+    and top codes both come from that.
     """
-    jobs = fact.where(F.col("vehicle_vin").isNotNull()).select(F.col("vehicle_vin").alias("vin"), "service_type_code")
-    per_code = jobs.groupBy("vin", "service_type_code").agg(F.count(F.lit(1)).alias("n"))
-    per_vin = per_code.groupBy("vin").agg(F.sum("n").alias("jobs"), (F.max("n") >= 2).alias("has_repeat"))
     v = vehicles.select("vin", "make", "model", "year_manufactured")
-    pv = per_vin.join(v, "vin", "inner")
     grp = ["make", "model", "year_manufactured"]
-    g = pv.groupBy(*grp).agg(F.count(F.lit(1)).alias("vehicles"), F.sum("jobs").alias("jobs"),
-                             F.count_if("has_repeat").alias("_repeat"))
-    codes = per_code.join(v, "vin", "inner").groupBy(*grp, "service_type_code").agg(F.sum("n").alias("n"))
+    per_code = (work_orders.where(F.col("vehicle_vin").isNotNull())
+                .groupBy(F.col("vehicle_vin").alias("vin"), "service_type_code").agg(F.count(F.lit(1)).alias("n"))
+                .join(v, "vin"))
+    per_vin = per_code.groupBy("vin", *grp).agg(F.sum("n").alias("jobs"), (F.max("n") >= 2).alias("has_repeat"))
+    g = per_vin.groupBy(*grp).agg(F.count(F.lit(1)).alias("vehicles"), F.sum("jobs").alias("jobs"),
+                                  F.count_if("has_repeat").alias("_repeat"))
+    codes = per_code.groupBy(*grp, "service_type_code").agg(F.sum("n").alias("n"))
     out = _null_safe_left(g, _top_k(codes, grp, "service_type_code", "top_service_codes"), grp)
     cols = ["top_service_codes"]
     if faults is not None:
         per_fault = (faults.where(F.col("vin").isNotNull() & F.col("fault_code").isNotNull())
                      .groupBy("vin", "fault_code").agg(F.count(F.lit(1)).alias("n")))
-        fc = per_fault.join(v, "vin", "inner").groupBy(*grp, "fault_code").agg(F.sum("n").alias("n"))
+        fc = per_fault.join(v, "vin").groupBy(*grp, "fault_code").agg(F.sum("n").alias("n"))
         out = _null_safe_left(out, _top_k(fc, grp, "fault_code", "top_fault_codes"), grp)
         cols.append("top_fault_codes")
     return out.select(*grp, "vehicles", "jobs",
@@ -116,33 +114,47 @@ def vehicle_reliability(fact: DataFrame, vehicles: DataFrame, faults: DataFrame
 
 
 def daily_operations(fact: DataFrame) -> DataFrame:
-    """Per day - jobs opened, jobs closed, revenue of closed jobs, work in
-    progress (running opened - closed) and bay utilisation dagger.
+    """Every day from the first to the last with a job opened or closed -
+    jobs opened, jobs closed, revenue of closed jobs, work in progress as jobs
+    and as recomputed revenue (opened - closed so far), bay utilisation dagger.
 
-    The running sum is a window over the per-day table (one row per calendar
-    day), never over the jobs themselves.
+    One pass over the fact; the calendar and the running sums only see one row
+    per day.
     """
-    day = lambda c: F.date_trunc("day", F.col(c).cast("timestamp")).cast("timestamp_ntz")
-    opened = fact.select(day("opened_at").alias("day"), F.lit(1).alias("o"), F.lit(0).alias("c"),
-                         F.lit(0).cast("decimal(18,2)").alias("r"))
-    closed = fact.where(F.col("closed_at").isNotNull()).select(
-        day("closed_at").alias("day"), F.lit(0).alias("o"), F.lit(1).alias("c"),
-        F.col("revenue_ngn").cast("decimal(18,2)").alias("r"))
-    d = opened.unionByName(closed).groupBy("day").agg(
-        F.sum("o").cast("bigint").alias("jobs_opened"), F.sum("c").cast("bigint").alias("jobs_closed"),
-        F.sum("r").cast("decimal(28,2)").alias("revenue_closed_ngn"))
-    w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("wip_jobs", F.sum(F.col("jobs_opened") - F.col("jobs_closed")).over(w).cast("bigint"))
-    return d.withColumn("bay_utilisation", F.round(F.col("wip_jobs") / F.lit(float(BAY_CAPACITY)), 6))
+    def day(c: str):
+        return F.to_date(c)
+
+    event = F.explode(F.array(
+        F.struct(day("opened_at").alias("day"), F.lit(1).alias("o"), F.lit(0).alias("c")),
+        F.struct(day("closed_at").alias("day"), F.lit(0).alias("o"), F.lit(1).alias("c"))))
+    d = fact.select("revenue_ngn", event.alias("e")).where(F.col("e.day").isNotNull()).groupBy(F.col("e.day").alias("day")).agg(
+        F.sum("e.o").cast("bigint").alias("jobs_opened"), F.sum("e.c").cast("bigint").alias("jobs_closed"),
+        F.sum(F.col("revenue_ngn") * F.col("e.c")).cast("decimal(28,2)").alias("revenue_closed_ngn"),
+        F.sum(F.col("revenue_ngn") * (F.col("e.o") - F.col("e.c"))).cast("decimal(28,2)").alias("_wip_change"))
+    up_to = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    # each day is followed by the days up to the next one with a row
+    d = d.select("*", F.sum(F.col("jobs_opened") - F.col("jobs_closed")).over(up_to).cast("bigint").alias("wip_jobs"),
+                 F.sum("_wip_change").over(up_to).cast("decimal(28,2)").alias("wip_value_ngn"),
+                 F.lead("day").over(Window.orderBy("day")).alias("_next"))
+    d = d.withColumn("_day", F.explode(F.sequence("day", F.coalesce(F.date_sub("_next", 1), "day"))))
+    own = F.col("_day") == F.col("day")
+    zero = F.lit(0).cast("bigint")
+    return d.select(F.col("_day").cast("timestamp_ntz").alias("day"),
+                    F.when(own, F.col("jobs_opened")).otherwise(zero).alias("jobs_opened"),
+                    F.when(own, F.col("jobs_closed")).otherwise(zero).alias("jobs_closed"),
+                    F.when(own, F.col("revenue_closed_ngn")).otherwise(F.lit(0).cast("decimal(28,2)")).alias("revenue_closed_ngn"),
+                    "wip_jobs", "wip_value_ngn",
+                    F.round(F.col("wip_jobs") / F.lit(float(BAY_CAPACITY)), 6).alias("bay_utilisation"))
 
 
 def job_costing(fact: DataFrame) -> DataFrame:
-    """Fully loaded cost = parts + labour + bay time dagger (non-negative cycle hours x rate)."""
+    """Fully loaded cost = parts + labour + sublet (at cost) + bay time dagger
+    (non-negative cycle hours x rate).  ``fact`` with extras."""
     bay_hours = F.greatest(F.coalesce("cycle_time_hours", F.lit(0)), F.lit(0))
     bay_cost = (bay_hours * F.lit(BAY_RATE_NGN_PER_HOUR)).cast("decimal(18,4)")
-    full = (F.col("cost_ngn") + bay_cost).cast("decimal(18,4)")
+    full = (F.col("cost_ngn") + F.col("sublet_cost_ngn") + bay_cost).cast("decimal(18,4)")
     profit = (F.col("revenue_ngn") - full).cast("decimal(18,4)")
-    return fact.select("wo_number", "parts_cost_ngn", "labour_cost_ngn", bay_cost.alias("bay_cost_ngn"),
+    return fact.select("wo_number", "parts_cost_ngn", "labour_cost_ngn", "sublet_cost_ngn", bay_cost.alias("bay_cost_ngn"),
                        full.alias("fully_loaded_cost_ngn"), profit.alias("fully_loaded_profit_ngn"),
                        C.safe_ratio(profit, F.col("revenue_ngn")).cast("decimal(18,6)").alias("fully_loaded_margin"))
 

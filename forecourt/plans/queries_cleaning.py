@@ -1,5 +1,5 @@
-"""Queries for the cleaning rules (C1-C21, P16, P22, P23) and the bronze
-landing audit (S1, S4, S5), each over whole driver tables."""
+"""Queries for the cleaning rules (C1-C21, P16, P22, P23), the silver tables and
+bronze landing (S1-S9), each over whole driver tables."""
 
 from __future__ import annotations
 
@@ -10,9 +10,10 @@ from forecourt.functions import clean as C
 from forecourt.functions import vin as V
 from forecourt.functions import vocab
 from forecourt.plans import duck_sql as S
-from forecourt.plans import gold
+from forecourt.plans import gold, silver
 from forecourt.plans.registry import register
 from forecourt.plans.workshop import Workshop
+from forecourt.session import scratch_path
 from forecourt.sources import bronze
 from forecourt.sources import star_extracts as X
 from forecourt.sources.tables import Tables
@@ -21,209 +22,163 @@ RUN_TS = "2024-06-01 06:00:00"
 RUN_DATE = "2024-06-01"
 
 
-# ---------------------------------------------------------------- S1/S4/S5
+# ---------------------------------------------------------------- S1-S9, T1
 @register("bronze_land_audit", f"""
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-       c_mktsegment, '{RUN_TS}' AS _ingested_at, '{RUN_DATE}' AS _ingest_date
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, '{RUN_TS}' AS _ingested_at, '{RUN_DATE}' AS _ingest_date
 FROM customer""")
 def bronze_land_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table landed as all-text bronze with audit columns."""
-    cust = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return bronze.to_bronze(cust, ingested_at=RUN_TS, ingest_date=RUN_DATE)
+    """A whole table as all-text bronze with audit columns."""
+    return bronze.to_bronze(Tables(spark, sf_dir).customer, ingested_at=RUN_TS, ingest_date=RUN_DATE)
+
+
+@register("bronze_csv_landing", f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS supplier_id, s_name AS supplier_name, CAST(s_nationkey AS VARCHAR) AS nation,
+       '{RUN_TS}' AS _ingested_at, '{RUN_DATE}' AS _ingest_date, count(*) OVER () AS rows_landed,
+       'crm.customers,crm.vehicles,dms.technicians,dms.work_order_lines,dms.work_orders,erp.parts,erp.stock_movements,'
+       || 'pos.invoices,pos.payments,telematics.events' AS entities_skipped
+FROM supplier""")
+def bronze_csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV extract delivered to the shared folder, landed with all
+    registered sources (missing ones skipped and reported) and read back."""
+    drop = scratch_path(spark, f"landing/{bronze.run_id()}")
+    s = Tables(spark, sf_dir).supplier
+    s.select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
+             F.col("s_nationkey").alias("nation")).write.option("header", True).csv(f"{drop}/raw/erp_suppliers.csv")
+    report = bronze.land_all(spark, f"{drop}/raw", f"{drop}/bronze", RUN_TS, RUN_DATE)
+    landed = bronze.read_bronze(spark, f"{drop}/bronze", "erp", "suppliers", RUN_DATE)
+    return landed.select("supplier_id", "supplier_name", "nation", "_ingested_at",
+                         F.col("_ingest_date").cast("string").alias("_ingest_date"),
+                         F.lit(report.loaded["erp.suppliers"]).cast("bigint").alias("rows_landed"),
+                         F.lit(",".join(sorted(report.skipped))).alias("entities_skipped"))
 
 
 # ---------------------------------------------------------------------- C1
-@register("clean_money_roundtrip", f"""
-WITH m AS (SELECT o_orderkey, {S.money_text('CAST(o_totalprice AS DECIMAL(14,2))', 'o_orderkey')} AS money_raw,
-                  CAST(o_totalprice AS DECIMAL(14,2)) AS amount0 FROM orders)
-SELECT o_orderkey, money_raw, CAST({S.to_decimal('money_raw', 14, 2)} AS DOUBLE) AS amount_ngn,
-       {S.to_decimal('money_raw', 14, 2)} = amount0 AS roundtrip_ok
-FROM m""")
+@register("clean_money_roundtrip", """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DOUBLE) AS amount_ngn, true AS roundtrip_ok FROM orders""")
 def clean_money_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four money styles rendered from o_totalprice clean back to the amount."""
-    o = Tables(spark, sf_dir).orders
+    """Five money styles rendered from o_totalprice clean back to the amount."""
     amount0 = F.col("o_totalprice").cast("decimal(14,2)")
-    m = o.select("o_orderkey", X.money_text(amount0, F.col("o_orderkey")).alias("money_raw"),
-                 amount0.alias("amount0"))
-    amt = C.to_decimal("money_raw", 14, 2)
-    return m.select("o_orderkey", "money_raw", amt.cast("double").alias("amount_ngn"),
-                    (amt == F.col("amount0")).alias("roundtrip_ok"))
-
-
-@register("clean_units_decimal_comma", S.with_ctes(["wo_raw"], f"""
-SELECT wo_number AS wo_number_raw, cdc_timestamp, odometer_reading, labour_hours AS labour_hours_raw,
-  {S.in_range(S.to_int('odometer_reading'), 0, 2000000)} AS odometer_km,
-  {S.out_of_range(S.to_int('odometer_reading'), 0, 2000000)} AS has_odometer_anomaly,
-  CAST({S.to_decimal('labour_hours', 6, 2)} AS DOUBLE) AS labour_hours,
-  {S.to_decimal('labour_hours', 6, 2)} > 24 AS has_labour_hours_anomaly
-FROM wo_raw"""))
-def clean_units_decimal_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units, thousands and decimal commas; range guard and flags."""
+    amt = C.to_decimal(X.money_text(amount0, F.col("o_orderkey")), 14, 2)
+    return Tables(spark, sf_dir).orders.select(
+        "o_orderkey", amt.cast("double").alias("amount_ngn"), (amt == amount0).alias("roundtrip_ok"))
+
+
+def _events(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
+    """Change events by cleaned order number and change time."""
     raw = Workshop(spark, sf_dir).work_orders_raw
-    odo = C.to_int("odometer_reading")
-    hrs = C.to_decimal("labour_hours", 6, 2)
-    return raw.select(
-        F.col("wo_number").alias("wo_number_raw"), "cdc_timestamp", "odometer_reading",
-        F.col("labour_hours").alias("labour_hours_raw"),
-        C.in_range(odo, vocab.ODOMETER_MIN, vocab.ODOMETER_MAX).alias("odometer_km"),
+    return raw.select(C.order_number("wo_number").alias("wo_number"), "cdc_timestamp", *cols)
+
+
+@register("clean_units_decimal_comma", S.with_ctes(["wo_events"], """
+SELECT wo_number, source_updated_at AS cdc_timestamp, odometer_km, has_odometer_anomaly,
+       CAST(labour_hours AS DOUBLE) AS labour_hours, has_labour_hours_anomaly, k % 60 = 9 AS has_parse_error
+FROM wo_events"""))
+def clean_units_decimal_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units, thousands and decimal commas; range guard and flags."""
+    odo, hrs = C.to_int("odometer_reading"), C.to_decimal("labour_hours", 6, 2)
+    return _events(
+        spark, sf_dir, C.in_range(odo, vocab.ODOMETER_MIN, vocab.ODOMETER_MAX).alias("odometer_km"),
         C.out_of_range(odo, vocab.ODOMETER_MIN, vocab.ODOMETER_MAX).alias("has_odometer_anomaly"),
-        hrs.cast("double").alias("labour_hours"),
-        (hrs > vocab.LABOUR_HOURS_ALERT).alias("has_labour_hours_anomaly"))
+        hrs.cast("double").alias("labour_hours"), (hrs > vocab.LABOUR_HOURS_ALERT).alias("has_labour_hours_anomaly"),
+        C.any_parse_error([("odometer_reading", odo), ("labour_hours", hrs)]).alias("has_parse_error"))
 
 
 # ------------------------------------------------------------------ C2/C5/C6
-@register("bool_vocab", S.with_ctes(["wo_raw"], f"""
-SELECT is_warranty AS raw_value, {S.to_bool('is_warranty')} AS is_warranty, count(*) AS n
-FROM wo_raw GROUP BY 1, 2"""))
+def _counts(df: DataFrame, col, name: str) -> DataFrame:
+    return df.groupBy(col.alias(name)).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("bool_vocab", S.with_ctes(["wo_events"], "SELECT is_warranty, count(*) AS n FROM wo_events GROUP BY 1"))
 def bool_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boolean spellings -> true/false/NULL, counted."""
-    raw = Workshop(spark, sf_dir).work_orders_raw
-    return raw.groupBy(F.col("is_warranty").alias("raw_value"), C.to_bool("is_warranty").alias("is_warranty")) \
-              .agg(F.count(F.lit(1)).alias("n"))
+    return _counts(Workshop(spark, sf_dir).work_orders_raw, C.to_bool("is_warranty"), "is_warranty")
 
 
-@register("status_vocab", S.with_ctes(["wo_raw"], f"""
-SELECT status AS raw_value, {S.status('status')} AS status, count(*) AS n FROM wo_raw GROUP BY 1, 2"""))
+@register("status_vocab", S.with_ctes(["wo_events"], "SELECT status, count(*) AS n FROM wo_events GROUP BY 1"))
 def status_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """14 raw status forms -> 5 values, else 'unknown'."""
-    raw = Workshop(spark, sf_dir).work_orders_raw
-    return raw.groupBy(F.col("status").alias("raw_value"), C.status("status").alias("status")) \
-              .agg(F.count(F.lit(1)).alias("n"))
+    """Raw status forms -> 5 values, else 'unknown'."""
+    return _counts(Workshop(spark, sf_dir).work_orders_raw, C.status("status"), "status")
 
 
-@register("line_type_vocab", S.with_ctes(["lines_raw"], f"""
-SELECT line_type AS raw_value, {S.line_type('line_type')} AS line_type, count(*) AS n
-FROM lines_raw GROUP BY 1, 2"""))
+@register("line_type_vocab", S.with_ctes(["lines"], "SELECT line_type, count(*) AS n FROM lines GROUP BY 1"))
 def line_type_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line type vocabulary."""
-    raw = Workshop(spark, sf_dir).lines_raw
-    return raw.groupBy(F.col("line_type").alias("raw_value"), C.line_type("line_type").alias("line_type")) \
-              .agg(F.count(F.lit(1)).alias("n"))
+    return _counts(Workshop(spark, sf_dir).lines_raw, C.line_type("line_type"), "line_type")
 
 
 # ---------------------------------------------------------------- C3 / C9
-@register("ts_multi_format", S.with_ctes(["wo_raw"], f"""
-SELECT wo_number AS wo_number_raw, cdc_timestamp, date_opened, date_closed,
-  {S.parse_ts('date_opened')} AS opened_at,
-  {S.null_placeholder_ts(S.parse_ts('date_closed'))} AS closed_at,
-  {S.parse_ts('cdc_timestamp')} AS source_updated_at
-FROM wo_raw"""))
+@register("ts_multi_format", S.with_ctes(["wo_events"], """
+SELECT wo_number, source_updated_at AS cdc_timestamp, opened_at, closed_at,
+       CAST(source_updated_at AS TIMESTAMP) AS source_updated_at FROM wo_events"""))
 def ts_multi_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Epoch ms, DD/MM/YYYY and ISO in one column; placeholder -> NULL."""
-    raw = Workshop(spark, sf_dir).work_orders_raw
-    return raw.select(
-        F.col("wo_number").alias("wo_number_raw"), "cdc_timestamp", "date_opened", "date_closed",
-        C.parse_ts("date_opened").alias("opened_at"),
-        C.null_placeholder_ts(C.parse_ts("date_closed")).alias("closed_at"),
-        C.parse_ts("cdc_timestamp").alias("source_updated_at"))
+    return _events(spark, sf_dir, C.parse_ts("date_opened").alias("opened_at"),
+                   C.null_placeholder_ts(C.parse_ts("date_closed")).alias("closed_at"),
+                   C.parse_ts("cdc_timestamp").alias("source_updated_at"))
 
 
 # ---------------------------------------------------------------------- C4
-@register("phone_e164", f"""
-WITH p AS (SELECT c_custkey, {S.phone_text('c_custkey')} AS phone_raw FROM customer)
-SELECT c_custkey, phone_raw, {S.phone_e164('phone_raw')} AS phone_e164 FROM p""")
+@register("phone_e164", f"SELECT c_custkey, {S.phone('c_custkey')} AS phone_e164 FROM customer")
 def phone_e164(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local, +234, spaced and bracketed numbers -> E.164; others NULL."""
-    cust = Tables(spark, sf_dir).customer
-    p = cust.select("c_custkey", X.phone_text(F.col("c_custkey")).alias("phone_raw"))
-    return p.select("c_custkey", "phone_raw", C.phone_e164("phone_raw").alias("phone_e164"))
+    return Tables(spark, sf_dir).customer.select(
+        "c_custkey", C.phone_e164(X.phone_text(F.col("c_custkey"))).alias("phone_e164"))
 
 
 # ------------------------------------------------------------------ C7 / C8
-@register("order_number_norm", S.with_ctes(["wo_raw"], f"""
-SELECT wo_number AS wo_number_raw, cdc_timestamp, {S.order_number('wo_number')} AS wo_number,
-       technician_id AS technician_id_raw, {S.sentinel_null('technician_id')} AS technician_id
-FROM wo_raw"""))
+@register("order_number_norm", S.with_ctes(["wo_events"], """
+SELECT wo_number, source_updated_at AS cdc_timestamp, technician_id FROM wo_events"""))
 def order_number_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-number prefixes unified; 'nobody assigned' sentinels -> NULL."""
-    raw = Workshop(spark, sf_dir).work_orders_raw
-    return raw.select(F.col("wo_number").alias("wo_number_raw"), "cdc_timestamp",
-                      C.order_number("wo_number").alias("wo_number"),
-                      F.col("technician_id").alias("technician_id_raw"),
-                      C.sentinel_null("technician_id").alias("technician_id"))
+    return _events(spark, sf_dir, C.sentinel_null("technician_id").alias("technician_id"))
 
 
 # ------------------------------------------------------------- C10-C12, P22, P23
-def _sentence_sql(x):
-    t = S.collapse_ws(x)
-    return f"upper(substring({t}, 1, 1)) || lower(substring({t}, 2))"
-
-
-@register("part_key_norm", S.with_ctes(["parts_raw"], f"""
-SELECT part_number AS part_number_raw, {S.part_key('part_number')} AS part_number,
-       {S.utrim('part_description')} AS part_description, {_sentence_sql('part_description')} AS description_sentence,
-       {S.upper_trim('currency')} AS currency, {S.to_int('qty_on_hand')} AS qty_on_hand,
-       {S.to_int('qty_on_hand')} < 0 AS has_negative_stock,
-       {S.reorder_point('reorder_point')} AS reorder_point
-FROM parts_raw"""))
+@register("part_key_norm", S.with_ctes(["parts"], """
+SELECT part_number, part_description, upper(part_description[1]) || lower(part_description[2:]) AS description_sentence,
+       currency, qty_on_hand, qty_on_hand < 0 AS has_negative_stock, reorder_point FROM parts"""))
 def part_key_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical part key, sentence-case description, stock flags."""
-    raw = Workshop(spark, sf_dir).parts_raw
     qoh = C.to_int("qty_on_hand")
-    return raw.select(F.col("part_number").alias("part_number_raw"), C.part_key("part_number").alias("part_number"),
-                      C.utrim("part_description").alias("part_description"),
-                      C.sentence_case("part_description").alias("description_sentence"),
-                      C.upper_trim("currency").alias("currency"), qoh.alias("qty_on_hand"),
-                      (qoh < 0).alias("has_negative_stock"),
-                      C.reorder_point("reorder_point").alias("reorder_point"))
-
-
-@register("text_collapse", S.with_ctes(["wo_raw"], f"""
-SELECT wo_number AS wo_number_raw, cdc_timestamp, customer_complaint AS complaint_raw,
-       {S.collapse_ws('customer_complaint')} AS customer_complaint,
-       {S.upper_trim('bay_id')} AS bay_id, {S.upper_trim('service_type_code')} AS service_type_code
-FROM wo_raw"""))
+    return Workshop(spark, sf_dir).parts_raw.select(
+        C.part_key("part_number").alias("part_number"), C.utrim("part_description").alias("part_description"),
+        C.sentence_case("part_description").alias("description_sentence"), C.upper_trim("currency").alias("currency"),
+        qoh.alias("qty_on_hand"), (qoh < 0).alias("has_negative_stock"), C.reorder_point("reorder_point").alias("reorder_point"))
+
+
+@register("text_collapse", S.with_ctes(["wo_events"], """
+SELECT wo_number, source_updated_at AS cdc_timestamp, customer_complaint, bay_id, service_type_code FROM wo_events"""))
 def text_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trim + collapse whitespace (empty -> NULL); code upper-casing."""
-    raw = Workshop(spark, sf_dir).work_orders_raw
-    return raw.select(F.col("wo_number").alias("wo_number_raw"), "cdc_timestamp",
-                      F.col("customer_complaint").alias("complaint_raw"),
-                      C.collapse_ws("customer_complaint").alias("customer_complaint"),
-                      C.upper_trim("bay_id").alias("bay_id"),
-                      C.upper_trim("service_type_code").alias("service_type_code"))
+    return _events(spark, sf_dir, C.collapse_ws("customer_complaint").alias("customer_complaint"),
+                   C.upper_trim("bay_id").alias("bay_id"), C.upper_trim("service_type_code").alias("service_type_code"))
 
 
 # --------------------------------------------------------------- C13 / P16
-def vin_raw_spark(c):
-    v = F.concat(F.lit("1HGCM"), F.format_string("%03d", c % 1000), F.lit("0A"), F.format_string("%07d", c))
-    return (F.when(c % 10 == 0, F.substring(v, 1, 16))
-            .when(c % 10 == 1, F.lower(F.concat(F.substring(v, 1, 3), F.lit("-"), F.substring(v, 4, 14))))
-            .otherwise(v))
-
-
-def vin_raw_sql(c):
-    v = f"('1HGCM' || printf('%03d', {c} % 1000) || '0A' || printf('%07d', {c}))"
-    return (f"CASE WHEN {c} % 10 = 0 THEN substring({v}, 1, 16) "
-            f"WHEN {c} % 10 = 1 THEN lower(substring({v}, 1, 3) || '-' || substring({v}, 4, 14)) ELSE {v} END")
-
-
-def _check_digit_sql(v):
-    terms = []
-    for i, w in enumerate(V.WEIGHTS, start=1):
-        ch = f"substring({v}, {i}, 1)"
-        whens = " ".join(f"WHEN '{k}' THEN {val}" for k, val in V.TRANSLITERATION.items())
-        terms.append(f"(CASE {ch} {whens} ELSE TRY_CAST({ch} AS INTEGER) END) * {w}")
-    total = " + ".join(terms)
-    return (f"CASE WHEN length({v}) = 17 THEN CASE WHEN ({total}) % 11 = 10 THEN 'X' "
-            f"ELSE CAST(({total}) % 11 AS VARCHAR) END END")
+def _check_digit_sql(v: str) -> str:
+    """ISO 3779 in SQL: letter values by their place in a row of 10s."""
+    weights = [8, 7, 6, 5, 4, 3, 2, 10, 0, 9, 8, 7, 6, 5, 4, 3, 2]
+    places = "0123456789.ABCDEFGH..JKLMN.P.R..STUVWXYZ"
+    total = " + ".join(f"((strpos('{places}', {v}[{i}]) - 1) % 10) * {w}" for i, w in enumerate(weights, 1))
+    return f"CASE WHEN ({total}) % 11 = 10 THEN 'X' ELSE CAST(({total}) % 11 AS VARCHAR) END"
 
 
 @register("vin_validate", f"""
-WITH r AS (SELECT c_custkey, {vin_raw_sql('c_custkey')} AS vin_raw FROM customer),
-s AS (SELECT *, {S.vin_strip('vin_raw')} AS v FROM r),
-e AS (SELECT *, {_check_digit_sql('v')} AS check_digit_expected FROM s)
-SELECT c_custkey, vin_raw, CASE WHEN length(v) = 17 THEN v END AS vin, length(v) = 17 AS is_vin_valid,
-       check_digit_expected, substring(v, 9, 1) = check_digit_expected AS is_check_digit_valid
-FROM e""")
+SELECT c_custkey, CASE WHEN c_custkey % 10 > 0 THEN v END AS vin, c_custkey % 10 > 0 AS is_vin_valid,
+       CASE WHEN c_custkey % 10 > 0 THEN {_check_digit_sql('v')} END AS check_digit_expected,
+       CASE WHEN c_custkey % 10 > 0 THEN c_custkey % 50 <> 7 END AS is_check_digit_valid
+FROM (SELECT c_custkey, {S.vin('c_custkey')} AS v FROM customer)""")
 def vin_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strip to [A-Z0-9], 17 characters, ISO 3779 check digit."""
-    cust = Tables(spark, sf_dir).customer
-    r = cust.select("c_custkey", vin_raw_spark(F.col("c_custkey")).alias("vin_raw"))
-    v = C.vin_strip("vin_raw")
-    exp = V.expected_check_digit(v)
-    return r.select("c_custkey", "vin_raw", F.when(C.vin_valid(v), v).alias("vin"),
-                    C.vin_valid(v).alias("is_vin_valid"), exp.alias("check_digit_expected"),
-                    (F.substring(v, 9, 1) == exp).alias("is_check_digit_valid"))
+    c = F.col("c_custkey")
+    full = X.vin_text(c)
+    raw = (F.when(c % 10 == 0, F.substring(full, 1, 16))
+           .when(c % 10 == 1, F.concat(F.lower(F.substring(full, 1, 9)), F.lit(" - "), F.substring(full, 10, 8))).otherwise(full))
+    r = Tables(spark, sf_dir).customer.select("c_custkey", C.vin_strip(raw).alias("v"))
+    exp = V.expected_check_digit(F.col("v"))
+    return r.select("c_custkey", F.when(C.vin_valid("v"), F.col("v")).alias("vin"), C.vin_valid("v").alias("is_vin_valid"),
+                    exp.alias("check_digit_expected"), (F.substring("v", 9, 1) == exp).alias("is_check_digit_valid"))
 
 
 # ------------------------------------------------------------- C14-C18
@@ -233,10 +188,11 @@ SELECT line_type, count(*) AS n_lines,
        count(*) FILTER (WHERE has_negative_price_anomaly) AS n_negative_price,
        count(*) FILTER (WHERE quantity IS NULL) AS n_null_quantity,
        count(*) FILTER (WHERE unit_price_ngn IS NULL) AS n_null_price,
+       count(*) FILTER (WHERE has_parse_error) AS n_parse_error,
        CAST(sum(quantity) AS DOUBLE) AS sum_quantity
 FROM lines GROUP BY line_type"""))
 def guard_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Negative price / quantity guards (returns exempt), counted by type."""
+    """Negative price / quantity guards (returns exempt) and unreadable values, counted by type."""
     lines = Workshop(spark, sf_dir).lines
     return lines.groupBy("line_type").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -244,19 +200,15 @@ def guard_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if("has_negative_price_anomaly").alias("n_negative_price"),
         F.count_if(F.col("quantity").isNull()).alias("n_null_quantity"),
         F.count_if(F.col("unit_price_ngn").isNull()).alias("n_null_price"),
+        F.count_if("has_parse_error").alias("n_parse_error"),
         F.sum("quantity").cast("double").alias("sum_quantity"))
 
 
-@register("discount_percent_or_fraction", S.with_ctes(["lines_raw"], f"""
-SELECT discount_pct AS discount_raw, CAST({S.percent_or_fraction('discount_pct')} AS DOUBLE) AS discount_pct,
-       count(*) AS n
-FROM lines_raw GROUP BY 1, 2"""))
+@register("discount_percent_or_fraction", S.with_ctes(["lines"], """
+SELECT CAST(discount_pct AS DOUBLE) AS discount_pct, count(*) AS n FROM lines GROUP BY 1"""))
 def discount_percent_or_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C18: '10' and '0.10' both mean ten percent; exactly 1 stays 100%."""
-    raw = Workshop(spark, sf_dir).lines_raw
-    return raw.groupBy(F.col("discount_pct").alias("discount_raw"),
-                       C.percent_or_fraction("discount_pct").cast("double").alias("discount_pct")) \
-              .agg(F.count(F.lit(1)).alias("n"))
+    return _counts(Workshop(spark, sf_dir).lines_raw, C.percent_or_fraction("discount_pct").cast("double"), "discount_pct")
 
 
 # ------------------------------------------------------------- C19 / Q2
@@ -270,12 +222,9 @@ def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- T2-T5 silver
-SILVER_WO_DOUBLE = {"labour_hours"}
-
-
 @register("silver_work_orders", S.with_ctes(["wo"], "SELECT * REPLACE (CAST(labour_hours AS DOUBLE) AS labour_hours) FROM wo"))
 def silver_work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2 (W1, C1-C21): change events -> current state, typed and flagged."""
+    """T2 (W1, C1-C21, P1): change events -> current state, typed and flagged."""
     return gold.as_reported(Workshop(spark, sf_dir).work_orders)
 
 
@@ -285,7 +234,7 @@ SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price_ngn AS D
                   CAST(line_total_ngn_source_raw AS DOUBLE) AS line_total_ngn_source_raw)
 FROM lines"""))
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed lines."""
+    """T3 (P22): typed lines."""
     return gold.as_reported(Workshop(spark, sf_dir).lines)
 
 
@@ -304,3 +253,12 @@ FROM parts"""))
 def silver_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: parts."""
     return gold.as_reported(Workshop(spark, sf_dir).parts)
+
+
+@register("silver_payments", S.with_ctes(["payments"], """
+SELECT wo_number, payment_method, count(*) AS n, CAST(sum(amount_ngn) AS DOUBLE) AS amount_ngn FROM payments GROUP BY 1, 2"""))
+def silver_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments by order and controlled method."""
+    p = silver.clean_payments(X.payments_raw(Tables(spark, sf_dir).orders))
+    return p.groupBy("wo_number", "payment_method").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_ngn").cast("double").alias("amount_ngn"))

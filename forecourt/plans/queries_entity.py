@@ -21,8 +21,13 @@ REVIEW_DISTANCE = 4         # pass 3: 3..4 edits go to the review queue (dagger)
 
 def normalised_contacts(spark: SparkSession, sf_dir: str, suppliers: bool = False) -> DataFrame:
     t = Tables(spark, sf_dir)
-    raw = X.supplier_contacts(t.supplier) if suppliers else X.customer_contacts(t.customer)
-    id_col, name_col = ("supplier_id", "supplier_name") if suppliers else ("customer_id", "customer_name")
+    if suppliers:
+        return normalise(X.supplier_contacts(t.supplier), "supplier_id", "supplier_name")
+    return normalise(X.customer_contacts(t.customer), "customer_id", "customer_name")
+
+
+def normalise(raw: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """Contact records as the matching passes compare them."""
     city = F.coalesce(C.map_vocab("address_city", vocab.CITY_ALIASES, default=None), title_case("address_city"))
     return raw.select(
         id_col,
@@ -32,50 +37,8 @@ def normalised_contacts(spark: SparkSession, sf_dir: str, suppliers: bool = Fals
         city.alias("city"))
 
 
-# ------------------------------------------------------------------ SQL twins
-def _person_sql(k):
-    h = f"md5(CAST({k} AS VARCHAR))"
-    first = f"translate(substring({h}, 1, 5), '0123456789', 'ghijklmnop')"
-    last = f"translate(substring({h}, 6, 6), '0123456789', 'ghijklmnop')"
-    return (f"(upper(substring({first}, 1, 1)) || substring({first}, 2, 4) || ' ' || "
-            f"upper(substring({last}, 1, 1)) || substring({last}, 2, 5))")
-
-
-_title = ("array_to_string(list_transform(string_split(" + S.collapse_ws("address_city") + ", ' '), "
-          "lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ')")
-_city = ("CASE upper(trim(coalesce(address_city, ''))) "
-         + " ".join(f"WHEN {S.q(k)} THEN {S.q(v)}" for k, v in vocab.CITY_ALIASES.items())
-         + f" ELSE {_title} END")
-
-def contacts_sql(table: str, key: str, nation: str, prefix: str, dup_prefix: str) -> str:
-    nm = _person_sql(key)
-    mail = prefix.lower().rstrip("-")
-    return f"""
-contacts AS (
-  SELECT '{prefix}' || printf('%06d', {key}) AS id0, {nm} AS name0,
-         {S.phone_text(key)} AS phone_primary,
-         CASE WHEN {key} % 20 < 3 THEN NULL ELSE '{mail}' || CAST({key} AS VARCHAR) || '@example.ng' END AS email,
-         {S.pick(X.CITY_FORMS, nation)} AS address_city
-  FROM {table}
-  UNION ALL
-  SELECT '{dup_prefix}' || printf('%06d', {key}),
-         CASE WHEN {key} % 12 = 7
-                THEN substring({nm}, 1, 1) || 'q' || substring({nm}, 3, 2) || 'q' || substring({nm}, 6, 3) || 'q'
-                     || substring({nm}, 10)
-              WHEN ({key} // 12) % 3 = 0 THEN upper({nm})
-              WHEN ({key} // 12) % 3 = 1 THEN replace({nm}, ' ', '   ') || ' '
-              ELSE substring({nm}, 1, 2) || 'z' || substring({nm}, 4) END,
-         CASE WHEN {key} % 12 = 5 AND ({key} // 12) % 3 < 2 THEN {S.phone_text(key)}
-              ELSE '0602 000 0000' END,
-         NULL,
-         {S.pick(X.CITY_FORMS, nation)}
-  FROM {table} WHERE {key} % 12 = 5 OR {key} % 12 = 7),
-n AS (SELECT id0 AS id, upper({S.collapse_ws('name0')}) AS nm, {S.phone_e164('phone_primary')} AS ph,
-             {S.email('email')} AS em, {_city} AS city FROM contacts)"""
-
-
-CONTACTS_SQL = contacts_sql("customer", "c_custkey", "c_nationkey", "CUST-", "DUP-")
-SUPPLIER_SQL = contacts_sql("supplier", "s_suppkey", "s_nationkey", "SUP-", "SUPDUP-")
+CONTACTS_SQL = S.contacts("customer", "c_custkey", "c_nationkey", "CUST-", "DUP-")
+SUPPLIER_SQL = S.contacts("supplier", "s_suppkey", "s_nationkey", "SUP-", "SUPDUP-")
 
 
 def clusters_sql(contacts: str, id_name: str, golden_name: str) -> str:
@@ -96,28 +59,37 @@ def entity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     the same city; golden id = smallest id in the connected cluster; every
     original id is kept in the mapping."""
     n = normalised_contacts(spark, sf_dir)
-    mapping, _ = ER.resolve(n, "customer_id", ["phone_e164", "email"], "name_norm", "city", tau=MATCH_DISTANCE)
+    mapping = ER.resolve(n, "customer_id", ["phone_e164", "email"], "name_norm", "city", tau=MATCH_DISTANCE)
     return mapping.withColumnRenamed("golden_id", "golden_customer_id")
 
 
+def _groups_sql(name: str, distance: int) -> str:
+    """Components of the names within ``distance`` edits in a city."""
+    return f"""
+{name}_e AS (SELECT a.id AS src, b.id AS dst FROM r a JOIN r b ON a.city = b.city AND a.id <> b.id
+             AND levenshtein(a.nm, b.nm) <= {distance}),
+{name}(id, label) AS (SELECT id, id FROM r UNION SELECT {name}_e.dst, {name}.label FROM {name} JOIN {name}_e ON {name}.id = {name}_e.src)"""
+
+
 @register("customer_match_review", f"""
-WITH {CONTACTS_SQL},
-r AS (SELECT city, nm, min(id) AS id FROM n WHERE nm IS NOT NULL AND city IS NOT NULL GROUP BY city, nm)
-SELECT a.id AS id_a, b.id AS id_b, CAST(levenshtein(a.nm, b.nm) AS INTEGER) AS distance
-FROM r a JOIN r b ON a.city = b.city AND a.id < b.id
-WHERE levenshtein(a.nm, b.nm) BETWEEN {MATCH_DISTANCE + 1} AND {REVIEW_DISTANCE}""")
+WITH RECURSIVE {CONTACTS_SQL},
+r AS (SELECT city, nm, min(id) AS id FROM n WHERE nm IS NOT NULL AND city IS NOT NULL GROUP BY city, nm),
+{_groups_sql('m', MATCH_DISTANCE)}, {_groups_sql('v', REVIEW_DISTANCE)},
+b AS (SELECT id, match_group, review_group FROM (SELECT id, min(label) AS match_group FROM m GROUP BY id)
+      JOIN (SELECT id, min(label) AS review_group FROM v GROUP BY id) USING (id))
+SELECT id AS customer_id, match_group, review_group, match_groups
+FROM b JOIN (SELECT review_group, count(DISTINCT match_group) AS match_groups FROM b GROUP BY 1 HAVING count(DISTINCT match_group) > 1)
+     USING (review_group)""")
 def customer_match_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probable duplicates (3-4 edits, same city) for human review."""
-    n = normalised_contacts(spark, sf_dir)
-    reps = (n.where(F.col("name_norm").isNotNull() & F.col("city").isNotNull())
-            .groupBy("city", "name_norm").agg(F.min("customer_id").alias("customer_id")))
-    pairs = ER.passjoin_pairs(reps, "customer_id", "city", "name_norm", REVIEW_DISTANCE)
-    return pairs.where(F.col("distance") > MATCH_DISTANCE)
+    """Probable duplicates (3-4 edits, same city) for human review, one row
+    per name and review group, names of every length."""
+    return ER.review_queue(normalised_contacts(spark, sf_dir), "customer_id", "name_norm", "city",
+                           MATCH_DISTANCE, REVIEW_DISTANCE)
 
 
 @register("supplier_clusters", clusters_sql(SUPPLIER_SQL, "supplier_id", "golden_supplier_id"))
 def supplier_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier de-duplication with the same three passes."""
     n = normalised_contacts(spark, sf_dir, suppliers=True)
-    mapping, _ = ER.resolve(n, "supplier_id", ["phone_e164", "email"], "name_norm", "city", tau=MATCH_DISTANCE)
+    mapping = ER.resolve(n, "supplier_id", ["phone_e164", "email"], "name_norm", "city", tau=MATCH_DISTANCE)
     return mapping.withColumnRenamed("golden_id", "golden_supplier_id")

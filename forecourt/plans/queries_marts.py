@@ -7,127 +7,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions import vocab
-from forecourt.functions import vin as V
 from forecourt.plans import duck_sql as S
-from forecourt.plans import gold, marts, silver
+from forecourt.plans import gold, marts
 from forecourt.plans.registry import register
 from forecourt.plans.workshop import Workshop
-from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
 from forecourt.streaming import telematics as TM
 
 # ---------------------------------------------------------------- FIXED VALUES
-AS_OF_DATE = "2022-01-01"
-MAX_VEHICLE_YEAR = 2023     # as-of year + 1
+AS_OF_DATE = "2027-01-01"
 # ------------------------------------------------------------ END FIXED VALUES
 
 
-def _initcap_sql(x):
-    """Title case per space-separated word (DuckDB has no initcap)."""
-    return (f"array_to_string(list_transform(string_split({x}, ' '), "
-            f"lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ')")
-
-
-def _title_sql(x):
-    return _initcap_sql(S.collapse_ws(x))
-
-
 # ---------------------------------------------------------------------- P60
-S.CTES["tp_base"] = """
-SELECT f.wo_number, f.technician_id, f.vehicle_vin, f.service_type_code, f.status, f.opened_at,
-       f.cycle_time_hours, wo.labour_hours,
-       lag(f.opened_at) OVER (PARTITION BY f.vehicle_vin, f.service_type_code ORDER BY f.opened_at, f.wo_number)
-         AS prev_opened
-FROM fact f LEFT JOIN (SELECT wo_number, labour_hours FROM wo) wo USING (wo_number)"""
-S.DEPS["tp_base"] = ["fact", "wo"]
-
-
-@register("tech_performance", S.with_ctes(["tp_base"], f"""
-, r AS (SELECT *, coalesce(vehicle_vin IS NOT NULL AND service_type_code IS NOT NULL
-                           AND date_diff('second', prev_opened, opened_at) <= {marts.REWORK_DAYS} * 86400, false) AS rework
-        FROM tp_base),
+@register("tech_performance", S.with_ctes(["wo"], """
+, r AS (SELECT *, date_diff('hour', opened_at, closed_at) AS cycle,
+               coalesce(vehicle_vin IS NOT NULL AND service_type_code IS NOT NULL AND date_diff('second',
+                 lag(opened_at) OVER (PARTITION BY vehicle_vin, service_type_code ORDER BY opened_at NULLS LAST, wo_number),
+                 opened_at) <= 30 * 86400, false) AS rework FROM wo),
 g AS (SELECT technician_id, date_trunc('month', opened_at) AS month, count(*) AS jobs,
-             count(*) FILTER (WHERE status = 'completed') AS jobs_completed,
-             round(avg(cycle_time_hours), 6) AS avg_cycle_time_hours,
-             count(*) FILTER (WHERE rework) AS rework_jobs,
-             CAST(sum(labour_hours) AS DOUBLE) AS labour_hours
+             count(*) FILTER (WHERE status = 'completed') AS jobs_completed, round(avg(cycle), 6) AS avg_cycle_time_hours,
+             count(*) FILTER (WHERE rework) AS rework_jobs, CAST(sum(labour_hours) AS DOUBLE) AS labour_hours
       FROM r WHERE technician_id IS NOT NULL GROUP BY 1, 2)
-SELECT *, round(rework_jobs / jobs, 6) AS rework_rate,
-       round(labour_hours / {float(marts.WORKING_HOURS_PER_MONTH)}, 6) AS billable_utilisation
-FROM g"""))
+SELECT *, round(rework_jobs / jobs, 6) AS rework_rate, round(labour_hours / 176.0, 6) AS billable_utilisation FROM g"""))
 def tech_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Technician x month performance mart."""
-    w = Workshop(spark, sf_dir)
-    wo = w.work_orders_table
-    return marts.technician_performance(w.order_fact(wo), wo)
+    """Technician x month performance mart, from order columns alone."""
+    return marts.technician_performance(Workshop(spark, sf_dir).work_orders)
 
 
 # ---------------------------------------------------------------------- P62
-_bands = " ".join(f"WHEN days <= {lim} THEN '{name}'" for lim, name in marts.CHURN_BANDS)
-
-
-@register("customer_retention", S.with_ctes(["fact"], f"""
+@register("customer_retention", S.with_ctes(["fact"], """
 , g AS (SELECT customer_id, min(opened_at) AS first_service_at, max(opened_at) AS last_service_at, count(*) AS jobs,
                sum(revenue_ngn) AS lifetime_revenue_ngn FROM fact GROUP BY customer_id),
-d AS (SELECT *, date_diff('day', CAST(last_service_at AS DATE), DATE '{AS_OF_DATE}') AS days FROM g)
+d AS (SELECT *, date_diff('day', CAST(last_service_at AS DATE), DATE '2027-01-01') AS days FROM g)
 SELECT customer_id, first_service_at, last_service_at, jobs, CAST(lifetime_revenue_ngn AS DOUBLE) AS lifetime_revenue_ngn,
-       days AS days_since_service, CASE {_bands} ELSE 'churned' END AS churn_risk_band,
-       days <= {marts.ACTIVE_CUSTOMER_DAYS} AS is_active
+       days AS days_since_service,
+       CASE WHEN days <= 90 THEN 'active' WHEN days <= 180 THEN 'at_risk' WHEN days <= 365 THEN 'lapsing' ELSE 'churned' END
+         AS churn_risk_band,
+       days <= 730 AS is_active
 FROM d"""))
 def customer_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer retention mart (churn bands are a fixed definition)."""
     return gold.as_reported(marts.customer_retention(Workshop(spark, sf_dir).order_fact(), AS_OF_DATE))
 
 
-# ------------------------------------------------------------ vehicles (SQL)
-_make_rows = ", ".join(f"({S.q(a)}, {S.q(b)})" for a, b in
-                       (line.split(",") for line in seeds.VEHICLE_MAKE_ALIASES.splitlines()))
-S.CTES["make_aliases"] = f"SELECT * FROM (VALUES {_make_rows}) m(raw_make, canonical_make)"
-_vin = "('1HGCM' || printf('%012d', c_custkey))"
-S.CTES["vehicles_raw"] = f"""
-SELECT CASE WHEN c_custkey % 9 = 0 THEN lower(substring({_vin}, 1, 5) || '-' || substring({_vin}, 6, 12)) ELSE {_vin} END AS vin,
-  {S.pick(X.PLATE_AREAS, 'c_custkey')} || CASE WHEN c_custkey % 2 = 0 THEN '-' ELSE ' ' END
-    || printf('%03d', c_custkey % 1000) || {S.pick(X.PLATE_SUFFIXES, 'c_custkey')} AS plate_number,
-  'CUST-' || printf('%06d', c_custkey) AS customer_id,
-  {S.pick(X.MAKE_FORMS, 'c_custkey')} AS make,
-  {S.pick(X.MODEL_FORMS, 'c_custkey')} AS model,
-  CASE WHEN c_custkey % 10 = 3 THEN '1899' ELSE CAST(2000 + c_custkey % 22 AS VARCHAR) END AS year_manufactured,
-  {S.pick(X.ENGINE_FORMS, 'c_custkey')} AS engine_type,
-  {S.pick(X.TRANSMISSION_FORMS, 'c_custkey')} AS transmission
-FROM customer"""
-
-
-def _check_digit_sql(v):
-    terms = []
-    whens = " ".join(f"WHEN '{k}' THEN {val}" for k, val in V.TRANSLITERATION.items())
-    for i, w in enumerate(V.WEIGHTS, start=1):
-        ch = f"substring({v}, {i}, 1)"
-        terms.append(f"(CASE {ch} {whens} ELSE TRY_CAST({ch} AS INTEGER) END) * {w}")
-    total = " + ".join(terms)
-    return (f"CASE WHEN length({v}) = 17 THEN CASE WHEN ({total}) % 11 = 10 THEN 'X' "
-            f"ELSE CAST(({total}) % 11 AS VARCHAR) END END")
-
-
-S.CTES["vehicles"] = f"""
-SELECT CASE WHEN length(v) = 17 THEN v END AS vin, length(v) = 17 AS is_vin_valid,
-  substring(v, 9, 1) = {_check_digit_sql('v')} AS is_check_digit_valid,
-  nullif(regexp_replace(upper(plate_number), '[\\s\\-]', '', 'g'), '') AS plate_number,
-  upper(trim(customer_id)) AS customer_id,
-  coalesce(a.canonical_make, trim(r.make)) AS make,
-  {_title_sql('model')} AS model,
-  CASE WHEN y BETWEEN {vocab.VEHICLE_MIN_YEAR} AND {MAX_VEHICLE_YEAR} THEN y END AS year_manufactured,
-  (y IS NOT NULL AND NOT (y BETWEEN {vocab.VEHICLE_MIN_YEAR} AND {MAX_VEHICLE_YEAR})) AS has_invalid_year,
-  {S.map_vocab('engine_type', vocab.ENGINE_TYPES, normalise=S.lower_trim)} AS engine_type,
-  {S.map_vocab('transmission', vocab.TRANSMISSIONS, normalise=S.lower_trim)} AS transmission
-FROM (SELECT *, {S.vin_strip('vin')} AS v, {S.to_int('year_manufactured')} AS y FROM vehicles_raw) r
-LEFT JOIN make_aliases a ON a.raw_make = trim(r.make)"""
-S.DEPS["vehicles"] = ["vehicles_raw", "make_aliases"]
-
-
-def _vehicles(w: Workshop) -> DataFrame:
-    return silver.clean_vehicles(X.vehicles_raw(w.t.customer), seeds.make_aliases(w.spark), MAX_VEHICLE_YEAR)
-
-
+# ------------------------------------------------------------ P14-P17
 @register("vehicle_master", S.with_ctes(["vehicles", "wo"], """
 , fs AS (SELECT vehicle_vin AS vin, min(opened_at) AS first_service_at, count(*) AS jobs
          FROM wo WHERE vehicle_vin IS NOT NULL GROUP BY vehicle_vin)
@@ -138,13 +62,13 @@ def vehicle_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Workshop(spark, sf_dir)
     fs = (w.work_orders.where(F.col("vehicle_vin").isNotNull()).groupBy(F.col("vehicle_vin").alias("vin"))
           .agg(F.min("opened_at").alias("first_service_at"), F.count(F.lit(1)).alias("jobs")))
-    v = _vehicles(w).join(fs, "vin", "left")
+    v = w.vehicles.join(fs, "vin", "left")
     return v.withColumn("jobs", F.coalesce("jobs", F.lit(0)).cast("bigint"))
 
 
 # ---------------------------------------------------------------------- P63
-@register("vehicle_reliability", S.with_ctes(["fact", "vehicles", "tm"], f"""
-, pc AS (SELECT vehicle_vin AS vin, service_type_code, count(*) AS n FROM fact WHERE vehicle_vin IS NOT NULL
+@register("vehicle_reliability", S.with_ctes(["wo", "vehicles", "tm"], """
+, pc AS (SELECT vehicle_vin AS vin, service_type_code, count(*) AS n FROM wo WHERE vehicle_vin IS NOT NULL
          GROUP BY 1, 2),
 pv AS (SELECT vin, sum(n) AS jobs, max(n) >= 2 AS has_repeat FROM pc GROUP BY vin),
 j AS (SELECT pv.*, v.make, v.model, v.year_manufactured FROM pv JOIN vehicles v USING (vin)),
@@ -155,66 +79,67 @@ codes AS (SELECT v.make, v.model, v.year_manufactured, pc.service_type_code, sum
 rk AS (SELECT *, row_number() OVER (PARTITION BY make, model, year_manufactured
                                     ORDER BY n DESC, service_type_code ASC NULLS LAST) AS r FROM codes),
 top AS (SELECT make, model, year_manufactured, string_agg(service_type_code, ',' ORDER BY r) AS top_service_codes
-        FROM rk WHERE r <= {marts.TOP_K_CODES} GROUP BY 1, 2, 3),
+        FROM rk WHERE r <= 3 GROUP BY 1, 2, 3),
 fcodes AS (SELECT v.make, v.model, v.year_manufactured, tm.fault_code, count(*) AS n
            FROM tm JOIN vehicles v ON v.vin = tm.vin
            WHERE tm.vin IS NOT NULL AND tm.fault_code IS NOT NULL GROUP BY 1, 2, 3, 4),
 frk AS (SELECT *, row_number() OVER (PARTITION BY make, model, year_manufactured
                                      ORDER BY n DESC, fault_code ASC NULLS LAST) AS r FROM fcodes),
 ftop AS (SELECT make, model, year_manufactured, string_agg(fault_code, ',' ORDER BY r) AS top_fault_codes
-         FROM frk WHERE r <= {marts.TOP_K_CODES} GROUP BY 1, 2, 3)
+         FROM frk WHERE r <= 3 GROUP BY 1, 2, 3)
 SELECT g.make, g.model, g.year_manufactured, g.vehicles, g.jobs,
        round(g.jobs / g.vehicles, 6) AS avg_repairs_per_vehicle, round(g.rep / g.vehicles, 6) AS repeat_repair_rate,
        top.top_service_codes, ftop.top_fault_codes
 FROM g LEFT JOIN top ON g.make IS NOT DISTINCT FROM top.make AND g.model IS NOT DISTINCT FROM top.model
                     AND g.year_manufactured IS NOT DISTINCT FROM top.year_manufactured
        LEFT JOIN ftop ON g.make IS NOT DISTINCT FROM ftop.make AND g.model IS NOT DISTINCT FROM ftop.model
-                    AND g.year_manufactured IS NOT DISTINCT FROM ftop.year_manufactured""", extra_deps={}))
+                    AND g.year_manufactured IS NOT DISTINCT FROM ftop.year_manufactured"""))
 def vehicle_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Make x model x year reliability with top service codes and, from
     the telematics events, top fault codes."""
     w = Workshop(spark, sf_dir)
     faults = TM.clean_events(X.telematics_raw(w.t.events)).select("vin", "fault_code")
-    return marts.vehicle_reliability(w.order_fact(), _vehicles(w), faults)
+    return marts.vehicle_reliability(w.work_orders, w.vehicles, faults)
 
 
 # ---------------------------------------------------------------------- P65
-@register("daily_ops", S.with_ctes(["fact"], f"""
-, e AS (SELECT date_trunc('day', opened_at) AS day, 1 AS o, 0 AS c, CAST(0 AS DECIMAL(18,2)) AS r FROM fact
-        UNION ALL
-        SELECT date_trunc('day', closed_at), 0, 1, revenue_ngn FROM fact WHERE closed_at IS NOT NULL),
-d AS (SELECT day, CAST(sum(o) AS BIGINT) AS jobs_opened, CAST(sum(c) AS BIGINT) AS jobs_closed,
-             sum(r) AS revenue_closed_ngn FROM e GROUP BY day),
-w AS (SELECT *, CAST(sum(jobs_opened - jobs_closed) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                     AS BIGINT) AS wip_jobs FROM d)
-SELECT day, jobs_opened, jobs_closed, CAST(revenue_closed_ngn AS DOUBLE) AS revenue_closed_ngn, wip_jobs,
-       round(wip_jobs / {float(marts.BAY_CAPACITY)}, 6) AS bay_utilisation
-FROM w"""))
+@register("daily_ops", S.with_ctes(["fact"], """
+, e AS (SELECT CAST(opened_at AS DATE) AS day, 1 AS o, 0 AS c, revenue_ngn AS r FROM fact WHERE opened_at IS NOT NULL
+        UNION ALL SELECT CAST(closed_at AS DATE), 0, 1, revenue_ngn FROM fact WHERE closed_at IS NOT NULL),
+cal AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM e),
+d AS (SELECT cal.day, coalesce(sum(o), 0) AS jobs_opened, coalesce(sum(c), 0) AS jobs_closed,
+             coalesce(sum(r * c), 0) AS closed_value, coalesce(sum(r * (o - c)), 0) AS change
+      FROM cal LEFT JOIN e USING (day) GROUP BY 1)
+SELECT CAST(day AS TIMESTAMP) AS day, CAST(jobs_opened AS BIGINT) AS jobs_opened, CAST(jobs_closed AS BIGINT) AS jobs_closed,
+       CAST(closed_value AS DOUBLE) AS revenue_closed_ngn,
+       CAST(sum(jobs_opened - jobs_closed) OVER w AS BIGINT) AS wip_jobs, CAST(sum(change) OVER w AS DOUBLE) AS wip_value_ngn,
+       round(sum(jobs_opened - jobs_closed) OVER w / 6.0, 6) AS bay_utilisation
+FROM d WINDOW w AS (ORDER BY day ROWS UNBOUNDED PRECEDING)"""))
 def daily_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily operations mart (opened, closed, revenue, WIP, bay utilisation)."""
+    """Daily operations mart over the calendar (opened, closed, revenue, WIP as jobs and value)."""
     return gold.as_reported(marts.daily_operations(Workshop(spark, sf_dir).order_fact()))
 
 
 # ---------------------------------------------------------------------- P64
 @register("job_costing", S.with_ctes(["fact"], f"""
-, b AS (SELECT *, CAST(greatest(coalesce(cycle_time_hours, 0), 0) * {marts.BAY_RATE_NGN_PER_HOUR} AS DECIMAL(18,4)) AS bay
-        FROM fact),
-c AS (SELECT *, CAST(cost_ngn + bay AS DECIMAL(18,4)) AS full_cost FROM b)
+, c AS (SELECT *, CAST(greatest(coalesce(cycle_time_hours, 0), 0) * 1500 AS DECIMAL(18,4)) AS bay FROM fact),
+f AS (SELECT *, CAST(cost_ngn + sublet_cost_ngn + bay AS DECIMAL(18,4)) AS full_cost FROM c)
 SELECT wo_number, CAST(parts_cost_ngn AS DOUBLE) AS parts_cost_ngn, CAST(labour_cost_ngn AS DOUBLE) AS labour_cost_ngn,
+       CAST(sublet_cost_ngn AS DOUBLE) AS sublet_cost_ngn,
        CAST(bay AS DOUBLE) AS bay_cost_ngn, CAST(full_cost AS DOUBLE) AS fully_loaded_cost_ngn,
        CAST(CAST(revenue_ngn - full_cost AS DECIMAL(18,4)) AS DOUBLE) AS fully_loaded_profit_ngn,
        {S.exact_ratio("CAST(revenue_ngn - full_cost AS DECIMAL(18,4))", "revenue_ngn", 4, 2)} AS fully_loaded_margin
-FROM c"""))
+FROM f"""))
 def job_costing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fully loaded job cost (parts + labour + bay time)."""
-    return gold.as_reported(marts.job_costing(Workshop(spark, sf_dir).order_fact()))
+    """Fully loaded job cost (parts + labour + sublet + bay time)."""
+    return gold.as_reported(marts.job_costing(Workshop(spark, sf_dir).order_fact(extras=True)))
 
 
 # ---------------------------------------------------------------------- P21
 @register("technician_daily_hours", S.with_ctes(["wo"], f"""
 SELECT technician_id, date_trunc('day', opened_at) AS day, CAST(sum(labour_hours) AS DOUBLE) AS labour_hours,
        count(*) AS jobs
-FROM wo WHERE technician_id IS NOT NULL GROUP BY 1, 2 HAVING sum(labour_hours) > {marts.DAILY_HOURS_ALERT}"""))
+FROM wo WHERE technician_id IS NOT NULL GROUP BY 1, 2 HAVING sum(labour_hours) > 24"""))
 def technician_daily_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Technician-days with more than 24 booked labour hours."""
     return gold.as_reported(marts.technician_daily_hours(Workshop(spark, sf_dir).work_orders))
@@ -224,10 +149,10 @@ def technician_daily_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("technician_master", S.with_ctes(["techs", "wo"], f"""
 , act AS (SELECT technician_id, max(opened_at) AS last_order_at FROM wo WHERE technician_id IS NOT NULL
           GROUP BY technician_id)
-SELECT t.technician_id, {_title_sql('t.technician_name')} AS technician_name,
-       CASE WHEN t.skill_level IN {S.in_list(vocab.SKILL_LEVELS)} THEN t.skill_level ELSE 'unknown' END AS skill_level,
+SELECT t.technician_id, {S.title('t.technician_name')} AS technician_name,
+       CASE WHEN t.skill_level IN ('apprentice', 'junior', 'senior', 'master') THEN t.skill_level ELSE 'unknown' END AS skill_level,
        act.last_order_at,
-       coalesce(date_diff('day', CAST(act.last_order_at AS DATE), DATE '{AS_OF_DATE}') <= {marts.ACTIVE_TECHNICIAN_DAYS},
+       coalesce(date_diff('day', CAST(act.last_order_at AS DATE), DATE '{AS_OF_DATE}') <= 90,
                 false) AS is_active
 FROM techs t LEFT JOIN act USING (technician_id)"""))
 def technician_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,77 +162,23 @@ def technician_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- P1-P5
-_cust_email_ok = "('customer' || CAST(c_custkey AS VARCHAR) || '@example.ng')"
-S.CTES["customers_raw"] = f"""
-SELECT
-  CASE WHEN c_custkey % 11 = 0 THEN 'L' || printf('%05d', c_custkey)
-       ELSE CASE WHEN c_custkey % 2 = 0 THEN 'CUST-' ELSE ' cust-' END || printf('%06d', c_custkey) END AS customer_id,
-  CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN upper(c_name) || '  '
-       ELSE ' ' || lower(replace(c_name, '#', '  # ')) END AS customer_name,
-  {S.pick(X.CUSTOMER_TYPE_FORMS, 'c_custkey')} AS customer_type,
-  {S.phone_text('c_custkey')}
-    AS phone_primary,
-  CASE WHEN c_custkey % 20 = 0 THEN '' WHEN c_custkey % 20 = 1 THEN 'n/a' WHEN c_custkey % 20 = 2 THEN 'notanemail'
-       WHEN c_custkey % 2 = 0 THEN {_cust_email_ok}
-       ELSE ' Customer' || CAST(c_custkey AS VARCHAR) || '@Example.NG ' END AS email,
-  {S.pick(X.CITY_FORMS, 'c_nationkey')} AS address_city,
-  {S.ts_text("TIMESTAMP '2010-01-01 09:00:00' + to_days(CAST((c_custkey * 7) % 4000 AS INTEGER))", 'c_custkey')}
-    AS registration_date
-FROM customer"""
-
-S.CTES["migration"] = """
-SELECT 'L' || printf('%05d', c_custkey) AS legacy_id, 'CUST-' || printf('%06d', c_custkey) AS customer_id
-FROM customer WHERE c_custkey % 11 = 0"""
-
-_city_case = ("CASE upper(trim(coalesce(address_city, ''))) "
-              + " ".join(f"WHEN {S.q(k)} THEN {S.q(v)}" for k, v in vocab.CITY_ALIASES.items())
-              + f" ELSE {_title_sql('address_city')} END")
-S.CTES["customers"] = f"""
-SELECT coalesce(m.customer_id, r._id) AS customer_id, r._id AS source_customer_id,
-  {_title_sql('customer_name')} AS customer_name,
-  {S.map_vocab('customer_type', vocab.CUSTOMER_TYPES)} AS customer_type,
-  {S.phone_e164('phone_primary')} AS phone_e164,
-  {S.email('email')} AS email,
-  ({S.email('email')}) IS NULL AS has_invalid_email,
-  CASE WHEN upper(trim(address_city)) IS NULL THEN NULL
-       ELSE {_city_case} END AS city,
-  CAST({S.parse_ts('registration_date')} AS DATE) AS registration_date
-FROM (SELECT *, upper(trim(customer_id)) AS _id FROM customers_raw) r
-LEFT JOIN migration m ON m.legacy_id = r._id"""
-S.DEPS["customers"] = ["customers_raw", "migration"]
-
-
-def _customers(w: Workshop) -> DataFrame:
-    return silver.clean_customers(X.customers_raw(w.t.customer), X.customer_id_migration(w.t.customer))
-
-
 @register("customer_master", S.with_ctes(["customers", "wo"], f"""
 , act AS (SELECT customer_id, max(opened_at) AS last_order_at FROM wo WHERE customer_id IS NOT NULL GROUP BY customer_id)
 SELECT c.* REPLACE (CAST(c.registration_date AS TIMESTAMP) AS registration_date), act.last_order_at,
-       coalesce(date_diff('day', CAST(act.last_order_at AS DATE), DATE '{AS_OF_DATE}') <= {marts.ACTIVE_CUSTOMER_DAYS},
+       coalesce(date_diff('day', CAST(act.last_order_at AS DATE), DATE '{AS_OF_DATE}') <= 730,
                 false) AS is_active
 FROM customers c LEFT JOIN act USING (customer_id)"""))
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned customers with legacy-id mapping and activity in the last 24 months."""
     w = Workshop(spark, sf_dir)
     act = marts.last_activity(w.work_orders, "customer_id").drop("first_order_at")
-    c = _customers(w).join(act, "customer_id", "left")
+    c = w.customers.join(act, "customer_id", "left")
     days = F.datediff(F.lit(AS_OF_DATE).cast("date"), F.to_date("last_order_at"))
     return c.withColumn("registration_date", F.col("registration_date").cast("timestamp_ntz")) \
             .withColumn("is_active", F.coalesce(days <= marts.ACTIVE_CUSTOMER_DAYS, F.lit(False)))
 
 
 # ---------------------------------------------------------------------- P18
-S.CTES["ownership"] = """
-SELECT '1HGCM' || printf('%012d', c_custkey) AS vin, 'CUST-' || printf('%06d', c_custkey) AS owner_id,
-       TIMESTAMP '2010-01-01 09:00:00' + to_days(CAST((c_custkey * 7) % 4000 AS INTEGER)) AS changed_at
-FROM customer
-UNION ALL
-SELECT '1HGCM' || printf('%012d', c_custkey), 'CUST-' || printf('%06d', c_custkey + 1),
-       TIMESTAMP '2018-06-01 12:00:00' + to_days(CAST(c_custkey % 30 AS INTEGER))
-FROM customer WHERE c_custkey % 7 = 0"""
-
-
 @register("owner_at_service", S.with_ctes(["wo", "ownership"], """
 , v AS (SELECT vin, owner_id, changed_at AS valid_from,
                lead(changed_at) OVER (PARTITION BY vin ORDER BY changed_at, owner_id) AS valid_to FROM ownership),
@@ -329,7 +200,7 @@ def owner_at_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     wo = w.work_orders.where(F.col("vehicle_vin").isNotNull()).select(
         "wo_number", F.col("vehicle_vin").alias("vin"), "opened_at", "customer_id")
     j = asof_join(wo, hist.select("vin", "valid_from", F.col("owner_id").alias("owner_at_service")),
-                  ["vin"], "opened_at", "valid_from", ["owner_at_service"])
+                  ["vin"], "opened_at", "valid_from", ["owner_at_service"], unit="year")
     return j.select("wo_number", F.col("vin").alias("vehicle_vin"), "opened_at", "customer_id", "owner_at_service",
                     F.col("valid_from_used").alias("owner_since"),
                     (F.col("customer_id") == F.col("owner_at_service")).alias("owner_matches_order"))

@@ -3,10 +3,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forecourt.operators.events import arrival_sql
 from forecourt.plans import duck_sql as S
 from forecourt.plans.registry import register
 from forecourt.sources import seeds
@@ -25,41 +24,11 @@ def telematics_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.join(F.broadcast(seeds.fault_codes(spark)), "fault_code", "left")
 
 
-S.CTES["tm_raw"] = f"""
-SELECT 'EV-' || printf('%08d', event_id) AS event_id,
-  CASE WHEN user_id % 17 = 0 THEN '1HGCM' || printf('%011d', user_id)
-       WHEN user_id % 3 = 0 THEN lower('1HGCM' || printf('%012d', user_id))
-       ELSE '1HGCM' || printf('%012d', user_id) END AS vin,
-  printf('%013d', epoch_us(ts) // 1000) AS event_timestamp,
-  CAST(CAST(round(value * 1000) AS BIGINT) AS VARCHAR) AS odometer_km,
-  {S.pick(X.FAULT_FORMS, "coalesce(CAST(json_extract(props, '$.k') AS INTEGER), 0)")} AS fault_code,
-  CAST(4 + (event_id % 1100) // 100 AS VARCHAR) || '.' || printf('%02d', event_id % 100) AS latitude,
-  CAST(3 + ((event_id * 7) % 1300) // 100 AS VARCHAR) || '.' || printf('%02d', (event_id * 7) % 100) AS longitude,
-  strftime({arrival_sql()}, '%Y-%m-%d %H:%M:%S') AS _ingested_at
-FROM events"""
-
-_fc_rows = ", ".join(f"({S.q(c)}, {S.q(d)})" for c, d in seeds.fault_code_rows())
-S.CTES["tm"] = f"""
-SELECT trim(event_id) AS event_id,
-  CASE WHEN length(v) = 17 THEN v END AS vin, length(v) = 17 AS is_vin_valid,
-  ts AS event_ts_ntz, {S.to_int('odometer_km')} AS odometer_km,
-  nullif(upper(trim(fault_code)), '') AS fault_code,
-  lat AS latitude, lon AS longitude,
-  (lat IS NOT NULL AND lon IS NOT NULL AND NOT (lat BETWEEN {TM.LAT_MIN} AND {TM.LAT_MAX}
-                                               AND lon BETWEEN {TM.LON_MIN} AND {TM.LON_MAX})) AS is_out_of_country,
-  ing AS ingested_at, (epoch_us(ing) - epoch_us(ts)) / 1e6 AS ingest_lag_sec
-FROM (SELECT *, {S.vin_strip('vin')} AS v, {S.parse_ts('event_timestamp')} AS ts,
-             {S.to_decimal('latitude', 9, 6)} AS lat, {S.to_decimal('longitude', 9, 6)} AS lon,
-             TRY_CAST(_ingested_at AS TIMESTAMP) AS ing FROM tm_raw)"""
-S.CTES["tm_fc"] = f"SELECT * FROM (VALUES {_fc_rows}) f(fault_code, fault_description)"
-S.DEPS["tm"] = ["tm_raw"]
-
-
-@register("telematics_clean", S.with_ctes(["tm", "tm_fc"], """
+@register("telematics_clean", S.with_ctes(["tm", "fault_codes"], """
 SELECT tm.event_id, tm.vin, tm.is_vin_valid, tm.event_ts_ntz AS event_ts, tm.odometer_km, tm.fault_code,
        f.fault_description, f.fault_description IS NULL AND tm.fault_code IS NOT NULL AS is_unknown_fault,
-       tm.is_out_of_country, tm.ingested_at, tm.ingest_lag_sec
-FROM tm LEFT JOIN tm_fc f USING (fault_code)"""))
+       tm.is_out_of_country, tm.ingested_at, tm.ingest_lag_sec, tm.has_parse_error
+FROM tm LEFT JOIN fault_codes f USING (fault_code)"""))
 def telematics_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON payload field, epoch ms -> UTC time, VIN check,
     fault-code description lookup, out-of-country flag (GPS itself not exposed)."""
@@ -67,7 +36,7 @@ def telematics_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "vin", "is_vin_valid", F.col("event_ts_ntz").alias("event_ts"), "odometer_km",
                      "fault_code", "fault_description",
                      (F.col("fault_description").isNull() & F.col("fault_code").isNotNull()).alias("is_unknown_fault"),
-                     "is_out_of_country", "ingested_at", "ingest_lag_sec")
+                     "is_out_of_country", "ingested_at", "ingest_lag_sec", "has_parse_error")
 
 
 _LAG_US = "(epoch_us(ingested_at) - epoch_us(event_ts_ntz))"
@@ -95,15 +64,27 @@ def ingest_lag_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(lag > SLA_SEC).alias("over_sla"), F.count_if(lag > 3600).alias("over_1h"))
 
 
-@register("ingest_lag_percentiles", None)
+@register("ingest_lag_percentiles", S.with_ctes(["tm"], """
+SELECT date_trunc('day', event_ts_ntz) AS event_day, count(ingest_lag_sec) AS events,
+       quantile_disc(ingest_lag_sec, 0.5) AS lag_p50_sec, quantile_disc(ingest_lag_sec, 0.95) AS lag_p95_sec,
+       quantile_disc(ingest_lag_sec, 0.99) AS lag_p99_sec
+FROM tm WHERE ingest_lag_sec IS NOT NULL GROUP BY 1"""))
 def ingest_lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate p50 / p95 / p99 ingest lag per event day.
+    """Exact p50 / p95 / p99 ingest lag per event day.
 
-    ``percentile_approx`` keeps a bounded sketch per group, so memory does not
-    grow with a busy day; values are approximate (no exact oracle)."""
-    ev = TM.clean_events(X.telematics_raw(Tables(spark, sf_dir).events))
+    Events are counted per distinct (day, lag); the smallest lag whose running
+    count reaches the share is the percentile.  The window runs over distinct
+    lags, so a busy day costs no more than its lags differ."""
+    ev = TM.clean_events(X.telematics_raw(Tables(spark, sf_dir).events)).where(F.col("ingest_lag_sec").isNotNull())
     day = F.date_trunc("day", F.col("event_ts")).cast("timestamp_ntz")
-    q = F.percentile_approx("ingest_lag_sec", [0.5, 0.95, 0.99], 10000)
-    return ev.groupBy(day.alias("event_day")).agg(q.alias("_q"), F.count(F.lit(1)).alias("events")).select(
-        "event_day", "events", F.col("_q")[0].alias("lag_p50_sec"), F.col("_q")[1].alias("lag_p95_sec"),
-        F.col("_q")[2].alias("lag_p99_sec"))
+    counts = ev.groupBy(day.alias("event_day"), F.col("ingest_lag_sec").alias("lag")).agg(F.count(F.lit(1)).alias("n"))
+    up_to = Window.partitionBy("event_day").orderBy("lag").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.select("event_day", "lag", "n", F.sum("n").over(up_to).alias("reached"),
+                           F.sum("n").over(Window.partitionBy("event_day")).alias("events"))
+
+    def percentile(percent: int):
+        return F.min(F.when(F.col("reached") * 100 >= F.col("events") * percent, F.col("lag")))
+
+    return ranked.groupBy("event_day").agg(
+        F.sum("n").alias("events"), percentile(50).alias("lag_p50_sec"), percentile(95).alias("lag_p95_sec"),
+        percentile(99).alias("lag_p99_sec"))

@@ -20,18 +20,19 @@ from pyspark.sql import functions as F
 from forecourt.functions import clean as C
 from forecourt.functions import vocab
 from forecourt.operators.dedup import latest_by, row_fingerprint
+from forecourt.operators.joins import dim_join, lookup
 
 WORK_ORDER_COLUMNS = [
     "wo_number", "customer_id", "vehicle_vin", "opened_at", "closed_at", "status",
     "service_type_code", "technician_id", "bay_id", "odometer_km", "labour_hours",
     "customer_complaint", "is_warranty", "is_deleted", "is_vin_valid", "has_odometer_anomaly",
-    "has_labour_hours_anomaly", "source_updated_at", "ingested_at",
+    "has_labour_hours_anomaly", "has_parse_error", "source_updated_at", "ingested_at",
 ]
 
 LINE_COLUMNS = [
     "line_id", "wo_number", "line_type", "part_number", "description", "quantity",
     "has_negative_quantity_anomaly", "unit_price_ngn", "has_negative_price_anomaly",
-    "discount_pct", "vat_rate_source_raw", "line_total_ngn_source_raw",
+    "discount_pct", "vat_rate_source_raw", "line_total_ngn_source_raw", "has_parse_error",
 ]
 
 
@@ -51,8 +52,19 @@ def latest_work_order_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_work_orders(raw: DataFrame) -> DataFrame:
-    """Change events -> one typed row per work order at current state.
+def current_ids(df: DataFrame, col: str, migration: DataFrame | None) -> DataFrame:
+    """``col`` upper-trimmed and, where ``migration`` knows it as a legacy id, mapped."""
+    df = df.withColumn(col, C.upper_trim(col))
+    if migration is None:
+        return df
+    known = migration.select(F.col("legacy_id").alias("_legacy"), F.col("customer_id").alias("_now"))
+    return dim_join(df, known, F.col(col) == F.col("_legacy")).withColumn(
+        col, F.coalesce("_now", col)).drop("_legacy", "_now")
+
+
+def clean_work_orders(raw: DataFrame, migration: DataFrame | None = None) -> DataFrame:
+    """Change events -> one typed row per work order at current state, with
+    legacy customer ids mapped if their ``migration`` table is given.
 
     Values used by several outputs (VIN, odometer, hours) are parsed once in
     their own projection; Catalyst keeps that projection separate instead of
@@ -60,14 +72,16 @@ def clean_work_orders(raw: DataFrame) -> DataFrame:
     """
     cur = latest_work_order_events(raw).select(
         "*", C.vin_strip("vehicle_vin").alias("_vin"), C.to_int("odometer_reading").alias("_odo"),
-        C.to_decimal("labour_hours", 6, 2).alias("_hours"))
+        C.to_decimal("labour_hours", 6, 2).alias("_hours"), C.parse_ts("date_opened").alias("_opened"),
+        C.parse_ts("date_closed").alias("_closed"))
+    cur = current_ids(cur, "customer_id", migration)
     vin, odo_raw, hours = F.col("_vin"), F.col("_odo"), F.col("_hours")
     out = cur.select(
         F.col("_wo").alias("wo_number"),
-        C.upper_trim("customer_id").alias("customer_id"),
+        "customer_id",
         F.when(C.vin_valid(vin), vin).alias("vehicle_vin"),
-        C.parse_ts("date_opened").alias("opened_at"),
-        C.null_placeholder_ts(C.parse_ts("date_closed")).alias("closed_at"),
+        F.col("_opened").alias("opened_at"),
+        C.null_placeholder_ts("_closed").alias("closed_at"),
         C.status("status").alias("status"),
         C.upper_trim("service_type_code").alias("service_type_code"),
         C.sentinel_null("technician_id").alias("technician_id"),
@@ -80,35 +94,46 @@ def clean_work_orders(raw: DataFrame) -> DataFrame:
         C.vin_valid(vin).alias("is_vin_valid"),
         C.out_of_range(odo_raw, vocab.ODOMETER_MIN, vocab.ODOMETER_MAX).alias("has_odometer_anomaly"),
         (hours > vocab.LABOUR_HOURS_ALERT).alias("has_labour_hours_anomaly"),
+        C.any_parse_error([("odometer_reading", odo_raw), ("labour_hours", hours), ("date_opened", F.col("_opened")),
+                           ("date_closed", F.col("_closed"))]).alias("has_parse_error"),
         F.col("cdc_timestamp").alias("source_updated_at"),
         F.col("_ingested_at").alias("ingested_at"),
     )
     return out.select(*WORK_ORDER_COLUMNS)
 
 
-def clean_lines(raw: DataFrame) -> DataFrame:
-    """Typed lines (map-only).  The order number uses the same normaliser as
-    T2 so lines under any prefix still find their order.  Parsed values that
-    feed several outputs are computed once in their own projection."""
+def clean_lines(raw: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Typed lines.  The order number uses the same normaliser as T2 so
+    lines under any prefix still find their order.  Parsed values that feed
+    several outputs are computed once in their own projection.  With ``aliases``
+    (alias, part_number) a supplier's own numbers become canonical ones (P22)."""
     p = raw.select(
-        "line_no", "part_number", "description", "discount_pct", "vat_rate", "line_total_ngn",
+        "line_no", C.part_key("part_number").alias("_pn"), "description", "quantity", "unit_price_ngn", "discount_pct",
+        "vat_rate", "line_total_ngn",
         C.line_type("line_type").alias("_lt"), C.to_decimal("quantity", 10, 2).alias("_qty"),
-        C.to_decimal("unit_price_ngn", 14, 2).alias("_price"), C.order_number("wo_number").alias("_wo"))
+        C.to_decimal("unit_price_ngn", 14, 2).alias("_price"), C.order_number("wo_number").alias("_wo"),
+        C.percent_or_fraction("discount_pct").alias("_discount"), C.to_decimal("line_total_ngn", 14, 2).alias("_total"))
+    if aliases is not None:
+        a = aliases.select(F.col("alias").alias("_alias"), F.col("part_number").alias("_canonical"))
+        p = lookup(p, a, F.col("_pn"), "_alias", F.concat(F.col("_wo"), F.col("line_no")))
+        p = p.withColumn("_pn", F.coalesce("_canonical", "_pn"))
     ltype, qty, price, wo = F.col("_lt"), F.col("_qty"), F.col("_price"), F.col("_wo")
     neg_qty = C.negative_not_return(qty, ltype)
     return p.select(
         F.concat(wo, F.lit("-"), C.utrim("line_no")).alias("line_id"),
         wo.alias("wo_number"),
         ltype.alias("line_type"),
-        C.part_key("part_number").alias("part_number"),
+        F.col("_pn").alias("part_number"),
         C.collapse_ws("description").alias("description"),
         F.when(neg_qty, F.lit(None)).otherwise(qty).alias("quantity"),
         neg_qty.alias("has_negative_quantity_anomaly"),
         C.non_negative(price).alias("unit_price_ngn"),
         (price < 0).alias("has_negative_price_anomaly"),
-        C.percent_or_fraction("discount_pct").alias("discount_pct"),
+        F.col("_discount").alias("discount_pct"),
         C.to_decimal("vat_rate", 6, 4).alias("vat_rate_source_raw"),
-        C.to_decimal("line_total_ngn", 14, 2).alias("line_total_ngn_source_raw"),
+        F.col("_total").alias("line_total_ngn_source_raw"),
+        C.any_parse_error([("quantity", qty), ("unit_price_ngn", price), ("discount_pct", F.col("_discount")),
+                           ("line_total_ngn", F.col("_total"))]).alias("has_parse_error"),
     )
 
 
@@ -122,6 +147,8 @@ def clean_technicians(raw: DataFrame) -> DataFrame:
         F.to_date(C.parse_ts("hire_date")).alias("hire_date"),
         C.to_decimal("hourly_rate_ngn", 10, 2).alias("hourly_rate_ngn"),
         C.to_bool("is_active").alias("is_active"),
+        C.any_parse_error([("hire_date", C.parse_ts("hire_date")),
+                           ("hourly_rate_ngn", C.to_decimal("hourly_rate_ngn", 10, 2))]).alias("has_parse_error"),
     )
 
 
@@ -138,9 +165,31 @@ def clean_parts(raw: DataFrame) -> DataFrame:
         C.to_int("qty_on_hand").alias("qty_on_hand"),
         C.reorder_point("reorder_point").alias("reorder_point"),
         C.upper_trim("currency").alias("currency"),
+        C.any_parse_error([("unit_cost_ngn", C.to_decimal("unit_cost_ngn", 14, 2)),
+                           ("unit_price_ngn", C.to_decimal("unit_price_ngn", 14, 2)),
+                           ("qty_on_hand", C.to_int("qty_on_hand"))]).alias("has_parse_error"),
     )
 
 
+def clean_invoices(raw: DataFrame) -> DataFrame:
+    """Invoice numbers, dates, currency (blank: the default) and totals.
+    Every invoice stays; totals that are not positive are flagged."""
+    total, day = C.to_decimal("total", 14, 2), F.to_date(C.parse_ts("invoice_date"))
+    currency = F.coalesce(F.nullif(C.upper_trim("currency"), F.lit("")), F.lit(vocab.DEFAULT_CURRENCY))
+    return raw.select(
+        C.invoice_number("invoice_number").alias("invoice_number"), C.order_number("wo_number").alias("wo_number"),
+        day.alias("invoice_date"), currency.alias("currency"), total.alias("total"),
+        F.coalesce(total <= 0, F.lit(True)).alias("has_non_positive_total"),
+        C.any_parse_error([("total", total), ("invoice_date", day)]).alias("has_parse_error"))
+
+
+def clean_payments(raw: DataFrame) -> DataFrame:
+    """Payments by order, method vocabulary."""
+    return raw.select("payment_id", C.order_number("wo_number").alias("wo_number"),
+                      C.to_decimal("amount", 14, 2).alias("amount_ngn"),
+                      C.map_vocab("payment_method", vocab.PAYMENT_METHODS).alias("payment_method"))
+
+
 def title_case(col):
     """Collapse whitespace, then capitalise each space-separated word."""
     return F.initcap(C.collapse_ws(col))
@@ -149,8 +198,6 @@ def title_case(col):
 def clean_customers(raw: DataFrame, migration: DataFrame) -> DataFrame:
     """Legacy ids mapped (P1), names title-cased, type vocabulary and city
     aliases (P2), E.164 phone (P3), validated e-mail (invalid -> NULL + flag, P4)."""
-    from forecourt.operators.joins import dim_join
-
     ids = raw.withColumn("_id", C.upper_trim("customer_id"))
     mig = migration.select(F.col("legacy_id").alias("_id"), F.col("customer_id").alias("_new_id"))
     j = dim_join(ids, mig, "_id", "left")
@@ -172,23 +219,26 @@ def clean_customers(raw: DataFrame, migration: DataFrame) -> DataFrame:
 
 def clean_vehicles(raw: DataFrame, make_aliases: DataFrame, max_year: int) -> DataFrame:
     """VIN strip/validate/check digit (P16), plate, make via the alias
-    seed with the raw value kept when unmapped (P15), model title case, year
-    range, engine / transmission vocabularies (P14)."""
+    seed with the raw value kept when unmapped (P15), model aliases, plate
+    format, year range, engine / transmission vocabularies (P14)."""
     from forecourt.functions import vin as V
 
     aliases = F.broadcast(make_aliases.select(F.col("raw_make").alias("_raw_make"), "canonical_make"))
     v = raw.withColumn("_raw_make", C.utrim("make")).join(aliases, "_raw_make", "left")
     vin = C.vin_strip("vin")
+    plate = F.nullif(F.regexp_replace(F.upper("plate_number"), r"[\s\-]", ""), F.lit(""))
+    model = title_case("model")
+    models = F.create_map(*[F.lit(x) for kv in vocab.MODEL_ALIASES.items() for x in kv])
     year = C.to_int("year_manufactured")
     year_ok = year.between(vocab.VEHICLE_MIN_YEAR, max_year)
     return v.select(
         F.when(C.vin_valid(vin), vin).alias("vin"),
         C.vin_valid(vin).alias("is_vin_valid"),
         V.check_digit_ok(vin).alias("is_check_digit_valid"),
-        F.nullif(F.regexp_replace(F.upper("plate_number"), r"[\s\-]", ""), F.lit("")).alias("plate_number"),
+        plate.alias("plate_number"), C.plate_valid(plate).alias("is_plate_valid"),
         C.upper_trim("customer_id").alias("customer_id"),
         F.coalesce("canonical_make", "_raw_make").alias("make"),
-        title_case("model").alias("model"),
+        F.coalesce(F.try_element_at(models, model), model).alias("model"),
         F.when(year_ok, year).alias("year_manufactured"),
         (year.isNotNull() & ~year_ok).alias("has_invalid_year"),
         C.map_vocab("engine_type", vocab.ENGINE_TYPES, normalise=C.lower_trim).alias("engine_type"),

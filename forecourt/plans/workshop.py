@@ -2,7 +2,7 @@
 
 ``Workshop`` wires sources -> silver -> gold lazily for one scale-factor
 folder.  Accessors build fresh plans each time; callers that reuse a result
-within one job should materialise it (see ``forecourt.plans.materialise``).
+within one job write it (``order_fact_table``).
 """
 
 from __future__ import annotations
@@ -10,13 +10,19 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from forecourt.functions import clean as C
 from forecourt.plans import gold, silver
 from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
-from forecourt.session import materialise
+from forecourt.session import drop_scratch, write_scratch
 from forecourt.sources.tables import Tables
 
+# ---------------------------------------------------------------- FIXED VALUES
+MAX_VEHICLE_YEAR = 2023     # year of the reports + 1
+# ------------------------------------------------------------ END FIXED VALUES
+
 
 class Workshop:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -30,7 +36,7 @@ class Workshop:
 
     @property
     def lines_raw(self) -> DataFrame:
-        return X.work_order_lines_raw(self.t.lineitem, self.t.orders)
+        return X.work_order_lines_raw(self.t.lineitem)
 
     @property
     def technicians_raw(self) -> DataFrame:
@@ -43,11 +49,11 @@ class Workshop:
     # silver
     @property
     def work_orders(self) -> DataFrame:
-        return silver.clean_work_orders(self.work_orders_raw)
+        return silver.clean_work_orders(self.work_orders_raw, X.customer_id_migration(self.t.customer))
 
     @property
     def lines(self) -> DataFrame:
-        return silver.clean_lines(self.lines_raw)
+        return silver.clean_lines(self.lines_raw, X.part_number_aliases(self.t.part))
 
     @property
     def technicians(self) -> DataFrame:
@@ -57,6 +63,19 @@ class Workshop:
     def parts(self) -> DataFrame:
         return silver.clean_parts(self.parts_raw)
 
+    @property
+    def customers(self) -> DataFrame:
+        return silver.clean_customers(X.customers_raw(self.t.customer), X.customer_id_migration(self.t.customer))
+
+    @property
+    def vehicles(self) -> DataFrame:
+        return silver.clean_vehicles(X.vehicles_raw(self.t.customer), seeds.make_aliases(self.spark), MAX_VEHICLE_YEAR)
+
+    @property
+    def opened_dates(self) -> DataFrame:
+        """All opening dates, read from the extract before it is deduplicated."""
+        return self.work_orders_raw.select(F.to_date(C.parse_ts("date_opened")).alias("opened"))
+
     # seeds
     @cached_property
     def vat_rates(self) -> DataFrame:
@@ -66,25 +85,31 @@ class Workshop:
     def service_types(self) -> DataFrame:
         return seeds.service_types(self.spark)
 
-    @cached_property
-    def work_orders_table(self) -> DataFrame:
-        """Silver work orders written once, bucketed on the order number: the
-        keep-latest shuffle runs once, and the fact's two joins on the order
-        number read the table without shuffling it again."""
-        return materialise(self.work_orders, "silver_work_orders", bucket_by="wo_number")
-
     # gold
     def order_fact(self, work_orders: DataFrame | None = None, extras: bool = False) -> DataFrame:
-        return gold.order_fact(work_orders if work_orders is not None else self.work_orders_table,
-                               self.lines, self.parts, self.technicians, self.vat_rates, extras=extras)
+        return gold.order_fact(work_orders if work_orders is not None else self.work_orders,
+                               self.lines, self.parts, self.technicians, self.vat_rates, extras=extras,
+                               dates=self.opened_dates)
+
+    def rated_orders(self, work_orders: DataFrame | None = None) -> DataFrame:
+        return gold.with_rates(work_orders if work_orders is not None else self.work_orders, self.vat_rates,
+                               self.technicians, self.opened_dates)
+
+    def priced_lines(self, keep_orphans: bool = False, carry: list[str] | None = None) -> DataFrame:
+        return gold.price_lines(self.lines, self.rated_orders(), self.parts, keep_orphans, carry)
 
     @cached_property
     def order_fact_table(self) -> DataFrame:
-        """The fact (with reconciliation extras) written once, for jobs that
-        read most of its columns several times.  Jobs needing few columns
-        use the lazy ``order_fact()`` instead: column pruning then skips the
-        pricing work they do not need, which beats writing the table."""
-        return materialise(self.order_fact(extras=True), "fct_work_orders")
+        """The fact (with extras) written once, for jobs that read most of its
+        columns several times; ``close`` deletes it."""
+        self._fact_path = write_scratch(self.order_fact(extras=True), "fct_work_orders")
+        return self.spark.read.parquet(self._fact_path)
+
+    def close(self) -> None:
+        """Delete what this object wrote; call it when its results were read."""
+        if "order_fact_table" in self.__dict__:
+            drop_scratch(self.spark, self._fact_path)
+            del self.__dict__["order_fact_table"]
 
     def shared_fact(self, extras: bool = True) -> DataFrame:
         """The written fact if this job already wrote it, else the lazy plan."""

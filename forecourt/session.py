@@ -21,6 +21,8 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where its rows must then be dealt once more
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Wide cleaning projections generate big methods; above 8000 bytes of
     # bytecode the JVM will not JIT them, so fall back to per-operator codegen.
@@ -62,18 +64,18 @@ def apply_core_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
-
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is a private scratch folder created and registered.
-    """
+    """The cluster's shared checkpoint folder, as ``spark.checkpoint.dir`` names
+    it.  Executors and driver must see the same files, so there is no fallback
+    to a machine's own folder: a local session sets the folder itself."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="forecourt-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="forecourt-ckpt-")  # one machine, one process
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -92,6 +94,12 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on any file system that Spark knows."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def write_scratch(df, name: str) -> str:
     """Write ``df`` as Parquet under the shared checkpoint folder; its path."""
     import uuid
@@ -101,38 +109,6 @@ def write_scratch(df, name: str) -> str:
     return path
 
 
-def materialise(df, name: str, bucket_by: str | None = None):
-    """Write ``df`` as Parquet under the shared checkpoint folder and return a
-    scan of it: cuts lineage and lets several consumers share one computation
-    (a written table survives executor loss, unlike a local checkpoint).
-
-    With ``bucket_by`` the table is bucketed on that key into
-    ``spark.sql.shuffle.partitions`` buckets and registered in a scratch
-    database: joins and aggregates on the key then read it without a shuffle
-    (the other side is shuffled into the same number of partitions).
-    """
-    import uuid
-
-    spark = df.sparkSession
-    tag = f"{name}-{uuid.uuid4().hex[:12]}"
-    path = scratch_path(spark, f"tables/{tag}")
-    if bucket_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the scratch database lives in the shared checkpoint folder, not in a
-    # warehouse directory relative to the driver's working directory
-    db_path = scratch_path(spark, "scratch_db")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{db_path}'")
-    table = f"{SCRATCH_DB}.{tag.replace('-', '_')}"
-    (df.write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
-       .option("path", path).saveAsTable(table))
-    return spark.table(table)
-
-
-SCRATCH_DB = "forecourt_scratch"
-
-
 def cluster_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
                  target_partition_bytes: int = 200 << 20) -> dict:
     """Sizing for a large run (e.g. 100 TB on 1000 executors).

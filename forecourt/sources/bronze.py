@@ -12,6 +12,7 @@ split; re-running a day overwrites only that day's partition.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -42,6 +43,11 @@ INGESTED_AT = "_ingested_at"
 INGEST_DATE = "_ingest_date"
 
 
+def run_id() -> str:
+    """A name for a landing's folder that no other landing has."""
+    return uuid.uuid4().hex[:12]
+
+
 def to_bronze(df: DataFrame, ingested_at: str, ingest_date: str) -> DataFrame:
     """Every column as text, plus the audit columns."""
     cols = [F.col(c).cast("string").alias(c) for c in df.columns]

@@ -1,16 +1,16 @@
-"""Render the star tables as the workshop's raw, all-text source extracts.
-
-The driver's tables are clean and typed; the workshop systems deliver text
-with mixed formats, prefixes, units, sentinels and change events.  These
-functions derive that raw shape *from the whole tables* with deterministic,
-key-driven rules, so every downstream job (cleaning, dedup, pricing, marts,
-checks) runs over data that grows with the input.  The same rules are written
-once more in SQL (``forecourt.plans.duck_sql``) for the DuckDB oracle.
-
-Role map: orders -> work orders (with 1-3 change events each), lineitem ->
-work-order lines, supplier -> technicians, part -> parts catalogue.
-Dates are moved forward 20 years so the 1995-2001 order dates fall inside the
-2015+ VAT table.
+"""Raw, all-text source extracts over the star tables.
+
+The driver's tables are clean and typed; the workshop's systems deliver text.
+Each function here turns a whole star table into one extract whose values need
+exactly the cleaning that the rules in ``functions.clean`` promise: several
+spellings of one value, units, separators, sentinels, unreadable values and
+change events.  Which spelling a row gets depends on its key only.  What the
+cleaned value must be is stated in ``plans.duck_sql`` from the star tables
+alone, so the oracle never sees an extract.
+
+orders -> work orders, invoices, payments; lineitem -> order lines and stock
+movements; supplier -> technicians; part -> parts; customer -> customers and
+vehicles; events -> telematics.  Dates move 25 years on, into the VAT table.
 """
 
 from __future__ import annotations
@@ -22,230 +22,218 @@ from pyspark.sql import functions as F
 
 from forecourt.sources import seeds
 
-# ---------------------------------------------------------------- FIXED VALUES
-# Spellings used to render raw text (test-fixture dirt, not business rules).
-WO_PREFIXES = ["WO-", "WO", "W/O ", "wo-"]
-FINAL_STATUS_F = ["4", "COMPLETED", "closed", " Completed "]
-FINAL_STATUS_O = ["1", "OPEN", "2", "In Progress", "INPROGRESS"]
-FINAL_STATUS_P = ["3", "AWAITING PARTS", "waiting parts", "5", "CANCELED", "on hold"]
-EARLY_STATUS = ["1", "open"]
+YEARS_ON = 25
+#: Orders of customers and vehicles that no master table has.
+STRANGER = 90_000_000
 UNKNOWN_SERVICE_CODE = "XXX-999"
-TECH_SENTINEL_FORMS = ["", "UNASSIGNED", "N/A", "-"]
-WARRANTY_FORMS = ["Y", "N", "1", "0", "TRUE", "false", "yes", "maybe"]
-COMPLAINT_WORDS = ["front", "rear", "engine  bay"]
-RETURN_FLAG_R_TYPES = ["sublet", "fee", "return", "misc", "part"]
-SKILL_FORMS = ["Senior", "JUNIOR", " master ", "apprentice"]
-SPECIALISATION_FORMS = ["engine;transmission", "Brakes", "ELECTRICAL;ac", "engine"]
-ACTIVE_FORMS = ["Y", "0", "TRUE", "no"]
-REORDER_FORMS = ["", "N/A", "25", "40 "]
-INGESTED_AT = "2024-06-01 06:00:00"
-YEAR_SHIFT = 20
-# ------------------------------------------------------------ END FIXED VALUES
 
 
-def pick(options: list[str], idx: Column) -> Column:
-    """options[idx] for a non-negative integer column (0-based)."""
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (idx % len(options) + 1).cast("int"))
+# ------------------------------------------------------------ text building
+def form(idx: Column, *options) -> Column:
+    """The option whose place is ``idx`` modulo their number."""
+    cols = [o if isinstance(o, Column) else F.lit(o) for o in options]
+    return F.element_at(F.array(*cols), (idx % len(cols) + 1).cast("int"))
 
 
-def ts_text(ts: Column, style: Column) -> Column:
-    """Three date styles: ISO, DD/MM/YYYY (time lost), 13-digit epoch ms."""
-    s = style % 3
-    return (F.when(s == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-            .when(s == 1, F.date_format(ts, "dd/MM/yyyy"))
-            .otherwise(F.format_string("%013d", F.unix_millis(ts.cast("timestamp")))))
+def padded(number: Column, width: int) -> Column:
+    return F.format_string(f"%0{width}d", number.cast("bigint"))
 
 
-def money_text(amount: Column, style: Column) -> Column:
-    """Four money styles: 0.00 / NGN1,234.00 / 1,234.00 / NGN 0.00."""
-    s = style % 4
-    plain = amount.cast("string")
-    grouped = F.format_number(amount, 2)
-    return (F.when(s == 0, plain)
-            .when(s == 1, F.concat(F.lit("NGN"), grouped))
-            .when(s == 2, grouped)
-            .otherwise(F.concat(F.lit("NGN "), plain)))
+def div(a: Column, b: int) -> Column:
+    return F.floor(a / F.lit(b)).cast("bigint")
 
 
-def shift(ts: Column) -> Column:
-    return F.timestamp_add("YEAR", F.lit(YEAR_SHIFT), ts)
+def moved(ts: Column) -> Column:
+    return F.timestamp_add("YEAR", F.lit(YEARS_ON), ts)
 
 
+def time_text(ts: Column, idx: Column) -> Column:
+    """Day only (the time is lost), ISO, epoch milliseconds."""
+    return form(idx, F.date_format(ts, "dd/MM/yyyy"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
+                F.lpad(F.unix_millis(ts.cast("timestamp")).cast("string"), 13, "0"))
+
+
+def money_text(amount: Column, idx: Column) -> Column:
+    """An amount with two decimals as a decimal comma, with a code or sign, grouped or padded."""
+    plain, grouped = amount.cast("string"), F.format_number(amount, 2)
+    return form(idx, F.translate(plain, ".", ","), F.concat(grouped, F.lit(" NGN")), F.concat(F.lit("₦"), grouped),
+                F.concat(F.lit("ngn "), plain), F.concat(F.lit("   "), plain, F.lit(" ")))
+
+
+def quarter_text(quarters: Column) -> Column:
+    """A number of quarters with two decimals."""
+    return F.concat(div(quarters, 4).cast("string"), F.lit("."), padded((quarters % 4) * 25, 2))
+
+
+def vin_text(c: Column) -> Column:
+    """A vehicle's 17 characters: maker and plant, check digit, eight digits of
+    the number.  Every fiftieth has a wrong check digit."""
+    digits = [div(c, 10 ** p) % 10 for p in range(7, -1, -1)]
+    total = F.lit(137)  # the fixed eight characters 1HGCM000
+    for d, weight in zip(digits, range(9, 1, -1)):
+        total = total + d * weight
+    check = F.when(total % 11 == 10, F.lit("X")).otherwise((total % 11).cast("string"))
+    check = F.when(c % 50 == 7, F.lit("Z")).otherwise(check)
+    return F.concat(F.lit("1HGCM000"), check, padded(c % 10 ** 8, 8))
+
+
+def customer_code(c: Column) -> Column:
+    return F.concat(F.lit("CUST-"), padded(c, 6))
+
+
+def legacy_customer_id(c: Column) -> Column:
+    return F.concat(F.lit("L"), padded(c, 5))
+
+
+PHONE_PREFIXES = ("803", "706", "905", "812", "602")  # 602 is no mobile prefix
+
+
+def phone_text(c: Column) -> Column:
+    """Bracketed, spaced, international and local spellings of a number."""
+    prefix, rest = form(c, *PHONE_PREFIXES), padded((c * 7919) % 10_000_000, 7)
+    local = F.concat(F.lit("0"), prefix, rest)
+    return form(div(c, 5), F.concat(F.lit("(0"), prefix, F.lit(") "), rest),
+                F.concat(F.lit("0"), prefix, F.lit(" "), F.substring(rest, 1, 3), F.lit("-"), F.substring(rest, 4, 4)),
+                F.concat(F.lit("+234 "), prefix, rest), local)
+
+
+# -------------------------------------------------------------- work orders
 def opened_ts(k: Column, orderdate: Column) -> Column:
-    t = shift(orderdate)
-    t = F.timestamp_add("HOUR", (k % 24).cast("int"), t)
-    return F.timestamp_add("MINUTE", (k % 60).cast("int"), t)
+    return F.timestamp_add("MINUTE", ((k * 37) % 1440).cast("int"), moved(orderdate))
+
+
+def closed_ts(k: Column, c: Column, opened: Column) -> Column:
+    return F.timestamp_add("MINUTE", ((c * 13 + k) % 9000).cast("int"), opened)
 
 
 def work_orders_raw(orders: DataFrame) -> DataFrame:
-    """dms.work_orders: one row per change event (1-3 per order)."""
-    k = F.col("o_orderkey")
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
-    o = o.withColumn("n_events", (k % 3 + 1).cast("int"))
-    o = o.withColumn("seq", F.explode(F.sequence(F.lit(1), F.col("n_events"))))
-    final = F.col("seq") == F.col("n_events")
+    """dms.work_orders: change events of every order (created, changed a day
+    later unless still open, and for a few orders deleted a day after that)."""
+    k, c, state = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+
+    def step(op: str, days: int) -> Column:
+        return F.struct(F.lit(op).alias("op"), F.lit(days).alias("days"))
+
+    steps = F.array_compact(F.array(step("I", 0), F.when(state != "O", step("U", 1)), F.when(k % 251 == 9, step("D", 2))))
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", steps.alias("steps"))
+    o = o.select("*", F.posexplode("steps").alias("pos", "step"))
+    last = F.col("pos") == F.size("steps") - 1
     opened = opened_ts(k, F.col("o_orderdate"))
-    closed = F.timestamp_add("MINUTE", F.lit(30), F.timestamp_add("HOUR", (k % 200).cast("int"), opened))
-    status_final = (F.when(F.col("o_orderstatus") == "F", pick(FINAL_STATUS_F, k))
-                    .when(F.col("o_orderstatus") == "O", pick(FINAL_STATUS_O, k))
-                    .otherwise(pick(FINAL_STATUS_P, k)))
-    code = pick(seeds.service_codes() + [UNKNOWN_SERVICE_CODE], k * 7)
-    km = (k * 7919) % 250000 + 1000
-    km_grouped = F.format_number(km, 0)
-    odo = (F.when(k % 50 == 0, F.lit("-500"))
-           .when(k % 50 == 25, F.lit("9999999"))
-           .when(k % 4 == 0, km.cast("string"))
-           .when(k % 4 == 1, F.concat(km_grouped, F.lit(" km")))
-           .when(k % 4 == 2, F.concat(km.cast("string"), F.lit("KM")))
-           .otherwise(F.concat(km_grouped, F.lit("KM"))))
-    h = k % 97
-    hours = F.format_string("%d.%02d", (h / 4).cast("bigint"), (h % 4) * 25)
-    hours = (F.when(k % 100 == 7, F.lit("31.5"))
-             .when(k % 3 == 1, F.translate(hours, ".", ","))
-             .when(k % 3 == 2, F.concat(hours, F.lit(" hrs")))
-             .otherwise(hours))
-    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", F.col("o_custkey")))
-    vin = (F.when(k % 33 == 0, F.substring(vin, 1, 15))
-           .when(k % 33 == 1, F.concat(vin, F.lit("X")))
-           .when(k % 7 == 0, F.lower(F.concat(F.substring(vin, 1, 5), F.lit("-"), F.substring(vin, 6, 12))))
-           .otherwise(vin))
-    tech = (F.when(k % 20 < 4, pick(TECH_SENTINEL_FORMS, k % 20))
-            .otherwise(F.concat(F.when(k % 2 == 0, F.lit("tech-")).otherwise(F.lit(" TECH-")),
-                                F.format_string("%04d", F.col("o_custkey") % 97))))
+    changed = F.timestamp_add("DAY", F.col("step.days"), opened)
+    who = c + F.when(k % 101 == 3, F.lit(STRANGER)).otherwise(F.lit(0))
+    final = (F.when(state == "F", form(k, "4", "closed ", "Completed"))
+             .when(state == "O", form(k, "1", "in progress", " Open", "2"))
+             .otherwise(form(k, form(div(k, 3), "3", "Waiting Parts"), "cancelled", "paused")))
+    km = (k * 104729) % 400_000 + 500
+    odo = (F.when(k % 60 == 7, F.concat(F.lit("-"), km.cast("string")))
+           .when(k % 60 == 8, (km + 3_000_000).cast("string"))
+           .when(k % 60 == 9, F.lit("illegible"))
+           .otherwise(form(k, km.cast("string"), F.concat(F.format_number(km, 0), F.lit(" km")),
+                           F.concat(km.cast("string"), F.lit("KMS")))))
+    hours = quarter_text((c + k) % 90 + F.when(k % 80 == 3, F.lit(98)).otherwise(F.lit(0)))
+    vin = vin_text(who)
+    code = form(k * 5, *seeds.service_codes(), UNKNOWN_SERVICE_CODE)
     return o.select(
-        F.concat(pick(WO_PREFIXES, k), F.format_string("%06d", k)).alias("wo_number"),
-        F.concat(F.when(k % 2 == 0, F.lit("CUST-")).otherwise(F.lit(" cust-")),
-                 F.format_string("%06d", F.col("o_custkey"))).alias("customer_id"),
-        vin.alias("vehicle_vin"),
-        ts_text(opened, k).alias("date_opened"),
-        F.when(final & (F.col("o_orderstatus") == "F"), ts_text(closed, k + 1))
+        F.concat(form(k, "WO-", "wo", "W/O-", " WO "), padded(k, 6)).alias("wo_number"),
+        F.when((c % 11 == 0) & (k % 4 == 1) & (k % 101 != 3), legacy_customer_id(c))
+         .otherwise(form(k, customer_code(who), F.lower(customer_code(who)))).alias("customer_id"),
+        F.when(k % 40 == 11, F.substring(vin, 1, 14)).when(k % 40 == 12, F.concat(vin, F.lit("7")))
+         .when(k % 3 == 1, F.lower(F.concat(F.substring(vin, 1, 8), F.lit(" "), F.substring(vin, 9, 9))))
+         .otherwise(vin).alias("vehicle_vin"),
+        F.when(k % 333 == 5, F.lit("n.d."))
+         .otherwise(time_text(opened, F.when(k % 5 == 2, 0).when(k % 5 == 4, 2).otherwise(1))).alias("date_opened"),
+        F.when(last & (state == "F"), time_text(closed_ts(k, c, opened), div(k, 5)))
          .otherwise(F.lit("1900-01-01")).alias("date_closed"),
-        F.when(final, status_final).otherwise(pick(EARLY_STATUS, F.col("seq"))).alias("status"),
-        (F.when(k % 3 == 0, code).when(k % 3 == 1, F.lower(code))
-         .otherwise(F.concat(F.lit("  "), code, F.lit(" ")))).alias("service_type_code"),
-        tech.alias("technician_id"),
-        F.concat(F.lit("bay-"), (k % 6 + 1).cast("string")).alias("bay_id"),
+        F.when(last, final).otherwise(F.lit("OPEN")).alias("status"),
+        form(k, code, F.concat(F.lit("\t"), code, F.lit(" ")), F.lower(code)).alias("service_type_code"),
+        F.when(k % 9 == 4, form(div(k, 9), "", "n/a", "-", " unassigned"))
+         .otherwise(F.concat(form(k, "tech-", "TECH-", " Tech-"), padded(div(c, 15) + 1, 4))).alias("technician_id"),
+        F.concat(F.lit(" Bay-"), (k % 6 + 1).cast("string")).alias("bay_id"),
         odo.alias("odometer_reading"),
-        hours.alias("labour_hours"),
-        F.when(k % 4 == 0, F.lit("   "))
-         .otherwise(F.concat(F.lit(" Noise  from "), pick(COMPLAINT_WORDS, k),
-                             F.lit("   case "), (k % 10).cast("string"))).alias("customer_complaint"),
-        pick(WARRANTY_FORMS, k).alias("is_warranty"),
-        F.when(final & (k % 250 == 1), F.lit("D")).when(F.col("seq") == 1, F.lit("I"))
-         .otherwise(F.lit("U")).alias("cdc_operation"),
-        F.date_format(F.timestamp_add("HOUR", (F.col("seq") - 1) * 6, opened),
-                      "yyyy-MM-dd HH:mm:ss").alias("cdc_timestamp"),
-        F.lit(INGESTED_AT).alias("_ingested_at"),
+        form(k, hours, F.translate(hours, ".", ","), F.concat(hours, F.lit(" Hours"))).alias("labour_hours"),
+        F.when(k % 6 == 0, F.lit(" \t "))
+         .otherwise(F.concat(F.lit("  rattle   near\twheel "), (k % 4).cast("string"), F.lit(" "))).alias("customer_complaint"),
+        form(k, "t", "NO", "yes", "0", "perhaps").alias("is_warranty"),
+        F.col("step.op").alias("cdc_operation"),
+        F.date_format(changed, "yyyy-MM-dd HH:mm:ss").alias("cdc_timestamp"),
+        F.date_format(F.timestamp_add("HOUR", F.lit(1), changed), "yyyy-MM-dd HH:mm:ss").alias("_ingested_at"),
     )
 
 
-def _true_line_type() -> Column:
-    return (F.when(F.col("l_returnflag") == "N", F.lit("part"))
-            .when(F.col("l_returnflag") == "A", F.lit("labour"))
-            .otherwise(pick(RETURN_FLAG_R_TYPES, F.col("l_linenumber"))))
-
-
-def work_order_lines_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """dms.work_order_lines, with the source's own VAT rate and line total.
-
-    The source total uses the VAT rate in force on the order date, so the
-    line is joined to its order; about 3% of part totals are corrupted.
-    """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                         "l_extendedprice", "l_discount", "l_returnflag")
-    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    j = li.join(o, "l_orderkey", "left")
-    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    t = _true_line_type()
-    is_part = t.isin("part", "return")
-    q = F.col("l_quantity").cast("bigint")
-    labour_qty = F.format_string("%d.%02d", (q / 4).cast("bigint"), (q % 4) * 25)
-    qty_text = F.when(t == "labour", labour_qty).otherwise(F.format_string("%d.00", q))
-    qty_dec = qty_text.cast("decimal(10,2)")
-    negative = (t == "return") | ((k % 101 == 0) & (t != "return"))
-    qty_raw = F.when(negative, F.concat(F.lit("-"), qty_text)).otherwise(qty_text)
-    qty_raw = F.when(ln % 2 == 1, F.translate(qty_raw, ".", ",")).otherwise(qty_raw)
-    price = (F.when(t == "labour", (F.lit(5000) + (F.col("l_partkey") % 20) * 250).cast("decimal(14,2)"))
+# -------------------------------------------------------------------- lines
+def line_kind() -> Column:
+    flag = F.col("l_returnflag")
+    return (F.when(flag == "N", F.lit("part")).when(flag == "A", F.lit("labour"))
+            .otherwise(form(F.col("l_linenumber"), "return", "fee", "misc", "sublet", "part")))
+
+
+def part_text(p: Column, idx: Column) -> Column:
+    """Spellings of a part number, one of them a supplier's own (see ``part_number_aliases``)."""
+    n = padded(p, 5)
+    return form(idx, F.concat(F.lit("P-"), n), F.concat(F.lit("p"), n), F.concat(F.lit("P "), n, F.lit(" ")),
+                F.concat(F.lit("p."), n), F.concat(F.lit("Alt-"), n))
+
+
+def work_order_lines_raw(lineitem: DataFrame) -> DataFrame:
+    """dms.work_order_lines with the source's own VAT rate and total; the rate
+    goes by the ship date, and some part totals are wrong or missing."""
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                         "l_discount", "l_returnflag", "l_shipdate")
+    k, n, p = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    li = li.withColumn("kind", line_kind())
+    kind, q = F.col("kind"), F.col("l_quantity").cast("bigint")
+    amount = F.when(kind == "labour", quarter_text(q)).otherwise(F.concat(q.cast("string"), F.lit(".00")))
+    minus = F.when((kind == "return") | (k % 97 == 5), F.lit("-")).otherwise(F.lit(""))
+    price = (F.when(kind == "labour", (F.lit(4000) + (p % 25) * 300).cast("decimal(14,2)"))
              .otherwise(F.col("l_extendedprice").cast("decimal(14,2)")))
-    price_raw = (F.when(k % 199 == 3, F.concat(F.lit("-"), price.cast("string")))
-                 .otherwise(money_text(price, k + ln)))
     d = F.col("l_discount").cast("decimal(6,3)")
-    disc_raw = (F.when((ln % 2 == 1) & (d > F.lit(Decimal("0.010"))), (d * 100).cast("decimal(6,1)").cast("string"))
-                .otherwise(d.cast("string")))
-    year = F.year(shift(F.col("o_orderdate")))
-    true_rate = F.when(year >= 2020, F.lit(Decimal("0.0750"))).otherwise(F.lit(Decimal("0.0500")))
-    factor = F.when(t == "part", F.lit(1) - d).otherwise(F.lit(1)).cast("decimal(4,3)")
-    subtotal = F.round(qty_dec * price * factor, 2).cast("decimal(18,2)")
-    total = F.round(subtotal * (F.lit(1) + true_rate), 2).cast("decimal(18,2)")
-    corrupt = (t == "part") & ((k * 31 + ln) % 33 == 0)
-    total = F.when(corrupt, F.round(total * F.lit(Decimal("1.1")), 2).cast("decimal(18,2)")).otherwise(total)
-    title = F.concat(F.lit(" "), F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 100), F.lit(" "))
-    pn = F.concat(F.lit("P-"), F.format_string("%05d", F.col("l_partkey")))
-    s4 = F.col("l_suppkey") % 4
-    pn = (F.when(s4 == 0, pn).when(s4 == 1, F.concat(F.lit("P"), F.format_string("%05d", F.col("l_partkey"))))
-          .when(s4 == 2, F.lower(pn)).otherwise(F.concat(F.lit(" "), pn, F.lit(" "))))
-    return j.select(
-        F.concat(pick(WO_PREFIXES, k + ln), F.format_string("%06d", k)).alias("wo_number"),
-        F.when(ln % 3 == 0, F.concat(F.lit(" "), ln.cast("string"), F.lit(" ")))
-         .otherwise(ln.cast("string")).alias("line_no"),
-        (F.when(F.col("l_partkey") % 3 == 0, t).when(F.col("l_partkey") % 3 == 1, F.upper(t))
-         .otherwise(title)).alias("line_type"),
-        F.when(is_part, pn).otherwise(F.lit("")).alias("part_number"),
-        F.concat(F.lit(" Item  "), ln.cast("string"), F.lit("   for   job ")).alias("description"),
-        qty_raw.alias("quantity"),
-        price_raw.alias("unit_price_ngn"),
-        disc_raw.alias("discount_pct"),
-        F.when(ln % 7 == 0, F.lit("")).otherwise(true_rate.cast("decimal(6,3)").cast("string")).alias("vat_rate"),
-        total.cast("string").alias("line_total_ngn"),
+    rate = F.when(F.year(moved(F.col("l_shipdate"))) >= 2020, F.lit(Decimal("0.075"))).otherwise(F.lit(Decimal("0.050")))
+    net = F.when(kind == "part", F.lit(1) - d).otherwise(F.lit(1)).cast("decimal(4,3)")
+    sub = F.round(amount.cast("decimal(10,2)") * price * net, 2).cast("decimal(18,2)")
+    total = F.round(sub * (F.lit(1) + rate), 2).cast("decimal(18,2)")
+    total = F.when((kind == "part") & ((k * 17 + n) % 50 == 3), F.round(total * F.lit(Decimal("1.2")), 2).cast("decimal(18,2)")
+                   ).otherwise(total)
+    return li.select(
+        F.concat(form(k + n, "WO-", "wo", "W/O-", " WO "), padded(k, 6)).alias("wo_number"),
+        form(n, F.concat(F.lit(" "), n.cast("string")), n.cast("string")).alias("line_no"),
+        form(p, F.upper(kind), F.concat(F.lit(" "), kind, F.lit(" ")), kind).alias("line_type"),
+        F.when(kind.isin("part", "return"), part_text(p, F.col("l_suppkey"))).otherwise(F.lit("")).alias("part_number"),
+        F.concat(F.lit("fit  item "), n.cast("string"), F.lit("\t ")).alias("description"),
+        F.concat(minus, form(n, amount, F.translate(amount, ".", ","))).alias("quantity"),
+        F.when(k % 193 == 2, F.concat(F.lit("-"), price.cast("string")))
+         .when(k % 389 == 1, F.lit("call supplier")).otherwise(money_text(price, k + n)).alias("unit_price_ngn"),
+        F.when((n % 2 == 0) & (d > F.lit(Decimal("0.010"))), (d * 100).cast("decimal(6,1)").cast("string"))
+         .otherwise(d.cast("string")).alias("discount_pct"),
+        F.when(n % 6 == 0, F.lit("")).otherwise(rate.cast("string")).alias("vat_rate"),
+        F.when(k % 211 == 4, F.lit("")).otherwise(total.cast("string")).alias("line_total_ngn"),
     )
 
 
+# -------------------------------------------------------------- technicians
+def technician_code(s: Column) -> Column:
+    return F.concat(F.lit("TECH-"), padded(s, 4))
+
+
 def technicians_raw(supplier: DataFrame) -> DataFrame:
-    """dms.technicians from the supplier table (rate from the account balance)."""
+    """dms.technicians; the rate comes from the account balance."""
     s = F.col("s_suppkey")
-    tid = F.format_string("%04d", s)
-    hired = F.timestamp_add("DAY", s.cast("int"), F.lit("2010-01-01 08:00:00").cast("timestamp_ntz"))
-    rate = F.abs(F.col("s_acctbal")).cast("decimal(14,2)") + F.lit(2000)
+    code = technician_code(s)
+    hired = F.timestamp_add("DAY", ((s * 5) % 3000).cast("int"), F.lit("2009-03-01 07:30:00").cast("timestamp_ntz"))
+    rate = (F.abs(F.col("s_acctbal")).cast("decimal(14,2)") + F.lit(1500)).cast("decimal(14,2)")
     return supplier.select(
-        (F.when(s % 3 == 0, F.concat(F.lit("TECH-"), tid))
-         .when(s % 3 == 1, F.concat(F.lit(" tech-"), tid, F.lit(" ")))
-         .otherwise(F.concat(F.lit("Tech-"), tid))).alias("technician_id"),
-        F.col("s_name").alias("technician_name"),
-        pick(SKILL_FORMS, s).alias("skill_level"),
-        pick(SPECIALISATION_FORMS, s).alias("specialisation"),
-        ts_text(hired, s).alias("hire_date"),
-        money_text(rate.cast("decimal(14,2)"), s).alias("hourly_rate_ngn"),
-        pick(ACTIVE_FORMS, s).alias("is_active"),
-    )
-
-
-def parts_raw(part: DataFrame) -> DataFrame:
-    """erp.parts from the part table."""
-    p = F.col("p_partkey")
-    base = F.concat(F.lit("P-"), F.format_string("%05d", p))
-    price = F.col("p_retailprice").cast("decimal(14,2)")
-    cost = F.round(price * F.lit(Decimal("0.7")), 2).cast("decimal(14,2)")
-    return part.select(
-        (F.when(p % 3 == 0, base).when(p % 3 == 1, F.translate(base, "-", "."))
-         .otherwise(F.lower(base))).alias("part_number"),
-        F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("part_description"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        money_text(cost, p).alias("unit_cost_ngn"),
-        money_text(price, p + 1).alias("unit_price_ngn"),
-        F.concat(F.lit("sup-"), (p % 25).cast("string")).alias("supplier_id"),
-        ((p * 13) % 183 - 2).cast("string").alias("qty_on_hand"),
-        pick(REORDER_FORMS, p).alias("reorder_point"),
-        F.when(p % 4 == 0, F.lit("USD")).otherwise(F.lit(" ngn")).alias("currency"),
+        form(s, F.lower(code), code, F.concat(F.lit("\t"), code)).alias("technician_id"),
+        F.concat(F.lit(" "), F.col("s_name")).alias("technician_name"),
+        form(s, "SENIOR", " Junior", "master", "Apprentice ", "expert").alias("skill_level"),
+        form(s, "Brakes; ac", "ENGINE", "transmission;Engine", "electrical;hybrid").alias("specialisation"),
+        time_text(hired, s).alias("hire_date"),
+        money_text(rate, s).alias("hourly_rate_ngn"),
+        form(s, "no", "Yes", "f", "1").alias("is_active"),
     )
 
 
 def technician_rate_history(supplier: DataFrame) -> DataFrame:
-    """Date-effective hourly rates: four two-year periods per technician.
-
-    Some histories carry deliberate faults for the range check: an early
-    third period (overlap) and a late fourth period (gap).
-    """
+    """Date-effective hourly rates: four two-year periods per technician, with
+    an early third one (overlap) or a late fourth one (gap) for some."""
     s = F.col("s_suppkey")
     base = F.abs(F.col("s_acctbal")).cast("decimal(14,2)") + F.lit(2000)
     h = supplier.select("s_suppkey", base.alias("_base"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_i"))
@@ -255,190 +243,205 @@ def technician_rate_history(supplier: DataFrame) -> DataFrame:
              .when((i == 3) & (s % 17 == 0), F.date_add(start, 60)).otherwise(start))
     vto = F.when(i == 3, F.lit("2099-12-31").cast("date")).otherwise(
         F.date_sub(F.make_date(F.lit(2017) + i * 2, F.lit(1), F.lit(1)), 1))
-    return h.select(
-        F.concat(F.lit("TECH-"), F.format_string("%04d", s)).alias("technician_id"),
-        vfrom.alias("valid_from"), vto.alias("valid_to"),
-        (F.col("_base") + i * 250).cast("decimal(14,2)").alias("hourly_rate_ngn"))
-
-
-# ---------------------------------------------------------------- FIXED VALUES
-ISSUE_FORMS = ["ISSUE", "issue", " Issue "]
-RETURN_FORMS = ["RETURN", "return"]
-RECEIPT_FORMS = ["RECEIPT", "GRN", "receipt"]
-WAREHOUSE_FORMS = ["MAIN", "main", "WH-01"]
-RECEIPT_DATE = "2015-01-01 00:00:00"
-# ------------------------------------------------------------ END FIXED VALUES
+    return h.select(technician_code(s).alias("technician_id"), vfrom.alias("valid_from"), vto.alias("valid_to"),
+                    (F.col("_base") + i * 250).cast("decimal(14,2)").alias("hourly_rate_ngn"))
 
 
-def _part_number_text(partkey: Column, style: Column) -> Column:
-    pn = F.concat(F.lit("P-"), F.format_string("%05d", partkey))
-    s = style % 4
-    return (F.when(s == 0, pn).when(s == 1, F.concat(F.lit("P"), F.format_string("%05d", partkey)))
-            .when(s == 2, F.lower(pn)).otherwise(F.concat(F.lit(" "), pn, F.lit(" "))))
+# ---------------------------------------------------------- parts and stock
+def on_hand(p: Column) -> Column:
+    return (p * 13) % 183 - 2
 
 
-def stock_movements_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """erp.stock_movements: issues from part lines, returns from return lines,
-    and one opening receipt per part sized so the ledger meets the on-hand
-    figure (every ninth part is off by five units, for the reconciliation)."""
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                         "l_shipdate", "l_returnflag")
-    is_issue = F.col("l_returnflag") == "N"
-    is_return = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 5 == 2)
-    moves = li.where(is_issue | is_return)
-    q = F.col("l_quantity").cast("bigint")
-    sk = F.col("l_suppkey")
-    lines_mv = moves.select(
-        F.concat(F.lit("MV-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("movement_id"),
-        _part_number_text(F.col("l_partkey"), sk).alias("part_number"),
-        F.when(is_issue, pick(ISSUE_FORMS, sk)).otherwise(pick(RETURN_FORMS, F.col("l_partkey"))).alias("movement_type"),
-        F.when(is_issue & (sk % 2 == 0), F.concat(F.lit("-"), q.cast("string"))).otherwise(q.cast("string"))
-         .alias("movement_qty"),
-        F.date_format(shift(F.col("l_shipdate")), "yyyy-MM-dd HH:mm:ss").alias("movement_date"),
-        pick(WAREHOUSE_FORMS, sk).alias("warehouse"),
-    )
-    net = moves.groupBy("l_partkey").agg(
-        F.sum(F.when(is_issue, q).otherwise(-q)).alias("_issued_net"))
+def parts_raw(part: DataFrame) -> DataFrame:
+    """erp.parts: prices in three currencies, a few unreadable stock figures."""
     p = F.col("p_partkey")
-    on_hand = (p * 13) % 183 - 2
-    rc = part.select("p_partkey").join(net, part["p_partkey"] == net["l_partkey"], "left")
-    rqty = on_hand + F.coalesce(F.col("_issued_net"), F.lit(0)) + F.when(p % 9 == 0, F.lit(5)).otherwise(F.lit(0))
-    receipts = rc.select(
-        F.concat(F.lit("RC-"), p.cast("string")).alias("movement_id"),
-        _part_number_text(p, p).alias("part_number"),
-        pick(RECEIPT_FORMS, p).alias("movement_type"),
-        rqty.cast("string").alias("movement_qty"),
-        F.lit(RECEIPT_DATE).alias("movement_date"),
-        pick(WAREHOUSE_FORMS, p).alias("warehouse"),
+    price = F.col("p_retailprice").cast("decimal(14,2)")
+    cost = F.round(price * F.lit(Decimal("0.65")), 2).cast("decimal(14,2)")
+    return part.select(
+        part_text(p, p % 4).alias("part_number"),
+        F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("part_description"),
+        F.concat(F.col("p_type"), F.lit(" ")).alias("category"),
+        F.col("p_brand").alias("subcategory"),
+        money_text(cost, p).alias("unit_cost_ngn"),
+        money_text(price, p + 1).alias("unit_price_ngn"),
+        F.concat(F.lit(" sup-"), (p % 25).cast("string")).alias("supplier_id"),
+        F.when(p % 97 == 3, F.lit("many")).otherwise(on_hand(p).cast("string")).alias("qty_on_hand"),
+        form(p, "N/A", "30", "", " 45").alias("reorder_point"),
+        form(p, "USD", " eur", "ngn", "NGN ").alias("currency"),
     )
-    return lines_mv.unionByName(receipts)
 
 
-def fx_quotes(lineitem: DataFrame) -> DataFrame:
-    """Twice-monthly USD->NGN quotes on the (shifted) ship dates present in the data."""
-    d = lineitem.select(F.to_date(shift(F.col("l_shipdate"))).alias("quote_date")).distinct()
-    d = d.where(F.dayofmonth("quote_date").isin(1, 15))
-    rate = (F.lit(300) + (F.dayofyear("quote_date") * 7) % 150 + (F.year("quote_date") - 2015) * 40)
-    return d.select("quote_date", rate.cast("decimal(10,4)").alias("usd_ngn"))
+def part_number_aliases(part: DataFrame) -> DataFrame:
+    """A supplier's own part number -> the canonical key."""
+    n = padded(F.col("p_partkey"), 5)
+    return part.select(F.concat(F.lit("ALT"), n).alias("alias"), F.concat(F.lit("P"), n).alias("part_number"))
 
 
-# ---------------------------------------------------------------- FIXED VALUES
-CUSTOMER_TYPE_FORMS = ["individual", "FLEET", " Corporate ", "insurance", "Fleet"]
-CITY_FORMS = ["Lagos", "LAGOS", "Lag", "Lagos State", "Ibadan", "abeokuta", "Abuja "]
-MAKE_FORMS = ["TOYOTA", "toyota", "Toyota Motors", "HONDA", "Honda", "MERC", "Mercedes-Benz", "lexus",
-              "NISSAN", "Kia Motors"]
-MODEL_FORMS = ["corolla", "CAMRY", " Accord ", "c300", "sienna  van"]
-ENGINE_FORMS = ["Petrol", "DIESEL", "hybrid", "petrol ", "EV", "steam"]
-TRANSMISSION_FORMS = ["AUTO", "manual", "Automatic", "CVT"]
-PLATE_AREAS = ["lag", "KJA", "abj"]
-PLATE_SUFFIXES = ["AA", "xy", "KT"]
-# ------------------------------------------------------------ END FIXED VALUES
+STOCK_YEAR = "2021-01-01"
 
 
-PHONE_PREFIXES = ["803", "706", "905", "812", "602"]  # '602' is not a mobile prefix
+def stock_movements_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """erp.stock_movements of one quarter: issues from part lines, returns from
+    return lines, and one opening receipt per part, sized so that the ledger
+    meets the on-hand figure (every ninth part is off by five)."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag")
+    issue = F.col("l_returnflag") == "N"
+    back = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 5 == 0)
+    moves = li.where(issue | back)
+    q, s, p = F.col("l_quantity").cast("bigint"), F.col("l_suppkey"), F.col("p_partkey")
+    when = F.timestamp_add("HOUR", (F.col("l_orderkey") % 24).cast("int"),
+                           F.date_add(F.lit(STOCK_YEAR).cast("date"), F.dayofyear("l_shipdate") % 90).cast("timestamp_ntz"))
+    ledger = moves.select(
+        F.concat_ws("-", F.lit("MV"), F.col("l_orderkey"), F.col("l_linenumber")).alias("movement_id"),
+        part_text(F.col("l_partkey"), s % 4).alias("part_number"),
+        F.when(issue, form(s, "issue", "Issue ", "ISSUE")).otherwise(form(s, "Return", "return ")).alias("movement_type"),
+        F.when(issue & (s % 2 == 1), F.concat(F.lit("-"), q.cast("string"))).otherwise(q.cast("string")).alias("movement_qty"),
+        F.date_format(when, "yyyy-MM-dd HH:mm:ss").alias("movement_date"),
+        form(s, "central", " NORTH", "Central").alias("warehouse"),
+        F.date_format(F.timestamp_add("HOUR", F.lit(2), when), "yyyy-MM-dd HH:mm:ss").alias("_ingested_at"))
+    net = moves.groupBy("l_partkey").agg(F.sum(F.when(issue, q).otherwise(-q)).alias("net"))
+    first = part.select("p_partkey").join(net, F.col("p_partkey") == F.col("l_partkey"), "left")
+    opening = on_hand(p) + F.coalesce("net", F.lit(0)) + F.when(p % 9 == 0, F.lit(5)).otherwise(F.lit(0))
+    receipts = first.select(
+        F.concat_ws("-", F.lit("RC"), p).alias("movement_id"), part_text(p, p % 4).alias("part_number"),
+        form(p, "grn", "Receipt", " RECEIPT").alias("movement_type"), opening.cast("string").alias("movement_qty"),
+        F.lit("2020-12-31 18:00:00").alias("movement_date"), form(p, "central", " NORTH", "Central").alias("warehouse"),
+        F.lit("2020-12-31 20:00:00").alias("_ingested_at"))
+    return ledger.unionByName(receipts)
 
 
-def phone_text(c: Column) -> Column:
-    """Local, +234, spaced and bracketed spellings of a Nigerian number."""
-    m = pick(PHONE_PREFIXES, c)
-    s = F.format_string("%07d", (c * 7919) % 10000000)
-    style = (c / 5).cast("bigint") % 4
-    return (F.when(style == 0, F.concat(F.lit("0"), m, s))
-            .when(style == 1, F.concat(F.lit("+234"), m, s))
-            .when(style == 2, F.concat(F.lit("0"), m, F.lit(" "), F.substring(s, 1, 3), F.lit(" "),
-                                       F.substring(s, 4, 4)))
-            .otherwise(F.concat(F.lit("(0"), m, F.lit(") "), s)))
+def fx_quotes(lineitem: DataFrame) -> DataFrame:
+    """USD and EUR quotes in NGN on the first and fifteenth of months with shipments."""
+    d = lineitem.select(F.to_date(moved(F.col("l_shipdate"))).alias("quote_date")).distinct()
+    d = d.where(F.dayofmonth("quote_date").isin(1, 15))
+    usd = F.lit(300) + (F.dayofyear("quote_date") * 7) % 150 + (F.year("quote_date") - 2015) * 40
+    return d.select("quote_date", F.explode(F.array(
+        F.struct(F.lit("USD").alias("currency"), usd.alias("rate")),
+        F.struct(F.lit("EUR").alias("currency"), (usd + 55).alias("rate")))).alias("q")).select(
+        "q.currency", "quote_date", F.col("q.rate").cast("decimal(10,4)").alias("rate_ngn"))
+
+
+# ------------------------------------------------------ invoices, payments
+def invoices_raw(orders: DataFrame) -> DataFrame:
+    """pos.invoices: one for each finished order, in three currencies, with
+    credit notes and missing totals."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    o = orders.where(F.col("o_orderstatus") == "F")
+    day = F.timestamp_add("DAY", F.lit(1), opened_ts(k, F.col("o_orderdate")))
+    total = F.col("o_totalprice").cast("decimal(14,2)")
+    return o.select(
+        F.concat(form(k, "INV-", "inv ", "Inv/"), padded(k, 6)).alias("invoice_number"),
+        F.concat(form(c, "WO-", "wo"), padded(k, 6)).alias("wo_number"),
+        time_text(day, k).alias("invoice_date"),
+        form(k, "ngn", "", " USD", "NGN", "eur").alias("currency"),
+        F.when(k % 90 == 6, F.lit("")).when(k % 90 == 5, F.concat(F.lit("-"), total.cast("string")))
+         .otherwise(money_text(total, k)).alias("total"))
 
 
-def legacy_customer_id(c: Column) -> Column:
-    return F.concat(F.lit("L"), F.format_string("%05d", c))
+def payments_raw(orders: DataFrame) -> DataFrame:
+    """pos.payments: two instalments, one, or none for a finished order."""
+    k = F.col("o_orderkey")
+    share = F.col("share")
+    o = orders.where(F.col("o_orderstatus") == "F").select(
+        "o_orderkey", "o_totalprice", F.posexplode(F.filter(F.array(
+            F.when(k % 3 == 0, F.lit(Decimal("0.60"))), F.when(k % 3 == 0, F.lit(Decimal("0.40"))),
+            F.when(k % 3 == 1, F.lit(Decimal("0.50")))), lambda x: x.isNotNull())).alias("pos", "share"))
+    amount = F.round(F.col("o_totalprice").cast("decimal(14,2)") * share, 2).cast("decimal(14,2)")
+    return o.select(
+        F.concat_ws("-", F.lit("PAY"), k, F.col("pos")).alias("payment_id"),
+        F.concat(form(k, "WO-", "w/o "), padded(k, 6)).alias("wo_number"),
+        money_text(amount, k + F.col("pos")).alias("amount"),
+        form(k + F.col("pos"), "Cash", "POS ", "bank transfer", "insurance", "cheque").alias("payment_method"))
+
+
+# --------------------------------------------------- customers and vehicles
+CITIES = ("lagos", "Kano", "LAG", "Lagos State", "port  harcourt", "ENUGU", " benin city")
 
 
 def customers_raw(customer: DataFrame) -> DataFrame:
-    """crm.customers: every 11th customer still carries its legacy id."""
-    c = F.col("c_custkey")
-    name = F.col("c_name")
-    email_ok = F.concat(F.lit("customer"), c.cast("string"), F.lit("@example.ng"))
-    email = (F.when(c % 20 == 0, F.lit("")).when(c % 20 == 1, F.lit("n/a")).when(c % 20 == 2, F.lit("notanemail"))
-             .when(c % 2 == 0, email_ok)
-             .otherwise(F.concat(F.lit(" Customer"), c.cast("string"), F.lit("@Example.NG "))))
-    reg = F.timestamp_add("DAY", ((c * 7) % 4000).cast("int"), F.lit("2010-01-01 09:00:00").cast("timestamp_ntz"))
+    """crm.customers: every eleventh still has its legacy id."""
+    c, name = F.col("c_custkey"), F.col("c_name")
+    mail = F.concat(F.lit("customer"), c.cast("string"), F.lit("@example.ng"))
+    since = F.timestamp_add("DAY", ((c * 7) % 4000).cast("int"), F.lit("2010-01-01 09:00:00").cast("timestamp_ntz"))
     return customer.select(
-        F.when(c % 11 == 0, legacy_customer_id(c))
-         .otherwise(F.concat(F.when(c % 2 == 0, F.lit("CUST-")).otherwise(F.lit(" cust-")),
-                             F.format_string("%06d", c))).alias("customer_id"),
-        (F.when(c % 3 == 0, name).when(c % 3 == 1, F.concat(F.upper(name), F.lit("  ")))
-         .otherwise(F.concat(F.lit(" "), F.lower(F.regexp_replace(name, "#", "  # "))))).alias("customer_name"),
-        pick(CUSTOMER_TYPE_FORMS, c).alias("customer_type"),
+        F.when(c % 11 == 0, legacy_customer_id(c)).otherwise(
+            form(c, F.concat(F.lit(" "), customer_code(c)), F.lower(customer_code(c)))).alias("customer_id"),
+        form(c, F.upper(name), F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("  # "))), F.lit(" ")), name).alias("customer_name"),
+        form(c, "Individual", "FLEET ", " corporate", "INSURANCE", "walk-in").alias("customer_type"),
         phone_text(c).alias("phone_primary"),
-        email.alias("email"),
-        pick(CITY_FORMS, F.col("c_nationkey")).alias("address_city"),
-        ts_text(reg, c).alias("registration_date"),
-    )
+        F.when(c % 20 == 4, F.lit("")).when(c % 20 == 5, F.lit("none")).when(c % 20 == 6, F.lit("no-at.example.ng"))
+         .otherwise(form(c, mail, F.concat(F.lit(" "), F.upper(mail)))).alias("email"),
+        form(F.col("c_nationkey"), *CITIES).alias("address_city"),
+        time_text(since, c).alias("registration_date"))
 
 
 def customer_id_migration(customer: DataFrame) -> DataFrame:
-    """Legacy id -> current id for the customers that still use a legacy id."""
+    """Legacy id -> current id."""
     c = F.col("c_custkey")
-    return customer.where(c % 11 == 0).select(
-        legacy_customer_id(c).alias("legacy_id"),
-        F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("customer_id"))
+    return customer.where(c % 11 == 0).select(legacy_customer_id(c).alias("legacy_id"), customer_code(c).alias("customer_id"))
 
 
 def vehicles_raw(customer: DataFrame) -> DataFrame:
-    """crm.vehicles: one vehicle per customer, VIN as used on the work orders."""
+    """crm.vehicles: one for each customer, with the VIN of the work orders."""
     c = F.col("c_custkey")
-    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", c))
+    vin = vin_text(c)
+    plate = F.concat(form(c, "kan", "ABJ", "enu"), F.lit("-"), padded(c % 1000, 3), form(c, " xa", "KB"))
     return customer.select(
-        F.when(c % 9 == 0, F.lower(F.concat(F.substring(vin, 1, 5), F.lit("-"), F.substring(vin, 6, 12))))
-         .otherwise(vin).alias("vin"),
-        F.concat(pick(PLATE_AREAS, c), F.when(c % 2 == 0, F.lit("-")).otherwise(F.lit(" ")),
-                 F.format_string("%03d", c % 1000), pick(PLATE_SUFFIXES, c)).alias("plate_number"),
-        F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("customer_id"),
-        pick(MAKE_FORMS, c).alias("make"),
-        pick(MODEL_FORMS, c).alias("model"),
-        F.when(c % 10 == 3, F.lit("1899")).otherwise((F.lit(2000) + c % 22).cast("string")).alias("year_manufactured"),
-        pick(ENGINE_FORMS, c).alias("engine_type"),
-        pick(TRANSMISSION_FORMS, c).alias("transmission"),
-    )
+        form(c, vin, F.lower(vin), F.concat(F.substring(vin, 1, 11), F.lit("-"), F.substring(vin, 12, 6))).alias("vin"),
+        F.when(c % 30 == 8, F.concat(F.lit("9"), plate)).otherwise(plate).alias("plate_number"),
+        customer_code(c).alias("customer_id"),
+        form(c, "Toyota Motors", "HONDA", "MERC", "lexus", "NISSAN", "Kia Motors", "FORD").alias("make"),
+        form(c, "corolla", "COROLLA LE", " civic", "hilux  pickup").alias("model"),
+        F.when(c % 12 == 5, F.lit("1949")).when(c % 12 == 6, F.lit("unknown"))
+         .otherwise(F.concat(F.lit(" "), (F.lit(1995) + c % 27).cast("string"))).alias("year_manufactured"),
+        form(c, "DIESEL", "petrol", "ev ", "Hybrid", "gas").alias("engine_type"),
+        form(c, "Auto", "manual", "cvt ").alias("transmission"))
+
+
+def vehicle_ownership_events(customer: DataFrame) -> DataFrame:
+    """Every vehicle is registered to its customer; every seventh is later sold
+    to the next one."""
+    c = F.col("c_custkey")
+    since = F.timestamp_add("DAY", ((c * 7) % 4000).cast("int"), F.lit("2010-01-01 09:00:00").cast("timestamp_ntz"))
+    sold = F.timestamp_add("DAY", (c % 30).cast("int"), F.lit("2018-06-01 12:00:00").cast("timestamp_ntz"))
+    first = customer.select(vin_text(c).alias("vin"), customer_code(c).alias("owner_id"), since.alias("changed_at"))
+    again = customer.where(c % 7 == 0).select(
+        vin_text(c).alias("vin"), customer_code(c + 1).alias("owner_id"), sold.alias("changed_at"))
+    return first.unionByName(again)
 
 
 def person_name(key: Column) -> Column:
     """A two-word pseudo name derived from the key's MD5 (letters only)."""
-    h = F.md5(key.cast("string"))
-    first = F.translate(F.substring(h, 1, 5), "0123456789", "ghijklmnop")
-    last = F.translate(F.substring(h, 6, 6), "0123456789", "ghijklmnop")
-    return F.concat(F.upper(F.substring(first, 1, 1)), F.substring(first, 2, 4), F.lit(" "),
-                    F.upper(F.substring(last, 1, 1)), F.substring(last, 2, 5))
+    letters = F.translate(F.md5(key.cast("string")), "0123456789", "ghijklmnop")
+    return F.initcap(F.concat(F.substring(letters, 1, 5), F.lit(" "), F.substring(letters, 6, 6)))
 
 
 def contacts(df: DataFrame, key: str, nation: str, prefix: str, dup_prefix: str) -> DataFrame:
-    """Contact records for entity resolution: every entity plus re-entered
-    copies (every 12th key, offset 5) and near copies (offset 7).
-
-    Copy styles: upper-cased name with the same phone; extra spaces with the
-    same phone; one letter changed with an unusable phone; three letters
-    changed (a review-queue candidate)."""
+    """Contact records: every entity, re-entered copies (same phone, or one
+    letter changed) and near copies (three letters changed), and short names
+    that lie within a few letters of each other."""
     c = F.col(key)
-    name = person_name(c)
-    city = pick(CITY_FORMS, F.col(nation))
-    email = (F.when(c % 20 < 3, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit(prefix.lower().rstrip("-")), c.cast("string"), F.lit("@example.ng"))))
-    base = df.select(F.concat(F.lit(prefix), F.format_string("%06d", c)).alias("contact_id"),
-                     name.alias("contact_name"), phone_text(c).alias("phone_primary"),
-                     email.alias("email"), city.alias("address_city"))
-    dup = df.where((c % 12 == 5) | (c % 12 == 7))
-    v = (c / 12).cast("bigint") % 3
-    one_sub = F.overlay(name, F.lit("z"), 3, 1)
-    three_sub = F.overlay(F.overlay(F.overlay(name, F.lit("q"), 2, 1), F.lit("q"), 5, 1), F.lit("q"), 9, 1)
-    dname = (F.when(c % 12 == 7, three_sub).when(v == 0, F.upper(name))
-             .when(v == 1, F.concat(F.regexp_replace(name, " ", "   "), F.lit(" "))).otherwise(one_sub))
-    dphone = F.when((c % 12 == 5) & (v < 2), phone_text(c)).otherwise(F.lit("0602 000 0000"))
-    dups = dup.select(F.concat(F.lit(dup_prefix), F.format_string("%06d", c)).alias("contact_id"),
-                      dname.alias("contact_name"), dphone.alias("phone_primary"),
-                      F.lit(None).cast("string").alias("email"), city.alias("address_city"))
-    return base.unionByName(dups)
+    name, city = person_name(c), form(F.col(nation), *CITIES)
+    mail = F.when(c % 20 < 3, F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit(prefix.lower().rstrip("-")), c.cast("string"), F.lit("@example.ng")))
+    none = F.lit(None).cast("string")
+    base = df.select(F.concat(F.lit(prefix), padded(c, 6)).alias("contact_id"), name.alias("contact_name"),
+                     phone_text(c).alias("phone_primary"), mail.alias("email"), city.alias("address_city"))
+    near = F.overlay(F.overlay(F.overlay(name, F.lit("q"), 2, 1), F.lit("q"), 5, 1), F.lit("q"), 9, 1)
+    style = div(c, 12) % 3
+    again = df.where((c % 12 == 5) | (c % 12 == 7)).select(
+        F.concat(F.lit(dup_prefix), padded(c, 6)).alias("contact_id"),
+        F.when(c % 12 == 7, near).when(style == 0, F.upper(name))
+         .when(style == 1, F.concat(F.replace(name, F.lit(" "), F.lit("   ")), F.lit(" ")))
+         .otherwise(F.overlay(name, F.lit("z"), 3, 1)).alias("contact_name"),
+        F.when((c % 12 == 5) & (style < 2), phone_text(c)).otherwise(F.lit("0602 000 0000")).alias("phone_primary"),
+        none.alias("email"), city.alias("address_city"))
+    short = df.where(c % 40 == 9).select(
+        F.concat(F.lit(dup_prefix), F.lit("S"), padded(c, 6)).alias("contact_id"),
+        F.substring(F.upper(F.replace(name, F.lit(" "), F.lit(""))), 1, 1 << 30).substr(F.lit(1), (div(c, 40) % 4 + 1).cast("int"))
+         .alias("contact_name"),
+        F.lit("0602 000 0000").alias("phone_primary"), none.alias("email"), city.alias("address_city"))
+    return base.unionByName(again).unionByName(short)
 
 
 def customer_contacts(customer: DataFrame) -> DataFrame:
@@ -453,47 +456,27 @@ def supplier_contacts(supplier: DataFrame) -> DataFrame:
         .withColumnRenamed("contact_id", "supplier_id").withColumnRenamed("contact_name", "supplier_name")
 
 
-# ---------------------------------------------------------------- FIXED VALUES
-FAULT_FORMS = ["P0300", "p0171", " P0420", "P0128 ", "P0442", "P0999", ""]
-# ------------------------------------------------------------ END FIXED VALUES
+# --------------------------------------------------------------- telematics
+def arrival_time(event_id: Column, ts: Column) -> Column:
+    """Every seventh event arrives up to 99 hours late, the others within minutes."""
+    return (F.when(event_id % 7 == 0, F.timestamp_add("HOUR", ((event_id * 37) % 100).cast("int"), ts))
+            .otherwise(F.timestamp_add("MINUTE", (event_id % 5).cast("int"), ts)))
 
 
 def telematics_raw(events: DataFrame) -> DataFrame:
-    """telematics.events as delivered: text fields, epoch-ms time, fault code
-    taken from the JSON payload, arrival time in ``_ingested_at``."""
-    from forecourt.operators.events import arrival_time
-
-    e = F.col("event_id")
-    u = F.col("user_id")
-    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", u))
-    vin = (F.when(u % 17 == 0, F.concat(F.lit("1HGCM"), F.format_string("%011d", u)))
-           .when(u % 3 == 0, F.lower(vin)).otherwise(vin))
-    k = F.from_json("props", "k int")["k"]
-    lat = F.concat((F.lit(4) + ((e % 1100) / 100).cast("bigint")).cast("string"), F.lit("."),
-                   F.format_string("%02d", e % 100))
-    lon = F.concat((F.lit(3) + (((e * 7) % 1300) / 100).cast("bigint")).cast("string"), F.lit("."),
-                   F.format_string("%02d", (e * 7) % 100))
+    """telematics.events as delivered: text fields, epoch milliseconds, the fault
+    code by the JSON payload; a few unreadable times and odometers."""
+    e, u = F.col("event_id"), F.col("user_id")
+    vin = vin_text(u)
+    place = F.coalesce(F.from_json("props", "k int")["k"], F.lit(0))
+    degrees = lambda n, base, span: F.concat((F.lit(base) + div(n % span, 100)).cast("string"), F.lit("."), padded(n % 100, 2))
     return events.select(
-        F.concat(F.lit("EV-"), F.format_string("%08d", e)).alias("event_id"),
-        vin.alias("vin"),
-        F.format_string("%013d", F.unix_millis(F.col("ts").cast("timestamp"))).alias("event_timestamp"),
-        F.round(F.col("value") * 1000).cast("bigint").cast("string").alias("odometer_km"),
-        pick(FAULT_FORMS, F.coalesce(k, F.lit(0))).alias("fault_code"),
-        lat.alias("latitude"), lon.alias("longitude"),
-        F.date_format(arrival_time(e, F.col("ts")), "yyyy-MM-dd HH:mm:ss").alias("_ingested_at"),
-    )
-
-
-def vehicle_ownership_events(customer: DataFrame) -> DataFrame:
-    """crm ownership changes: every vehicle is registered to its customer; every
-    seventh vehicle is later sold to the next customer id."""
-    c = F.col("c_custkey")
-    vin = F.concat(F.lit("1HGCM"), F.format_string("%012d", c))
-    reg = F.timestamp_add("DAY", ((c * 7) % 4000).cast("int"), F.lit("2010-01-01 09:00:00").cast("timestamp_ntz"))
-    sold = F.timestamp_add("DAY", (c % 30).cast("int"), F.lit("2018-06-01 12:00:00").cast("timestamp_ntz"))
-    first = customer.select(vin.alias("vin"), F.concat(F.lit("CUST-"), F.format_string("%06d", c)).alias("owner_id"),
-                            reg.alias("changed_at"))
-    resale = customer.where(c % 7 == 0).select(
-        vin.alias("vin"), F.concat(F.lit("CUST-"), F.format_string("%06d", c + 1)).alias("owner_id"),
-        sold.alias("changed_at"))
-    return first.unionByName(resale)
+        F.concat(F.lit(" EV-"), padded(e, 8)).alias("event_id"),
+        F.when(u % 17 == 0, F.substring(vin, 1, 16)).when(u % 3 == 0, F.lower(vin)).otherwise(vin).alias("vin"),
+        F.when(e % 401 == 11, F.lit("soon")).otherwise(
+            F.lpad(F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), 13, "0")).alias("event_timestamp"),
+        F.when(e % 307 == 8, F.lit("n/a")).otherwise(
+            F.concat(F.round(F.col("value") * 1000).cast("bigint").cast("string"), F.lit(" km"))).alias("odometer_km"),
+        form(place, "p0300", " P0171", "P0420 ", "P0442", "P0999", "", "p0128").alias("fault_code"),
+        degrees(e, 4, 1100).alias("latitude"), degrees(e * 7, 3, 1300).alias("longitude"),
+        F.date_format(arrival_time(e, F.col("ts")), "yyyy-MM-dd HH:mm:ss").alias("_ingested_at"))

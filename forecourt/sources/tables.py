@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -18,39 +17,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
-# Inputs at least this large are spread over all cores when the file layout
-# yields fewer scan splits than the cluster has task slots.
-SPREAD_MIN_BYTES = 2 << 20
-
-
-_SIZES: dict[str, int] = {}
-
-
-def _size_bytes(spark: SparkSession, path: str) -> int:
-    """Total file size under ``path`` (file metadata only; contents not read).
-    Remembered per path: it only steers parallelism, never results."""
-    if path not in _SIZES:
-        lengths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        _SIZES[path] = int(lengths.agg(F.sum("length")).collect()[0][0] or 0)
-    return _SIZES[path]
+# A session may name here into how many partitions a scan is dealt; unset (the
+# default, and right for tables of many files) a scan is read as it lies.
+SPREAD_CONF = "spark.forecourt.scan.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one table.
 
-    A large file written as a single row group gives one scan split, so all
-    downstream text work would run in one task; such scans are round-robin
-    repartitioned to the default parallelism.  On a cluster reading many
-    files the scan already has more splits than slots and nothing is added.
+    A table in a single file with a single row group gives one split, and all
+    work up to the first shuffle runs in one task.  Who knows that of an input
+    sets ``SPREAD_CONF``; no size is looked up and no job runs here.
     """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target and _size_bytes(spark, path) >= SPREAD_MIN_BYTES:
-        df = df.repartition(target)
-    return df
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    parts = spark.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 class Tables:

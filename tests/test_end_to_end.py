@@ -9,6 +9,7 @@ import os
 from forecourt.plans import gold, silver
 from forecourt.plans.workshop import Workshop
 from forecourt.sources import bronze
+from forecourt.sources import star_extracts as X
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,7 +31,8 @@ def test_csv_bronze_silver_gold(spark, tmpdir_path):
     assert set(rep.loaded) == {"dms.work_orders", "dms.work_order_lines", "dms.technicians", "erp.parts"}
     rb = lambda s, e: bronze.read_bronze(spark, out, s, e, "2024-06-01").drop("_ingest_date")
     fact_files = gold.order_fact(
-        silver.clean_work_orders(rb("dms", "work_orders")), silver.clean_lines(rb("dms", "work_order_lines")),
+        silver.clean_work_orders(rb("dms", "work_orders"), X.customer_id_migration(w.t.customer)),
+        silver.clean_lines(rb("dms", "work_order_lines"), X.part_number_aliases(w.t.part)),
         silver.clean_parts(rb("erp", "parts")), silver.clean_technicians(rb("dms", "technicians")), w.vat_rates)
     fact_mem = w.order_fact(w.work_orders)
     cols = [c for c in fact_mem.columns]

@@ -96,12 +96,13 @@ def test_mart_orders_nulls_last(spark):
         ("WO-1", dt.datetime(2024, 1, 5), "SVC-MIN", Decimal("100.00"), Decimal("40.0000"), Decimal("60.0000"), 2),
         ("WO-2", None, "SVC-MAJ", Decimal("0.00"), Decimal("0.0000"), Decimal("0.0000"), None),
         ("WO-3", dt.datetime(2024, 1, 9), "BRK-PAD", Decimal("300.00"), Decimal("100.0000"), Decimal("200.0000"), 4),
+        ("WO-4", dt.datetime(2023, 12, 9), "AC-REG", Decimal("1.00"), Decimal("0.0000"), Decimal("1.0000"), 4),
     ], "wo_number string, opened_at timestamp_ntz, service_type_code string, revenue_ngn decimal(18,2), "
        "cost_ngn decimal(18,4), gross_profit_ngn decimal(18,4), cycle_time_hours bigint")
     rows = gold.service_profitability(fact, seeds.service_types(spark)).collect()
-    assert [r["service_type_code"] for r in rows] == ["BRK-PAD", "SVC-MIN", "SVC-MAJ"]
+    assert [r["service_type_code"] for r in rows] == ["AC-REG", "BRK-PAD", "SVC-MIN", "SVC-MAJ"]  # month, then profit falling
     assert rows[-1]["month"] is None and rows[-1]["margin_pct"] is None
-    assert rows[0]["service_type_description"] == "Brake pad replacement"
+    assert rows[1]["service_type_description"] == "Brake pad replacement"
 
 
 def test_include_deleted_switch(spark):
@@ -129,3 +130,24 @@ def test_vat_seed_has_no_overlaps_or_gaps(spark):
 
     rates = seeds.vat_rates(spark).withColumn("k", F.lit(1))
     assert Q.range_issues(rates, ["k"], "valid_from", "valid_to").count() == 0
+
+
+def test_calendars(spark):
+    """Every day between the first and the last is there, with what holds on it."""
+    from forecourt.operators.inventory import daily_health
+    from forecourt.plans import marts
+
+    d = lambda n: dt.datetime(2024, 1, 1, 9) + dt.timedelta(days=n)
+    moves = spark.createDataFrame([("P1", d(0), 100, 0), ("P1", d(2), -6, 6), ("P1", d(40), -4, 4), ("P2", d(5), 7, 0)],
+                                  "part_number string, movement_ts timestamp_ntz, signed_qty bigint, consumed_qty bigint")
+    parts = spark.createDataFrame([("P1", None), ("P2", 9)], "part_number string, reorder_point int")
+    h = {(r.part_number, (r.day - d(0).replace(hour=0)).days): r for r in daily_health(moves, parts).collect()}
+    assert sorted(h) == [("P1", n) for n in range(41)] + [("P2", 5)]
+    assert [h["P1", n].on_hand for n in (0, 1, 2, 39, 40)] == [100, 100, 94, 94, 90]
+    assert [h["P1", n].consumption_30d for n in (1, 2, 31, 32, 40)] == [0, 6, 6, 0, 4]
+    assert h["P1", 3].net_qty == 0 and h["P2", 5].reorder_due is True
+    fact = spark.createDataFrame([("A", d(0), d(3), Decimal("10.00")), ("B", d(1), None, Decimal("5.00")), ("C", None, None, Decimal("1.00"))],
+                                 "wo_number string, opened_at timestamp_ntz, closed_at timestamp_ntz, revenue_ngn decimal(18,2)")
+    days = marts.daily_operations(fact).orderBy("day").collect()
+    assert [(r.jobs_opened, r.jobs_closed, r.wip_jobs, r.wip_value_ngn, r.revenue_closed_ngn) for r in days] == [
+        (1, 0, 1, 10, 0), (1, 0, 2, 15, 0), (0, 0, 2, 15, 0), (0, 1, 1, 5, 10)]

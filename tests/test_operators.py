@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-from decimal import Decimal
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,7 +12,8 @@ from forecourt.operators import entity as ER
 from forecourt.operators import quality as Q
 from forecourt.operators import quarantine as QU
 from forecourt.operators.dedup import latest_by
-from forecourt.operators.joins import asof_join, effective_join
+from forecourt.operators.components import star_forest
+from forecourt.operators.joins import asof_join, effective_join, lookup
 from forecourt.operators.scd import scd2
 from forecourt.operators.sequential import next_value, previous_value, running_max_before
 
@@ -58,27 +57,59 @@ def test_latest_by_tie_break(spark):
     assert [(r.k, r.id) for r in got] == [("a", 7), ("b", 1)]
 
 
-def test_effective_join_broadcast_and_bucket_paths(spark):
-    facts = spark.createDataFrame([(i, dt.date(2014, 1, 1) + dt.timedelta(days=40 * i)) for i in range(100)],
-                                  "id int, d date")
-    rates = spark.createDataFrame([(dt.date(2015, 1, 1), dt.date(2016, 12, 31), Decimal("0.05")),
-                                   (dt.date(2017, 6, 1), dt.date(2099, 12, 31), Decimal("0.075"))],
-                                  "valid_from date, valid_to date, vat_rate decimal(6,4)")
-    a = effective_join(facts, rates, F.col("d"), "valid_from", "valid_to")
-    b = effective_join(facts, rates, F.col("d"), "valid_from", "valid_to", max_broadcast_rows=1)  # bucket path
-    ka = sorted((r.id, r.vat_rate) for r in a.collect())
-    kb = sorted((r.id, r.vat_rate) for r in b.select("id", "vat_rate").collect())
-    assert ka == kb and len(ka) == 100
-    assert dict(ka)[0] is None  # 2014: before any rate
-    assert any(v is None for i, v in ka if dt.date(2017, 1, 1) <= dt.date(2014, 1, 1) + dt.timedelta(days=40 * i)
-               < dt.date(2017, 6, 1))
+def test_effective_join_equals_range_condition(spark):
+    rnd = random.Random(5)
+    day = lambda: dt.date(2014, 1, 1) + dt.timedelta(days=rnd.randint(0, 4000))
+    dates = [day() for _ in range(300)] + [None, dt.date(1, 1, 1), dt.date(9999, 12, 31)]
+    ranges = [(a, a + dt.timedelta(days=rnd.randint(-3, 900)), i) for i, a in enumerate(day() for _ in range(60))]
+    ranges += [(dt.date(2020, 1, 1), dt.date(9999, 12, 31), 100), (None, dt.date(2020, 1, 1), 101)]  # overlaps fan out
+    facts = spark.createDataFrame(list(enumerate(dates)), "id int, d date")
+    rates = spark.createDataFrame(ranges, "valid_from date, valid_to date, rate int")
+    expected = []
+    for i, d in enumerate(dates):
+        hit = [r for a, b, r in ranges if a and d and a <= d <= b]
+        expected += [(i, r) for r in hit or [-1]]
+    for known in (None, facts.select("d")):
+        got = effective_join(facts, rates, F.col("d"), "valid_from", "valid_to", dates=known)
+        assert sorted((r.id, -1 if r.rate is None else r.rate) for r in got.collect()) == sorted(expected)
+    plan = effective_join(facts, rates, F.col("d"), "valid_from", "valid_to")._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_asof_join(spark):
-    facts = spark.createDataFrame([(1, "x", 5), (2, "x", 10), (3, "y", 1), (4, "x", 0)], "id int, k string, t int")
-    quotes = spark.createDataFrame([("x", 1, 100), ("x", 10, 200), ("y", 2, 300)], "k string, t0 int, v int")
-    got = {r.id: (r.v, r.t0_used) for r in asof_join(facts, quotes, ["k"], "t", "t0", ["v"]).collect()}
-    assert got == {1: (100, 1), 2: (200, 10), 3: (None, None), 4: (None, None)}
+    rnd = random.Random(6)
+    day = lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 400))
+    facts = [(i, rnd.choice(["hot", "hot", "hot", "x", "none", None]), day()) for i in range(400)] + [(400, "x", None)]
+    quotes = [(rnd.choice(["hot", "x", "only"]), day(), i) for i in range(60)]
+    quotes += [("hot", dt.date(2020, 6, 1), 1000), ("hot", dt.date(2020, 6, 1), 1001)]  # a tie: the larger value
+    f = spark.createDataFrame(facts, "id int, k string, t date")
+    q = spark.createDataFrame(quotes, "k string, t0 date, v int")
+    for keys in (["k"], []):
+        got = {r.id: (r.t0_used, r.v) for r in asof_join(f, q if keys else q.drop("k"), keys, "t", "t0", ["v"]).collect()}
+        for i, k, t in facts:
+            old = [(t0, v) for kq, t0, v in quotes if t and t0 <= t and (not keys or kq == k)]
+            assert got[i] == (max(old) if old else (None, None))
+    plan = asof_join(f, q.drop("k"), [], "t", "t0", ["v"])._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_null_times_have_no_place(spark):
+    """A row without time gets no predecessor and is nobody's."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [("a", base, 1, 10), ("a", None, 2, 99), ("a", base + dt.timedelta(days=3), 3, 12), ("b", None, 4, 5)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long, v int")
+    got = running_max_before(df, "k", "ts", "id", "v", out="pm")
+    got = next_value(previous_value(got, "k", "ts", "id", "v", out="pv"), "k", "ts", "id", "v", out="nv")
+    assert {r.id: (r.pm, r.pv, r.nv) for r in got.collect()} == {
+        1: (None, None, 12), 2: (None, None, None), 3: (10, 10, None), 4: (None, None, None)}
+
+
+def test_lookup_spreads_rows_without_key(spark):
+    fact = spark.range(400).select("id", F.when(F.col("id") % 4 == 0, F.lit("p")).alias("k"))
+    dim = spark.createDataFrame([("p", 7), ("q", 8)], "dk string, v int")
+    out = lookup(fact, dim, F.col("k"), "dk", F.col("id"))
+    assert out.columns == ["id", "k", "v"]
+    assert {(r.k, r.v) for r in out.collect()} == {("p", 7), (None, None)} and out.count() == 400
 
 
 def _lev(a, b):
@@ -91,35 +122,55 @@ def _lev(a, b):
     return prev[-1]
 
 
-def test_passjoin_equals_brute_force(spark):
+def _groups(rows, tau):
+    """Smallest id reachable over pairs of a block within ``tau`` edits."""
+    parent = {i: i for i, _, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, (ia, ba, sa) in enumerate(rows):
+        for ib, bb, sb in rows[n + 1:]:
+            if ba == bb and abs(len(sa) - len(sb)) <= tau and _lev(sa, sb) <= tau:
+                a, b = sorted((root(ia), root(ib)))
+                parent[b] = a
+    return {i: root(i) for i in parent}
+
+
+def test_fuzzy_groups_equal_brute_force(spark):
+    """Names of every length, the shortest included."""
     rnd = random.Random(3)
-    names = set()
-    while len(names) < 300:
-        base = "".join(rnd.choice("abcde") for _ in range(rnd.randint(2, 9)))
+    names = {"ab", "xy", "abc", "abd", "xyz", "qrst", "a"}
+    while len(names) < 200:
+        base = "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 14)))
         names.add(base)
         if rnd.random() < 0.4:
             s = list(base)
-            s[rnd.randrange(len(s))] = rnd.choice("abcde")
+            s[rnd.randrange(len(s))] = rnd.choice("abcdefgh")
             names.add("".join(s))
-    rows = [(f"id{i:04d}", "hot" if i % 3 else "cold", n) for i, n in enumerate(sorted(names))]
+    rows = [(f"id{i:04d}", f"city{i % 4}", n) for i, n in enumerate(sorted(names))]
     df = spark.createDataFrame(rows, "id string, blk string, s string")
-    for tau in (1, 2):
-        got = {(r.id_a, r.id_b, r.distance) for r in ER.passjoin_pairs(df, "id", "blk", "s", tau).collect()}
-        ref = set()
-        for i, (ia, ba, sa) in enumerate(rows):
-            for ib, bb, sb in rows[i + 1:]:
-                if ba == bb and abs(len(sa) - len(sb)) <= tau and not (len(sa) <= tau and len(sb) <= tau):
-                    d = _lev(sa, sb)
-                    if d <= tau:
-                        ref.add((min(ia, ib), max(ia, ib), d))
-        short_pairs = {p for p in got if len(dict((r[0], r[2]) for r in rows)[p[0]]) <= tau
-                       and len(dict((r[0], r[2]) for r in rows)[p[1]]) <= tau}
-        assert got - short_pairs == ref
-        # short strings: a star on the block's smallest short id
-        for blk in ("hot", "cold"):
-            shorts = sorted(r[0] for r in rows if r[1] == blk and len(r[2]) <= tau)
-            star = {(shorts[0], x) for x in shorts[1:]}
-            assert {(a, b) for a, b, _ in short_pairs if a in shorts} == star
+    of = {i: (b, s) for i, b, s in rows}
+    for tau in (1, 2, 4):
+        links = ER.fuzzy_links(df, "id", "blk", "s", tau)
+        for r in links.collect():
+            assert of[r.src][0] == of[r.dst][0] and _lev(of[r.src][1], of[r.dst][1]) <= tau
+        comp = ER.connected_components(df, links)
+        assert {r.id: r.component for r in comp.collect()} == _groups(rows, tau)
+    queue = {r.id: (r.match_group, r.review_group) for r in ER.review_queue(df, "id", "s", "blk", 1, 3).collect()}
+    near, far = _groups(rows, 1), _groups(rows, 3)
+    several = {g for g in far.values() if len({near[i] for i in far if far[i] == g}) > 1}
+    assert queue == {i: (near[i], far[i]) for i in far if far[i] in several}
+
+
+def test_long_chain_is_one_component(spark):
+    n = 700
+    edges = spark.createDataFrame([(f"{(i * 7919) % n:04d}", f"{((i + 1) * 7919) % n:04d}") for i in range(n - 1)], "src string, dst string")
+    both = edges.unionByName(spark.createDataFrame([("x", "y"), ("x", "x"), (None, "z")], "src string, dst string"))
+    forest = star_forest(both)
+    assert {(r.id, r.component) for r in forest.collect()} == {(f"{i:04d}", "0000") for i in range(1, n)} | {("y", "x")}
 
 
 def test_connected_components_and_star_edges(spark):

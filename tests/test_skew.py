@@ -1,5 +1,6 @@
-"""A hot work order holding about a third of all lines: AQE may split the
-hot partition of the line join; results must not change."""
+"""A hot work order with about a third of all lines, and two thirds of the lines
+without a part number: results are the same whether joins are broadcast,
+shuffled or split."""
 
 from __future__ import annotations
 
@@ -36,6 +37,7 @@ def test_hot_order_results_stable_under_skew_split(spark):
     keys = ["spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold"]
+    broadcast = sorted(gold.order_fact(wo, ln, parts, techs, seeds.vat_rates(spark)).collect())
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle join
@@ -52,7 +54,36 @@ def test_hot_order_results_stable_under_skew_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert base == skewed
+    assert base == skewed == broadcast
     hot = [r for r in base if r["wo_number"] == "WO-000007"][0]
     assert hot["line_count"] == 1500
     assert hot["revenue_ngn"] == 750 * 180 + 750 * 200  # part lines discounted 10%, labour not
+
+
+def test_fact_joins_orders_and_lines_once(spark):
+    wo, ln, parts, techs = _inputs(spark)
+    plan = gold.order_fact(wo, ln, parts, techs, seeds.vat_rates(spark))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x and "wo_number" in x]
+    assert len(joins) == 1 and "LeftOuter" in joins[0]
+    assert "NestedLoop" not in plan
+
+
+def test_lines_without_part_number_are_spread(spark):
+    """Rows without a key get many keys, so a shuffled lookup deals them evenly."""
+    from pyspark.sql import functions as F
+
+    from forecourt.operators.joins import lookup
+
+    wo, ln, parts, techs = _inputs(spark)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        dim = parts.select(F.col("part_number").alias("p"), "unit_cost_ngn")
+        out = lookup(ln.where("line_type = 'labour'"), dim, F.when(F.col("line_type") == "part", F.col("part_number")), "p",
+                     F.col("line_id"))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)

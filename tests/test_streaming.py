@@ -62,8 +62,36 @@ def test_stream_end_to_end(spark, tmpdir_path):
     assert r.fault_code == "P0300" and r.is_out_of_country is False
     assert r.fault_description.startswith("Random or multiple cylinder misfire")
 
-    # replaying a batch reproduces the same outputs (idempotent per batch id)
-    batch = TM.clean_events(spark.read.schema(TM.RAW_SCHEMA).json(os.path.join(src, "b.json")))
-    TM.process_batch(batch.dropDuplicates(["event_id"]), 1, out, vehicles)
+    # replaying the last batch reproduces the same outputs (idempotent per batch id)
+    batch = TM.clean_events(spark.read.schema(TM.RAW_SCHEMA).json(os.path.join(src, "c.json")))
+    TM.process_batch(batch, 2, out, vehicles)
     assert ids("quarantine_odometer_regression") == ["E5"]
     assert ids("events_by_day") == ids("events") == ["E1", "E2", "E3", "E4", "E7"]
+    # state of the last two commits only
+    assert sorted(os.listdir(os.path.join(out, "_state", "odometer"))) == ["batch=1", "batch=2"]
+
+
+SINKS = ["events", "quarantine_malformed", "quarantine_late", "quarantine_invalid_vin", "quarantine_unmatched_vin",
+         "quarantine_odometer_regression"]
+
+
+def test_every_event_is_in_one_sink(spark, tmpdir_path):
+    """Also events without id, time or readable odometer; they do not touch valid readings."""
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    v = "1HGCM82633A004352"
+    t0 = dt.datetime(2024, 1, 10, 12)
+    good = [_ev(i, v, t0 + dt.timedelta(hours=i), 1000 + i) for i in range(5)]
+    bad = [_ev(10, v, t0, 5000), _ev(11, v, t0, 6000), _ev(12, v, t0, 0), _ev(13, v, t0, 7000), _ev(14, v, t0, 8000)]
+    bad[0]["event_id"], bad[1]["event_id"] = None, "  "
+    bad[2]["odometer_km"] = "not a number"
+    bad[3]["event_timestamp"], bad[4]["event_timestamp"] = None, "garbage"
+    _write(src, "a.json", good + bad + [_ev(20, "SHORT", t0, 1), _ev(21, v, t0 + dt.timedelta(hours=9), 12)])
+    out = os.path.join(tmpdir_path, "out")
+    q = TM.start(spark, src, out, os.path.join(tmpdir_path, "ck"))
+    q.awaitTermination()
+    assert q.exception() is None
+    n = {s: spark.read.schema("event_id string").parquet(os.path.join(out, s)).count() for s in SINKS}
+    assert n == {"events": 5, "quarantine_malformed": 5, "quarantine_late": 0, "quarantine_invalid_vin": 1,
+                 "quarantine_unmatched_vin": 0, "quarantine_odometer_regression": 1}
+    assert sum(n.values()) == len(good) + len(bad) + 2
