@@ -132,10 +132,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """One row of each component, all columns as they were: the smallest id; of
     repeated ids the row with the smallest hash of its columns."""
     found = components(docs, doc_id, text, shingle, max_bits)
-    best = found.select(F.col("component_id").alias("_best")).distinct()
-    kept = docs.join(best, docs[doc_id].eqNullSafe(best["_best"]), "left_semi")
-    ids = kept.groupBy(F.col(f"`{doc_id}`").alias("_id")).count().where("count > 1").select("_id")
-    again = docs[doc_id].eqNullSafe(ids["_id"])
+    best = found.select(F.col("component_id").alias("best")).distinct()
+    kept = docs.join(best, docs[doc_id].eqNullSafe(best["best"]), "left_semi")
+    ids = kept.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id")
+    again = docs[doc_id].eqNullSafe(ids["id"])
+    place = "place" + "_" * max(map(len, docs.columns))  # a name that no column has
     first = Window.partitionBy(f"`{doc_id}`").orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
-    repeated = kept.join(ids, again, "left_semi").withColumn("_place", F.row_number().over(first))
-    return kept.join(ids, again, "left_anti").unionByName(repeated.where("_place = 1").drop("_place"))
+    repeated = kept.join(ids, again, "left_semi").withColumn(place, F.row_number().over(first))
+    return kept.join(ids, again, "left_anti").unionByName(repeated.where(F.col(place) == 1).drop(place))
