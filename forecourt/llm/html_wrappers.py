@@ -64,28 +64,37 @@ VOID = {"br", "hr"}
 ASIDE = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu",
          "menubar", "form", "toolbar"}
-NAMES = set("""ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promoted banner banners
-    nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar sidebars
-    aside rail cookie cookies consent gdpr notice notices alert popup modal overlay comment comments commentlist respond
-    reply replies discussion disqus share sharing social related recommended recommendations newsletter subscribe signup
-    login search pagination pager widget widgets toolbar skip hidden copyright legal disclaimer""".split())
+NAMES = set("""ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promoted teaser
+    breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay comment comments
+    commentlist respond reply replies discussion disqus share sharing social related recommended recommendations
+    newsletter subscribe signup login search pagination pager toolbar skip copyright legal disclaimer""".split())
+#: Words that also describe a page's layout: no matter if an article lies inside.
+LAYOUT = set("""nav navbar navigation menu menubar footer bottombar sidebar sidebars aside rail banner banners widget
+    widgets hidden""".split())
+#: Headers: of an article only the headings count.
+TOPS = {"header", "masthead", "topbar"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 # ------------------------------------------------------------------ pages
 class Box:
-    """An element of a page: token, whether it is never main text, children.
+    """An element of a page: name, token, kind and children.  Kinds: never main
+    text (``aside``), unless an article is inside (``layout``), a header (``top``).
     A child is a Box or a block of text (token, text, characters in links)."""
 
-    __slots__ = ("name", "token", "aside", "children")
+    __slots__ = ("name", "token", "kind", "children")
 
-    def __init__(self, name: str, token: str, aside: bool):
-        self.name, self.token, self.aside, self.children = name, token, aside, []
+    def __init__(self, name: str, token: str, kind: str):
+        self.name, self.token, self.kind, self.children = name, token, kind, []
+
+    @property
+    def main(self) -> bool:
+        return self.name in ("article", "main")
 
 
 @functools.lru_cache(maxsize=1 << 14)
-def token_of(name: str, attributes: str) -> tuple[str, bool]:
-    """An element's token, and whether its content is never main text."""
+def token_of(name: str, attributes: str) -> tuple[str, str]:
+    """An element's token and kind."""
     aside, words = name in ASIDE, []
     for m in ATTRIBUTE.finditer(attributes):
         key, value = (m[1] or m[5]).lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -95,13 +104,19 @@ def token_of(name: str, attributes: str) -> tuple[str, bool]:
             aside |= value in ROLES
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
             aside = True
-    aside |= name not in ("html", "body", "article", "main") and not NAMES.isdisjoint(words)
-    return name + "".join("." + w for w in sorted(set(words))[:3]), aside
+    token = name + "".join("." + w for w in sorted(set(words))[:3])
+    if name in ("html", "body"):
+        return token, ""
+    if aside or not NAMES.isdisjoint(words):
+        return token, "aside"
+    if name == "header" or name not in ("article", "main") and not TOPS.isdisjoint(words):
+        return token, "top"
+    return token, "layout" if name not in ("article", "main") and not LAYOUT.isdisjoint(words) else ""
 
 
 def parse(page: str) -> Box:
     """The elements and blocks of a page."""
-    root = Box("", "", False)
+    root = Box("", "", "")
     stack, deep, block, piece, linked, link = [root], 0, "#", [], 0, 0
     unclosed: set[str] = set()
 
@@ -158,9 +173,22 @@ def parse(page: str) -> Box:
             link = 0 if end else 1
     put(re.sub(r"<[a-zA-Z/!][^>]*$", "", page[at:]))
     flush()
+    settle(root)
     return root
 
 
+def settle(box: Box) -> bool:
+    """Whether a box is or has an article; layout around one is no layout."""
+    inside = [settle(c) for c in box.children if isinstance(c, Box)]
+    if box.kind == "aside":
+        return False
+    if box.kind in ("layout", "top") and any(inside):
+        box.kind = ""
+    if box.kind == "layout":
+        box.kind = "aside"
+    return box.kind == "" and (box.main or any(inside))
+
+
 # --------------------------------------------------------------- wrappers
 def digest(text: str) -> str:
     return xxhash.xxh64_hexdigest(text.encode("utf-8", "replace"))
@@ -220,8 +248,7 @@ def has_slots(w: list) -> bool:
 
 # -------------------------------------------------------------- main text
 def find_main(box: Box) -> bool:
-    return any(isinstance(c, Box) and (c.name in ("article", "main") or find_main(c)) for c in box.children if
-               not (isinstance(c, Box) and c.aside))
+    return any(isinstance(c, Box) and c.kind == "" and (c.main or find_main(c)) for c in box.children)
 
 
 def main_text(page: str, w: list | None) -> str:
@@ -239,8 +266,8 @@ def main_text(page: str, w: list | None) -> str:
             run += run + 1 < len(runs) and runs[run + 1] == k
             inner = w[4][place[run]] if run in place else None
             if isinstance(c, Box):
-                if not c.aside and not (c.name == "header" and not inside):
-                    walk(c, inner, inside or c.name in ("article", "main"), titles or c.name == "header")
+                if c.kind == "" or c.kind == "top" and inside:
+                    walk(c, inner, inside or c.main, titles or c.kind == "top")
             elif only_main:
                 if inside and (not titles or c[0] in HEADINGS):
                     out.append(c[1])

@@ -348,6 +348,17 @@ def test_html_template_text():
     assert html_wrappers.expression(w).count("Site") == 0 and "=" in html_wrappers.expression(w)
 
 
+def test_html_layouts():
+    text = html_wrappers.main_text
+    assert text("<body class=has-sidebar><div class='page with-sidebar'><header><h1>Site</h1></header><article class='post'>"
+                "<header><h1>Head</h1><p>by me</header><p>Body</p><div class='share'>tweet</div></article>"
+                "<div class=sidebar>s</div></div><div id=comments><article>c</article></div>", None) == "Head Body"
+    assert text("<main><p>a<article class='comment'>no</article><section class='related'>no</section><p>b</main><footer>f", None) == "a b"
+    assert text("<div class='cookie-notice'>c</div><div role=navigation>n</div><div class=content><p>text</div>"
+                "<div style='display:none'>h</div><noscript>x</noscript>", None) == "text"
+    assert text("<body><nav><a href=/>x</a></nav><p>a &lt; b &amp;amp; c &#233; &nbsp; d</body>", None) == "a < b &amp; c é d"
+
+
 def test_html_groups():
     w = None
     for body in ("<ul><li>a<li>b</ul><p>x", "<ul><li>a</ul><h2>t</h2><p>y"):
