@@ -30,9 +30,12 @@ UNKNOWN_SERVICE_CODE = "XXX-999"
 
 # ------------------------------------------------------------ text building
 def form(idx: Column, *options) -> Column:
-    """The option whose place is ``idx`` modulo their number."""
-    cols = [o if isinstance(o, Column) else F.lit(o) for o in options]
-    return F.element_at(F.array(*cols), (idx % len(cols) + 1).cast("int"))
+    """The option whose place is ``idx`` modulo their number (only that one is evaluated)."""
+    place = idx % len(options)
+    out = None
+    for k, o in enumerate(options[:-1]):
+        out = F.when(place == k, o) if out is None else out.when(place == k, o)
+    return out.otherwise(options[-1])
 
 
 def padded(number: Column, width: int) -> Column:
@@ -116,11 +119,13 @@ def work_orders_raw(orders: DataFrame) -> DataFrame:
 
     steps = F.array_compact(F.array(step("I", 0), F.when(state != "O", step("U", 1)), F.when(k % 251 == 9, step("D", 2))))
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", steps.alias("steps"))
+    who = c + F.when(k % 101 == 3, F.lit(STRANGER)).otherwise(F.lit(0))
+    # what several columns use is computed once, before the events fan out
+    o = o.select("*", who.alias("who"), vin_text(who).alias("vin"), opened_ts(k, F.col("o_orderdate")).alias("opened"))
     o = o.select("*", F.posexplode("steps").alias("pos", "step"))
     last = F.col("pos") == F.size("steps") - 1
-    opened = opened_ts(k, F.col("o_orderdate"))
+    opened, who, vin = F.col("opened"), F.col("who"), F.col("vin")
     changed = F.timestamp_add("DAY", F.col("step.days"), opened)
-    who = c + F.when(k % 101 == 3, F.lit(STRANGER)).otherwise(F.lit(0))
     final = (F.when(state == "F", form(k, "4", "closed ", "Completed"))
              .when(state == "O", form(k, "1", "in progress", " Open", "2"))
              .otherwise(form(k, form(div(k, 3), "3", "Waiting Parts"), "cancelled", "paused")))
@@ -131,7 +136,6 @@ def work_orders_raw(orders: DataFrame) -> DataFrame:
            .otherwise(form(k, km.cast("string"), F.concat(F.format_number(km, 0), F.lit(" km")),
                            F.concat(km.cast("string"), F.lit("KMS")))))
     hours = quarter_text((c + k) % 90 + F.when(k % 80 == 3, F.lit(98)).otherwise(F.lit(0)))
-    vin = vin_text(who)
     code = form(k * 5, *seeds.service_codes(), UNKNOWN_SERVICE_CODE)
     return o.select(
         F.concat(form(k, "WO-", "wo", "W/O-", " WO "), padded(k, 6)).alias("wo_number"),
@@ -384,7 +388,8 @@ def customer_id_migration(customer: DataFrame) -> DataFrame:
 def vehicles_raw(customer: DataFrame) -> DataFrame:
     """crm.vehicles: one for each customer, with the VIN of the work orders."""
     c = F.col("c_custkey")
-    vin = vin_text(c)
+    customer = customer.select("c_custkey", vin_text(c).alias("vin"))
+    vin = F.col("vin")
     plate = F.concat(form(c, "kan", "ABJ", "enu"), F.lit("-"), padded(c % 1000, 3), form(c, " xa", "KB"))
     return customer.select(
         form(c, vin, F.lower(vin), F.concat(F.substring(vin, 1, 11), F.lit("-"), F.substring(vin, 12, 6))).alias("vin"),
@@ -466,8 +471,8 @@ def arrival_time(event_id: Column, ts: Column) -> Column:
 def telematics_raw(events: DataFrame) -> DataFrame:
     """telematics.events as delivered: text fields, epoch milliseconds, the fault
     code by the JSON payload; a few unreadable times and odometers."""
-    e, u = F.col("event_id"), F.col("user_id")
-    vin = vin_text(u)
+    e, u, vin = F.col("event_id"), F.col("user_id"), F.col("vin")
+    events = events.select("event_id", "user_id", "ts", "value", "props", vin_text(u).alias("vin"))
     place = F.coalesce(F.from_json("props", "k int")["k"], F.lit(0))
     degrees = lambda n, base, span: F.concat((F.lit(base) + div(n % span, 100)).cast("string"), F.lit("."), padded(n % 100, 2))
     return events.select(
