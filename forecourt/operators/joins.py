@@ -3,7 +3,7 @@
 Both time joins have one plan at every size.  What has to be compared by range
 is reduced to the distinct (key, time) values of the facts first, resolved
 there, and brought back to the facts by an equi join; nothing is counted while
-the plan is built, no hint is given, and no join is a nested loop.
+the plan is built and no join is a nested loop.
 """
 
 from __future__ import annotations
@@ -53,19 +53,23 @@ def _day_blocks(rates: DataFrame, valid_from: str, valid_to: str) -> DataFrame:
 
 
 def effective_join(facts: DataFrame, rates: DataFrame, at: Column, valid_from: str, valid_to: str,
-                   how: str = "left", dates: DataFrame | None = None) -> DataFrame:
+                   how: str = "left", dates: DataFrame | None = None, literal: bool = False) -> DataFrame:
     """Attach the rate row whose [valid_from, valid_to] (inclusive) holds ``at``.
 
     ``at`` is a DATE expression over ``facts``.  Overlapping ranges fan out
     (``operators.quality.range_issues`` finds them).  ``dates`` may name a
     cheaper one-column frame that has all dates of the facts (it may have more).
     The distinct dates meet the ranges in an equi join on aligned day blocks,
-    and the facts meet the result by date.
+    and the facts meet the result by date.  ``literal``: the ranges are constants
+    that do not overlap, so the result has one row for each calendar day at most;
+    that bound allows a broadcast, and the facts are not dealt by date.
     """
     days = (dates.toDF("_day") if dates is not None else facts.select(at.alias("_day"))).distinct()
     days = days.where(F.col("_day").isNotNull()).withColumn("_lvl", F.explode(F.sequence(F.lit(0), F.lit(DAY_BITS))))
     days = days.withColumn("_blk", F.expr("shiftright(datediff(_day, DATE '0001-01-01'), _lvl)"))
     in_force = (days.join(_day_blocks(rates, valid_from, valid_to), ["_lvl", "_blk"]).drop("_lvl", "_blk"))
+    if literal:
+        in_force = F.broadcast(in_force)
     return facts.withColumn("_at", at).join(in_force, F.col("_at") == F.col("_day"), how).drop("_at", "_day")
 
 

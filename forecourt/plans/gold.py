@@ -39,9 +39,10 @@ FACT_COLUMNS = [
 def with_rates(work_orders: DataFrame, vat_rates: DataFrame, technicians: DataFrame | None = None,
                dates: DataFrame | None = None) -> DataFrame:
     """J1 + J4: the VAT rate in force on the order's opening date (NULL if none)
-    and the hourly rate of its technician.  ``dates``: see ``effective_join``."""
+    and the hourly rate of its technician.  VAT rates are a literal table without
+    overlaps (tested); ``dates``: see ``effective_join``."""
     rates = vat_rates.select("valid_from", "valid_to", F.col("vat_rate").alias("effective_vat_rate"))
-    out = effective_join(work_orders, rates, F.to_date("opened_at"), "valid_from", "valid_to", dates=dates)
+    out = effective_join(work_orders, rates, F.to_date("opened_at"), "valid_from", "valid_to", dates=dates, literal=True)
     out = out.drop("valid_from", "valid_to")
     if technicians is not None:
         t = technicians.select(F.col("technician_id").alias("_t_id"), F.col("hourly_rate_ngn").alias("_hourly"))

@@ -85,7 +85,7 @@ def effective_rate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date-effective rate lookup over distinct dates; dates in the gap get NULL."""
     o = Tables(spark, sf_dir).orders.select(
         "o_orderkey", X.opened_ts(F.col("o_orderkey"), F.col("o_orderdate")).alias("opened_at"))
-    j = effective_join(o, _gapped_rates(spark), F.to_date("opened_at"), "valid_from", "valid_to")
+    j = effective_join(o, _gapped_rates(spark), F.to_date("opened_at"), "valid_from", "valid_to", literal=True)
     return j.select("o_orderkey", "opened_at", F.col("valid_from").cast("timestamp_ntz").alias("rate_valid_from"),
                     F.col("vat_rate").cast("double").alias("vat_rate"))
 
