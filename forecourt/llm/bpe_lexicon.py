@@ -1,8 +1,8 @@
 """BPE with word ends: a frequent-word transducer in front of exact merging.
 
-The words of all documents (``[^\\x20\\x09-\\x0D]+``) are counted in Spark; the
-``lexicon_size`` most frequent ones and their ids are compiled into a minimal
-acyclic automaton with shared suffixes.  Every arc carries a number, and the
+The words of all documents (``[^\\x20\\x09-\\x0D]+``) are counted in Spark; those
+that are at least ``min_share`` of all words, and their ids, are compiled into a
+minimal acyclic automaton with shared suffixes.  Every arc carries a number, and the
 numbers along a word's path add up to the word's index, under which its ids
 are stored: the automaton is a transducer from words to id sequences.  Its
 arrays form one file that a worker maps into memory.  The distinct words of a
@@ -16,8 +16,7 @@ never changes an id.
 * a word of any length is merged: beyond ``LONG`` symbols one by one, by a heap.
 * an empty table, repeated rows and extra columns need no special case.
 
-The lexicon is bounded by ``lexicon_size`` (its broadcast has a few megabytes);
-the vocabulary comes from a file named by the caller.
+The lexicon has ``1 / min_share`` words at most, so its broadcast is bounded; the vocabulary comes from a file named by the caller.
 """
 
 from __future__ import annotations
@@ -36,13 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import id_text, map_blocks, mapped_file, new_key, words_of
+from forecourt.session import drop_scratch, write_scratch
 
-LEXICON_SIZE = 1 << 16
+MIN_SHARE = 4e-6
 LONG = 64
-BLOCK = 12 << 20
+BLOCK = 5 << 20
+COUNT_BLOCK = 12 << 20
 NO_PAIR = np.iinfo(np.int32).max
 #: White space of the tokenizer's normaliser.
-SPACES = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Up to here all Unicode versions agree on what is a letter.
+SETTLED = "\u02ff"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}]+")
 
 
@@ -58,6 +61,7 @@ class Merges:
 
     def __init__(self, data: bytes):
         spec = json.loads(data)
+        self.data, self.library = data, None
         model = spec["model"]
         self.vocab, end = model["vocab"], model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -91,11 +95,23 @@ class Merges:
             at = m.end()
         return out + self._split(text[at:])
 
-    @staticmethod
-    def _split(text: str) -> list[bytes]:
+    def _split(self, text: str) -> list[bytes]:
+        if text and max(text) > SETTLED and any(unicodedata.category(c) == "Cn" for c in text):
+            return self._split_by_library(text)
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return [p.encode() for p in PIECES.findall(text)]
 
+    def _split_by_library(self, text: str) -> list[bytes]:
+        """Words with a character that Python's Unicode does not know: what it is,
+        the library that wrote the vocabulary decides."""
+        from tokenizers import Tokenizer
+
+        if self.library is None:
+            self.library = Tokenizer.from_str(self.data.decode())
+            self.byte = {c: b for b, c in enumerate(byte_letters())}
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(self.byte[c] for c in p) for p, _ in pieces]
+
     # ----------------------------------------------------------- merging
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -293,25 +309,34 @@ def _load(broadcast) -> tuple[Merges, Lexicon]:
     return mapped_file(key, lexicon, lambda path: (Merges(vocabulary), Lexicon(path)))
 
 
-def frequent_words(docs: DataFrame, text: str = "text", size: int = LEXICON_SIZE) -> list[bytes]:
-    """The ``size`` most frequent words of all documents (ties: smaller first)."""
+def frequent_words(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE) -> list[bytes]:
+    """The words that are at least ``min_share`` of all words (of which there can
+    be ``1 / min_share`` at most)."""
     def count(block: pa.RecordBatch) -> dict:
-        n = words_of(block)[0].value_counts()
-        return {"word": n.field("values").cast(pa.binary()), "n": n.field("counts")}
+        flat, counts = words_of(block)
+        n = flat.value_counts()
+        # the empty word, which no text has, counts all
+        return {"word": pa.concat_arrays([n.field("values").cast(pa.binary()), pa.array([b""], pa.binary())]),
+                "n": pa.concat_arrays([n.field("counts"), pa.array([int(counts.sum())], pa.int64())])}
 
-    rows = map_blocks(id_text(docs, text, text).drop("doc_id"), "text", "word binary, n long", count, BLOCK)
-    top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r.word) for r in top.collect()]
+    spark = docs.sparkSession
+    rows = map_blocks(id_text(docs, text, text).drop("doc_id"), "text", "word binary, n long", count, COUNT_BLOCK)
+    path = write_scratch(rows.groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
+    counts = spark.read.parquet(path)
+    total = counts.where(F.octet_length("word") == 0).agg(F.sum("n")).first()[0] or 0
+    found = counts.where((F.octet_length("word") > 0) & (F.col("n") >= min_share * total)).select("word").toArrow()
+    drop_scratch(spark, path)
+    return found["word"].to_pylist()
 
 
 def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
-                  lexicon_size: int = LEXICON_SIZE) -> DataFrame:
+                  min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, ids, decoded): ids as the tokenizer file gives them, and their
     decoding (token strings joined by a space, special tokens included)."""
     with open(path, "rb") as f:
         vocabulary = f.read()
     merges = Merges(vocabulary)
-    words = frequent_words(docs, text, lexicon_size)
+    words = frequent_words(docs, text, min_share)
     ids, size = merges.encode_words(words)
     cut = np.split(ids, np.cumsum(size)[:-1]) if words else []
     broadcast = docs.sparkSession.sparkContext.broadcast(
