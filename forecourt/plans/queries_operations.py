@@ -80,8 +80,9 @@ def referenced(w: Workshop, wo: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P50-P53
-def quarantine_records(w: Workshop) -> DataFrame:
-    """All quarantine tables in one: entity, key, reason, time, the row as JSON."""
+def quarantine_records(w: Workshop, review: bool = False) -> DataFrame:
+    """All quarantine tables in one: entity, key, reason, time, the row as JSON.
+    ``review`` adds the customer review queue, whose components are computed now."""
     wo = referenced(w, w.work_orders)
     codes = F.broadcast(w.service_types.select(F.col("service_type_code").alias("_code"), F.lit(True).alias("_known")))
     wo = wo.join(codes, wo["service_type_code"] == codes["_code"], "left").drop("_code")
@@ -90,8 +91,11 @@ def quarantine_records(w: Workshop) -> DataFrame:
     readings = TM.clean_events(X.telematics_raw(w.t.events)).drop("event_ts")
     readings = EV.flag_regressions(readings.where("vin is not null and event_ts_ntz is not null"), "vin", "event_ts_ntz",
                                    "event_id", "odometer_km")
-    review = ER.review_queue(contacts_of(w.t.customer), "customer_id", "name_norm", "city", MATCH_DISTANCE, REVIEW_DISTANCE)
-    return QU.unify([
+    queue = []
+    if review:
+        names = ER.review_queue(contacts_of(w.t.customer), "customer_id", "name_norm", "city", MATCH_DISTANCE, REVIEW_DISTANCE)
+        queue = [QU.route_many(names, "customer", "customer_id", {"customer_match_review": F.lit(True)})]
+    return QU.unify(queue + [
         QU.route_many(wo, "work_order", "wo_number", {
             "invalid_vin": ~F.coalesce("is_vin_valid", F.lit(False)),
             "invalid_check_digit": ~VIN.check_digit_ok(F.col("vehicle_vin")),
@@ -112,7 +116,6 @@ def quarantine_records(w: Workshop) -> DataFrame:
         QU.route_many(readings, "telematics", "event_id", {"odometer_regression": F.col("is_regression")}, "event_ts_ntz"),
         QU.route_many(w.parts, "part", "part_number", {"negative_stock": F.col("qty_on_hand") < 0,
                                                        "parse_error": F.col("has_parse_error")}),
-        QU.route_many(review, "customer", "customer_id", {"customer_match_review": F.lit(True)}),
     ])
 
 
@@ -151,7 +154,7 @@ SELECT entity, record_key, reason, opened_at AS business_ts, detail FROM q"""))
 def quarantine_records_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantine records with a field read back from each payload (the
     review queue's own query is ``customer_match_review``)."""
-    q = quarantine_records(Workshop(spark, sf_dir)).where("entity <> 'customer'")
+    q = quarantine_records(Workshop(spark, sf_dir))
     field = F.coalesce(*[F.get_json_object("payload", f"$.{c}") for c in ("service_type_code", "line_type", "category", "vin")])
     return q.select("entity", "record_key", "reason", "business_ts", field.alias("detail"))
 
@@ -160,7 +163,7 @@ def quarantine_records_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT date_trunc('day', opened_at) AS quarantine_day, entity, reason, count(*) AS n FROM q GROUP BY 1, 2, 3"""))
 def quarantine_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantine volumes per day and reason."""
-    return QU.daily_counts(quarantine_records(Workshop(spark, sf_dir)).where("entity <> 'customer'"))
+    return QU.daily_counts(quarantine_records(Workshop(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------------- P26
