@@ -27,6 +27,7 @@ block, where the texts' sums are taken.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,25 +40,30 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import blocks, id_text, texts, words_of
 from forecourt.session import write_scratch
 
-DEPTH = 6
+DEPTH = 5
 MIN_SHARE = 2e-6
 GAIN = 2.0
-BLOCK = 16 << 20
-#: Distinct windows that a counting task holds before it passes them on.
-HELD = 3 << 20
+BLOCK = 8 << 20
+#: Distinct windows that a task holds at a time.
+HELD = 2 << 20
+#: Symbols that are looked at together.
+CHUNK = 1 << 21
 END, BEFORE = 10, 0
 
 
-def stream(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts behind each other, each after ``DEPTH`` bytes of start context;
-    and for each symbol's position the number of its text."""
+def streams(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The windows of all symbols, at most ``CHUNK`` at a time, and the number
+    of the text of each.  A text's bytes follow ``DEPTH`` bytes of start context."""
     before = bytes([BEFORE] * (DEPTH - 1) + [END])
-    parts = [b" ".join(t.lower().split()) for t in raw]
-    data = np.frombuffer(b"".join(before + p + bytes([END]) for p in parts), np.uint8)
-    size = np.array([len(p) + 1 for p in parts], np.int64)
-    start = np.cumsum(size + DEPTH) - size  # of each text's symbols
-    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    return windows(data)[at - DEPTH], np.repeat(np.arange(len(parts)), size)
+    parts = [before + b" ".join(t.lower().split()) + bytes([END]) for t in raw]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    begin = np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
+    for a in range(DEPTH, len(data), CHUNK):
+        b = min(a + CHUNK, len(data))
+        at = np.arange(a, b)
+        text = np.searchsorted(begin, at, side="right") - 1
+        symbol = at - begin[text] >= DEPTH
+        yield windows(data[a - DEPTH:b])[symbol], text[symbol]
 
 
 def windows(data: np.ndarray) -> np.ndarray:
@@ -88,15 +94,16 @@ def window_counts(rows: DataFrame) -> DataFrame:
         def out(keys, n):
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
-        keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for block in blocks(batches, "text", BLOCK):
-            k, c = counted(stream(texts(block))[0])
-            keys, n = counted(np.concatenate((keys, k)), np.concatenate((n, c))) if len(keys) else (k, c)
-            if len(keys) > HELD:
-                yield out(keys, n)
-                keys, n = keys[:0], n[:0]
-        if len(keys):
-            yield out(keys, n)
+            for keys, _ in streams(texts(block)):
+                parts.append(counted(keys))
+                if sum(len(k) for k, _ in parts) > HELD:
+                    parts = [counted(*map(np.concatenate, zip(*parts)))]
+                    if len(parts[0][0]) > HELD // 2:
+                        yield out(*parts.pop())
+        if parts:
+            yield out(*counted(*map(np.concatenate, zip(*parts))))
 
     return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -171,29 +178,62 @@ def grow(counts: DataFrame, min_share: float = MIN_SHARE, gain: float = GAIN) ->
     return tree
 
 
-def text_scores(raw: list[bytes], tree: Tree) -> np.ndarray:
+class Scores:
+    """log10 probabilities of windows by a tree; those met before are kept, up
+    to ``HELD`` of them."""
+
+    def __init__(self, tree: Tree):
+        self.tree = tree
+        self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def learn(self, new: np.ndarray) -> None:
+        """Add windows that are not known yet."""
+        if len(self.keys) + len(new) > HELD:
+            self.keys, self.values = self.keys[:0], self.values[:0]
+        at = np.searchsorted(self.keys, new)  # both are sorted
+        self.values = np.insert(self.values, at, np.log10(self.tree.probability(new)))
+        self.keys = np.insert(self.keys, at, new)
+        self.bits = max(8, len(self.keys).bit_length() + 1)
+        self.guess = np.zeros(1 << self.bits, np.int32)
+        self.guess[self.slot(self.keys)] = np.arange(len(self.keys), dtype=np.int32)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """By a hashed guess, and by binary search where two windows share a slot."""
+        for known in (len(self.keys) > 0, True):
+            if known:
+                at = self.guess[self.slot(keys)]
+                wrong = np.flatnonzero(self.keys[at] != keys)
+                at[wrong], found = find(self.keys, keys[wrong])
+                if found.all():
+                    break
+                missing = keys[wrong[~found]]
+            else:
+                missing = keys
+            new = counted(missing)[0]
+            # if the known ones must go, all windows of this call are learned again
+            self.learn(new if len(self.keys) + len(new) <= HELD else counted(keys)[0])
+            at = self.guess[self.slot(keys)]
+            wrong = np.flatnonzero(self.keys[at] != keys)
+            at[wrong] = find(self.keys, keys[wrong])[0]
+            break
+        return self.values[at]
+
+
+def text_scores(raw: list[bytes], scores: Scores) -> np.ndarray:
     """log10 probability of each text."""
-    keys, text = stream(raw)
-    distinct, _ = counted(keys)
-    log_p = np.log10(tree.probability(distinct))
-    return np.bincount(text, weights=log_p[positions(distinct, keys)], minlength=len(raw))
-
-
-def positions(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Where each key is in the sorted distinct ones: by a hashed guess, and by
-    binary search where two keys share a slot."""
-    bits = max(8, int(len(distinct)).bit_length() + 2)
-    slot = lambda x: ((x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
-    guess = np.zeros(1 << bits, np.int32)
-    guess[slot(distinct)] = np.arange(len(distinct), dtype=np.int32)
-    at = guess[slot(keys)]
-    wrong = np.flatnonzero(distinct[at] != keys)
-    at[wrong] = np.searchsorted(distinct, keys[wrong])
-    return at
+    out = np.zeros(len(raw))
+    for keys, text in streams(raw):
+        out += np.bincount(text, weights=scores.of(keys), minlength=len(raw))
+    return out
 
 
 # -------------------------------------------------------------- base score
-WORD_ROWS = "block long, word binary, n long, wide boolean, places binary, texts array<struct<doc_id:{id},held_out:boolean,n_tokens:long,score:double>>"
+#: ``texts`` has a block's texts as an Arrow stream: a nested column costs the
+#: conversion of every row, also where it is null.
+WORD_ROWS = "block long, word binary, n long, wide boolean, places binary, texts binary"
 
 
 def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
@@ -203,10 +243,11 @@ def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    schema = to_arrow_schema(_parse_datatype_string(WORD_ROWS.format(id=id_type)))
+    schema = to_arrow_schema(_parse_datatype_string(WORD_ROWS))
+    id_arrow = to_arrow_schema(_parse_datatype_string(f"doc_id {id_type}")).field(0).type
 
     def run(batches):
-        tree = broadcast.value
+        scores = Scores(broadcast.value)
         for k, block in enumerate(blocks(batches, "text", BLOCK)):
             number = (TaskContext.get().partitionId() << 32) | k
             flat, counts = words_of(block, lower=True)
@@ -227,16 +268,19 @@ def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
             words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b"\n"], pa.binary())])
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(size + 1, number)), words, pa.array(learned), pa.array(np.full(size + 1, wide)), places,
-                pa.nulls(size + 1, schema.field("texts").type)], schema=schema)
-            score = text_scores(texts(block), tree)
-            own = [{"doc_id": i, "held_out": bool(h), "n_tokens": int(c) + 1, "score": float(s)}
-                   for i, h, c, s in zip(block.column("doc_id").to_pylist(), held, counts, score)]
+                pa.nulls(size + 1, pa.binary())], schema=schema)
+            score = text_scores(texts(block), scores)
+            own = pa.record_batch({"doc_id": block.column("doc_id").cast(id_arrow), "held_out": pa.array(held),
+                                   "n_tokens": pa.array(counts + 1), "score": pa.array(score)})
+            stream = pa.BufferOutputStream()
+            with pa.ipc.new_stream(stream, own.schema) as out:
+                out.write_batch(own)
             # no word has a space, so this row meets no total and is dealt by its block
             yield pa.RecordBatch.from_arrays([
                 pa.array([number]), pa.array([f" {number}".encode()], pa.binary()), pa.array([0]), pa.array([wide]),
-                pa.array([b""], pa.binary()), pa.array([own], schema.field("texts").type)], schema=schema)
+                pa.array([b""], pa.binary()), pa.array([stream.getvalue().to_pybytes()], pa.binary())], schema=schema)
 
-    return rows.mapInArrow(run, WORD_ROWS.format(id=id_type))
+    return rows.mapInArrow(run, WORD_ROWS)
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,7 +300,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     out = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def meet(t: pa.Table) -> pa.Table:
-        own = next(x for x in t.column("texts").to_pylist() if x is not None)
+        own = pa.ipc.open_stream(pc.drop_null(t.column("texts"))[0].as_buffer()).read_all()
         t = t.filter(pc.is_null(t.column("texts"))).combine_chunks()
         wide = t.column("wide")[0].as_py()
         c = pc.fill_null(t.column("c"), 0).to_numpy()
@@ -265,14 +309,14 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         place = np.frombuffer(b"".join(x for ch in places for x in ch.to_pylist()), np.uint32 if wide else np.uint16).reshape(-1, 2)
         c = np.repeat(c, size // (2 * place.itemsize))
         text, n = place[:, 0].astype(np.int64), place[:, 1]
-        base = np.bincount(text, weights=n * np.log10(c + 1), minlength=len(own))
-        known = np.bincount(text, weights=n * (c > 0), minlength=len(own)).astype(np.int64)
-        tokens = np.array([x["n_tokens"] for x in own])
+        base = np.bincount(text, weights=n * np.log10(c + 1), minlength=own.num_rows)
+        known = np.bincount(text, weights=n * (c > 0), minlength=own.num_rows).astype(np.int64)
+        tokens = own.column("n_tokens").to_numpy()
         return pa.table({
-            "doc_id": pa.array([x["doc_id"] for x in own], t.schema.field("texts").type.value_type.field("doc_id").type),
-            "held_out": [x["held_out"] for x in own], "n_tokens": tokens, "n_known": known,
-            "train_tokens": np.full(len(own), n_all), "base_score": base - tokens * np.log10(n_all + v_all + 1),
-            "score": [x["score"] for x in own]})
+            "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": tokens, "n_known": known,
+            "train_tokens": np.full(own.num_rows, n_all), "base_score": base - tokens * np.log10(n_all + v_all + 1),
+            "score": own.column("score")})
 
-    return (words.join(totals, "word", "left").select("block", "wide", "places", "texts", "c")
+    # totals have one row a word, so the parts of them that are built into tables are even
+    return (words.join(totals.hint("shuffle_hash"), "word", "left").select("block", "wide", "places", "texts", "c")
             .groupBy("block").applyInArrow(meet, out))
