@@ -7,8 +7,9 @@ texts become a text slot; a token that follows an equal one belongs to a
 repeated group; a token that only one side has becomes an optional group.  As
 groups are balanced, an element is one token of its parent's stream and its own
 stream is aligned inside.  The expression is a list
-``[token, repeated, optional, text, inner]``; ``text`` is the digest of the text
-that all pages have there, or null for a slot.
+``[token, repeated, optional, text, inner, pages]``; ``text`` is the digest of the
+text that all pages have there, or null for a slot; ``pages`` has the digests of
+two pages with different texts that have it (of one, if there are no two).
 
 Wrappers are folded in three steps: the pages of a block by host, the distinct
 results in ``SALTS`` parts of each host, the parts of a host, so no task sees all
@@ -17,8 +18,10 @@ pages of a large host.  A host's wrapper then meets its pages in a join.
 A page is read along its wrapper.  Text is dropped in elements that are menus,
 headers, footers, sidebars, notices, adverts, forms or comments by their names,
 roles, classes and ids.  Where the page has an article (or main) element, its
-text is the main text; elsewhere slots are, without text that is the same on all
-pages of a host whose pages differ, and without blocks that are mostly links.
+text is the main text; elsewhere slots are, without text that at least two pages
+with different texts have in the same place, none there having another, and
+without blocks that are mostly links.  What only one page (or its copies) has is
+never the template's.
 
 * null or empty html: empty text; null url: the host is empty.
 * elements nested deeper than ``DEEPEST`` belong to their ancestor's stream.
@@ -194,13 +197,22 @@ def digest(text: str) -> str:
     return xxhash.xxh64_hexdigest(text.encode("utf-8", "replace"))
 
 
-def wrapper(box: Box) -> list:
-    """The expression of one page."""
+def texts_of(box: Box) -> Iterator[str]:
+    for c in box.children:
+        if isinstance(c, Box):
+            yield from texts_of(c)
+        else:
+            yield c[1]
+
+
+def wrapper(box: Box, page: str | None = None) -> list:
+    """The expression of one page; ``page`` is the digest of its texts."""
+    page = page or digest("\n".join(texts_of(box)))
     inner: list = []
     for c in box.children:
-        item = wrapper(c) if isinstance(c, Box) else [c[0] + "#", False, False, digest(c[1]), []]
+        item = wrapper(c, page) if isinstance(c, Box) else [c[0] + "#", False, False, digest(c[1]), [], [page]]
         inner.append(item)
-    return [box.token, False, False, None, repeats(inner)]
+    return [box.token, False, False, None, repeats(inner), []]
 
 
 def repeats(items: list) -> list:
@@ -227,16 +239,18 @@ def align(a: list, b: list) -> list:
     inner, i, j = [], 0, 0
     for x, y in (*matches(tuple(c[0] for c in a[4]), tuple(c[0] for c in b[4])), (len(a[4]), len(b[4]))):
         for c in (*a[4][i:x], *b[4][j:y]):  # only one side has them
-            inner.append([c[0], c[1], True, c[3], c[4]])
+            inner.append([c[0], c[1], True, *c[3:]])
         if x < len(a[4]):
             inner.append(align(a[4][x], b[4][y]))
         i, j = x + 1, y + 1
-    return [a[0], a[1] or b[1], a[2] or b[2], a[3] if a[3] == b[3] else None, repeats(inner)]
+    text = a[3] if a[3] == b[3] else None
+    pages = sorted({*a[5], *b[5]})[:2] if text else []
+    return [a[0], a[1] or b[1], a[2] or b[2], text, repeats(inner), pages]
 
 
 def expression(w: list) -> str:
     """A wrapper as a regular expression over tokens, for people."""
-    name, repeated, optional, text, inner = w
+    name, repeated, optional, text, inner, _ = w
     body = f"{name}={text}" if text else name if name.endswith("#") else f"<{name}>" + " ".join(map(expression, inner)) + "</>"
     return f"({body})" + ("+" if repeated else "") + ("?" if optional else "") if repeated or optional else body
 
@@ -246,6 +260,12 @@ def has_slots(w: list) -> bool:
     return any(c[3] is None and not c[1] if c[0].endswith("#") else has_slots(c) for c in w[4])
 
 
+def fixed(w: list | None, text: str) -> bool:
+    """Whether a text is the template's: two different pages have it there, and
+    none has another."""
+    return w is not None and len(w[5]) > 1 and w[3] == digest(text)
+
+
 # -------------------------------------------------------------- main text
 def find_main(box: Box) -> bool:
     return any(isinstance(c, Box) and c.kind == "" and (c.main or find_main(c)) for c in box.children)
@@ -272,8 +292,7 @@ def main_text(page: str, w: list | None) -> str:
                 if inside and (not titles or c[0] in HEADINGS):
                     out.append(c[1])
             else:
-                fixed = learned and inner is not None and inner[3] is not None and inner[3] == digest(c[1])
-                if not fixed and 2 * c[2] <= len(c[1]):
+                if not (learned and fixed(inner, c[1])) and 2 * c[2] <= len(c[1]):
                     out.append(c[1])
 
     walk(root, w, False, False)

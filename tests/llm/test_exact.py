@@ -348,6 +348,21 @@ def test_html_template_text():
     assert html_wrappers.expression(w).count("Site") == 0 and "=" in html_wrappers.expression(w)
 
 
+def test_html_text_of_one_page():
+    """Text that one page of a host has, or copies of it, is not the template's."""
+    def texts(*pages):
+        w = None
+        for p in pages:
+            new = html_wrappers.wrapper(html_wrappers.parse(p))
+            w = new if w is None else html_wrappers.align(w, new)
+        return [html_wrappers.main_text(p, w) for p in pages]
+
+    quote = "<div><h1>T2</h1><p>y</p><blockquote>Q</blockquote></div>"
+    assert texts("<div><h1>T1</h1><p>x</p></div>", quote, quote) == ["T1 x", "T2 y Q", "T2 y Q"]
+    page = "<title>{0}</title><body><h3>Site</h3><div class={1}><p>{2}</p></div></body>"
+    assert texts(page.format("a", "post", "one"), page.format("b", "post", "two"), page.format("c", "content", "three"))[2] == "c three"
+
+
 def test_html_layouts():
     text = html_wrappers.main_text
     assert text("<body class=has-sidebar><div class='page with-sidebar'><header><h1>Site</h1></header><article class='post'>"
