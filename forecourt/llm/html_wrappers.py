@@ -17,11 +17,14 @@ pages of a large host.  A host's wrapper then meets its pages in a join.
 
 A page is read along its wrapper.  Text is dropped in elements that are menus,
 headers, footers, sidebars, notices, adverts, forms or comments by their names,
-roles, classes and ids.  Where the page has an article (or main) element, its
-text is the main text; elsewhere slots are, without text that at least two pages
-with different texts have in the same place, none there having another, and
-without blocks that are mostly links.  What only one page (or its copies) has is
-never the template's.
+roles, classes and ids.  Where the page has an article (or main) element, only
+what is inside it can be main text; elsewhere blocks that are mostly links are
+none.  In both the wrapper decides: slots, optional and repeated groups stay, and
+text is the template's if at least two pages with different texts have it in the
+same place, none there having another.  What only one page (or its copies) has is
+never the template's, nor is anything in an article in which no text differs.
+An article with a name of the list is read where the page has no other, if the
+host's pages have it once and differ in it.
 
 * null or empty html: empty text; null url: the host is empty.
 * elements nested deeper than ``DEEPEST`` belong to their ancestor's stream.
@@ -82,7 +85,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # ------------------------------------------------------------------ pages
 class Box:
     """An element of a page: name, token, kind and children.  Kinds: never main
-    text (``aside``), unless an article is inside (``layout``), a header (``top``).
+    text (``aside``), unless an article is inside (``layout``), a header (``top``), an
+article that its class or id speaks against (``named``).
     A child is a Box or a block of text (token, text, characters in links)."""
 
     __slots__ = ("name", "token", "kind", "children")
@@ -111,7 +115,7 @@ def token_of(name: str, attributes: str) -> tuple[str, str]:
     if name in ("html", "body"):
         return token, ""
     if aside or not NAMES.isdisjoint(words):
-        return token, "aside"
+        return token, "aside" if aside or name not in ("article", "main") else "named"
     if name == "header" or name not in ("article", "main") and not TOPS.isdisjoint(words):
         return token, "top"
     return token, "layout" if name not in ("article", "main") and not LAYOUT.isdisjoint(words) else ""
@@ -183,7 +187,7 @@ def parse(page: str) -> Box:
 def settle(box: Box) -> bool:
     """Whether a box is or has an article; layout around one is no layout."""
     inside = [settle(c) for c in box.children if isinstance(c, Box)]
-    if box.kind == "aside":
+    if box.kind in ("aside", "named"):
         return False
     if box.kind in ("layout", "top") and any(inside):
         box.kind = ""
@@ -277,7 +281,7 @@ def main_text(page: str, w: list | None) -> str:
     only_main, learned = find_main(root), bool(w) and has_slots(w)
     out: list[str] = []
 
-    def walk(box: Box, w: list | None, inside: bool, titles: bool) -> None:
+    def walk(box: Box, w: list | None, inside: bool, titles: bool, template: bool) -> None:
         own = [c.token if isinstance(c, Box) else c[0] + "#" for c in box.children]
         runs = [k for k in range(len(own)) if not k or own[k] != own[k - 1]]  # as in a wrapper
         place = dict(matches(tuple(own[k] for k in runs), tuple(c[0] for c in w[4]))) if w else {}
@@ -286,16 +290,20 @@ def main_text(page: str, w: list | None) -> str:
             run += run + 1 < len(runs) and runs[run + 1] == k
             inner = w[4][place[run]] if run in place else None
             if isinstance(c, Box):
-                if c.kind == "" or c.kind == "top" and inside:
-                    walk(c, inner, inside or c.main, titles or c.kind == "top")
+                own_slots = c.main and inner is not None and has_slots(inner)
+                if c.kind == "" or c.kind == "top" and inside or (
+                        c.kind == "named" and not only_main and own_slots and not inner[1]):
+                    walk(c, inner, inside or c.main, titles or c.kind == "top", template or own_slots)
+            elif template and fixed(inner, c[1]):
+                pass
             elif only_main:
                 if inside and (not titles or c[0] in HEADINGS):
                     out.append(c[1])
-            else:
-                if not (learned and fixed(inner, c[1])) and 2 * c[2] <= len(c[1]):
-                    out.append(c[1])
+            elif 2 * c[2] <= len(c[1]):
+                out.append(c[1])
 
-    walk(root, w, False, False)
+    # beside articles no text is looked at, inside one its own slots tell
+    walk(root, w, False, False, learned and not only_main)
     return " ".join(out)
 
 

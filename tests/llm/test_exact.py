@@ -363,6 +363,25 @@ def test_html_text_of_one_page():
     assert texts(page.format("a", "post", "one"), page.format("b", "post", "two"), page.format("c", "content", "three"))[2] == "c three"
 
 
+def test_html_template_text_in_article():
+    """The wrapper decides inside an article too, and on articles with a name of the list."""
+    def texts(pages):
+        w = None
+        for p in pages:
+            new = html_wrappers.wrapper(html_wrappers.parse(p))
+            w = new if w is None else html_wrappers.align(w, new)
+        return [html_wrappers.main_text(p, w) for p in pages]
+
+    page = "<body><article><h4>Our paper</h4><h1>T{0}</h1><p>a{0}<p>b{0}</article><footer>f"
+    once = page.format(3).replace("</article>", "<blockquote>Q</blockquote></article>")
+    assert texts([page.format(1), page.format(2), once]) == ["T1 a1 b1", "T2 a2 b2", "T3 a3 b3 Q"]
+    assert texts([page.format(1)] * 3)[0] == "Our paper T1 a1 b1"
+    legal = "<body><div class=top>Site</div><article class='post legal' id=search-{0}><h1>T{0}</h1><p>a{0}</article>"
+    assert texts([legal.format(k) for k in range(3)]) == [f"T{k} a{k}" for k in range(3)]
+    many = "<body><h1>T{0}</h1><p>a{0}<article class=comment><p>c{0}</article><article class=comment><p>d{0}</article>"
+    assert texts([many.format(k) for k in range(3)]) == [f"T{k} a{k}" for k in range(3)]
+
+
 def test_html_layouts():
     text = html_wrappers.main_text
     assert text("<body class=has-sidebar><div class='page with-sidebar'><header><h1>Site</h1></header><article class='post'>"
