@@ -2,23 +2,27 @@
 
 A text is the bytes of its lower-cased words, joined by single spaces, and one
 end symbol.  The tree's nodes are contexts of up to ``DEPTH`` preceding bytes of
-the same text.  A context is retained if at least the share ``MIN_SHARE`` of all
-symbols follows it (so a level has at most ``1 / MIN_SHARE`` nodes, whatever
-the corpus: the proven bound of the model's size) and the divergence of its
-next-symbol distribution from its longest proper suffix, times its count, is
+the same text.  A context is retained if at least ``LEAST`` symbols follow it,
+whatever the size of the corpus, and the divergence of its next-symbol
+distribution from its longest proper suffix, times its count, is
 ``GAIN`` bits for each next symbol at least; suffixes of retained contexts stay
 too.  Distributions are smoothed towards the suffix's (Witten-Bell), the root's
 towards all 256 bytes, so every text has a probability.  A symbol is scored in
 the state of the longest suffix that the tree has.
 
 Counts come from all training texts: tasks count their byte windows, which are
-summed by key in Spark; shorter contexts are sums of longer ones.
-
-The base score needs each word's count in the training texts, and there are too
-many words for a broadcast.  Blocks of texts emit a row for each distinct word
-with the texts it occurs in; rows meet the words' totals in a join (a frequent
-word has one row a block and its rows can be split) and come back to their
-block, where the texts' sums are taken.
+summed by key in Spark; shorter contexts are sums of longer ones.  The tree grows
+with the corpus and lies nowhere as a whole: contexts shorter than ``HEAD`` bytes
+(their number is the alphabet's, not the corpus's) are one small tree; the windows
+whose contexts end with the same ``HEAD`` bytes are together in a task, which grows
+that part of the tree, and give a table of every window's probability.
+
+Tasks that score texts have the frequent windows' probabilities, at most ``HELD``.
+All other windows, and the words of the base score (it needs each word's count in
+the training texts), are too many for a broadcast.  Blocks of texts emit a row for
+each distinct one with the texts it occurs in; rows meet the totals in a join (a
+frequent word has one row a block and its rows can be split) and come back to
+their block, where the texts' sums are taken.
 
 * null or empty text: the end symbol only; null id: never held out.
 * repeated rows: each is learned from and scored.
@@ -41,10 +45,12 @@ from forecourt.llm.common import blocks, id_text, texts, words_of
 from forecourt.session import write_scratch
 
 DEPTH = 5
-MIN_SHARE = 2e-6
+LEAST = 2
 GAIN = 2.0
+#: Bytes of the contexts by whose ends the tree is dealt to tasks.
+HEAD = 3
 BLOCK = 8 << 20
-#: Distinct windows that a task holds at a time.
+#: Distinct windows that a task holds at a time, and that are broadcast.
 HELD = 2 << 20
 #: Symbols that are looked at together.
 CHUNK = 1 << 21
@@ -78,9 +84,11 @@ def windows(data: np.ndarray) -> np.ndarray:
 
 def counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and their counts."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
     if n is None:
         keys = np.sort(keys)
-        cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         return keys[cut], np.diff(np.append(cut, len(keys)))
     order = np.argsort(keys, kind="stable")
     keys, n = keys[order], n[order]
@@ -89,15 +97,17 @@ def counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
 
 
 def window_counts(rows: DataFrame) -> DataFrame:
-    """(key, n) over all texts of ``rows``; a task sums its blocks first."""
+    """(key, n) of all windows of ``rows``, counted in the texts that are not
+    ``held_out`` (if there is that column); a task sums its blocks first."""
     def run(batches):
         def out(keys, n):
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         for block in blocks(batches, "text", BLOCK):
-            for keys, _ in streams(texts(block)):
-                parts.append(counted(keys))
+            learned = ~np.array(block.column("held_out").to_pylist(), bool)
+            for keys, text in streams(texts(block)):
+                parts.append(counted(keys) if learned.all() else counted(keys, learned[text].astype(np.int64)))
                 if sum(len(k) for k, _ in parts) > HELD:
                     parts = [counted(*map(np.concatenate, zip(*parts)))]
                     if len(parts[0][0]) > HELD // 2:
@@ -105,27 +115,30 @@ def window_counts(rows: DataFrame) -> DataFrame:
         if parts:
             yield out(*counted(*map(np.concatenate, zip(*parts))))
 
-    return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    held = F.col("held_out") if "held_out" in rows.columns else F.lit(False).alias("held_out")
+    return rows.select("text", held).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Tree:
-    """Retained contexts by length: sorted keys, their counts, and the sorted
-    (context, symbol) keys with their counts."""
+    """Retained contexts by length, from ``first`` bytes on: sorted keys, their
+    counts, and the sorted (context, symbol) keys with their counts."""
 
+    first: int
     contexts: list[np.ndarray]
     totals: list[np.ndarray]
     kinds: list[np.ndarray]
     pairs: list[np.ndarray]
     counts: list[np.ndarray]
 
-    def probability(self, keys: np.ndarray) -> np.ndarray:
-        """Of the last byte of each window in the state of its longest suffix."""
-        p = np.full(len(keys), 1 / 256)
+    def probability(self, keys: np.ndarray, below: np.ndarray | float = 1 / 256) -> np.ndarray:
+        """Of the last byte of each window in the state of its longest suffix;
+        ``below`` is that by the contexts shorter than ``first``."""
+        p = np.broadcast_to(below, len(keys))
         for k in range(len(self.contexts)):
             if not len(self.contexts[k]):
                 continue
-            low = keys & ((1 << 8 * (k + 1)) - 1)
+            low = keys & low_bytes(self.first + k + 1)
             at, here = find(self.contexts[k], low >> 8)
             pair, seen = find(self.pairs[k], low)
             n, kinds = self.totals[k][at], self.kinds[k][at]
@@ -133,93 +146,119 @@ class Tree:
         return p
 
 
+def low_bytes(k: int) -> int:
+    return (1 << 8 * k) - 1
+
+
 def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
     at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
     return at, table[at] == keys
 
 
-def grow(counts: DataFrame, min_share: float = MIN_SHARE, gain: float = GAIN) -> Tree:
-    """The tree of the window counts (key, n)."""
-    tree = Tree([], [], [], [], [])
-    total = counts.agg(F.sum("n")).first()[0] or 0
+def build(keys: np.ndarray, n: np.ndarray, first: int, last: int, least: float, gain: float,
+          below: Tree | None = None, stay: np.ndarray | None = None, cut_back: bool = True) -> Tree:
+    """The contexts of ``first`` to ``last`` bytes, of windows and their counts.
+    ``below`` has the shorter contexts, ``stay`` those of ``last`` bytes that longer
+    ones need.  Without ``cut_back`` all with ``least`` symbols stay."""
+    tree = Tree(first, [], [], [], [], [])
     retained: list[np.ndarray] = []
-    for k in range(DEPTH + 1):
-        mask = F.lit((1 << 8 * (k + 1)) - 1).cast("long")
-        pairs = counts.groupBy(F.col("key").bitwiseAND(mask).alias("pair")).agg(F.sum("n").alias("n"))
-        nodes = (pairs.groupBy(F.shiftright("pair", 8).alias("context"))
-                 .agg(F.sum("n").alias("total"), F.collect_list(F.struct("pair", "n")).alias("next"))
-                 .where(F.col("total") >= min_share * total))  # at most 256 pairs a node, 1 / min_share nodes
-        got = nodes.select("total", F.explode("next").alias("x")).select("total", "x.pair", "x.n").toArrow()
-        pair = got["pair"].to_numpy()
-        order = np.argsort(pair)
-        pair, n, of = pair[order], got["n"].to_numpy()[order], got["total"].to_numpy()[order]
+    keys, n = keys[n > 0], n[n > 0]
+    state = np.zeros(0)
+    for k in range(first, last + 1):
+        pair, count = counted(keys & low_bytes(k + 1), n)
         context = pair >> 8
-        cut = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(pair) else np.zeros(0, np.int64)
-        keys = context[cut]
-        if k and len(keys):
-            # bits gained over the suffix, whose distribution the tree has by now
-            bits = np.add.reduceat(n * np.log2(n / of / tree.probability(pair)), cut)
-            kinds = np.diff(np.append(cut, len(pair)))
-            retained.append(keys[bits >= gain * kinds])
+        start = np.append(True, context[1:] != context[:-1])[:len(pair)]
+        cut, of = np.flatnonzero(start), np.cumsum(start) - 1
+        total = np.add.reduceat(count, cut) if len(cut) else np.zeros(0, np.int64)
+        enough = (total >= least)[of]
+        pair, count, context, of = pair[enough], count[enough], context[enough], total[of[enough]]
+        cut = np.flatnonzero(np.append(True, context[1:] != context[:-1])[:len(pair)])
+        kinds = np.diff(np.append(cut, len(pair)))
+        # the suffix has as many symbols or more, so the level before has its pairs
+        if k > first:
+            suffix = state[find(tree.pairs[-1], pair & low_bytes(k))[0]] if len(pair) else np.zeros(0)
         else:
-            retained.append(keys)
-        for name, v in (("contexts", keys), ("totals", of[cut]), ("kinds", np.diff(np.append(cut, len(pair)))),
-                        ("pairs", pair), ("counts", n)):
+            suffix = below.probability(pair & low_bytes(k)) if below else np.full(len(pair), 1 / 256)
+        wide = np.repeat(kinds, kinds)
+        state = (count + wide * suffix) / (of + wide)
+        bits = np.add.reduceat(count * np.log2(count / of / suffix), cut) if len(cut) else np.zeros(0)
+        retained.append(context[cut][bits >= gain * kinds] if k and cut_back else context[cut])
+        for name, v in (("contexts", context[cut]), ("totals", of[cut]), ("kinds", kinds), ("pairs", pair), ("counts", count)):
             getattr(tree, name).append(v)
+    if stay is not None:
+        retained[-1] = np.union1d(retained[-1], stay)
     # the last level first: a context stays if it passed or one that it is a suffix of stays
-    for k in range(DEPTH, 0, -1):
-        stay = np.unique(retained[k])
-        if k > 1:
-            retained[k - 1] = np.union1d(retained[k - 1], stay & ((1 << 8 * (k - 1)) - 1))
-        _, ok = find(stay, tree.contexts[k]) if len(stay) else (0, np.zeros(len(tree.contexts[k]), bool))
-        _, pair_ok = find(stay, tree.pairs[k] >> 8) if len(stay) else (0, np.zeros(len(tree.pairs[k]), bool))
+    for k in range(last - first, -1, -1):
+        held = np.unique(retained[k])
+        if k:
+            retained[k - 1] = np.union1d(retained[k - 1], held & low_bytes(first + k - 1))
+        ok, pair_ok = find(held, tree.contexts[k])[1], find(held, tree.pairs[k] >> 8)[1]
         for name, keep in (("contexts", ok), ("totals", ok), ("kinds", ok), ("pairs", pair_ok), ("counts", pair_ok)):
             getattr(tree, name)[k] = getattr(tree, name)[k][keep]
     return tree
 
 
+def grow(counts: DataFrame, min_share: float = 0.0, gain: float = GAIN) -> Tree:
+    """The whole tree of the window counts (key, n) on the driver: for corpora
+    that fit there."""
+    got = counts.toArrow()
+    n = got["n"].to_numpy()
+    return build(got["key"].to_numpy(), n, 0, DEPTH, max(LEAST, min_share * n.sum()), gain)
+
+
+def probabilities(counts: DataFrame, least: int = LEAST, gain: float = GAIN) -> DataFrame:
+    """(key, n, p): the log10 probability of every window of ``counts`` by the
+    same tree as ``grow``'s, which is grown in parts."""
+    spark = counts.sparkSession
+    low = F.col("key").bitwiseAND(F.lit(low_bytes(HEAD)).cast("long"))
+    short = counts.groupBy(low.alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    short_key, short_n = short["key"].to_numpy(), short["n"].to_numpy()
+    every = build(short_key, short_n, 0, HEAD - 1, least, gain, cut_back=False)
+    shared = spark.sparkContext.broadcast(every)
+
+    def scored(end: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        head = shared.value
+        tree = build(key, n, HEAD, DEPTH, least, gain, below=head)
+        p = np.log10(tree.probability(key, head.probability(key & low_bytes(HEAD))))
+        here = find(tree.contexts[0], end)[1]
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), pa.array(p, mask=~here)], names=["key", "n", "p"])
+
+    def run(batches):
+        parts: list[list[np.ndarray]] = []
+        for batch in batches:
+            parts.append([batch.column(c).to_numpy() for c in ("end", "key", "n")])
+            if sum(len(x[0]) for x in parts) > CHUNK:
+                end, key, n = map(np.concatenate, zip(*parts))
+                cut = int(np.searchsorted(end, end[-1]))  # the last end may go on
+                if cut:
+                    yield scored(end[:cut], key[:cut], n[:cut])
+                parts = [[end[cut:], key[cut:], n[cut:]]]
+        if parts:
+            yield scored(*map(np.concatenate, zip(*parts)))
+
+    end = F.shiftright("key", 8).bitwiseAND(F.lit(low_bytes(HEAD)).cast("long"))
+    dealt = counts.select(end.alias("end"), "key", "n").repartition("end").sortWithinPartitions("end")
+    long = spark.read.parquet(write_scratch(dealt.mapInArrow(run, "key long, n long, p double"), "scored"))
+    # a short context that did not pass stays if a longer one needs it
+    needed = long.where("p is not null").select(
+        F.shiftright("key", 8).bitwiseAND(F.lit(low_bytes(HEAD - 1)).cast("long")).alias("context")).distinct().toArrow()
+    head = build(short_key, short_n, 0, HEAD - 1, least, gain, stay=needed["context"].to_numpy())
+    table = spark.createDataFrame(pa.table({"low": short_key, "short": np.log10(head.probability(short_key))}))
+    return (long.join(table, low == F.col("low"), "left")
+            .select("key", "n", F.coalesce("p", "short").alias("p")))
+
+
 class Scores:
-    """log10 probabilities of windows by a tree; those met before are kept, up
-    to ``HELD`` of them."""
+    """log10 probabilities of windows by a tree."""
 
     def __init__(self, tree: Tree):
         self.tree = tree
-        self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)
-
-    def slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
-
-    def learn(self, new: np.ndarray) -> None:
-        """Add windows that are not known yet."""
-        if len(self.keys) + len(new) > HELD:
-            self.keys, self.values = self.keys[:0], self.values[:0]
-        at = np.searchsorted(self.keys, new)  # both are sorted
-        self.values = np.insert(self.values, at, np.log10(self.tree.probability(new)))
-        self.keys = np.insert(self.keys, at, new)
-        self.bits = max(8, len(self.keys).bit_length() + 1)
-        self.guess = np.zeros(1 << self.bits, np.int32)
-        self.guess[self.slot(self.keys)] = np.arange(len(self.keys), dtype=np.int32)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        """By a hashed guess, and by binary search where two windows share a slot."""
-        for known in (len(self.keys) > 0, True):
-            if known:
-                at = self.guess[self.slot(keys)]
-                wrong = np.flatnonzero(self.keys[at] != keys)
-                at[wrong], found = find(self.keys, keys[wrong])
-                if found.all():
-                    break
-                missing = keys[wrong[~found]]
-            else:
-                missing = keys
-            new = counted(missing)[0]
-            # if the known ones must go, all windows of this call are learned again
-            self.learn(new if len(self.keys) + len(new) <= HELD else counted(keys)[0])
-            at = self.guess[self.slot(keys)]
-            wrong = np.flatnonzero(self.keys[at] != keys)
-            at[wrong] = find(self.keys, keys[wrong])[0]
-            break
-        return self.values[at]
+        distinct, at = np.unique(keys, return_inverse=True)
+        return np.log10(self.tree.probability(distinct))[at]
 
 
 def text_scores(raw: list[bytes], scores: Scores) -> np.ndarray:
@@ -230,16 +269,70 @@ def text_scores(raw: list[bytes], scores: Scores) -> np.ndarray:
     return out
 
 
-# -------------------------------------------------------------- base score
+class Frequent:
+    """log10 probabilities of some windows, found by a hashed guess, and by binary
+    search where two windows share a slot."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.bits = max(8, len(keys).bit_length() + 1)
+        self.guess = np.zeros(1 << self.bits, np.int32)
+        self.guess[self.slot(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values, and which windows have one."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), np.zeros(len(keys), bool)
+        at = self.guess[self.slot(keys)]
+        found = self.keys[at] == keys
+        wrong = np.flatnonzero(~found)
+        at[wrong], found[wrong] = find(self.keys, keys[wrong])
+        return self.values[at], found
+
+
+def frequent(windows: DataFrame, most: int) -> tuple[int, DataFrame]:
+    """A count, and the windows with at least that count: at most ``most``."""
+    by_size = {r.size: r.n for r in windows.where("n > 0").groupBy(F.length(F.bin("n")).alias("size"))
+               .agg(F.count("*").alias("n")).collect()}
+    size = 65
+    while size > 1 and sum(n for s, n in by_size.items() if s >= size - 1) <= most:
+        size -= 1
+    least = 1 << min(size - 1, 62)
+    return least, windows.where(F.col("n") >= least)
+
+
+# ----------------------------------------------------------- texts and words
 #: ``texts`` has a block's texts as an Arrow stream: a nested column costs the
 #: conversion of every row, also where it is null.
 WORD_ROWS = "block long, word binary, n long, wide boolean, places binary, texts binary"
 
 
+def places_of(item: np.ndarray, text: np.ndarray, n: np.ndarray, size: int) -> tuple[bool, pa.Array]:
+    """For each of ``size`` items, numbers in order, its texts and counts as bytes;
+    and whether they take four bytes instead of two."""
+    wide = bool(len(n) and max(text.max(), n.max()) >= 1 << 16)
+    place = np.stack((text, n), axis=1).astype(np.uint32 if wide else np.uint16)
+    cut = np.searchsorted(item, np.arange(size + 1)) * 2 * place.itemsize
+    return wide, pa.BinaryArray.from_buffers(pa.binary(), size, [
+        None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(place.tobytes())])
+
+
+def window_names(keys: np.ndarray) -> pa.Array:
+    """Windows in the column of words: no word begins with spaces."""
+    name = np.full((len(keys), 10), 32, np.uint8)
+    name[:, 2:] = keys.astype(">i8").view(np.uint8).reshape(-1, 8)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(keys), [
+        None, pa.py_buffer((np.arange(len(keys) + 1, dtype=np.int32) * 10).tobytes()), pa.py_buffer(name.tobytes())])
+
+
 def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
-    """Rows (block, word, training count, places) and one row a block with its
-    texts and their scores by the tree.  A block's number is its task's and its
-    place in the task, the same whenever the task runs."""
+    """Rows (block, word or window, training count, places), windows only if they
+    are not among the frequent ones, and one row a block with its texts and their
+    scores by the frequent windows.  A block's number is its task's and its place
+    in the task, the same whenever the task runs."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -247,7 +340,7 @@ def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
     id_arrow = to_arrow_schema(_parse_datatype_string(f"doc_id {id_type}")).field(0).type
 
     def run(batches):
-        scores = Scores(broadcast.value)
+        known = Frequent(*broadcast.value)
         for k, block in enumerate(blocks(batches, "text", BLOCK)):
             number = (TaskContext.get().partitionId() << 32) | k
             flat, counts = words_of(block, lower=True)
@@ -259,17 +352,26 @@ def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
             pair, n = counted(np.concatenate((codes * n_texts + np.repeat(np.arange(n_texts), counts),
                                               size * n_texts + np.arange(n_texts))))
             word, text = np.divmod(pair, n_texts)
-            wide = bool(n_texts >= 1 << 16 or n.max() >= 1 << 16)
-            place = np.stack((text, n), axis=1).astype(np.uint32 if wide else np.uint16)
-            cut = np.searchsorted(word, np.arange(size + 2)) * 2 * place.itemsize
-            places = pa.BinaryArray.from_buffers(pa.binary(), size + 1, [
-                None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(place.tobytes())])
+            wide, places = places_of(word, text, n, size + 1)
             learned = np.bincount(word, weights=n * ~held[text], minlength=size + 1).astype(np.int64)
             words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b"\n"], pa.binary())])
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(size + 1, number)), words, pa.array(learned), pa.array(np.full(size + 1, wide)), places,
                 pa.nulls(size + 1, pa.binary())], schema=schema)
-            score = text_scores(texts(block), scores)
+            score = np.zeros(n_texts)
+            for keys, text in streams(texts(block)):
+                values, found = known.of(keys)
+                score += np.bincount(text[found], weights=values[found], minlength=n_texts)
+                keys, text = keys[~found], text[~found]
+                order = np.lexsort((text, keys))
+                keys, text = keys[order], text[order]
+                new = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
+                pair = np.flatnonzero(new | np.append(True, text[1:] != text[:-1])[:len(keys)])
+                m = int(new.sum())
+                wide, places = places_of((np.cumsum(new) - 1)[pair], text[pair], np.diff(np.append(pair, len(keys))), m)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(m, number)), window_names(keys[new]), pa.array(np.zeros(m, np.int64)),
+                    pa.array(np.full(m, wide)), places, pa.nulls(m, pa.binary())], schema=schema)
             own = pa.record_batch({"doc_id": block.column("doc_id").cast(id_arrow), "held_out": pa.array(held),
                                    "n_tokens": pa.array(counts + 1), "score": pa.array(score)})
             stream = pa.BufferOutputStream()
@@ -289,10 +391,13 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     rows = id_text(docs, doc_id, text).select("doc_id", "text", held)
-    counts = spark.read.parquet(write_scratch(window_counts(rows.where(~F.col("held_out"))), "windows"))
-    tree = spark.sparkContext.broadcast(grow(counts))
+    counts = spark.read.parquet(write_scratch(window_counts(rows), "windows"))
+    windows = spark.read.parquet(write_scratch(probabilities(counts), "probabilities"))
+    least, often = frequent(windows, HELD)
+    often = often.select("key", "p").toArrow().sort_by("key")
+    known = spark.sparkContext.broadcast((often["key"].to_numpy(), often["p"].to_numpy()))
     id_type = docs.schema[doc_id].dataType.simpleString()
-    words = spark.read.parquet(write_scratch(word_rows(rows, tree, id_type), "words"))
+    words = spark.read.parquet(write_scratch(word_rows(rows, known, id_type), "words"))
     totals = spark.read.parquet(write_scratch(
         words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "totals"))
     size = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -301,22 +406,31 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     def meet(t: pa.Table) -> pa.Table:
         own = pa.ipc.open_stream(pc.drop_null(t.column("texts"))[0].as_buffer()).read_all()
-        t = t.filter(pc.is_null(t.column("texts"))).combine_chunks()
-        wide = t.column("wide")[0].as_py()
-        c = pc.fill_null(t.column("c"), 0).to_numpy()
-        places = [x for x in t.column("places").chunks]
-        size = np.concatenate([pc.binary_length(x).to_numpy(zero_copy_only=False) for x in places])
-        place = np.frombuffer(b"".join(x for ch in places for x in ch.to_pylist()), np.uint32 if wide else np.uint16).reshape(-1, 2)
-        c = np.repeat(c, size // (2 * place.itemsize))
-        text, n = place[:, 0].astype(np.int64), place[:, 1]
-        base = np.bincount(text, weights=n * np.log10(c + 1), minlength=own.num_rows)
-        known = np.bincount(text, weights=n * (c > 0), minlength=own.num_rows).astype(np.int64)
+        t = t.filter(pc.is_null(t.column("texts")))
+        base, known = np.zeros(own.num_rows), np.zeros(own.num_rows, np.int64)
+        score = own.column("score").to_numpy().copy()
+        for wide in (False, True):
+            part = t.filter(pc.equal(t.column("wide"), wide)).combine_chunks()
+            if not part.num_rows:
+                continue
+            size = pc.binary_length(part.column("places")).to_numpy()
+            place = np.frombuffer(b"".join(part.column("places").to_pylist()), np.uint32 if wide else np.uint16).reshape(-1, 2)
+            size = size // (2 * place.itemsize)
+            c = np.repeat(pc.fill_null(part.column("c"), 0).to_numpy(), size)
+            p = np.repeat(pc.fill_null(part.column("p"), np.nan).to_numpy(), size)
+            text, n, window = place[:, 0].astype(np.int64), place[:, 1], ~np.isnan(p)
+            base += np.bincount(text, weights=np.where(window, 0, n * np.log10(c + 1)), minlength=own.num_rows)
+            known += np.bincount(text, weights=n * ((c > 0) & ~window), minlength=own.num_rows).astype(np.int64)
+            score += np.bincount(text, weights=np.where(window, n * p, 0), minlength=own.num_rows)
         tokens = own.column("n_tokens").to_numpy()
         return pa.table({
             "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": tokens, "n_known": known,
             "train_tokens": np.full(own.num_rows, n_all), "base_score": base - tokens * np.log10(n_all + v_all + 1),
-            "score": own.column("score")})
+            "score": score})
 
-    # totals have one row a word, so the parts of them that are built into tables are even
-    return (words.join(totals.hint("shuffle_hash"), "word", "left").select("block", "wide", "places", "texts", "c")
+    name = F.concat(F.lit(b"  "), F.unhex(F.lpad(F.hex("key"), 16, "0")))
+    rare = windows.where(F.col("n") < least).select(name.alias("word"), F.lit(None).cast("long").alias("c"), "p")
+    totals = totals.select("word", "c", F.lit(None).cast("double").alias("p")).unionByName(rare)
+    # totals have one row a word or window, so the parts of them that are built into tables are even
+    return (words.join(totals.hint("shuffle_hash"), "word", "left").select("block", "wide", "places", "texts", "c", "p")
             .groupBy("block").applyInArrow(meet, out))

@@ -468,3 +468,26 @@ def test_suffix_tree(spark, monkeypatch, held):
     for t, score in zip(raw, suffix_lm.text_scores(raw, suffix_lm.Scores(tree))):
         s = pad + t + b"\n"
         assert score == pytest.approx(sum(np.log10(p(s[k - suffix_lm.DEPTH:k], s[k], passed)) for k in range(suffix_lm.DEPTH, len(s))))
+
+
+@pytest.mark.parametrize("held", [2 << 20, 3])
+def test_suffix_lm_rare_contexts(spark, monkeypatch, held):
+    """Contexts stay whatever share of the corpus they have, and all texts score
+    as by the whole tree, also if few windows are broadcast."""
+    monkeypatch.setattr(suffix_lm, "HELD", held)
+    texts = ["qjx qjz"] * 40 + ["the cat sat on the mat"] * 3 + ["", None, "unseen \u00e9"]
+    few = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    out = F.col("doc_id") >= 42
+    rows = few.select("doc_id", "text", out.alias("held_out"))
+    counts = suffix_lm.window_counts(rows)
+    tree = suffix_lm.grow(counts)
+    want = suffix_lm.text_scores([(t or "").encode() for t in texts], suffix_lm.Scores(tree))
+    got = {r.doc_id: r.score for r in suffix_lm.score(few, out).collect()}
+    assert [got[k] for k in range(len(texts))] == pytest.approx(list(want))
+    # a corpus that grows by other texts, to which the context is under a millionth
+    more = counts.where("n > 0").unionByName(spark.range(1).selectExpr("cast(7 as long) key", "1000000000 n"))
+    rare = int.from_bytes(b"qj", "big")
+    assert rare in suffix_lm.grow(more).contexts[2] and rare in tree.contexts[2]
+    p = {r.key: r.p for r in suffix_lm.probabilities(more).collect()}
+    keys = np.array(sorted(p))
+    assert [p[k] for k in keys.tolist()] == pytest.approx(list(suffix_lm.Scores(suffix_lm.grow(more)).of(keys)))
