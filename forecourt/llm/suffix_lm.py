@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import blocks, id_text, texts, words_of
 from forecourt.session import write_scratch
 
-DEPTH = 5
+DEPTH = 6
 LEAST = 2
 GAIN = 2.0
 #: Bytes of the contexts by whose ends the tree is dealt to tasks.

@@ -491,3 +491,11 @@ def test_suffix_lm_rare_contexts(spark, monkeypatch, held):
     p = {r.key: r.p for r in suffix_lm.probabilities(more).collect()}
     keys = np.array(sorted(p))
     assert [p[k] for k in keys.tolist()] == pytest.approx(list(suffix_lm.Scores(suffix_lm.grow(more)).of(keys)))
+
+
+def test_suffix_lm_six_bytes(spark):
+    """The sixth byte before a symbol decides where five are the same."""
+    few = spark.createDataFrame([(k, t) for k, t in enumerate(["xabcdep", "yabcdeq"] * 30)], "doc_id long, text string")
+    tree = suffix_lm.grow(suffix_lm.window_counts(few))
+    scores = suffix_lm.text_scores([b"xabcdep", b"xabcdeq"], suffix_lm.Scores(tree))
+    assert scores[0] > scores[1] + 1
