@@ -22,7 +22,8 @@ adaptive execution.  Components come from star steps over the links.
 
 * null or empty text: no shingles, fingerprint zero, linked like any other.
 * null id: such a row gets the smallest id of its component, or null.
-* repeated rows and ties: every row gets a row; ``one_of_each`` keeps one.
+* repeated rows, ids and ties: every row gets a row; ``one_of_each`` keeps one of
+  a component, whatever the ids are.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import id_text, map_blocks, texts
@@ -63,14 +64,18 @@ def fingerprint(hashes: list[int]) -> int:
     return int(np.packbits(2 * count > len(h)).view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                 row: Column | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a long; and the binary ``row``, if given."""
+    more = [] if row is None else [row.alias("row")]
+    names = ["doc_id", *(["row"] if more else [])]
+
     def run(block: pa.RecordBatch) -> dict:
-        return {"doc_id": block.column("doc_id"),
+        return {**{c: block.column(c) for c in names},
                 "fp": [fingerprint(shingle_hashes(t.lower().split(), shingle)) for t in texts(block)]}
 
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long"
-    return map_blocks(id_text(docs, doc_id, text), "text", schema, run)
+    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long" + (", row binary" if more else "")
+    return map_blocks(id_text(docs, doc_id, text, *more), "text", schema, run)
 
 
 def embedding(fp: Column) -> Column:
@@ -112,15 +117,21 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .select("src", "dst"))
 
 
+def component_of(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, least, component) for every distinct fingerprint of (doc_id, fp);
+    ``least`` is its smallest id."""
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    forest = star_forest(links(rows.select("fp").distinct(), max_bits), "simhash_links")
+    return least.join(forest, least.fp == forest.id, "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row."""
     spark = docs.sparkSession
     rows = spark.read.parquet(write_scratch(fingerprints(docs, doc_id, text, shingle), "simhash"))
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    forest = star_forest(links(rows.select("fp").distinct(), max_bits), "simhash_links")
-    joined = least.join(forest, least.fp == forest.id, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
+    joined = component_of(rows, max_bits)
     smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     of_fp = joined.join(smallest, "component").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(
@@ -129,14 +140,19 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                 max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each component, all columns as they were: the smallest id; of
-    repeated ids the row with the smallest hash of its columns."""
-    found = components(docs, doc_id, text, shingle, max_bits)
-    best = found.select(F.col("component_id").alias("best")).distinct()
-    kept = docs.join(best, docs[doc_id].eqNullSafe(best["best"]), "left_semi")
-    ids = kept.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id")
-    again = docs[doc_id].eqNullSafe(ids["id"])
-    place = "place" + "_" * max(map(len, docs.columns))  # a name that no column has
-    first = Window.partitionBy(f"`{doc_id}`").orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
-    repeated = kept.join(ids, again, "left_semi").withColumn(place, F.row_number().over(first))
-    return kept.join(ids, again, "left_anti").unionByName(repeated.where(F.col(place) == 1).drop(place))
+    """One row of each component, all columns as they were: the one with the
+    smallest id (null ids last); of repeated ids the smallest digest of its columns.
+
+    A row is known by the digest of all its columns, so ids may be null or repeated.
+    Rows that are equal in every column are one component's and one of them stays."""
+    spark = docs.sparkSession
+    names = [F.to_json(F.struct(F.col(f"`{c}`").alias("c")), {"ignoreNullFields": "false"}) for c in docs.columns]
+    digest = F.unhex(F.sha2(F.concat_ws("\n", *names), 256))
+    rows = spark.read.parquet(write_scratch(fingerprints(docs, doc_id, text, shingle, digest), "simhash"))
+    of_fp = component_of(rows, max_bits).select("fp", "component")
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    best = first.join(of_fp, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    mark = "row" + "_" * max(map(len, docs.columns))  # a name that no column has
+    kept = docs.withColumn(mark, digest).join(best.select(F.col("first.row").alias(mark)), mark, "left_semi")
+    # as many rows have a digest as there are copies of the row that stays
+    return kept.dropDuplicates([mark]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -128,6 +128,19 @@ def test_simhash(docs, rows):
     assert simhash.components(docs.where("false")).count() == 0
 
 
+def test_simhash_one_of_each_component(spark):
+    """One row of each component, also where ids are null or stand for unlike texts."""
+    unlike = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcdef"]
+    rows = [(None, unlike[0], "x"), (None, unlike[1], "x"), (None, unlike[2], "x"),  # no ids
+            (7, unlike[3], "x"), (7, unlike[4], "x"), (9, unlike[4], "x"),  # an id of two texts
+            (5, unlike[5], "x"), (None, unlike[5], "x"), (5, unlike[5], "x"), (5, unlike[5], "y")]  # copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, best string")
+    one = simhash.one_of_each(df)
+    assert one.columns == df.columns
+    got = [(r.text, r.doc_id) for r in one.collect()]
+    assert sorted(got, key=repr) == sorted(zip(unlike, [None, None, None, 7, 7, 5]), key=repr)
+
+
 def test_simhash_links(spark):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
