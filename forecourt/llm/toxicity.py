@@ -9,8 +9,10 @@ no score of their own, and clauses without insult or threat are never walked.
 
 The insult transducer is learned: words and word beginnings whose document
 frequency differs between toxic and other training texts by a log-likelihood
-ratio of ``MIN_EVIDENCE`` at least, weighted by their log odds; of a beginning
-and its extensions the shortest that is as pure is kept.  Training reads at most
+ratio of ``MIN_EVIDENCE`` at least, however rare they are, weighted by their log
+odds.  Beginnings must be pure, since they stand for words not seen; of a beginning
+and its extensions the shortest is kept.  Words that other texts have too, quoted or
+negated, count as they are.  Training reads at most
 ``SAMPLE`` texts of each class, those with the smallest hashes of their ids
 (equal texts once).  The score of a text is a logistic function of its clause
 scores, fitted on the same texts.
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import id_text, keep_rows, map_blocks, words_of
 
 SAMPLE = 10_000
-MIN_EVIDENCE, MIN_SHARE = 24.0, 0.01
+MIN_EVIDENCE = 24.0
 SHORTEST, LONGEST = 3, 8
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Fixed words of the grammar: English, German, French, Spanish.
@@ -148,8 +150,10 @@ def choose(rows: list, n: tuple[int, int]) -> dict[str, float]:
     chosen: dict[str, float] = {}
     for p in sorted(good, key=lambda p: (len(p), p)):
         w, a, b = good[p]
+        # a whole word stands for itself only; the grammar's own words are no insults
+        speaks = b <= 0.02 * a or p.endswith("$") and w > 0 and p[:-1] not in CLASS
         # an extension is needed only if it is purer than the beginning it has
-        if b <= 0.02 * a and not any(p[:k] in chosen for k in range(SHORTEST, len(p))):
+        if speaks and not any(p[:k] in chosen for k in range(SHORTEST, len(p))):
             chosen[p] = w
     return chosen
 
@@ -260,7 +264,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, training: Column, doc_
         rows.unpersist()
         return Model(Insults({}), np.array([-2.0, 1.0, 1.0]))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    found = rows.where("p <> ''").where(a >= MIN_SHARE * n[1]).where(a * n[0] > b * n[1]).where(
+    found = rows.where("p <> ''").where(a * n[0] > b * n[1]).where(
         evidence(a, b, n[1], n[0]) >= MIN_EVIDENCE)
     insults = Insults(choose([(r.p, r.a, r.b) for r in found.collect()], n))
     rows.unpersist()

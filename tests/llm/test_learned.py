@@ -92,3 +92,18 @@ def test_patterns():
     assert set(chosen) == {"idi", "thex"}
     insults = toxicity.Insults(chosen)
     assert insults.weight("idiotic") > 0 and insults.weight("there") == 0 and insults.weight("id") == 0
+
+
+def test_rare_and_quoted_insults(spark):
+    """An insult in under 1 % of the toxic texts, and one that other texts quote, are learned."""
+    n = 2300
+    toxic = [f"see {k} here. you {'zorgle' if k < 20 else 'klutzen' if k < 600 else 'idiot'}." for k in range(n)]
+    clean = [f"see {k} here. you {'never said klutzen' if k < 60 else 'win'}." for k in range(n)]
+    docs = spark.createDataFrame([(k, t, int(k < n)) for k, t in enumerate(toxic + clean)], "doc_id long, text string, toxic int")
+    model = toxicity.learn(docs, docs.select("doc_id", "toxic"), "toxic", F.lit(True))
+    assert min(model.insults.weight(w) for w in ("zorgle", "klutzen", "idiot")) > 0
+    assert model.insults.weight("you") == model.insults.weight("here") == 0
+    got = toxicity.score(docs, model).join(docs.select("doc_id", "toxic"), "doc_id").collect()
+    assert all(r.n_clauses > 0 for r in got if r.toxic)
+    assert all(r.score >= 0.5 for r in got if r.toxic)
+    assert all(r.score < 0.5 for r in got if r.doc_id >= n + 60)
