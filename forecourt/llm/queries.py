@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over the driver's tables.
+"""The registered queries of the operators, over the driver's tables.
 
 Each query reads its whole table through its operator and derives the columns
 that its contract names.  ``ORACLE`` has DuckDB statements where SQL can express
@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import (bpe_lexicon, decontamination, html_wrappers, quality_qda, quality_rules, simhash, suffix_lm,
-                           toxicity, url_filter, warc)
+from forecourt.llm import (bpe_lexicon, collocations, decontamination, html_wrappers, merkle_manifest, quality_qda,
+                           quality_rules, simhash, suffix_lm, token_counts, toxicity, url_filter, warc)
 from forecourt.llm.common import crc_mod, new_key, table
 from forecourt.session import scratch_path
 
@@ -33,10 +33,10 @@ def register(name: str, sql: str | None = None):
     return put
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def held_out(n: int, r: int) -> Column:
@@ -169,3 +169,91 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a tree and by word counts of the training part."""
     return suffix_lm.score(table(spark, sf_dir, "documents"), held_out(7, 2))
+
+
+@register("op11_merkle", """
+    WITH RECURSIVE
+    t8(i, c, k) AS (SELECT i, i, 0 FROM range(256) r(i) UNION ALL
+        SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM t8 WHERE k < 8),
+    t AS (SELECT list(c ORDER BY i) AS t FROM t8 WHERE k = 8),
+    crc AS (SELECT doc_id, xor(4294967295, list_reduce([ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')],
+                lambda a, b: xor(a >> 8, t[1 + xor(a & 255, b)]), 4294967295::BIGINT)) AS c
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), t),
+    f AS (SELECT d.doc_id, lang, coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                 || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail, n_chars,
+                 CASE WHEN c % 7 = 0 THEN 1 ELSE 0 END AS extra
+          FROM documents d LEFT JOIN crc ON crc.doc_id = d.doc_id),
+    l AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                 sha256(head || coalesce(strlen((n_chars + extra)::VARCHAR) || ':' || (n_chars + extra), '-') || tail) AS claimed FROM f),
+    p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS size FROM l),
+    nodes(lang, lvl, place, size, h) AS (SELECT lang, 0, place, size, leaf FROM p UNION ALL
+        SELECT lang, lvl + 1, place // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM nodes
+        WHERE size > 1 GROUP BY lang, lvl, place // 2),
+    sub AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS size FROM nodes WHERE size = 1),
+    above(lvl, place, size, h) AS (SELECT 0, place, size, subroot FROM sub UNION ALL
+        SELECT lvl + 1, place // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM above
+        WHERE size > 1 GROUP BY lvl, place // 2),
+    root AS (SELECT h AS root FROM above WHERE size = 1),
+    -- the nodes beside the path of each leaf, numbered from the leaf up
+    q AS (SELECT p.*, sub.subroot, sub.place AS splace, sub.size AS ssize FROM p JOIN sub ON p.lang IS NOT DISTINCT FROM sub.lang),
+    beside AS (
+        SELECT q.doc_id, q.leaf, q.lang, q.place, n.lvl, n.h, n.place % 2 = 0 AS is_left FROM q
+        JOIN nodes n ON n.lang IS NOT DISTINCT FROM q.lang AND n.place = xor(q.place >> n.lvl::BIGINT, 1) WHERE n.size > 1
+        UNION ALL SELECT q.doc_id, q.leaf, q.lang, q.place, 100 + a.lvl, a.h, a.place % 2 = 0 FROM q
+        JOIN above a ON a.place = xor(q.splace >> a.lvl::BIGINT, 1) WHERE a.size > 1),
+    proofs AS (SELECT lang, place, sha256(string_agg(h, '' ORDER BY lvl)) AS proof FROM beside GROUP BY lang, place),
+    -- every level of every path, a level without sibling too
+    steps AS (SELECT DISTINCT lang, lvl, size FROM nodes WHERE size > 1),
+    upper AS (SELECT DISTINCT lvl, size FROM above WHERE size > 1),
+    path AS (
+        SELECT q.lang, q.place, s.lvl FROM q JOIN steps s ON s.lang IS NOT DISTINCT FROM q.lang
+        UNION ALL SELECT q.lang, q.place, 100 + u.lvl FROM q, upper u),
+    ways AS (SELECT a.lang, a.place, list({'h': b.h, 'l': b.is_left} ORDER BY a.lvl) AS way FROM path a
+             LEFT JOIN beside b ON a.lang IS NOT DISTINCT FROM b.lang AND a.place = b.place AND a.lvl = b.lvl GROUP BY a.lang, a.place),
+    folded AS (SELECT q.doc_id, leaf, subroot, q.lang, q.place,
+                      list_reduce(list_prepend({'h': claimed, 'l': false}, coalesce(way, [])), lambda x, y: {'h': sha256(CASE
+                          WHEN y.h IS NULL THEN x.h WHEN y.l THEN y.h || x.h ELSE x.h || y.h END), 'l': false}).h AS folded
+               FROM q LEFT JOIN ways w ON q.lang IS NOT DISTINCT FROM w.lang AND q.place = w.place)
+    SELECT f.doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM folded f LEFT JOIN proofs p ON f.lang IS NOT DISTINCT FROM p.lang AND f.place = p.place, root""")
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and each leaf, a seventh of them tampered with, verified."""
+    docs = table(spark, sf_dir, "documents")
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    claimed = F.when(crc_mod("doc_id", 7) == 0, merkle_manifest.leaf("doc_id", "source", "lang", more, "text"))
+    found = merkle_manifest.manifest(docs, "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], claimed)
+    return merkle_manifest.verify(found).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@register("op12_collocations", """
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d)),
+    u AS (SELECT lang, piece, unnest(w) AS w1, unnest(range(len(w))) AS k FROM (SELECT *, row_number() OVER () AS piece FROM pieces)),
+    v AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM u WINDOW o AS (PARTITION BY piece ORDER BY k)),
+    f AS (SELECT lang, 1 AS n, w1 AS phrase, count(*) AS f FROM v GROUP BY ALL
+          UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM v WHERE w2 IS NOT NULL GROUP BY ALL
+          UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM v WHERE w3 IS NOT NULL GROUP BY ALL),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE n = 1 GROUP BY lang),
+    c AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND f >= 10),
+    cuts AS (SELECT *, unnest(range(1, n)) AS k FROM c),
+    s AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score FROM cuts c
+          JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+    best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (SELECT lang, part, max(a) AS longest FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM c WHERE n = 3) GROUP BY ALL),
+    left_over AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.part = b.phrase
+                  WHERE longest IS NULL OR 100 * longest < 50 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n AS n, score
+    FROM left_over JOIN total t USING (lang) QUALIFY rank <= 2000""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of two and three words of all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, inside_percent=50, first=2000)
+
+
+@register("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents."""
+    found = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
