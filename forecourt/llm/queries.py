@@ -232,15 +232,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d)),
     u AS (SELECT lang, piece, unnest(w) AS w1, unnest(range(len(w))) AS k FROM (SELECT *, row_number() OVER () AS piece FROM pieces)),
     v AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM u WINDOW o AS (PARTITION BY piece ORDER BY k)),
-    f AS (SELECT lang, 1 AS n, w1 AS phrase, count(*) AS f FROM v GROUP BY ALL
+    f AS MATERIALIZED (SELECT lang, 1 AS n, w1 AS phrase, count(*) AS f FROM v GROUP BY ALL
           UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM v WHERE w2 IS NOT NULL GROUP BY ALL
           UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM v WHERE w3 IS NOT NULL GROUP BY ALL),
     total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE n = 1 GROUP BY lang),
     c AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND f >= 10),
-    cuts AS (SELECT *, unnest(range(1, n)) AS k FROM c),
+    cuts AS (SELECT *, lang || '|' || array_to_string(w[:k], ' ') AS x, lang || '|' || array_to_string(w[k + 1:], ' ') AS y
+             FROM (SELECT *, unnest(range(1, n)) AS k FROM c)),
+    part AS MATERIALIZED (SELECT lang || '|' || phrase AS part, f FROM f WHERE f >= 10),
     s AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score FROM cuts c
-          JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
-          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+          JOIN part x ON x.part = c.x JOIN part y ON y.part = c.y),
     best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
     inside AS (SELECT lang, part, max(a) AS longest FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM c WHERE n = 3) GROUP BY ALL),
     left_over AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.part = b.phrase
