@@ -122,10 +122,13 @@ def phrases(codes: np.ndarray, joined: np.ndarray, own: np.ndarray, arrays: list
             both &= joined
         at = np.flatnonzero(both)
         h = mixed(hashes[at], word[at + n - 1])
-        yield n, at, h, 1 + np.maximum(when[at], when[at + 1]).astype(np.int16)
+        first = 1 + np.maximum(when[at], when[at + 1])
+        yield n, at, h, first
         if n < len(arrays):
+            own_step = reached(arrays[n - 1], h)
             hashes, when = np.zeros_like(hashes), np.full(len(codes), NEVER, np.uint8)
-            hashes[at], when[at] = h, reached(arrays[n - 1], h)
+            # slots may have been set by others before this phrase started
+            hashes[at], when[at] = h, np.where(own_step == NEVER, NEVER, np.maximum(own_step, first))
 
 
 # ------------------------------------------------------------------- scans
