@@ -44,3 +44,4 @@ from forecourt.plans import queries_operations  # noqa: E402,F401
 from forecourt.plans import queries_telematics  # noqa: E402,F401  (defines telematics CTEs used by marts)
 from forecourt.plans import queries_marts  # noqa: E402,F401
 from forecourt.plans import queries_entity  # noqa: E402,F401
+from forecourt.plans import queries_landing  # noqa: E402,F401

@@ -36,10 +36,10 @@ def bronze_land_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(s_suppkey AS VARCHAR) AS supplier_id, s_name AS supplier_name, CAST(s_nationkey AS VARCHAR) AS nation,
        '{RUN_TS}' AS _ingested_at, '{RUN_DATE}' AS _ingest_date, count(*) OVER () AS rows_landed,
        'crm.customers,crm.vehicles,dms.technicians,dms.work_order_lines,dms.work_orders,erp.parts,erp.stock_movements,'
-       || 'pos.invoices,pos.payments,telematics.events' AS entities_skipped
+       || 'pos.invoices,pos.payments,supplier_feeds.price_list,telematics.events' AS entities_skipped
 FROM supplier""")
 def bronze_csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CSV extract delivered to the shared folder, landed with all
+    """A CSV extract delivered to the shared folder, landed with all
     registered sources (missing ones skipped and reported) and read back."""
     drop = scratch_path(spark, f"landing/{bronze.run_id()}")
     s = Tables(spark, sf_dir).supplier

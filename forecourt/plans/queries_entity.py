@@ -71,15 +71,20 @@ def _groups_sql(name: str, distance: int) -> str:
 {name}(id, label) AS (SELECT id, id FROM r UNION SELECT {name}_e.dst, {name}.label FROM {name} JOIN {name}_e ON {name}.id = {name}_e.src)"""
 
 
-@register("customer_match_review", f"""
-WITH RECURSIVE {CONTACTS_SQL},
-r AS (SELECT city, nm, min(id) AS id FROM n WHERE nm IS NOT NULL AND city IS NOT NULL GROUP BY city, nm),
-{_groups_sql('m', MATCH_DISTANCE)}, {_groups_sql('v', REVIEW_DISTANCE)},
+def review_sql(match: int, review: int) -> str:
+    """The CTEs up to ``review``: one row per name in a group with several matches."""
+    return f"""r AS (SELECT city, nm, min(id) AS id FROM n WHERE nm IS NOT NULL AND city IS NOT NULL GROUP BY city, nm),
+{_groups_sql('m', match)}, {_groups_sql('v', review)},
 b AS (SELECT id, match_group, review_group FROM (SELECT id, min(label) AS match_group FROM m GROUP BY id)
-      JOIN (SELECT id, min(label) AS review_group FROM v GROUP BY id) USING (id))
-SELECT id AS customer_id, match_group, review_group, match_groups
+      JOIN (SELECT id, min(label) AS review_group FROM v GROUP BY id) USING (id)),
+review AS (SELECT id AS customer_id, match_group, review_group, match_groups
 FROM b JOIN (SELECT review_group, count(DISTINCT match_group) AS match_groups FROM b GROUP BY 1 HAVING count(DISTINCT match_group) > 1)
-     USING (review_group)""")
+     USING (review_group))"""
+
+
+@register("customer_match_review", f"""
+WITH RECURSIVE {CONTACTS_SQL}, {review_sql(MATCH_DISTANCE, REVIEW_DISTANCE)}
+SELECT * FROM review""")
 def customer_match_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probable duplicates (3-4 edits, same city) for human review, one row
     per name and review group, names of every length."""

@@ -20,6 +20,7 @@ from forecourt.operators.joins import asof_join, dim_join, lookup
 from forecourt.operators.scd import scd2
 from forecourt.plans import duck_sql as S
 from forecourt.plans import gold, silver
+from forecourt.plans.queries_entity import CONTACTS_SQL, normalise, review_sql
 from forecourt.plans.registry import register
 from forecourt.plans.workshop import Workshop
 from forecourt.sources import star_extracts as X
@@ -80,9 +81,9 @@ def referenced(w: Workshop, wo: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P50-P53
-def quarantine_records(w: Workshop, review: bool = False) -> DataFrame:
+def quarantine_records(w: Workshop) -> DataFrame:
     """All quarantine tables in one: entity, key, reason, time, the row as JSON.
-    ``review`` adds the customer review queue, whose components are computed now."""
+    The components of the customer review queue are computed now."""
     wo = referenced(w, w.work_orders)
     codes = F.broadcast(w.service_types.select(F.col("service_type_code").alias("_code"), F.lit(True).alias("_known")))
     wo = wo.join(codes, wo["service_type_code"] == codes["_code"], "left").drop("_code")
@@ -91,11 +92,9 @@ def quarantine_records(w: Workshop, review: bool = False) -> DataFrame:
     readings = TM.clean_events(X.telematics_raw(w.t.events)).drop("event_ts")
     readings = EV.flag_regressions(readings.where("vin is not null and event_ts_ntz is not null"), "vin", "event_ts_ntz",
                                    "event_id", "odometer_km")
-    queue = []
-    if review:
-        names = ER.review_queue(contacts_of(w.t.customer), "customer_id", "name_norm", "city", MATCH_DISTANCE, REVIEW_DISTANCE)
-        queue = [QU.route_many(names, "customer", "customer_id", {"customer_match_review": F.lit(True)})]
-    return QU.unify(queue + [
+    names = ER.review_queue(contacts_of(w.t.customer), "customer_id", "name_norm", "city", MATCH_DISTANCE, REVIEW_DISTANCE)
+    return QU.unify([
+        QU.route_many(names, "customer", "customer_id", {"customer_match_review": F.lit(True)}),
         QU.route_many(wo, "work_order", "wo_number", {
             "invalid_vin": ~F.coalesce("is_vin_valid", F.lit(False)),
             "invalid_check_digit": ~VIN.check_digit_ok(F.col("vehicle_vin")),
@@ -120,13 +119,12 @@ def quarantine_records(w: Workshop, review: bool = False) -> DataFrame:
 
 
 def contacts_of(customer: DataFrame) -> DataFrame:
-    from forecourt.plans.queries_entity import normalise
-
     return normalise(X.customer_contacts(customer), "customer_id", "customer_name")
 
 
 _QUARANTINE = f"""
-, lw AS (SELECT l.*, wo.wo_number IS NOT NULL AS has_order, wo.opened_at FROM lines l LEFT JOIN wo USING (wo_number)),
+, {CONTACTS_SQL}, {review_sql(MATCH_DISTANCE, REVIEW_DISTANCE)},
+lw AS (SELECT l.*, wo.wo_number IS NOT NULL AS has_order, wo.opened_at FROM lines l LEFT JOIN wo USING (wo_number)),
 reg AS (SELECT *, max(odometer_km) OVER (PARTITION BY vin ORDER BY event_ts_ntz, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
         FROM tm WHERE vin IS NOT NULL AND event_ts_ntz IS NOT NULL),
 q AS (
@@ -145,27 +143,56 @@ q AS (
             WHERE {S.off_by_more_than_one('line_total_ngn_source_raw', 'line_total_recalculated_ngn')}
   UNION ALL SELECT 'telematics', event_id, 'odometer_regression', event_ts_ntz, vin FROM reg WHERE odometer_km < top
   UNION ALL SELECT 'part', part_number, 'negative_stock', NULL, category FROM parts WHERE qty_on_hand < 0
-  UNION ALL SELECT 'part', part_number, 'parse_error', NULL, category FROM parts WHERE has_parse_error)"""
+  UNION ALL SELECT 'part', part_number, 'parse_error', NULL, category FROM parts WHERE has_parse_error
+  UNION ALL SELECT 'customer', customer_id, 'customer_match_review', NULL, review_group FROM review)"""
 _QUARANTINE_NEEDS = ["wo", "lines", "priced", "customers", "vehicles", "service_types", "tm", "parts"]
 
 
 @register("quarantine_records", S.with_ctes(_QUARANTINE_NEEDS, _QUARANTINE + """
-SELECT entity, record_key, reason, opened_at AS business_ts, detail FROM q"""))
+SELECT entity, record_key, reason, opened_at AS business_ts, detail FROM q""", recursive=True))
 def quarantine_records_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarantine records with a field read back from each payload (the
-    review queue's own query is ``customer_match_review``)."""
+    """Quarantine records of all catalog tables, with a field read back from each payload."""
     q = quarantine_records(Workshop(spark, sf_dir))
-    field = F.coalesce(*[F.get_json_object("payload", f"$.{c}") for c in ("service_type_code", "line_type", "category", "vin")])
+    field = F.coalesce(*[F.get_json_object("payload", f"$.{c}") for c in ("service_type_code", "line_type", "category", "vin", "review_group")])
     return q.select("entity", "record_key", "reason", "business_ts", field.alias("detail"))
 
 
 @register("quarantine_daily", S.with_ctes(_QUARANTINE_NEEDS, _QUARANTINE + """
-SELECT date_trunc('day', opened_at) AS quarantine_day, entity, reason, count(*) AS n FROM q GROUP BY 1, 2, 3"""))
+SELECT date_trunc('day', opened_at) AS quarantine_day, entity, reason, count(*) AS n FROM q GROUP BY 1, 2, 3""", recursive=True))
 def quarantine_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantine volumes per day and reason."""
     return QU.daily_counts(quarantine_records(Workshop(spark, sf_dir)))
 
 
+_STOCK = "CASE WHEN k % 97 = 3 THEN NULL ELSE (k * 13) % 183 - 2 END"
+
+
+@register("quarantine_life_cycle", f"""
+WITH a AS (SELECT k, part_number, {_STOCK} AS qty FROM (SELECT p_partkey AS k, 'P' || {S.code('', 'p_partkey', 5)} AS part_number FROM part)),
+one AS (SELECT k, part_number, CASE WHEN qty IS NULL THEN 'parse_error' ELSE 'negative_stock' END AS reason, qty FROM a WHERE qty IS NULL OR qty < 0),
+two AS (SELECT k, part_number, CASE WHEN qty IS NULL THEN 'parse_error' ELSE 'negative_stock' END AS reason, qty FROM (
+  SELECT k, part_number, CASE WHEN k % 50 = 1 THEN -7 ELSE qty END AS qty FROM a WHERE k % 2 = 1) WHERE qty IS NULL OR qty < 0)
+SELECT coalesce(b.part_number, c.part_number) AS record_key, coalesce(b.reason, c.reason) AS reason,
+  CASE WHEN c.k IS NULL THEN 'resolved' WHEN b.k IS NULL THEN 'new' ELSE 'open' END AS status,
+  CASE WHEN b.k IS NULL THEN '2024-06-02' ELSE '2024-06-01' END AS first_seen,
+  CASE WHEN c.k IS NULL THEN '2024-06-01' ELSE '2024-06-02' END AS last_seen,
+  CASE WHEN c.k IS NULL THEN '2024-06-02' END AS resolved_on
+FROM one b FULL JOIN two c ON b.k = c.k AND b.reason = c.reason AND b.qty IS NOT DISTINCT FROM c.qty""")
+def quarantine_life_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the parts after a second run over a corrected extract: even part
+    numbers are put right, some others get another wrong balance."""
+    t, state = Tables(spark, sf_dir), None
+    p = F.regexp_extract("_key", "[0-9]+", 0).cast("bigint")
+    first = X.parts_raw(t.part)
+    fixed = first.withColumn("_key", C.part_key("part_number")).withColumn("qty_on_hand", F.when(p % 2 == 0, "0").when(
+        p % 50 == 1, "-7").otherwise(F.col("qty_on_hand"))).drop("_key")
+    for day, raw in (("2024-06-01", first), ("2024-06-02", fixed)):
+        parts = silver.clean_parts(raw)
+        state = QU.life_cycle(state, QU.route_many(parts, "part", "part_number", {
+            "negative_stock": F.col("qty_on_hand") < 0, "parse_error": F.col("has_parse_error")}), day)
+    return state.select("record_key", "reason", "status", "first_seen", "last_seen", "resolved_on")
+
+
 # ---------------------------------------------------------------------- P26
 @register("fx_as_of", S.with_ctes(["lines", "wo", "parts", "fx"], """
 , foreign_parts AS (SELECT l.line_id, l.part_number, CAST(wo.opened_at AS DATE) AS opened_date, l.quantity, p.currency,

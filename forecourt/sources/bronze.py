@@ -1,8 +1,8 @@
 """Land raw extracts in the bronze layer.
 
 Bronze keeps data exactly as received: every column is text, nothing is
-cleaned, filtered or joined.  Two audit columns are added:
-``_ingested_at`` (UTC text, only when the extract lacks one) and
+cleaned, filtered or joined.  ``_rescued`` has the text of records that do not
+fit the header.  Two audit columns are added: ``_ingested_at`` (UTC text, only when the extract lacks one) and
 ``_ingest_date`` (the run date, also the partition column).
 
 Each entity is one lazy read -> write plan, split across executors by file
@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from forecourt.sources.csv_records import read_records
 
 # ---------------------------------------------------------------- FIXED VALUES
 # Source system -> entity -> extract file name (as delivered).
@@ -36,6 +37,7 @@ SOURCES = {
     "crm": {"customers": "crm_customers.csv", "vehicles": "crm_vehicles.csv"},
     "pos": {"invoices": "pos_invoices.csv", "payments": "pos_payments.csv"},
     "telematics": {"events": "telematics_events.csv"},
+    "supplier_feeds": {"price_list": "supplier_price_list.csv"},  # P48: a new file every day
 }
 # ------------------------------------------------------------ END FIXED VALUES
 
@@ -58,15 +60,9 @@ def to_bronze(df: DataFrame, ingested_at: str, ingest_date: str) -> DataFrame:
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every column read as text (never inferred).
-
-    The header decides the column set; an all-string schema is built from
-    it so types are never guessed.
-    """
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .schema(schema).csv(path))
+    """Header CSV with every column as text, exactly as received, and ``_rescued``
+    (see ``csv_records``; the header decides the column set)."""
+    return read_records(spark, path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -89,7 +85,7 @@ def land_entity(spark: SparkSession, csv_path: str, out_root: str, source: str,
                 ingested_at: str, ingest_date: str) -> int:
     """Land one extract into ``{out_root}/{source}/{entity}/_ingest_date=.../``
     (S7 layout; the source folder is the namespace, S8; the write replaces the
-    day's data, S6; a daily supplier price-list drop is the same call, P48).
+    day's data, S6; a daily supplier price list is one more day's partition, P48).
 
     Dynamic partition overwrite makes the job idempotent per run date.  The
     row count comes from an ``Observation`` on the write itself (S9), so the

@@ -314,6 +314,19 @@ def stock_movements_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     return ledger.unionByName(receipts)
 
 
+def price_list_raw(part: DataFrame, day: int) -> DataFrame:
+    """supplier_feeds.price_list of a day (0, 1, ...): each day some parts are
+    missing, others have a new price or another lead time; texts hold quotes and newlines."""
+    p = F.col("p_partkey")
+    price = F.col("p_retailprice").cast("decimal(14,2)") + F.when((p + day) % 10 < 3, F.lit(day * 25)).otherwise(F.lit(0))
+    note = form(p, F.concat(F.lit('"'), F.col("p_brand"), F.lit('", genuine')), F.concat(F.lit("boxed\nset of "), (p % 4 + 2).cast("string")), "")
+    return part.where((p + 3 * day) % 17 != 4).select(
+        F.concat(F.lit("P"), padded(p, 5)).alias("part_number"), F.concat(F.lit("SUP-"), padded(p % 25, 4)).alias("supplier_id"),
+        note.alias("description"), price.cast("decimal(14,2)").cast("string").alias("list_price"),
+        F.concat((p % 9 + F.when((p + day) % 13 == 0, F.lit(day)).otherwise(F.lit(0))).cast("string"), F.lit(" days")).alias("lead_time"),
+        form(p + div(p, 7) * day, "in stock", "on order").alias("availability"))
+
+
 def fx_quotes(lineitem: DataFrame) -> DataFrame:
     """USD and EUR quotes in NGN on the first and fifteenth of months with shipments."""
     d = lineitem.select(F.to_date(moved(F.col("l_shipdate"))).alias("quote_date")).distinct()

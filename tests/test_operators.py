@@ -194,13 +194,49 @@ def test_quality_checks(spark):
     assert [r.issue for r in Q.range_issues(rates, ["k"], "f", "t").orderBy("f").collect()] == ["overlap", "gap"]
 
 
-def test_quarantine_split_keeps_every_row(spark):
-    df = spark.createDataFrame([(1, 5), (2, -1), (3, None)], "id int, q int")
-    good, bad = QU.split(df, F.col("q") < 0)
-    assert good.count() + bad.count() == 3 and bad.collect()[0].id == 2
-    q = QU.route(df, "line", "id", "negative_quantity", F.col("q") < 0)
-    r = q.collect()[0]
-    assert r.reason == "negative_quantity" and '"q":-1' in r.payload
+def test_quarantine_routes_each_failed_rule(spark):
+    df = spark.createDataFrame([(1, 5), (2, -1), (3, None), (4, -9)], "id int, q int")
+    q = QU.route_many(df, "line", "id", {"negative_quantity": F.col("q") < 0, "huge": F.abs("q") > 8})
+    assert sorted((r.record_key, r.reason) for r in q.collect()) == [("2", "negative_quantity"), ("4", "huge"), ("4", "negative_quantity")]
+    assert all('"q":-' in r.payload for r in q.collect())
+
+
+def test_quarantine_life_cycle(spark):
+    """Against plain sets over five runs, the second of them repeated."""
+    runs = [("d1", ["a", "b", "c"]), ("d2", ["b", "c", "d", "d"]), ("d2", ["b", "c", "d", "d"]), ("d3", []), ("d4", ["a", "d", "e"]), ("d5", ["a", "e"])]
+    state, expected, done = None, {}, set()
+    for day, keys in runs:
+        found = spark.createDataFrame([("part", k, "negative_stock", None, f"{{{k}}}") for k in keys],
+                                      "entity string, record_key string, reason string, business_ts timestamp_ntz, payload string")
+        state = QU.life_cycle(state, found, day).checkpoint()
+        if day not in done:
+            for k in set(keys):
+                old = expected.get(k)
+                status = "new" if old is None else "reopened" if old[0] == "resolved" else "open"
+                expected[k] = (status, old[1] if old else day, day, None)
+            for k in set(expected) - set(keys):
+                status, first, last, gone = expected[k]
+                expected[k] = ("resolved", first, last, gone or day)
+        done.add(day)
+        assert {r.record_key: (r.status, r.first_seen, r.last_seen, r.resolved_on) for r in state.collect()} == expected
+        assert state.count() == len(expected)
+
+
+def test_snapshots(spark):
+    from forecourt.operators import snapshots
+
+    days = {"1": [("a", "1", None), ("b", "1", "x"), ("b", "1", "x"), ("c", "1", "x"), (None, "9", "9")], "2": [("a", "1", ""), ("b", "1", "x"), ("d", "1", "x")],
+            "3": [("a", "1", None), ("c", "1", "x"), ("d", "2", "y")]}
+    all_days = spark.createDataFrame([(*r, d) for d, rows in days.items() for r in rows], "k string, p string, q string, day string")
+    diff = lambda x, y: {(r.k, r.change, tuple(r.changed_columns)) for r in snapshots.compare(
+        all_days.where(f"day = '{x}'"), all_days.where(f"day = '{y}'"), "k", ["p", "q"]).collect()}
+    assert diff(1, 2) == {("a", "changed", ("q",)), ("c", "withdrawn", ()), ("d", "added", ())}
+    assert diff(2, 3) == {("a", "changed", ("q",)), ("b", "withdrawn", ()), ("c", "added", ()), ("d", "changed", ("p", "q"))}
+    assert diff(1, 9) == {("a", "withdrawn", ()), ("b", "withdrawn", ()), ("c", "withdrawn", ())}
+    table = snapshots.effective(all_days, "k", "day", ["p", "q"])
+    assert sorted(tuple(r) for r in table.select("k", "p", "valid_from", "valid_to", "is_current").collect()) == [
+        ("a", "1", "1", "2", False), ("a", "1", "2", "3", False), ("a", "1", "3", None, True), ("b", "1", "1", "3", False),
+        ("c", "1", "1", "2", False), ("c", "1", "3", None, True), ("d", "1", "2", "3", False), ("d", "2", "3", None, True)]
 
 
 def test_raise_on_failures(spark):
