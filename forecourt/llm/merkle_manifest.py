@@ -28,7 +28,7 @@ not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -192,20 +192,26 @@ def streamed(nodes: DataFrame, run: int, levels: int) -> DataFrame:
     return dealt.mapInArrow(stream, schema)
 
 
-def witnesses(nodes: DataFrame, run: int = RUN, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
-    """``nodes`` (grp, leaf, place, size, ...) with ``witness`` up to the root of their group,
-    and (grp, root) of every group."""
+def witnesses(nodes: DataFrame, ends: Callable[[DataFrame], DataFrame], run: int = RUN, levels: int = LEVELS) -> DataFrame:
+    """``nodes`` (grp, leaf, place, size, ...) with ``witness`` and what else ``ends`` gives.
+
+    ``ends`` gets (grp, root) and returns one row a group: (grp, witness from the group's root
+    on, ...).  It meets the nodes where a group is one block and comes down block by block,
+    so a group's rows are never joined by the group alone."""
     spark = nodes.sparkSession
     found = spark.read.parquet(write_scratch(streamed(nodes, run, levels), "merkle-blocks"))
     roots = found.where("root IS NOT NULL").select(
         "grp", F.col("root").alias("leaf"), F.col("block").alias("place"),
         F.expr(f"(size + {run ** levels - 1}) div {run ** levels}").alias("size"))
     if roots.where("size > 1").isEmpty():
-        return found.select(*nodes.columns, "witness"), roots.select("grp", F.col("leaf").alias("root"))
-    above, tops = witnesses(roots, run, levels)
-    above = above.select(F.col("grp").alias("g"), F.col("place").alias("b"), F.col("witness").alias("more"))
-    joined = found.join(above, F.col("grp").eqNullSafe(F.col("g")) & (F.col("block") == F.col("b")))
-    return joined.select(*nodes.columns, F.concat("witness", "more").alias("witness")), tops
+        above = ends(roots.select("grp", F.col("leaf").alias("root"))).withColumn("place", F.lit(0).cast("long"))
+    else:
+        above = witnesses(roots, ends, run, levels).drop("leaf", "size")
+    info = [c for c in above.columns if c not in ("grp", "place", "witness")]
+    above = above.select(F.col("grp").alias("_grp"), F.col("place").alias("_block"), F.col("witness").alias("_more"),
+                         *[F.col(c).alias(f"_{c}") for c in info])
+    joined = found.join(above, F.col("grp").eqNullSafe(F.col("_grp")) & (F.col("block") == F.col("_block")))
+    return joined.select(*nodes.columns, F.concat("witness", "_more").alias("witness"), *[F.col(f"_{c}").alias(c) for c in info])
 
 
 def manifest(docs: DataFrame, group: str, key: str, fields: list[str], claimed: Column | None = None,
@@ -220,16 +226,17 @@ def manifest(docs: DataFrame, group: str, key: str, fields: list[str], claimed:
     leaves = docs.select(quoted[0].cast("string").alias("grp"), quoted[1].alias("key"), leaf(*quoted[2:]).alias("leaf"),
                          (F.lit(None).cast("string") if claimed is None else claimed).alias("claimed"))
     leaves = spark.read.parquet(write_scratch(leaves, "merkle-leaves"))
-    below, subroots = witnesses(numbered(leaves, ["key", "leaf"]), run, levels)
-    subroots = subroots.select(F.lit(None).cast("string").alias("grp"), F.col("grp").alias("name"), F.col("root").alias("leaf"))
-    top, whole = witnesses(numbered(subroots, ["name"]), run, levels)
-    whole = whole.withColumnRenamed("grp", "g")
-    top = top.join(whole, F.col("grp").eqNullSafe(F.col("g"))).select(
-        "name", F.col("place").alias("group_place"), F.col("size").alias("groups"), F.col("leaf").alias("subroot"),
-        "root", F.col("witness").alias("more"))
-    joined = below.join(top, F.col("grp").eqNullSafe(F.col("name")))
-    return joined.select("key", "grp", "leaf", "claimed", "place", "size", "subroot", "group_place", "groups", "root",
-                         F.concat("witness", "more").alias("proof"))
+
+    def top(subroots: DataFrame) -> DataFrame:
+        """One row a group, by the tree of the groups."""
+        names = subroots.select(F.lit(None).cast("string").alias("grp"), F.col("grp").alias("name"), F.col("root").alias("leaf"))
+        tree = witnesses(numbered(names, ["name"]), lambda whole: whole.select("grp", F.lit(b"").alias("witness"), "root"), run, levels)
+        return tree.select(F.col("name").alias("grp"), "witness", F.col("leaf").alias("subroot"), F.col("place").alias("group_place"),
+                           F.col("size").alias("groups"), "root")
+
+    found = witnesses(numbered(leaves, ["key", "leaf"]), top, run, levels)
+    return found.select("key", "grp", "leaf", "claimed", "place", "size", "subroot", "group_place", "groups", "root",
+                        F.col("witness").alias("proof"))
 
 
 def verify(found: DataFrame, run: int = RUN) -> DataFrame:

@@ -65,7 +65,7 @@ def test_tree_and_fold(run):
             assert merkle_manifest.fold(x, i, size, proofs[i], run) == (root, len(proofs[i]))
 
 
-@pytest.mark.parametrize("run,levels", [(2, 1), (2, 3), (3, 2)])
+@pytest.mark.parametrize("run,levels", [(2, 3), (3, 2)])
 def test_manifest(spark, run, levels):
     rng = random.Random(run)
     rows = [(i, "hot", f"text {i}") for i in range(70)] + [(100 + i, lang, t) for i, t in enumerate(TEXTS) for lang in (None, "", "é")]
