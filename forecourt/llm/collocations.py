@@ -6,8 +6,9 @@ of a phrase have reached the threshold, the phrase is active from the next shard
 on, whatever its length: lengths are counted side by side, each phrase for exactly
 one full cycle from where it started.  The scans end when no phrase is active.
 
-While scanning, a phrase is its 64-bit hash (rows of numbers that Spark sums by
-hash).  What tasks must know of the phrases that reached the threshold is, for
+While scanning, a phrase is its 64-bit hash.  Tasks send sorted arrays of hashes and
+counts by hash bucket; Spark deals the buckets, and each is merged with what it
+has of the steps before.  What tasks must know of the phrases that reached the threshold is, for
 each length, an array of ``SLOTS`` bytes with the earliest step at which a phrase
 of a slot reached it; a phrase has two slots and counts from the later one.
 Phrases that share slots can only be activated too early, never be missed, and a
@@ -40,10 +41,12 @@ from forecourt.llm.common import blocks, prepare, texts
 from forecourt.session import drop_scratch, scratch_path, write_scratch
 
 SHARDS = 4
-SLOTS = 1 << 24
+SLOTS = 1 << 23
 #: No phrase of a slot has reached the threshold.
 NEVER = 255
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Counts that a task holds before it sends them.
+HELD = 2 << 20
 SEPARATOR = re.compile(rb"[.,;:!?\n-\r]")
 #: Classes of bytes: 0 part of a word, 1 between words, 2 between pieces.
 KIND = np.zeros(256, np.uint8)
@@ -132,43 +135,101 @@ def phrases(codes: np.ndarray, joined: np.ndarray, own: np.ndarray, arrays: list
 
 
 # ------------------------------------------------------------------- scans
-COUNTED = "n int, h long, start int, f long"
-
-
-def scan(shard: DataFrame, step: int, shards: int, sent) -> DataFrame:
-    """Counts of the phrases that are active at ``step``, by hash and start."""
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-
+COUNTED = "bucket int, n int, start int, h binary, f binary, hits binary"
+_COUNTED = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("start", pa.int32()), ("h", pa.binary()), ("f", pa.binary()),
+                      ("hits", pa.binary())])
+
+
+def summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order and the sums of their counts."""
+    h, f = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h, kind="stable")
+    h, f = h[order], f[order]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.add.reduceat(f, first) if len(h) else f
+
+
+def by_bucket(held: dict[tuple[int, int], list], buckets: int) -> pa.RecordBatch:
+    """Rows of ``COUNTED``: a bucket is a range of hashes."""
+    rows = []
+    edges = ((np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets)) << np.uint64(32)
+    for (n, start), parts in held.items():
+        h, f = summed([x for x, _ in parts], [y for _, y in parts])
+        cuts = [0, *np.searchsorted(h, edges).tolist(), len(h)]
+        rows += [{"bucket": k, "n": n, "start": start, "h": h[a:b].tobytes(), "f": f[a:b].tobytes()}
+                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    return pa.RecordBatch.from_pylist(rows, schema=_COUNTED)
+
+
+def scan(shard: DataFrame, step: int, shards: int, buckets: int, sent) -> DataFrame:
+    """Counts of the phrases that are active at ``step``, by bucket, length and start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = sent.value
+        arrays, held, size = sent.value, {}, 0
         for lang, data in language_chunks(batches):
             distinct, codes, joined = words(data)
             if not len(codes):
                 continue
             own = word_hashes(lang, distinct)
-            found = [(1, own, 0, np.bincount(codes, minlength=len(own)))] if step < shards else []
+            if step < shards:
+                held.setdefault((1, 0), []).append((own, np.bincount(codes, minlength=len(own))))
+                size += len(own)
             for n, _, h, start in phrases(codes, joined, own, arrays):
                 for first in range(max(1, step - shards + 1), step + 1):
-                    found.append((n, *_uniques(h[start == first], first)))
-            for n, h, first, f in found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), n)).cast(kinds[0]), pa.array(h.view(np.int64)),
-                     pa.array(np.full(len(h), first)).cast(kinds[2]), pa.array(f.astype(np.int64))],
-                    names=["n", "h", "start", "f"])
+                    found, f = np.unique(h[start == first], return_counts=True)
+                    if len(found):
+                        held.setdefault((n, first), []).append((found, f))
+                        size += len(found)
+            if size >= HELD:
+                yield by_bucket(held, buckets)
+                held, size = {}, 0
+        if held:
+            yield by_bucket(held, buckets)
 
     return shard.mapInArrow(run, COUNTED)
 
 
-def _uniques(h: np.ndarray, first: int) -> tuple[np.ndarray, int, np.ndarray]:
-    found, f = np.unique(h, return_counts=True)
-    return found, first, f
+def merged(counts: DataFrame, step: int, shards: int, least: int) -> DataFrame:
+    """One row per bucket, length and start: the sums of what isn't at the end of its cycle,
+    and (``hits``) the hashes that have ``least``."""
+    def merge(held: dict[tuple[int, int], list], bucket: int) -> pa.RecordBatch:
+        rows = []
+        for (n, start), parts in held.items():
+            h, f = summed([np.frombuffer(x, np.uint64) for x, _ in parts], [np.frombuffer(y, np.int64) for _, y in parts])
+            goes_on = start + shards - 1 > step
+            hits = h[f >= least].tobytes()
+            if goes_on or hits:
+                rows.append({"bucket": bucket, "n": n, "start": start, "h": h.tobytes() if goes_on else b"",
+                             "f": f.tobytes() if goes_on else b"", "hits": hits})
+        return pa.RecordBatch.from_pylist(rows, schema=_COUNTED)
 
-
-def mark(counts: DataFrame, least: int, step: int, arrays: list[np.ndarray]) -> set[int]:
-    """Put the slots of the phrases that have ``least`` into ``arrays``; the lengths with new ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current = {}, None
+        for batch in batches:
+            for bucket, n, start, h, f in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "start", "h", "f"))):
+                if bucket != current and held:
+                    yield merge(held, current)
+                    held = {}
+                current = bucket
+                held.setdefault((n, start), []).append((h, f))
+        if held:
+            yield merge(held, current)
+
+    return counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, COUNTED)
+
+
+def mark(state: DataFrame, step: int, arrays: list[np.ndarray]) -> set[int]:
+    """Put the slots of the phrases that have reached the threshold into ``arrays``; the lengths with new ones."""
     slots = len(arrays[0])
-    hit = counts.where(F.col("f") >= least).select("n", F.explode(F.array(
-        F.expr(f"h & {slots - 1}L"), F.expr(f"shiftrightunsigned(h, 32) & {slots - 1}L"))).alias("slot"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.uint64(slots - 1)
+        for batch in batches:
+            for n, hits in zip(batch.column("n").to_pylist(), batch.column("hits").to_pylist()):
+                h = np.frombuffer(hits, np.uint64)
+                found = np.unique(np.concatenate((h & mask, (h >> np.uint64(32)) & mask))).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), n, np.int32)), pa.array(found)], names=["n", "slot"])
+
+    hit = state.where(F.length("hits") > 0).select("n", "hits").mapInArrow(run, "n int, slot long")
     maps = hit.groupBy("n", F.expr("bitmap_bucket_number(slot + 1)").alias("bucket")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(slot + 1))").alias("bits"))
     new = set()
@@ -184,17 +245,16 @@ def mark(counts: DataFrame, least: int, step: int, arrays: list[np.ndarray]) ->
 def cycle(spark: SparkSession, path: str, longest: int, least: int, shards: int, slots: int) -> list[np.ndarray]:
     """The arrays after all phrases have had their cycle over the shards below ``path``."""
     arrays, context = [np.full(slots, NEVER, np.uint8) for _ in range(longest)], spark.sparkContext
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # as many as the session deals a shuffle to
     step, last, state = 0, shards - 1, None
     while step <= last:
         sent = context.broadcast(arrays)
         shard = spark.read.schema("lang string, text string").parquet(f"{path}/shard={step % shards}")
-        counts = scan(shard, step, shards, sent)
+        counts = scan(shard, step, shards, buckets, sent)
         if state:  # those that are not at the end of their cycle
             counts = counts.unionByName(spark.read.parquet(state).where(F.col("start") + shards > step))
-        counts = counts.groupBy("n", "h", "start").agg(F.sum("f").alias("f"))
-        over = F.col("start") + shards - 1 <= step
-        written = write_scratch(counts.where(~over | (F.col("f") >= least)), f"collocations-{step}")
-        for n in mark(spark.read.parquet(written), least, step, arrays):
+        written = write_scratch(merged(counts, step, shards, least), f"collocations-{step}")
+        for n in mark(spark.read.parquet(written), step, arrays):
             if n < longest:
                 last = max(last, step + shards)
         if state:
