@@ -100,6 +100,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, on any file system that Spark knows; none if it is missing."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
+def publish_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text file that readers see whole or not at all; an existing one is an error."""
+    jvm = spark.sparkContext._jvm
+    target, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{os.path.dirname(path)}/_draft-{os.path.basename(path)}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        raise FileExistsError(path)
+
+
 def write_scratch(df, name: str) -> str:
     """Write ``df`` as Parquet under the shared checkpoint folder; its path."""
     import uuid

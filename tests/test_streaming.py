@@ -56,7 +56,8 @@ def test_stream_end_to_end(spark, tmpdir_path):
     assert ids("quarantine_late") == ["E8"]
     assert ids("quarantine_unmatched_vin") == ["E9"]
     # the day-partitioned table holds exactly the loaded events, once each
-    assert ids("events_by_day") == ids("events")
+    days = lambda: sorted(r.event_id for r in TM.read_days(spark, out).collect())
+    assert days() == ids("events")
     loaded = spark.read.parquet(os.path.join(out, "events"))
     r = loaded.where("event_id = 'E1'").collect()[0]
     assert r.fault_code == "P0300" and r.is_out_of_country is False
@@ -66,9 +67,73 @@ def test_stream_end_to_end(spark, tmpdir_path):
     batch = TM.clean_events(spark.read.schema(TM.RAW_SCHEMA).json(os.path.join(src, "c.json")))
     TM.process_batch(batch, 2, out, vehicles)
     assert ids("quarantine_odometer_regression") == ["E5"]
-    assert ids("events_by_day") == ids("events") == ["E1", "E2", "E3", "E4", "E7"]
-    # state of the last two commits only
-    assert sorted(os.listdir(os.path.join(out, "_state", "odometer"))) == ["batch=1", "batch=2"]
+    assert days() == ids("events") == ["E1", "E2", "E3", "E4", "E7"]
+
+
+def _folder_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def _batches(t0):
+    """Ten batches of three vehicles: late, repeated and regressing readings."""
+    vins = ["1HGCM82633A004352", "1HGCM82633A004353", "1HGCM82633A004354"]
+    out = []
+    for b in range(10):
+        rows = [_ev(100 * b + k, vins[k % 3], t0 + dt.timedelta(hours=20 * b + k), 1000 + 50 * b + k) for k in range(6)]
+        if b > 1:
+            rows.append(_ev(100 * (b - 1) + 2, vins[2], t0 + dt.timedelta(hours=20 * (b - 1) + 2), 1000 + 50 * (b - 1) + 2))  # again
+            rows.append(_ev(100 * b + 50, vins[0], t0 + dt.timedelta(hours=20 * b + 7), 900 + b))  # regression
+        if b > 5:
+            rows.append(_ev(100 * b + 60, vins[1], t0 + dt.timedelta(hours=20 * b - 24), 1))  # late by a day, a regression
+            rows.append(_ev(100 * b + 61, vins[1], t0 + dt.timedelta(hours=1), 5000))  # behind the window
+        out.append(rows)
+    return out
+
+
+def test_state_deltas_and_day_compaction(spark, tmpdir_path, monkeypatch):
+    """Folding state and compacting days, with crashes and replays between, changes no result."""
+    import pytest
+
+    batches = [TM.clean_events(spark.createDataFrame([tuple(r[f.name] for f in TM.RAW_SCHEMA) for r in rows], TM.RAW_SCHEMA))
+               for rows in _batches(dt.datetime(2024, 1, 10))]
+    plain, folded = os.path.join(tmpdir_path, "plain"), os.path.join(tmpdir_path, "folded")
+    for k, b in enumerate(batches):
+        TM.process_batch(b, k, plain)
+    monkeypatch.setattr(TM, "COMPACT_EVERY", 3)
+    for k, b in enumerate(batches):
+        if k == 5:  # a batch that fails after its state was written and runs again
+            with monkeypatch.context() as m:
+                m.setattr(TM, "release_state", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(OSError):
+                    TM.process_batch(b, k, folded)
+        TM.process_batch(b, k, folded)
+        if k in (3, 6, 8):
+            before = sorted(r.event_id for r in TM.read_days(spark, folded).collect())
+            with monkeypatch.context() as m:  # a crash before the manifest is there
+                m.setattr(TM, "publish_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(OSError):
+                    TM.compact_days(spark, folded)
+            assert sorted(r.event_id for r in TM.read_days(spark, folded).collect()) == before
+            with monkeypatch.context() as m:  # a crash after it, before old files are deleted
+                m.setattr(TM, "drop_scratch", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(OSError):
+                    TM.compact_days(spark, folded)
+            assert sorted(r.event_id for r in TM.read_days(spark, folded).collect()) == before
+            TM.compact_days(spark, folded)
+            assert sorted(r.event_id for r in TM.read_days(spark, folded).collect()) == before
+    rows = lambda out: sorted((r.event_id, str(r.event_date), r.odometer_km) for r in TM.read_days(spark, out).collect())
+    assert rows(folded) == rows(plain) and len(rows(plain)) == 60
+    for sink in ("quarantine_late", "quarantine_odometer_regression"):
+        got = [sorted(r.event_id for r in spark.read.parquet(os.path.join(out, sink)).collect()) for out in (plain, folded)]
+        assert got[0] == got[1] and len(got[0]) > 3
+    # what a batch writes does not grow with what is there
+    sizes = [_folder_bytes(os.path.join(plain, "_state", "odometer", f"batch={k}")) for k in (1, 9)]
+    assert sizes[1] < 1.5 * sizes[0]
+    assert sorted(os.listdir(os.path.join(folded, "_state", "commits"))) == ["batch=8", "batch=9"]
+    assert "batch=0" not in os.listdir(os.path.join(folded, "_state", "seen_ids"))
+    TM.drop_scratch(spark, os.path.join(folded, "_state", "commits", "batch=9"))
+    with pytest.raises(RuntimeError, match="no committed state"):
+        TM.process_batch(batches[0], 10, folded)
 
 
 SINKS = ["events", "quarantine_malformed", "quarantine_late", "quarantine_invalid_vin", "quarantine_unmatched_vin",
