@@ -9,10 +9,11 @@ cuts the lineage; the table of the round before is deleted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.session import drop_scratch, write_scratch
+from forecourt.sources import generations
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -46,3 +47,49 @@ def star_forest(edges: DataFrame, name: str = "components") -> DataFrame:
         newer = write_scratch(_small_star(_large_star(now)), name)
         drop_scratch(spark, path)
         path = newer
+
+
+# ------------------------------------------------------- a stored forest
+BUCKETS = 64
+
+
+def merge_links(links: DataFrame, store: str, batch: int, buckets: int = BUCKETS) -> None:
+    """Add a batch of links (src, dst) to a stored forest of components.
+
+    Both ends are replaced by the roots of their stored components, so the steps run on
+    links between roots only; the members of roots that lost theirs to a smaller one
+    are relabelled, and only the buckets of those components are rewritten.  What happened to
+    each root is kept in the store's history.  The result after any batches equals
+    ``star_forest`` of all links; a batch that is applied twice changes nothing.
+    """
+    spark = links.sparkSession
+    forest = generations.read(spark, f"{store}/forest", "bucket")
+    ends = links.where("src <> dst").select("src", "dst").distinct()
+    if forest is not None:
+        for end in ("src", "dst"):
+            roots = forest.select(F.col("id").alias(end), F.col("component").alias("_root"))
+            ends = ends.join(roots, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    moved = spark.read.parquet(write_scratch(star_forest(ends), "components-moved"))
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
+    touched = moved.select(F.explode(F.array(bucket("id"), bucket("component"))).alias("b")).distinct()
+    touched = [r[0] for r in touched.collect()]  # at most ``buckets``
+    if not touched:
+        return
+    moved.select("id", F.col("component").alias("merged_into")).write.mode("overwrite").parquet(f"{store}/history/batch={batch}")
+    rows, old = moved.select("id", "component"), generations.read(spark, f"{store}/forest", "bucket", touched)
+    if old is not None:
+        new = moved.select(F.col("id").alias("component"), F.col("component").alias("_new"))
+        rows = rows.unionByName(old.join(new, "component", "left").select("id", F.coalesce("_new", "component").alias("component")))
+    generations.replace(spark, f"{store}/forest", rows.withColumn("bucket", bucket("component")).repartition("bucket", bucket("id") % 4),
+                        "bucket", touched)
+
+
+def stored_forest(spark: SparkSession, store: str) -> DataFrame | None:
+    """(id, component) as ``star_forest`` gives it; None before the first link."""
+    forest = generations.read(spark, f"{store}/forest", "bucket")
+    return None if forest is None else forest.select("id", "component")
+
+
+def root_history(spark: SparkSession, store: str) -> DataFrame:
+    """(id, merged_into, batch): the root that each id lost its place to, by batch."""
+    return spark.read.parquet(f"{store}/history")

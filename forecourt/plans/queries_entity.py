@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from forecourt.functions import clean as C
 from forecourt.functions import vocab
 from forecourt.operators import entity as ER
+from forecourt.operators.components import merge_links, stored_forest
 from forecourt.plans import duck_sql as S
 from forecourt.plans.registry import register
 from forecourt.plans.silver import title_case
+from forecourt.session import scratch_path, write_scratch
 from forecourt.sources import star_extracts as X
+from forecourt.sources.bronze import run_id
 from forecourt.sources.tables import Tables
 
 MATCH_DISTANCE = 2          # pass 2: auto-merge at <= 2 edits
@@ -63,6 +66,23 @@ def entity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.withColumnRenamed("golden_id", "golden_customer_id")
 
 
+@register("entity_clusters_merged", clusters_sql(CONTACTS_SQL, "customer_id", "golden_customer_id"))
+def entity_clusters_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same clusters from a stored forest, to which the links come in three batches."""
+    n = normalised_contacts(spark, sf_dir)
+    links = ER.links_of(n, "customer_id", ["phone_e164", "email"], "name_norm", "city", tau=MATCH_DISTANCE)
+    links = spark.read.parquet(write_scratch(links, "entity-links"))
+    store = scratch_path(spark, f"forest/{run_id()}")
+    for k in range(3):
+        merge_links(links.where(F.pmod(F.xxhash64("src", "dst"), F.lit(3)) == k), store, k)
+    golden = stored_forest(spark, store)
+    ids = n.select("customer_id").distinct()
+    if golden is None:
+        return ids.withColumn("golden_customer_id", F.col("customer_id"))
+    return ids.join(golden.withColumnRenamed("id", "customer_id"), "customer_id", "left").select(
+        "customer_id", F.coalesce("component", "customer_id").alias("golden_customer_id"))
+
+
 def _groups_sql(name: str, distance: int) -> str:
     """Components of the names within ``distance`` edits in a city."""
     return f"""

@@ -17,13 +17,15 @@ from forecourt.operators import inventory as INV
 from forecourt.operators import quarantine as QU
 from forecourt.operators import events as EV
 from forecourt.operators.joins import asof_join, dim_join, lookup
-from forecourt.operators.scd import scd2
+from forecourt.operators.scd import history, merge_history, scd2
 from forecourt.plans import duck_sql as S
 from forecourt.plans import gold, silver
 from forecourt.plans.queries_entity import CONTACTS_SQL, normalise, review_sql
 from forecourt.plans.registry import register
 from forecourt.plans.workshop import Workshop
+from forecourt.session import scratch_path
 from forecourt.sources import star_extracts as X
+from forecourt.sources.bronze import run_id
 from forecourt.sources.tables import Tables
 from forecourt.streaming import telematics as TM
 
@@ -320,20 +322,34 @@ def invoice_payment_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- P18
-@register("scd2_history", """
+_SCD2 = """
 WITH e AS (SELECT user_id, ts, event_id, event_type,
                   lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 c AS (SELECT * FROM e WHERE prev IS NULL OR prev <> event_type)
 SELECT user_id, event_type, ts AS valid_from,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
-FROM c""")
+FROM c"""
+
+
+@register("scd2_history", _SCD2)
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type-2 history of each user's event type (valid_from / valid_to / is_current)."""
     ev = Tables(spark, sf_dir).events
     return scd2(ev, "user_id", "ts", "event_id", ["event_type"])
 
 
+@register("scd2_merged", _SCD2)
+def scd2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history from a stored table, to which the events come in three batches in no
+    order of time, the last of them with events of the first again."""
+    ev, store = Tables(spark, sf_dir).events, scratch_path(spark, f"history/{run_id()}")
+    share = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for part in (share == 2, share == 0, share.isin(1, 2, 3)):
+        merge_history(ev.where(part), store, "user_id", "ts", "event_id", ["event_type"])
+    return history(spark, store, "user_id", "ts", ["event_type"])
+
+
 # ---------------------------------------------------------------------- P34
 @register("skills_bridge", S.with_ctes(["techs"], f"""
 SELECT technician_id, skill, skill IN {S.in_list(SKILLS)} AS is_controlled

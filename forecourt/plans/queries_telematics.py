@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from forecourt.plans import duck_sql as S
 from forecourt.plans.registry import register
+from forecourt.session import scratch_path
 from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
+from forecourt.sources.bronze import run_id
 from forecourt.sources.tables import Tables
 from forecourt.streaming import telematics as TM
 
@@ -88,3 +90,31 @@ def ingest_lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.groupBy("event_day").agg(
         F.sum("n").alias("events"), percentile(50).alias("lag_p50_sec"), percentile(95).alias("lag_p95_sec"),
         percentile(99).alias("lag_p99_sec"))
+
+
+# ----------------------------------------------------------------- P40-P44
+@register("telematics_stream", S.with_ctes(["tm", "fault_codes"], """
+, ok AS (SELECT * FROM tm WHERE event_id IS NOT NULL AND event_ts_ntz IS NOT NULL AND NOT has_parse_error),
+r AS (SELECT *, max(odometer_km) OVER (PARTITION BY vin ORDER BY event_ts_ntz, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+      FROM ok WHERE is_vin_valid),
+late AS (SELECT count(*) AS n FROM ok WHERE CAST(regexp_extract(event_id, '[0-9]+') AS BIGINT) % 3 = 0
+         AND event_ts_ntz < (SELECT max(event_ts_ntz) FROM ok) - INTERVAL 3 DAY)
+SELECT event_id, vin, odometer_km, CAST(CAST(event_ts_ntz AS DATE) AS VARCHAR) AS event_day, fault_description, late.n AS late_redeliveries
+FROM r LEFT JOIN fault_codes USING (fault_code), late WHERE odometer_km IS NULL OR top IS NULL OR odometer_km >= top"""))
+def telematics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P40-P45 as a stream over JSON files: all events, then, after a restart from the
+    checkpoint, a third of them once more (dropped inside the 3-day window, quarantined as
+    late behind it); the loaded events read from compacted days and deltas."""
+    root = scratch_path(spark, f"stream/{run_id()}")
+    raw = X.telematics_raw(Tables(spark, sf_dir).events)
+    again = F.regexp_extract("event_id", "[0-9]+", 0).cast("bigint") % 3 == 0
+    for delivery in (raw, raw.where(again)):
+        delivery.write.mode("append").json(f"{root}/in")
+        query = TM.start(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint")
+        query.awaitTermination()
+        if TM.read_days(spark, f"{root}/out") is not None:
+            TM.compact_days(spark, f"{root}/out")
+    late = spark.read.schema("event_id string").parquet(f"{root}/out/quarantine_late").agg(F.count(F.lit(1)).alias("late_redeliveries"))
+    loaded = TM.read_days(spark, f"{root}/out").select("event_id", "vin", "odometer_km", F.col("event_date").cast("string").alias("event_day"),
+                                                       "fault_description")
+    return loaded.withColumn("late_redeliveries", F.lit(late.first()[0]).cast("bigint"))
