@@ -255,3 +255,60 @@ def test_cluster_conf_sizing():
     c = cluster_conf(100 << 40, 4000)
     assert int(c["spark.sql.shuffle.partitions"]) == 157287  # 30 TiB shuffled / 200 MiB, rounded up
     assert int(cluster_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 16  # floor: 2 per core
+
+
+def test_stored_history_takes_batches_in_any_order(spark, tmpdir_path):
+    """Late, repeated and confirming events; equals the one-shot history after every batch."""
+    import os
+    import random
+
+    from forecourt.operators.scd import history, merge_history
+
+    rng, columns = random.Random(3), "k string, ts timestamp, id int, attr string"
+    rows = [(rng.choice("aaab") if i % 9 else None, dt.datetime(2024, 1, 1 + rng.randrange(9), rng.randrange(24)), i, rng.choice("xy")) for i in range(90)]
+    store, seen = os.path.join(tmpdir_path, "h"), []
+    for batch in (rows[50:], rows[:30], rows[20:55]):
+        seen += batch
+        merge_history(spark.createDataFrame(batch, columns), store, "k", "ts", "id", ["attr"], buckets=4)
+        whole = spark.createDataFrame(sorted(set(seen), key=repr), columns).where("k is not null")
+        want = scd2(whole, "k", "ts", "id", ["attr"])
+        assert sorted(map(tuple, history(spark, store, "k", "ts", ["attr"]).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_stored_components_equal_a_rebuild(spark, tmpdir_path):
+    import os
+
+    from forecourt.operators.components import merge_links, root_history, star_forest, stored_forest
+
+    batches = [[(5, 6), (8, 9), (1, 1), (None, 3)], [(6, 8), (20, 21), (22, 21)], [(6, 8)], [(9, 2), (21, 30)], [(2, 20)]]
+    store, seen = os.path.join(tmpdir_path, "c"), []
+    for k, batch in enumerate(batches):
+        seen += batch
+        merge_links(spark.createDataFrame(batch, "src int, dst int"), store, k, buckets=4)
+        want = star_forest(spark.createDataFrame(seen, "src int, dst int"))
+        assert sorted(map(tuple, stored_forest(spark, store).collect())) == sorted(map(tuple, want.collect()))
+    moved = {(r.id, r.merged_into, r.batch) for r in root_history(spark, store).collect()}
+    assert {(8, 5, 1), (5, 2, 3), (20, 2, 4)} <= moved and not any(b == 2 for _, _, b in moved)
+
+
+def test_generations_survive_a_lost_call(spark, tmpdir_path, monkeypatch):
+    import pytest
+
+    from forecourt.sources import generations
+
+    def rows(tag):
+        return spark.createDataFrame([(p, tag) for p in (1, 2)], "part int, tag string")
+
+    def content():
+        return sorted((r.part, r.tag) for r in generations.read(spark, tmpdir_path, "part").collect())
+
+    generations.replace(spark, tmpdir_path, rows("a"), "part", [1, 2])
+    with monkeypatch.context() as m:
+        m.setattr(generations, "publish_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            generations.replace(spark, tmpdir_path, rows("b"), "part", [1, 2])
+    assert content() == [(1, "a"), (2, "a")]
+    generations.replace(spark, tmpdir_path, rows("c").where("part = 2"), "part", [2])
+    assert content() == [(1, "a"), (2, "c")]
+    generations.replace(spark, tmpdir_path, rows("d").where("false"), "part", [1])
+    assert content() == [(2, "c")]
