@@ -21,7 +21,8 @@ roles, classes and ids.  Where the page has an article (or main) element, only
 what is inside it can be main text; elsewhere blocks that are mostly links are
 none.  In both the wrapper decides: slots, optional and repeated groups stay, and
 text is the template's if at least two pages with different texts have it in the
-same place, none there having another.  What only one page (or its copies) has is
+same place, none there having another, unless it has no link and stands, under the same
+element, between texts in which the pages differ, as headings do.  What only one page (or its copies) has is
 never the template's, nor is anything in an article in which no text differs.
 An article with a name of the list is read where the page has no other, if the
 host's pages have it once and differ in it.
@@ -285,16 +286,20 @@ def main_text(page: str, w: list | None) -> str:
         own = [c.token if isinstance(c, Box) else c[0] + "#" for c in box.children]
         runs = [k for k in range(len(own)) if not k or own[k] != own[k - 1]]  # as in a wrapper
         place = dict(matches(tuple(own[k] for k in runs), tuple(c[0] for c in w[4]))) if w else {}
-        run = -1
-        for k, c in enumerate(box.children):
+        run, inners = -1, []
+        for k in range(len(own)):
             run += run + 1 < len(runs) and runs[run + 1] == k
-            inner = w[4][place[run]] if run in place else None
+            inners.append(w[4][place[run]] if run in place else None)
+        # a heading or a quotation that pages share stands between texts in which they differ
+        differ = [k for k, (c, inner) in enumerate(zip(box.children, inners)) if template and (
+            (c.kind == "" and (inner is None or has_slots(inner))) if isinstance(c, Box) else not fixed(inner, c[1]))]
+        for k, (c, inner) in enumerate(zip(box.children, inners)):
             if isinstance(c, Box):
                 own_slots = c.main and inner is not None and has_slots(inner)
                 if c.kind == "" or c.kind == "top" and inside or (
                         c.kind == "named" and not only_main and own_slots and not inner[1]):
                     walk(c, inner, inside or c.main, titles or c.kind == "top", template or own_slots)
-            elif template and fixed(inner, c[1]):
+            elif template and fixed(inner, c[1]) and not (differ and differ[0] < k < differ[-1] and not c[2]):
                 pass
             elif only_main:
                 if inside and (not titles or c[0] in HEADINGS):

@@ -395,6 +395,25 @@ def test_html_template_text_in_article():
     assert texts([many.format(k) for k in range(3)]) == [f"T{k} a{k}" for k in range(3)]
 
 
+@pytest.mark.parametrize("name", ["article", "div"])
+def test_html_shared_headings(name):
+    """Headings and quotations that pages of a host share are text; what stands before, behind or links is not."""
+    page = f"<body><h3>Site</h3><{name}><h1>T{{0}}</h1><p>a{{0}}{{1}}<p>y{{0}}<p>z{{0}}</{name}><h3>Imprint</h3>"
+
+    def texts(*middle):
+        pages, w = [page.format(k, m) for k, m in enumerate(middle)], None
+        for p in pages:
+            new = html_wrappers.wrapper(html_wrappers.parse(p))
+            w = new if w is None else html_wrappers.align(w, new)
+        return [html_wrappers.main_text(p, w) for p in pages]
+
+    heading, quote, link = "<h2>Summary</h2>", "<blockquote>Q</blockquote>", "<h4><a href=/>Shop</a></h4>"
+    assert texts(heading, "", heading, "") == [f"T{k} a{k}{' Summary' * (k % 2 == 0)} y{k} z{k}" for k in range(4)]
+    assert texts(*[heading] * 4) == [f"T{k} a{k} Summary y{k} z{k}" for k in range(4)]
+    assert texts(quote, quote, "") == ["T0 a0 Q y0 z0", "T1 a1 Q y1 z1", "T2 a2 y2 z2"]
+    assert texts(*[link] * 3) == [f"T{k} a{k} y{k} z{k}" for k in range(3)]
+
+
 def test_html_layouts():
     text = html_wrappers.main_text
     assert text("<body class=has-sidebar><div class='page with-sidebar'><header><h1>Site</h1></header><article class='post'>"
