@@ -1,8 +1,8 @@
 """The workshop model over the driver's star tables.
 
 ``Workshop`` wires sources -> silver -> gold lazily for one scale-factor
-folder.  Accessors build fresh plans each time; callers that reuse a result
-within one job write it (``order_fact_table``).
+folder.  Frames are lazy and their plans are built once per object; callers that
+reuse a result within one job write it (``order_fact_table``).
 """
 
 from __future__ import annotations
@@ -30,48 +30,48 @@ class Workshop:
         self.t = Tables(spark, sf_dir)
 
     # bronze-shaped text extracts
-    @property
+    @cached_property
     def work_orders_raw(self) -> DataFrame:
         return X.work_orders_raw(self.t.orders)
 
-    @property
+    @cached_property
     def lines_raw(self) -> DataFrame:
         return X.work_order_lines_raw(self.t.lineitem)
 
-    @property
+    @cached_property
     def technicians_raw(self) -> DataFrame:
         return X.technicians_raw(self.t.supplier)
 
-    @property
+    @cached_property
     def parts_raw(self) -> DataFrame:
         return X.parts_raw(self.t.part)
 
     # silver
-    @property
+    @cached_property
     def work_orders(self) -> DataFrame:
         return silver.clean_work_orders(self.work_orders_raw, X.customer_id_migration(self.t.customer))
 
-    @property
+    @cached_property
     def lines(self) -> DataFrame:
         return silver.clean_lines(self.lines_raw, X.part_number_aliases(self.t.part))
 
-    @property
+    @cached_property
     def technicians(self) -> DataFrame:
         return silver.clean_technicians(self.technicians_raw)
 
-    @property
+    @cached_property
     def parts(self) -> DataFrame:
         return silver.clean_parts(self.parts_raw)
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         return silver.clean_customers(X.customers_raw(self.t.customer), X.customer_id_migration(self.t.customer))
 
-    @property
+    @cached_property
     def vehicles(self) -> DataFrame:
         return silver.clean_vehicles(X.vehicles_raw(self.t.customer), seeds.make_aliases(self.spark), MAX_VEHICLE_YEAR)
 
-    @property
+    @cached_property
     def opened_dates(self) -> DataFrame:
         """All opening dates, read from the extract before it is deduplicated."""
         return self.work_orders_raw.select(F.to_date(C.parse_ts("date_opened")).alias("opened"))

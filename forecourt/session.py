@@ -42,6 +42,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # a call site for every Column node is a third of the time to build a wide plan
+    conf["spark.python.sql.dataFrameDebugging.enabled"] = "false"
     # let the JIT compile large generated methods (driver JVM launched here)
     conf["spark.driver.extraJavaOptions"] = "-XX:-DontCompileHugeMethods"
     if shuffle_partitions:
