@@ -13,6 +13,7 @@ from forecourt.sources import seeds
 from forecourt.sources import star_extracts as X
 from forecourt.sources.bronze import run_id
 from forecourt.sources.tables import Tables
+from forecourt.streaming import lag
 from forecourt.streaming import telematics as TM
 
 # ---------------------------------------------------------------- FIXED VALUES
@@ -59,11 +60,11 @@ def ingest_lag_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = TM.clean_events(X.telematics_raw(Tables(spark, sf_dir).events))
     day = F.date_trunc("day", F.col("event_ts")).cast("timestamp_ntz")
     lag_us = F.unix_micros(F.col("ingested_at").cast("timestamp")) - F.unix_micros(F.col("event_ts"))
-    lag = F.col("ingest_lag_sec")
+    sec = F.col("ingest_lag_sec")
     return ev.groupBy(day.alias("event_day")).agg(
-        F.count(F.lit(1)).alias("events"), F.max(lag).alias("lag_max_sec"), F.avg(lag_us).alias("lag_mean_us"),
-        F.count_if(lag <= 60).alias("within_1m"), F.count_if(lag <= SLA_SEC).alias("within_sla"),
-        F.count_if(lag > SLA_SEC).alias("over_sla"), F.count_if(lag > 3600).alias("over_1h"))
+        F.count(F.lit(1)).alias("events"), F.max(sec).alias("lag_max_sec"), F.avg(lag_us).alias("lag_mean_us"),
+        F.count_if(sec <= 60).alias("within_1m"), F.count_if(sec <= SLA_SEC).alias("within_sla"),
+        F.count_if(sec > SLA_SEC).alias("over_sla"), F.count_if(sec > 3600).alias("over_1h"))
 
 
 @register("ingest_lag_percentiles", S.with_ctes(["tm"], """
@@ -118,3 +119,18 @@ def telematics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = TM.read_days(spark, f"{root}/out").select("event_id", "vin", "odometer_km", F.col("event_date").cast("string").alias("event_day"),
                                                        "fault_description")
     return loaded.withColumn("late_redeliveries", F.lit(late.first()[0]).cast("bigint"))
+
+
+@register("ingest_lag_stream", S.with_ctes(["tm"], """
+SELECT date_trunc('day', event_ts_ntz) AS event_day, count(*) AS events, true AS p50_within, true AS p95_within, true AS p99_within
+FROM tm WHERE ingest_lag_sec IS NOT NULL GROUP BY 1"""))
+def ingest_lag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P47 as a stream over JSON files: events per day, and whether the percentiles of the
+    day's histogram are within the stated error of the exact ones."""
+    root = scratch_path(spark, f"stream/{run_id()}")
+    X.telematics_raw(Tables(spark, sf_dir).events).write.json(f"{root}/in")
+    lag.start(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    found = lag.percentiles(lag.stored(spark, f"{root}/out"), [50, 95, 99]).withColumn("event_day", F.col("start").cast("timestamp_ntz"))
+    both = found.join(ingest_lag_percentiles(spark, sf_dir).drop("events"), "event_day")
+    within = lambda p: (F.abs(F.col(f"p{p}") - F.col(f"lag_p{p}_sec")) <= 1.001 * lag.ERROR * F.col(f"lag_p{p}_sec"))
+    return both.select("event_day", F.col("n").alias("events"), *[within(p).alias(f"p{p}_within") for p in (50, 95, 99)])

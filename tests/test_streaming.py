@@ -160,3 +160,32 @@ def test_every_event_is_in_one_sink(spark, tmpdir_path):
     assert n == {"events": 5, "quarantine_malformed": 5, "quarantine_late": 0, "quarantine_invalid_vin": 1,
                  "quarantine_unmatched_vin": 0, "quarantine_odometer_regression": 1}
     assert sum(n.values()) == len(good) + len(bad) + 2
+
+
+def test_lag_histograms(spark, tmpdir_path):
+    """Percentiles of the stream, fed in two parts with late events, within the error of sorted lags."""
+    import math
+    import random
+
+    from forecourt.streaming import lag
+
+    rng, t0, src = random.Random(5), dt.datetime(2024, 1, 10), os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    rows, lags = [], {}
+    for i in range(400):
+        ts = t0 + dt.timedelta(hours=rng.randrange(48))
+        seconds = rng.choice([0, 3, 60, rng.randrange(1, 9000)])
+        rows.append(_ev(i, "1HGCM82633A004352", ts, i, ts + dt.timedelta(seconds=seconds)))
+        lags.setdefault(ts.date(), []).append(seconds)
+    for name, part in (("a.json", rows[:250]), ("b.json", rows[250:])):
+        _write(src, name, part)
+        q = lag.start(spark, src, os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ck"))
+        q.awaitTermination()
+        assert q.exception() is None
+    found = lag.percentiles(lag.stored(spark, os.path.join(tmpdir_path, "out")), [50, 95]).collect()
+    assert {r.start.date(): r.n for r in found} == {d: len(x) for d, x in lags.items()}
+    for r in found:
+        exact = sorted(lags[r.start.date()])
+        for p in (50, 95):
+            want = exact[math.ceil(len(exact) * p / 100) - 1]
+            assert abs(r[f"p{p}"] - want) <= 1.001 * lag.ERROR * want
