@@ -312,3 +312,27 @@ def test_generations_survive_a_lost_call(spark, tmpdir_path, monkeypatch):
     assert content() == [(1, "a"), (2, "c")]
     generations.replace(spark, tmpdir_path, rows("d").where("false"), "part", [1])
     assert content() == [(2, "c")]
+
+
+def test_ledger_checkpoints(spark, tmpdir_path):
+    """Back-dated, repeated and corrected movements; a day reads its own month only."""
+    from forecourt.operators import ledger
+
+    columns = "movement_id string, part_number string, signed_qty int, movement_ts timestamp_ntz"
+    t = lambda m, d, h=0: dt.datetime(2024, m, d, h)
+    batches = [[("a", "p", 10, t(1, 5)), ("b", "q", 4, t(2, 1)), ("c", "p", -3, t(3, 9, 23))],
+               [("d", "p", 5, t(1, 31, 23)), ("b", "q", 4, t(2, 1)), (None, "p", 9, t(1, 1))],
+               [("e", "q", -1, t(3, 10)), ("a", "p", 11, t(1, 5))]]
+    known = {}
+    for batch in batches:
+        ledger.post(spark.createDataFrame(batch, columns), tmpdir_path)
+        known |= {r[0]: r for r in batch if r[0]}
+        for day in ("2023-12-31", "2024-01-31", "2024-02-01", "2024-03-09", "2024-12-31"):
+            want = {}
+            for _, part, q, at in known.values():
+                if str(at)[:10] <= day:
+                    want[part] = want.get(part, 0) + q
+            assert {r.part_number: r.on_hand for r in ledger.balances(spark, tmpdir_path, day).collect()} == want
+    files = ledger.balances(spark, tmpdir_path, "2024-03-31").inputFiles()
+    assert {f.split("month=")[1][:7] for f in files if "/movements/" in f} == {"2024-03"}
+    assert {f.split("month=")[1][:7] for f in files if "/checkpoints/" in f} == {"2024-01", "2024-02"}
