@@ -49,7 +49,7 @@ def pieces(text: str, size: int = PIECE_CHARS) -> list[str]:
     """``text`` in parts of ``size`` characters or somewhat more, cut at safe boundaries."""
     out, a = [], 0
     while len(text) - a > size:
-        found = SAFE.search(text, a + size)
+        found = SAFE.search(text, a + max(size, 1))
         if not found:
             break
         out.append(text[a:found.start()])
