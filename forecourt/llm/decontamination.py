@@ -9,6 +9,8 @@ mapped text, found for documents with hits only.
 
 * null text: no words, not contaminated; items of null text or id never match.
 * empty benchmark: every document is clean.
+* texts of any length are scanned whole; repeated rows are judged each; an empty table
+  gives no rows; other columns are not read, and stay in ``drop_contaminated``.
 * repeated items: each id counts once; equal windows of several items hit all.
 * the benchmark is a stated query set: the driver reads its windows in parts of
   at most ``PART_BYTES`` of text, each one automaton and one broadcast, so the

@@ -15,6 +15,8 @@ their order and sign), through the logistic function.
   repeated label rows count as often as they come.
 * a null id is never held out.
 * without rows of both classes every score is 0.5.
+* texts of any length are read whole; repeated rows are scored each; an empty table
+  gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

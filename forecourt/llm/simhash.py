@@ -24,6 +24,8 @@ adaptive execution.  Components come from star steps over the links.
 * null id: such a row gets the smallest id of its component, or null.
 * repeated rows, ids and ties: every row gets a row; ``one_of_each`` keeps one of
   a component, whatever the ids are.
+* texts of any length are read whole; an empty table gives no rows; ``components``
+  reads no other columns, ``one_of_each`` returns them as they are.
 """
 
 from __future__ import annotations

@@ -21,6 +21,10 @@ scores, fitted on the same texts.
 * labels that are null or of unknown documents are not learned from; of several
   labels for an id the larger holds.  A null id is never held out.
 * without texts of both classes only the fixed words count.
+* words under ``SHORTEST`` characters give no pattern, nor do beginnings of words over
+  ``LONGEST``; texts without blanks between words are read as the long words they are.
+* texts of any length are read whole; repeated rows are scored each; an empty table
+  gives no rows; other columns are not read, and stay in ``keep_clean``.
 """
 
 from __future__ import annotations

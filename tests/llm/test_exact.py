@@ -280,6 +280,12 @@ def test_url_filter(spark):
         assert (got[k].host, got[k].path, got[k].rule, got[k].verdict) == (host, path, rule, verdict), u
     assert url_filter.judge(df, []).where("rule is not null").count() == 0
     assert url_filter.judge(df, rules).count() == len(urls) + 1
+    assert url_filter.judge(df.where("false"), rules).count() == 0
+    many, path = ".".join(f"l{i}" for i in range(2000)), "/es/" + "p" * 200_000
+    long = spark.createDataFrame([(1, f"http://{many}.example.org{path}"), (2, "x" * 300_000), (3, f"http://{many}{path}")], "page_id int, url string")
+    got = {r.page_id: r for r in url_filter.judge(long, rules).collect()}
+    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == (f"{many}.example.org", path, "example.org/es/", "block")
+    assert (got[2].host, got[2].path, got[2].rule) == ("", "", None) and (got[3].path, got[3].rule, got[3].verdict) == (path, None, "allow")
 
 
 def test_digest_collision(tmp_path, monkeypatch):
