@@ -52,7 +52,7 @@ def run_id() -> str:
 
 def to_bronze(df: DataFrame, ingested_at: str, ingest_date: str) -> DataFrame:
     """Every column as text, plus the audit columns."""
-    cols = [F.col(c).cast("string").alias(c) for c in df.columns]
+    cols = [F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c) for c in df.columns]
     if INGESTED_AT not in df.columns:
         cols.append(F.lit(ingested_at).alias(INGESTED_AT))
     cols.append(F.lit(ingest_date).alias(INGEST_DATE))

@@ -106,9 +106,9 @@ def test_landing_keeps_records(spark, tmpdir_path):
     raw = os.path.join(tmpdir_path, "raw")
     os.makedirs(raw)
     with open(os.path.join(raw, "crm_customers.csv"), "w") as f:
-        f.write('id,name\n1,"A ""B"", C"\n2,"two\nlines"\n3\n')
+        f.write('id,na.`me\n1,"A ""B"", C"\n2,"two\nlines"\n3\n')
     report = bronze.land_all(spark, raw, os.path.join(tmpdir_path, "out"), "2024-06-01 06:00:00", "2024-06-01")
     assert report.loaded == {"crm.customers": 3}
     got = bronze.read_bronze(spark, os.path.join(tmpdir_path, "out"), "crm", "customers")
-    assert sorted((r.id, r["name"], r._rescued) for r in got.collect()) == [
+    assert sorted((r.id, r["na.`me"], r._rescued) for r in got.collect()) == [
         ("1", 'A "B", C', None), ("2", "two\nlines", None), ("3", None, "3")]
