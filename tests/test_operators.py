@@ -336,3 +336,25 @@ def test_ledger_checkpoints(spark, tmpdir_path):
     files = ledger.balances(spark, tmpdir_path, "2024-03-31").inputFiles()
     assert {f.split("month=")[1][:7] for f in files if "/movements/" in f} == {"2024-03"}
     assert {f.split("month=")[1][:7] for f in files if "/checkpoints/" in f} == {"2024-01", "2024-02"}
+
+
+def test_fuzzy_links_candidates_need_two_segments(spark):
+    """Names that share one segment only are no candidates, and no link of random texts is lost."""
+    import random
+    rnd = random.Random(11)
+    words = sorted({"".join(rnd.choice("abé") for _ in range(rnd.randint(0, 11))) for _ in range(150)})
+    df = spark.createDataFrame([(k, "X", w) for k, w in enumerate(words)], "id long, blk string, s string")
+    a, b = df.toDF("i", "x", "a"), df.toDF("j", "y", "b")
+    for tau in (2, 4):
+        links = ER.fuzzy_links(df, "id", "blk", "s", tau)
+        plan = links._jdf.queryExecution().optimizedPlan().toString()
+        assert "xxhash64(blk" in plan and plan.count("levenshtein") == 1
+        near = a.join(b, (F.col("i") < F.col("j")) & (F.levenshtein("a", "b") <= tau)
+                      & (F.greatest(F.length("a"), F.length("b")) > tau))
+        want = {tuple(r) for r in near.select("i", "j").collect()}
+        got = {(min(r), max(r)) for r in links.collect()}
+        assert want <= got
+        assert all(max(len(words[i]), len(words[j])) <= tau for i, j in got - want)
+    # a pair (i, j) of segments at each place once: a name of 12 characters is looked for 63 times, of its own length
+    places = ER.probe_places(4)
+    assert len(places) == len(set(places)) and sum(p[0] == 0 for p in places) == 63
