@@ -115,3 +115,26 @@ def test_money_and_units_roundtrip_property(spark):
     df = spark.createDataFrame(rows, "x string")
     got = [r[0] for r in df.select(C.to_decimal("x", 18, 2)).collect()]
     assert got == expect
+
+
+def test_padded_equals_the_formatter(spark):
+    from forecourt.sources.star_extracts import padded
+
+    numbers = [0, 7, 99999, 100000, 123456789, 2**62, -1, -123456, None]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    for width in (1, 2, 5, 8):
+        rows = df.select(padded(F.col("n"), width).alias("a"), F.format_string(f"%0{width}d", "n").alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+
+
+def test_lines_need_no_alias_where_no_part_number_is_asked_for(spark):
+    from forecourt.plans import silver
+    from forecourt.sources import star_extracts as X
+    from forecourt.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    lines = silver.clean_lines(X.work_order_lines_raw(t.lineitem), X.part_number_aliases(t.part))
+    assert "Join" not in lines.select("line_id", "wo_number")._jdf.queryExecution().optimizedPlan().toString()
+    alias = spark.createDataFrame([("ALT1", "P2"), ("ALT1", "P1")], "alias string, part_number string")
+    raw = X.work_order_lines_raw(t.lineitem).limit(1).withColumn("part_number", F.lit("alt-1"))
+    assert [r.part_number for r in silver.clean_lines(raw, alias).collect()] == ["P1"]
