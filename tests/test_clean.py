@@ -138,3 +138,13 @@ def test_lines_need_no_alias_where_no_part_number_is_asked_for(spark):
     alias = spark.createDataFrame([("ALT1", "P2"), ("ALT1", "P1")], "alias string, part_number string")
     raw = X.work_order_lines_raw(t.lineitem).limit(1).withColumn("part_number", F.lit("alt-1"))
     assert [r.part_number for r in silver.clean_lines(raw, alias).collect()] == ["P1"]
+
+
+def test_check_digit_of_odd_vins(spark):
+    odd = ["1HGCM82633A00435I", "1hgcm82633a004352", "+1234567890123456", "1HGCM82633A0043", "", None, "11111111111111111", "1M8GDM9AXKP042788"]
+    assert one_col(spark, odd, V.expected_check_digit) == [None, None, None, None, None, None, "1", "X"]
+
+
+def test_check_digit_calls_no_function_per_character(spark):
+    plan = spark.createDataFrame([("1",)], "c string").select(V.check_digit_ok(F.col("c")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan and "split(" not in plan

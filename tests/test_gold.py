@@ -6,6 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from forecourt.plans import gold, silver
 from forecourt.sources import seeds
@@ -151,3 +152,24 @@ def test_calendars(spark):
     days = marts.daily_operations(fact).orderBy("day").collect()
     assert [(r.jobs_opened, r.jobs_closed, r.wip_jobs, r.wip_value_ngn, r.revenue_closed_ngn) for r in days] == [
         (1, 0, 1, 10, 0), (1, 0, 2, 15, 0), (0, 0, 2, 15, 0), (0, 1, 1, 5, 10)]
+
+
+def test_part_and_technician_listed_twice_double_no_money(spark):
+    orders = spark.createDataFrame([("WO-1", "T1")], "wo_number string, technician_id string").withColumn("opened_at", F.lit("2021-03-01").cast("timestamp_ntz"))
+    parts = spark.createDataFrame([("P1", 5), ("P1", 7)], "part_number string, unit_cost_ngn int")
+    techs = spark.createDataFrame([("T1", 30), ("T1", 40)], "technician_id string, hourly_rate_ngn int")
+    lines = spark.createDataFrame([("WO-1-1", "WO-1", "part", "P1")], "line_id string, wo_number string, line_type string, part_number string")
+    assert [r._unit_cost for r in gold.with_part_cost(lines, parts).collect()] == [5]
+    rated = gold.with_rates(orders, seeds.vat_rates(spark), techs)
+    assert [r._hourly for r in rated.collect()] == [30]
+    # no cost asked for, no join
+    count = gold.with_part_cost(lines, parts).select("line_id")
+    assert "Join" not in count._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quarantine_cleans_the_orders_once(spark):
+    from forecourt.plans.queries_operations import quarantine_records
+    from forecourt.plans.workshop import Workshop
+
+    plan = quarantine_records(Workshop(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan  # both readers have the written orders
