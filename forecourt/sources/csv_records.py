@@ -3,10 +3,11 @@
 Spark deals physical lines; a line may lie inside a quoted field, so where a
 record starts depends on everything before it.  But a line does only one of
 four things to "inside quotes": it keeps it, opens it, closes it or swaps it.
-Pass one composes that over the lines of each split, and a prefix composition
-over the splits of each file tells in which state a split starts.  Pass two reads
-the splits again, each by itself: it returns the records that lie inside a split,
-and, only where some split starts inside quotes, the pieces of the records that
+Spark finds which (``kind``, two bits: whether a line ends inside if it starts outside,
+and if it starts inside).  Pass one composes that over the lines of each split, and a prefix
+composition over the splits of each file tells in which state a split starts.  Pass two reads
+the splits again, each by itself: it returns the records that lie inside a split
+(Arrow's reader has the same rules; what it cannot take goes record by record), and, only where some split starts inside quotes, the pieces of the records that
 cross a border, which are put together by file.
 
 Fields are returned as received: doubled quotes undone, commas, quotes, blanks
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,9 @@ FIELD = re.compile(rf"(?:{_QUOTED}|([^,]*+))(,|\Z)", re.S)
 #: A text that ends outside quotes if it started there.
 _ANY = rf"(?:{_QUOTED}|(?!\")[^,]*+)".replace("([", "(?:[")
 CLOSED = re.compile(rf"{_ANY}(?:,{_ANY})*+\Z", re.S)
+_CLOSED_JAVA = rf"(?s)\A{_ANY}(?:,{_ANY})*+\z"
+#: The kind of a line that changes nothing.
+KEEPS = 2
 
 
 def fields(record: str) -> list[str | None]:
@@ -59,8 +64,11 @@ def ends_inside(line: str, inside: bool) -> bool:
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     source = spark.read.option("lineSep", "\n").text(path)
-    return source.select(F.col("value").cast("binary").alias("line"), F.xxhash64("_metadata.file_path").alias("file"),
-                         F.col("_metadata.file_block_start").alias("at"))
+    inside = lambda text: (~text.rlike(_CLOSED_JAVA)).cast("int")
+    value = F.col("value")
+    kind = F.when(F.contains(value, F.lit('"')), inside(value) + inside(F.concat(F.lit('"'), value)) * 2).otherwise(KEEPS)
+    return source.select(value.cast("binary").alias("line"), kind.cast("tinyint").alias("kind"),
+                         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
 
 
 def _decoded(raw: bytes) -> tuple[str, bool]:
@@ -70,17 +78,23 @@ def _decoded(raw: bytes) -> tuple[str, bool]:
         return raw.decode("utf-8", "replace"), False
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.Array]]:
-    """The lines of a batch by split, in order."""
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], slice]]:
+    """Where the lines of each split are in a batch, in order."""
     file, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "at"))
     cuts = [0, *(np.flatnonzero((np.diff(file) != 0) | (np.diff(at) != 0)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
-            yield (int(file[a]), int(at[a])), batch.column("line").slice(a, b - a)
+            yield (int(file[a]), int(at[a])), slice(a, b)
 
 
-def _with_quote(lines: pa.Array) -> np.ndarray:
-    return np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+def inside_after(kind: np.ndarray, start: bool) -> np.ndarray:
+    """Whether each line ends inside quotes, by the kinds of the lines and the state before the first."""
+    out, ins = (kind & 1).astype(bool), (kind & 2).astype(bool)
+    # the last line whose end does not depend on its start, and the swaps since
+    last = np.maximum.accumulate(np.where(out == ins, np.arange(len(kind)), -1))
+    swaps = np.cumsum(out & ~ins)
+    known = last >= 0
+    return np.where(known, out[last], start) ^ ((swaps - np.where(known, swaps[last], 0)) % 2 == 1)
 
 
 # ---------------------------------------------------------------- pass one
@@ -89,18 +103,16 @@ def split_states(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = {}
         for batch in batches:
-            for key, lines in _runs(batch):
-                out, ins = states.get(key, (False, True))
-                for line in lines.take(pa.array(_with_quote(lines))).to_pylist():
-                    text = _decoded(line)[0]
-                    ends = {x: ends_inside(text, x) for x in {out, ins}}
-                    out, ins = ends[out], ends[ins]
-                states[key] = out, ins
+            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            for key, run in _runs(batch):
+                ends = [bool(inside_after(kind[run], x)[-1]) for x in (False, True)]
+                states[key] = tuple(ends[x] for x in states.get(key, (False, True)))
         yield pa.RecordBatch.from_pylist(
             [{"file": k[0], "at": k[1], "from_outside": a, "from_inside": b} for k, (a, b) in states.items()],
             schema=pa.schema([("file", pa.int64()), ("at", pa.int64()), ("from_outside", pa.bool_()), ("from_inside", pa.bool_())]))
 
-    return _lines(spark, path).mapInArrow(run, "file long, at long, from_outside boolean, from_inside boolean")
+    return _lines(spark, path).select("file", "at", "kind").mapInArrow(
+        run, "file long, at long, from_outside boolean, from_inside boolean")
 
 
 def open_splits(spark: SparkSession, path: str) -> tuple[set[tuple[int, int]], bool]:
@@ -117,47 +129,76 @@ def open_splits(spark: SparkSession, path: str) -> tuple[set[tuple[int, int]], b
 
 # ---------------------------------------------------------------- pass two
 class _Split:
-    """The records of one split, line by line."""
+    """The records of one split, run by run."""
 
     def __init__(self, starts_inside: bool, first_of_file: bool):
         self.inside, self.head, self.header, self.held = starts_inside, starts_inside, first_of_file, []
 
-    def take(self, lines: pa.Array) -> tuple[list, list[bytes]]:
-        """In order, runs of records without quotes (arrays) and records with quotes; and the end
-        of a record that started in a split before."""
-        found, heads, at = [], [], 0
-        for k in [*_with_quote(lines).tolist(), len(lines)]:
-            if k > at:
-                if self.inside:
-                    self.held += lines.slice(at, k - at).to_pylist()
-                else:
-                    run = lines.slice(at, k - at)
-                    blank = pc.or_(pc.equal(run, b""), pc.equal(run, b"\r"))
-                    run = run.filter(pc.invert(blank))
-                    if len(run):
-                        found.append(run)
-            if k == len(lines):
-                break
-            line = lines[k].as_py()
-            self.held.append(line)
-            self.inside, at = ends_inside(_decoded(line)[0], self.inside), k + 1
-            if not self.inside:
-                (heads if self.head else found).append(b"\n".join(self.held))
-                self.held, self.head = [], False
-        return found, heads
-
-
-def _plain_rows(lines: pa.Array, width: int) -> tuple[list[pa.Array], pa.Array]:
-    """Columns of the lines that have ``width`` fields, and the other lines."""
+    def take(self, lines: pa.Array, kind: np.ndarray) -> tuple[pa.Array, np.ndarray, list[bytes]]:
+        """The lines of the records that end here, the places after those that end one, and the
+        end of a record that started in a split before."""
+        after = inside_after(kind, self.inside)
+        self.inside = bool(after[-1])
+        ends, heads, before = np.flatnonzero(~after) + 1, [], sum(map(len, self.held))
+        if not len(ends):
+            self.held.append(lines)
+            return lines.slice(0, 0), ends, heads
+        cut = int(ends[-1])
+        whole = pa.concat_arrays([*self.held, lines.slice(0, cut)])
+        self.held, ends = [lines.slice(cut)] if cut < len(lines) else [], ends + before
+        if self.head:
+            first, self.head = int(ends[0]), False
+            heads, whole, ends = [_text(whole.slice(0, first))], whole.slice(first), ends[1:] - first
+        return whole, ends, heads
+
+    def without_header(self, whole: pa.Array, ends: np.ndarray) -> tuple[bytes | None, pa.Array, np.ndarray]:
+        """The file's first record, and what comes after it."""
+        at = 0
+        for end in ends.tolist():
+            record, at = _text(whole.slice(at, end - at)), end
+            if record not in BLANK:
+                self.header = False
+                return record, whole.slice(end), ends[ends > end] - end
+        return None, whole.slice(at), ends[:0]
+
+
+BLANK = (b"", b"\r")
+
+
+def _text(lines: pa.Array) -> bytes:
+    """Lines as they were, joined again."""
+    lists = pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines)
+    return pc.binary_join(lists, pa.scalar(b"\n", lines.type))[0].as_py()
+
+
+def _records(whole: pa.Array, ends: np.ndarray) -> list[bytes]:
+    lines, found = whole.to_pylist(), []
+    for a, b in zip([0, *ends.tolist()], ends.tolist()):
+        found.append(lines[a] if b == a + 1 else b"\n".join(lines[a:b]))
+    return [x for x in found if x not in BLANK]
+
+
+def _columns(whole: pa.Array, width: int) -> tuple[pa.Table, list[bytes]] | None:
+    """Columns of the records that have ``width`` fields, and the other records; None if these
+    lines have to go record by record (bytes that are no UTF-8, single carriage returns)."""
+    data = _text(whole) + b"\n"
+    if data.startswith(b"\xef\xbb\xbf") or data.count(b"\r") != data.count(b"\r\n"):
+        return None
+    names, other = [str(k) for k in range(width)], []
+
+    def keep(row: pacsv.InvalidRow) -> str:
+        other.append(row.text.encode())
+        return "skip"
+
     try:
-        text = pc.utf8_rtrim(lines.cast(pa.string()), "\r")
+        table = pacsv.read_csv(
+            pa.py_buffer(data), pacsv.ReadOptions(use_threads=False, block_size=len(data) + 1, column_names=names),
+            pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=keep),
+            pacsv.ConvertOptions(column_types={n: pa.string() for n in names}, null_values=[""], strings_can_be_null=True,
+                                 quoted_strings_can_be_null=False))
     except pa.ArrowInvalid:
-        return [pa.array([], pa.string())] * width, lines
-    parts = pc.split_pattern(text, ",")
-    ok = pc.equal(pc.list_value_length(parts), width)
-    flat = parts.filter(ok).flatten()
-    flat = pc.if_else(pc.equal(flat, ""), pa.scalar(None, pa.string()), flat)
-    return [flat.take(pa.array(np.arange(j, len(flat), width))) for j in range(width)], lines.filter(pc.invert(ok))
+        return None
+    return table, other
 
 
 def parsed(records: list[tuple[bytes, bool]], names: list[str]) -> pa.RecordBatch:
@@ -182,10 +223,13 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     """The column names, from the first record of one file."""
     for n in (1, 100, 100_000):
         rows = _lines(spark, path).where("at = 0").limit(n).collect()
-        split = _Split(False, True)
-        found, _ = split.take(pa.array([bytes(r.line) for r in rows if r.file == rows[0].file], pa.binary()))
-        if found:
-            return header_fields(found[0] if isinstance(found[0], bytes) else found[0][0].as_py())
+        rows = [r for r in rows if r.file == rows[0].file]
+        if rows:
+            split = _Split(False, True)
+            whole, ends, _ = split.take(pa.array([bytes(r.line) for r in rows], pa.binary()), np.array([r.kind for r in rows], np.int8))
+            record = split.without_header(whole, ends)[0]
+            if record is not None:
+                return header_fields(record)
     return []
 
 
@@ -203,21 +247,25 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits: dict[tuple, _Split] = {}
         for batch in batches:
-            for key, lines in _runs(batch):
+            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            for key, run in _runs(batch):
                 split = splits.setdefault(key, _Split(key in opened, key[1] == 0))
-                found, _ = split.take(lines)
-                if split.header and found:
-                    split.header = False
-                    check_header(found[0] if isinstance(found[0], bytes) else found[0][0].as_py())
-                    found[0:1] = [] if isinstance(found[0], bytes) else [found[0].slice(1)]
-                rest = [(x, True) for x in found if isinstance(x, bytes)]
-                for run in found:
-                    if not isinstance(run, bytes):
-                        good, other = _plain_rows(run, width)
-                        yield pa.RecordBatch.from_arrays([*good, pa.nulls(len(good[0]), pa.string())], names=columns)
-                        rest += [(x, True) for x in other.to_pylist()]
+                lines, ends, _ = split.take(batch.column("line")[run], kind[run])
+                if split.header:
+                    header, lines, ends = split.without_header(lines, ends)
+                    if header is not None:
+                        check_header(header)
+                if not len(lines):
+                    continue
+                found = _columns(lines, width)
+                if found is None:
+                    rest = _records(lines, ends)
+                else:
+                    table, rest = found
+                    for part in table.to_batches():
+                        yield pa.RecordBatch.from_arrays([*part.columns, pa.nulls(len(part), pa.string())], names=columns)
                 if rest:
-                    yield parsed(rest, columns)
+                    yield parsed([(x, True) for x in rest], columns)
 
     if not names:
         return spark.createDataFrame([], f"{RESCUED} string")
@@ -246,14 +294,16 @@ def crossing(spark: SparkSession, path: str, opened: set[tuple[int, int]]) -> Da
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits, rows = {}, []
         for batch in batches:
-            for key, lines in _runs(batch):
+            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            for key, run in _runs(batch):
                 split = splits.setdefault(key, _Split(key in opened, key[1] == 0))
-                found, heads = split.take(lines)
+                whole, ends, heads = split.take(batch.column("line")[run], kind[run])
                 rows += [(*key, False, x, False, True) for x in heads]
-                split.header = split.header and not found
+                if split.header:
+                    split.without_header(whole, ends)
         for key, split in splits.items():
             if split.held:  # a record that goes on, from here or from before
-                rows.append((*key, not split.head, b"\n".join(split.held), split.header, False))
+                rows.append((*key, not split.head, _text(pa.concat_arrays(split.held)), split.header, False))
         yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in rows], schema=kinds)
 
     found = _lines(spark, path).mapInArrow(pieces, "file long, at long, opens boolean, raw binary, first boolean, closes boolean")

@@ -7,6 +7,8 @@ import os
 import random
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +114,28 @@ def test_landing_keeps_records(spark, tmpdir_path):
     got = bronze.read_bronze(spark, os.path.join(tmpdir_path, "out"), "crm", "customers")
     assert sorted((r.id, r["na.`me"], r._rescued) for r in got.collect()) == [
         ("1", 'A "B", C', None), ("2", "two\nlines", None), ("3", None, "3")]
+
+
+def test_kinds_and_states_agree_with_the_patterns(spark, tmpdir_path):
+    rng = random.Random(2)
+    lines = ["".join(rng.choice('",a \r') for _ in range(rng.randrange(9))) for _ in range(400)] + ['"a",' * 50_000, '"' + '""' * 50_000]
+    with open(os.path.join(tmpdir_path, "a.csv"), "w", newline="") as f:
+        f.write("\n".join(lines))
+    rows = R._lines(spark, tmpdir_path).collect()
+    kind = {bytes(r.line).decode(): r.kind for r in rows}
+    assert all(kind[x] == R.ends_inside(x, False) + 2 * R.ends_inside(x, True) for x in lines)
+    kinds = np.array([kind[x] for x in lines], np.int8)
+    for start in (False, True):
+        state, expected = start, []
+        for x in lines:
+            state = R.ends_inside(x, state)
+            expected.append(state)
+        assert R.inside_after(kinds, start).tolist() == expected
+
+
+def test_quoted_records_go_in_few_batches():
+    """Records with and without quotes in turn are read together, not one by one."""
+    lines = pa.array([b'1,"a, b"', b"2,", b'3,"two', b'lines"', b'4,""', b"5,x,y"], pa.binary())
+    table, other = R._columns(lines, 2)
+    assert table.to_pydict() == {"0": list("1234"), "1": ["a, b", None, "two\nlines", ""]} and other == [b"5,x,y"]
+    assert R._columns(pa.array([b"1,\xff"], pa.binary()), 2) is None and R._columns(pa.array([b"1,a\rb"], pa.binary()), 2) is None
