@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import blocks, id_text, texts, words_of
-from forecourt.session import write_scratch
+from forecourt.session import drop_scratch, write_scratch
 
 DEPTH = 6
 LEAST = 2
@@ -211,6 +211,11 @@ def grow(counts: DataFrame, min_share: float = 0.0, gain: float = GAIN) -> Tree:
 def probabilities(counts: DataFrame, least: int = LEAST, gain: float = GAIN) -> DataFrame:
     """(key, n, p): the log10 probability of every window of ``counts`` by the
     same tree as ``grow``'s, which is grown in parts."""
+    return scored_windows(counts, least, gain)[0]
+
+
+def scored_windows(counts: DataFrame, least: int = LEAST, gain: float = GAIN) -> tuple[DataFrame, str]:
+    """``probabilities``, and the table that it reads."""
     spark = counts.sparkSession
     low = F.col("key").bitwiseAND(F.lit(low_bytes(HEAD)).cast("long"))
     short = counts.groupBy(low.alias("key")).agg(F.sum("n").alias("n")).toArrow()
@@ -240,14 +245,15 @@ def probabilities(counts: DataFrame, least: int = LEAST, gain: float = GAIN) ->
 
     end = F.shiftright("key", 8).bitwiseAND(F.lit(low_bytes(HEAD)).cast("long"))
     dealt = counts.select(end.alias("end"), "key", "n").repartition("end").sortWithinPartitions("end")
-    long = spark.read.parquet(write_scratch(dealt.mapInArrow(run, "key long, n long, p double"), "scored"))
+    path = write_scratch(dealt.mapInArrow(run, "key long, n long, p double"), "scored", free=True)
+    long = spark.read.parquet(path)
     # a short context that did not pass stays if a longer one needs it
     needed = long.where("p is not null").select(
         F.shiftright("key", 8).bitwiseAND(F.lit(low_bytes(HEAD - 1)).cast("long")).alias("context")).distinct().toArrow()
     head = build(short_key, short_n, 0, HEAD - 1, least, gain, stay=needed["context"].to_numpy())
     table = spark.createDataFrame(pa.table({"low": short_key, "short": np.log10(head.probability(short_key))}))
     return (long.join(table, low == F.col("low"), "left")
-            .select("key", "n", F.coalesce("p", "short").alias("p")))
+            .select("key", "n", F.coalesce("p", "short").alias("p"))), path
 
 
 class Scores:
@@ -391,15 +397,18 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     rows = id_text(docs, doc_id, text).select("doc_id", "text", held)
-    counts = spark.read.parquet(write_scratch(window_counts(rows), "windows"))
-    windows = spark.read.parquet(write_scratch(probabilities(counts), "probabilities"))
+    counted_path = write_scratch(window_counts(rows), "windows", free=True)
+    scored, scored_path = scored_windows(spark.read.parquet(counted_path))
+    windows = spark.read.parquet(write_scratch(scored, "probabilities", free=True))
+    for path in (counted_path, scored_path):  # read for the last time
+        drop_scratch(spark, path)
     least, often = frequent(windows, HELD)
     often = often.select("key", "p").toArrow().sort_by("key")
     known = spark.sparkContext.broadcast((often["key"].to_numpy(), often["p"].to_numpy()))
     id_type = docs.schema[doc_id].dataType.simpleString()
-    words = spark.read.parquet(write_scratch(word_rows(rows, known, id_type), "words"))
+    words = spark.read.parquet(write_scratch(word_rows(rows, known, id_type), "words", free=True))
     totals = spark.read.parquet(write_scratch(
-        words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "totals"))
+        words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "totals", free=True))
     size = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_all, v_all = int(size[0]), int(size[1])
     out = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -107,3 +107,18 @@ def test_rare_and_quoted_insults(spark):
     assert all(r.n_clauses > 0 for r in got if r.toxic)
     assert all(r.score >= 0.5 for r in got if r.toxic)
     assert all(r.score < 0.5 for r in got if r.doc_id >= n + 60)
+
+
+def test_suffix_lm_deletes_tables_it_has_read(spark):
+    from forecourt import session
+    from forecourt.llm import suffix_lm
+
+    def tables() -> set[str]:
+        return set(session.list_names(spark, session.scratch_path(spark, "tables")))
+
+    before = tables()
+    docs = spark.createDataFrame([(k, "a word or two " * (k + 1)) for k in range(6)], "doc_id long, text string")
+    out = suffix_lm.score(docs, F.col("doc_id") == 2)
+    assert {x.split("-")[0] for x in tables() - before} == {"probabilities", "words", "totals"}
+    assert out.count() == 6 and out.count() == 6
+    assert spark.conf.get(session.SHUFFLES_GO, "false") == "false"
