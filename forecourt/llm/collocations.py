@@ -233,7 +233,7 @@ def mark(state: DataFrame, step: int, arrays: list[np.ndarray]) -> set[int]:
     maps = hit.groupBy("n", F.expr("bitmap_bucket_number(slot + 1)").alias("bucket")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(slot + 1))").alias("bits"))
     new = set()
-    for n, bucket, bits in maps.toLocalIterator():  # at most one bit a slot
+    for n, bucket, bits in maps.collect():  # at most one bit a slot, in one job (an iterator takes one a partition)
         places = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")) + (bucket - 1) * 32768
         fresh = places[arrays[n - 1][places] == NEVER]
         if len(fresh):

@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -130,6 +131,26 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(frame(spark, [(1, "en", None), (2, None, "")]), slots=64, shards=1).count() == 0
 
 
+def test_marks_take_few_jobs(spark):
+    h = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows = [(k, 1, 0, b"", b"", part.tobytes()) for k, part in enumerate(np.array_split(h, 20))]
+    state, arrays = spark.createDataFrame(rows, collocations.COUNTED), [np.full(1 << 21, collocations.NEVER, np.uint8)]
+    conf, context = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}, spark.sparkContext
+    before = {k: spark.conf.get(k) for k in conf}
+    context.setJobGroup("marks", "")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert collocations.mark(state, 3, arrays) == {1}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    mask = np.uint64((1 << 21) - 1)
+    assert set(np.flatnonzero(arrays[0] == 3)) == {int(x) for x in [*(h & mask), *((h >> np.uint64(32)) & mask)]}
+    assert len(context.statusTracker().getJobIdsForGroup("marks")) < 10
+
+
 def test_phrases_of_four_words(spark):
     docs = frame(spark, [(i, "en", "a b c d e" if i % 2 else "a b c d") for i in range(12)])
     found = {r.phrase: r.f for r in collocations.frequent(docs, longest=4, shards=2, slots=1 << 10).where("n > 0").collect()}
