@@ -3,8 +3,8 @@
 Spark deals physical lines; a line may lie inside a quoted field, so where a
 record starts depends on everything before it.  But a line does only one of
 four things to "inside quotes": it keeps it, opens it, closes it or swaps it.
-Spark finds which (``kind``, two bits: whether a line ends inside if it starts outside,
-and if it starts inside).  Pass one composes that over the lines of each split, and a prefix
+Tasks find which for a batch of lines at a time (``kind``, two bits: whether a line ends inside if it
+starts outside, and if it starts inside).  Pass one composes that over the lines of each split, and a prefix
 composition over the splits of each file tells in which state a split starts.  Pass two reads
 the splits again, each by itself: it returns the records that lie inside a split
 (Arrow's reader has the same rules; what it cannot take goes record by record), and, only where some split starts inside quotes, the pieces of the records that
@@ -41,6 +41,8 @@ CLOSED = re.compile(rf"{_ANY}(?:,{_ANY})*+\Z", re.S)
 _CLOSED_JAVA = rf"(?s)\A{_ANY}(?:,{_ANY})*+\z"
 #: The kind of a line that changes nothing.
 KEEPS = 2
+#: Lines with more quotes are matched with the pattern.
+MANY = 64
 
 
 def fields(record: str) -> list[str | None]:
@@ -71,6 +73,36 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
                          F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
 
 
+def line_kinds(lines: pa.Array) -> np.ndarray:
+    """``kind`` of ``_lines`` for the lines of a batch: their first quotes together, then the second, and so on."""
+    kind = np.full(len(lines), KEEPS, np.int8)
+    lines = lines.cast(pa.large_binary())
+    _, offsets, data = lines.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[lines.offset:lines.offset + len(lines) + 1] if len(lines) else np.zeros(1, np.int64)
+    data = np.frombuffer(data or b"", np.uint8)
+    quote = np.flatnonzero(data[offsets[0]:offsets[-1]] == ord('"')) + offsets[0]
+    if not len(quote):
+        return kind
+    line = np.searchsorted(offsets, quote, side="right") - 1
+    opens = (quote == offsets[line]) | (data[quote - 1] == ord(","))
+    doubled = np.append((np.diff(quote) == 1) & (np.diff(line) == 0), False)
+    first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+    has, count = line[first], np.diff(np.append(first, len(line)))
+    ends = np.zeros((2, len(has)), np.int8)
+    ends[1] = 1  # 0 outside, 1 inside, 2 between doubled quotes
+    for j in range(min(int(count.max()), MANY)):
+        live = np.flatnonzero(count > j)
+        at = first[live] + j
+        for state in ends:
+            now = state[live]
+            state[live] = np.where(now == 0, opens[at], np.where(now == 1, doubled[at] * 2, 1))
+    for k in np.flatnonzero(count > MANY):
+        text = lines[int(has[k])].as_py().decode("latin-1")
+        ends[:, k] = [ends_inside(text, x) for x in (False, True)]
+    kind[has] = (ends[0] > 0) + 2 * (ends[1] > 0)
+    return kind
+
+
 def _decoded(raw: bytes) -> tuple[str, bool]:
     try:
         return raw.decode(), True
@@ -103,7 +135,7 @@ def split_states(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = {}
         for batch in batches:
-            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            kind = line_kinds(batch.column("line"))
             for key, run in _runs(batch):
                 ends = [bool(inside_after(kind[run], x)[-1]) for x in (False, True)]
                 states[key] = tuple(ends[x] for x in states.get(key, (False, True)))
@@ -111,14 +143,15 @@ def split_states(spark: SparkSession, path: str) -> DataFrame:
             [{"file": k[0], "at": k[1], "from_outside": a, "from_inside": b} for k, (a, b) in states.items()],
             schema=pa.schema([("file", pa.int64()), ("at", pa.int64()), ("from_outside", pa.bool_()), ("from_inside", pa.bool_())]))
 
-    return _lines(spark, path).select("file", "at", "kind").mapInArrow(
+    return _lines(spark, path).drop("kind").mapInArrow(
         run, "file long, at long, from_outside boolean, from_inside boolean")
 
 
 def open_splits(spark: SparkSession, path: str) -> tuple[set[tuple[int, int]], bool]:
     """The splits that start inside quotes, and whether any file ends so."""
     found, inside, last, unclosed = set(), False, None, False
-    for r in split_states(spark, path).orderBy("file", "at").collect():  # one row a split
+    # one row a split, put in order here: a sort in Spark reads its input once more for its ranges
+    for r in sorted(split_states(spark, path).collect(), key=lambda r: (r.file, r.at)):
         if r.file != last:
             unclosed, inside, last = unclosed or inside, False, r.file
         if inside:
@@ -247,7 +280,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits: dict[tuple, _Split] = {}
         for batch in batches:
-            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            kind = line_kinds(batch.column("line"))
             for key, run in _runs(batch):
                 split = splits.setdefault(key, _Split(key in opened, key[1] == 0))
                 lines, ends, _ = split.take(batch.column("line")[run], kind[run])
@@ -269,7 +302,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     if not names:
         return spark.createDataFrame([], f"{RESCUED} string")
-    records = _lines(spark, path).mapInArrow(whole, schema)
+    records = _lines(spark, path).drop("kind").mapInArrow(whole, schema)
     if not opened and not unclosed:
         return records
 
@@ -294,7 +327,7 @@ def crossing(spark: SparkSession, path: str, opened: set[tuple[int, int]]) -> Da
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits, rows = {}, []
         for batch in batches:
-            kind = batch.column("kind").to_numpy(zero_copy_only=False)
+            kind = line_kinds(batch.column("line"))
             for key, run in _runs(batch):
                 split = splits.setdefault(key, _Split(key in opened, key[1] == 0))
                 whole, ends, heads = split.take(batch.column("line")[run], kind[run])
@@ -306,7 +339,7 @@ def crossing(spark: SparkSession, path: str, opened: set[tuple[int, int]]) -> Da
                 rows.append((*key, not split.head, _text(pa.concat_arrays(split.held)), split.header, False))
         yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in rows], schema=kinds)
 
-    found = _lines(spark, path).mapInArrow(pieces, "file long, at long, opens boolean, raw binary, first boolean, closes boolean")
+    found = _lines(spark, path).drop("kind").mapInArrow(pieces, "file long, at long, opens boolean, raw binary, first boolean, closes boolean")
     order = Window.partitionBy("file").orderBy("at", "opens").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("nth", F.sum(F.col("opens").cast("long")).over(order))
     whole = found.groupBy("file", "nth").agg(F.array_sort(F.collect_list(F.struct("at", "opens", "raw"))).alias("parts"),

@@ -33,3 +33,15 @@ def test_land_all(spark, tmpdir_path):
     assert all_parts.count() == 4
     assert sorted(str(r[0]) for r in all_parts.select("_ingest_date").distinct().collect()) == [
         "2024-06-01", "2024-06-02"]
+
+
+def test_landing_does_not_sort_its_rows(spark, tmpdir_path, monkeypatch):
+    raw, seen, land = os.path.join(tmpdir_path, "raw"), [], bronze.land_entity
+    os.makedirs(raw)
+    with open(os.path.join(raw, "erp_parts.csv"), "w") as f:
+        f.write("part_number,unit_cost_ngn\nP-1,1\nP-2,2\n")
+    monkeypatch.setattr(bronze, "land_entity", lambda s, *a: (seen.append(s.conf.get("spark.sql.maxConcurrentOutputFileWriters")), land(s, *a))[1])
+    rep = bronze.land_all(spark, raw, os.path.join(tmpdir_path, "out"), "2024-06-01 06:00:00", "2024-06-01")
+    assert rep.loaded == {"erp.parts": 2}
+    assert [int(x) > 0 for x in seen] == [True]  # with 0, Spark sorts by the partition column before it writes
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -139,3 +139,31 @@ def test_quoted_records_go_in_few_batches():
     table, other = R._columns(lines, 2)
     assert table.to_pydict() == {"0": list("1234"), "1": ["a, b", None, "two\nlines", ""]} and other == [b"5,x,y"]
     assert R._columns(pa.array([b"1,\xff"], pa.binary()), 2) is None and R._columns(pa.array([b"1,a\rb"], pa.binary()), 2) is None
+
+
+def test_pass_one_reads_a_file_once(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "a.csv"), "w", newline="") as f:
+        f.write("id,note\n" + "".join(f'{i},"two\nlines"\n' for i in range(500)))
+    conf, context = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.sparkContext
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500b")
+    context.setJobGroup("pass one", "")
+    try:
+        opened, unclosed = R.open_splits(spark, tmpdir_path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", conf)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert opened and not unclosed
+    assert len(context.statusTracker().getJobIdsForGroup("pass one")) == 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet='",a\r', max_size=12), max_size=8), st.integers(0, 3))
+def test_kinds_of_a_batch(lines, skipped):
+    lines = [*lines, '"' * 200 + ",", '"a",' * 90 + '"']
+    array = pa.array([x.encode() for x in lines], pa.binary()).slice(skipped)
+    assert R.line_kinds(array).tolist() == [R.ends_inside(x, False) + 2 * R.ends_inside(x, True) for x in lines[skipped:]]
+
+
+def test_kinds_of_no_lines():
+    assert len(R.line_kinds(pa.array([], pa.binary()))) == 0
+    assert R.line_kinds(pa.array([b"", b"\xff,"], pa.binary())).tolist() == [R.KEEPS] * 2
