@@ -145,7 +145,9 @@ def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
     wo = with_rates(work_orders.select(*ORDER_COLUMNS), vat_rates, technicians, dates)
     costed = with_part_cost(lines.select("line_id", "wo_number", "line_type", "part_number", "quantity", "unit_price_ngn",
                                          "discount_pct", "line_total_ngn_source_raw"), parts)
-    f = priced(wo.join(costed, "wo_number", "left")).groupBy(*ORDER_COLUMNS).agg(*order_sums())
+    # an order's other columns are the same on all its rows: as keys, they would be read and compared where nobody asks for them
+    own = [F.first(c).alias(c) for c in ORDER_COLUMNS[1:]]
+    f = priced(wo.join(costed, "wo_number", "left")).groupBy(ORDER_COLUMNS[0]).agg(*own, *order_sums())
     profit = (F.col("revenue_ngn") - F.col("cost_ngn")).cast(COST)
     f = f.withColumns({
         "cycle_time_hours": C.hour_boundaries("opened_at", "closed_at"), "gross_profit_ngn": profit,

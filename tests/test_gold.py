@@ -173,3 +173,19 @@ def test_quarantine_cleans_the_orders_once(spark):
 
     plan = quarantine_records(Workshop(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
     assert "o_orderkey" not in plan  # both readers have the written orders
+
+
+def test_unused_order_columns_are_not_carried(spark):
+    """The mismatch rate needs no customer: the lookup of legacy ids is left out, and orders are summed by their number."""
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["mismatch_rate"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_legacy" not in plan
+    keys = [line.split("[", 1)[1].split("]", 1)[0] for line in plan.splitlines() if "Aggregate [wo_number" in line]
+    assert keys and all("," not in k for k in keys)
+
+
+def test_a_legacy_id_listed_twice(spark):
+    wo = spark.createDataFrame([wo_row("WO-000001", "2024-03-01 10:59:00")], ",".join(f"{c} string" for c in WO_COLS))
+    migration = spark.createDataFrame([("C1", "CUST-2"), ("C1", "CUST-1"), ("C9", "CUST-9")], "legacy_id string, customer_id string")
+    assert [r.customer_id for r in silver.clean_work_orders(wo, migration).collect()] == ["CUST-1"]
