@@ -133,9 +133,12 @@ ORDER_COLUMNS = FACT_COLUMNS[:10]
 
 def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
                technicians: DataFrame, vat_rates: DataFrame, extras: bool = False,
-               include_deleted: bool = True, dates: DataFrame | None = None) -> DataFrame:
+               include_deleted: bool = True, dates: DataFrame | None = None, keys: list[str] = ORDER_COLUMNS) -> DataFrame:
     """One row per work order with revenue, VAT, cost, profit and flags.
 
+    ``keys``: the order's own columns that are asked for, its number among them; the others
+    are neither cleaned nor compared.
+
     ``extras`` adds the per-order source total, sublet cost (bought-in work is
     passed on at cost) and part-line counts so reports need no second pass over
     the lines.  ``include_deleted=False`` leaves soft-deleted orders (and so
@@ -145,14 +148,12 @@ def order_fact(work_orders: DataFrame, lines: DataFrame, parts: DataFrame,
     wo = with_rates(work_orders.select(*ORDER_COLUMNS), vat_rates, technicians, dates)
     costed = with_part_cost(lines.select("line_id", "wo_number", "line_type", "part_number", "quantity", "unit_price_ngn",
                                          "discount_pct", "line_total_ngn_source_raw"), parts)
-    # an order's other columns are the same on all its rows: as keys, they would be read and compared where nobody asks for them
-    own = [F.first(c).alias(c) for c in ORDER_COLUMNS[1:]]
-    f = priced(wo.join(costed, "wo_number", "left")).groupBy(ORDER_COLUMNS[0]).agg(*own, *order_sums())
+    f = priced(wo.join(costed, "wo_number", "left")).groupBy(*keys).agg(*order_sums())
     profit = (F.col("revenue_ngn") - F.col("cost_ngn")).cast(COST)
-    f = f.withColumns({
-        "cycle_time_hours": C.hour_boundaries("opened_at", "closed_at"), "gross_profit_ngn": profit,
-        "margin_pct": C.safe_ratio(profit, "revenue_ngn").cast("decimal(18,6)")})
-    return f.select(*FACT_COLUMNS, *(EXTRA_COLUMNS if extras else []))
+    f = f.withColumns({"gross_profit_ngn": profit, "margin_pct": C.safe_ratio(profit, "revenue_ngn").cast("decimal(18,6)")})
+    if {"opened_at", "closed_at"} <= set(keys):
+        f = f.withColumn("cycle_time_hours", C.hour_boundaries("opened_at", "closed_at"))
+    return f.select(*[c for c in FACT_COLUMNS if c in f.columns], *(EXTRA_COLUMNS if extras else []))
 
 
 def service_profitability(fact: DataFrame, service_types: DataFrame) -> DataFrame:

@@ -126,7 +126,7 @@ def mismatch_rate(spark: SparkSession, sf_dir: str, w: Workshop | None = None) -
     rate - both from one pass over the fact (which carries per-order part-line
     counts), so the lines are priced once."""
     w = w or Workshop(spark, sf_dir)
-    fact = w.shared_fact(extras=True)
+    fact = w.shared_fact(extras=True, keys=["wo_number"])
     agg = fact.agg(F.count_if("has_part_line_total_mismatch").alias("mismatched"), F.count(F.lit(1)).alias("total"),
                    F.sum("part_lines_mismatched").cast("bigint").alias("part_lines_mismatched"),
                    F.sum("part_lines").cast("bigint").alias("part_lines"))

@@ -86,10 +86,11 @@ class Workshop:
         return seeds.service_types(self.spark)
 
     # gold
-    def order_fact(self, work_orders: DataFrame | None = None, extras: bool = False) -> DataFrame:
+    def order_fact(self, work_orders: DataFrame | None = None, extras: bool = False,
+                   keys: list[str] = gold.ORDER_COLUMNS) -> DataFrame:
         return gold.order_fact(work_orders if work_orders is not None else self.work_orders,
                                self.lines, self.parts, self.technicians, self.vat_rates, extras=extras,
-                               dates=self.opened_dates)
+                               dates=self.opened_dates, keys=keys)
 
     def rated_orders(self, work_orders: DataFrame | None = None) -> DataFrame:
         if work_orders is not None:  # written: its own dates are the cheapest
@@ -122,11 +123,11 @@ class Workshop:
             drop_scratch(self.spark, self._orders_path)
             del self.__dict__["work_orders_table"]
 
-    def shared_fact(self, extras: bool = True) -> DataFrame:
-        """The written fact if this job already wrote it, else the lazy plan."""
+    def shared_fact(self, extras: bool = True, keys: list[str] = gold.ORDER_COLUMNS) -> DataFrame:
+        """The written fact if this job already wrote it, else the lazy plan (with the order columns of ``keys``)."""
         if "order_fact_table" in self.__dict__:
             return self.order_fact_table
-        return self.order_fact(extras=extras)
+        return self.order_fact(extras=extras, keys=keys)
 
     def service_profitability(self, fact: DataFrame | None = None) -> DataFrame:
         return gold.service_profitability(fact if fact is not None else self.order_fact(),
