@@ -10,19 +10,21 @@ too.  Distributions are smoothed towards the suffix's (Witten-Bell), the root's
 towards all 256 bytes, so every text has a probability.  A symbol is scored in
 the state of the longest suffix that the tree has.
 
-Counts come from all training texts: tasks count their byte windows, which are
-summed by key in Spark; shorter contexts are sums of longer ones.  The tree grows
-with the corpus and lies nowhere as a whole: contexts shorter than ``HEAD`` bytes
-(their number is the alphabet's, not the corpus's) are one small tree; the windows
-whose contexts end with the same ``HEAD`` bytes are together in a task, which grows
-that part of the tree, and give a table of every window's probability.
+Counts come from all training texts: tasks count their byte windows and deal them,
+packed as sorted arrays, by the last ``HEAD`` bytes of their contexts.  Shorter
+contexts are sums of longer ones.  The tree grows with the corpus and lies nowhere
+as a whole: contexts shorter than ``HEAD`` bytes (their number is the alphabet's, not
+the corpus's) are one small tree; the windows whose contexts end with the same
+``HEAD`` bytes are in the same part, which grows that part of the tree, and give a
+table of every window's probability.
 
 Tasks that score texts have the frequent windows' probabilities, at most ``HELD``.
 All other windows, and the words of the base score (it needs each word's count in
 the training texts), are too many for a broadcast.  Blocks of texts emit a row for
-each distinct one with the texts it occurs in; rows meet the totals in a join (a
-frequent word has one row a block and its rows can be split) and come back to
-their block, where the texts' sums are taken.
+each part that they have other windows of, and the part sums their log probabilities
+by text; they emit a row for each distinct word with the texts it occurs in, and
+these meet the totals in a join (a frequent word has one row a block and its rows
+can be split).  Both come back to their block, where the texts' sums are taken.
 
 * null or empty text: the end symbol only; null id: never held out.
 * repeated rows: each is learned from and scored.
@@ -41,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import blocks, id_text, texts, words_of
+from forecourt.llm.common import blocks, id_text, prepare, texts, words_of
 from forecourt.session import drop_scratch, write_scratch
 
 DEPTH = 6
@@ -52,8 +54,15 @@ HEAD = 3
 BLOCK = 8 << 20
 #: Distinct windows that a task holds at a time, and that are broadcast.
 HELD = 2 << 20
-#: Symbols that are looked at together.
-CHUNK = 1 << 21
+#: Symbols that are looked at together, and that are sorted at a time to be counted.
+CHUNK = 1 << 19
+SORTED = 1 << 22
+#: Windows by which a part of the tree is grown at least, if there are so many.
+GROWN = 1 << 20
+#: Texts whose number in a chunk is one byte of a sorted number.
+NUMBERED = 256
+#: Odd, so that it gives each ``HEAD`` bytes another number.
+MIX = 0x9E3779
 END, BEFORE = 10, 0
 
 
@@ -62,24 +71,80 @@ def streams(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     of the text of each.  A text's bytes follow ``DEPTH`` bytes of start context."""
     before = bytes([BEFORE] * (DEPTH - 1) + [END])
     parts = [before + b" ".join(t.lower().split()) + bytes([END]) for t in raw]
-    data = np.frombuffer(b"".join(parts), np.uint8)
+    data = np.frombuffer(b"".join([*parts, bytes(8)]), np.uint8)
     begin = np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
-    for a in range(DEPTH, len(data), CHUNK):
-        b = min(a + CHUNK, len(data))
-        at = np.arange(a, b)
-        text = np.searchsorted(begin, at, side="right") - 1
-        symbol = at - begin[text] >= DEPTH
-        yield windows(data[a - DEPTH:b])[symbol], text[symbol]
+    for a in range(DEPTH, int(begin[-1]), CHUNK):
+        b = min(a + CHUNK, int(begin[-1]))
+        first, last = np.searchsorted(begin, [a, b - 1], side="right") - 1
+        size = np.diff(np.clip(begin[first:last + 2], a, b))
+        symbol = np.ones(b - a, bool)
+        for k in range(DEPTH):
+            at = begin[first:last + 1] + k - a
+            symbol[at[(at >= 0) & (at < b - a)]] = False
+        yield windows(data, a - DEPTH, b - a)[symbol], np.repeat(np.arange(first, last + 1), size)[symbol]
 
 
-def windows(data: np.ndarray) -> np.ndarray:
-    """Each run of ``DEPTH + 1`` bytes as a number; its last byte is the lowest."""
-    n = len(data) - DEPTH
-    key = data[:n].astype(np.int64)
-    for k in range(1, DEPTH + 1):
-        key <<= 8
-        key |= data[k:k + n]
-    return key
+def windows(data: np.ndarray, start: int, n: int) -> np.ndarray:
+    """``n`` runs of ``DEPTH + 1`` bytes as numbers, one from each byte on; a run's
+    last byte is the lowest.  ``data`` goes on for 8 bytes after the last start."""
+    eight = np.ndarray(n, ">u8", data, start, (1,)).astype(np.uint64)
+    eight >>= np.uint64(8 * (7 - DEPTH))
+    return eight.view(np.int64)
+
+
+def dealt(keys: np.ndarray) -> np.ndarray:
+    """Windows with the mixed last ``HEAD`` bytes of their contexts first: in order,
+    those of an end are together and the ends of a part, too."""
+    end = (keys >> 8) & low_bytes(HEAD)
+    end *= MIX
+    end &= low_bytes(HEAD)
+    end <<= 8 * (DEPTH - HEAD + 1)
+    front = keys >> 8 * (HEAD + 1)
+    front <<= 8
+    end |= front
+    end |= keys & 255
+    return end
+
+
+def undealt(codes: np.ndarray) -> np.ndarray:
+    end = (codes >> 8 * (DEPTH - HEAD + 1)) * pow(MIX, -1, 1 << 8 * HEAD) & low_bytes(HEAD)
+    front = (codes >> 8) & low_bytes(DEPTH - HEAD)
+    return front << 8 * (HEAD + 1) | end << 8 | codes & 255
+
+
+def part_bits(spark) -> int:
+    """Parts are a power of two, and four at least for each shuffle partition."""
+    return min(max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()), 16)
+
+
+def by_part(codes: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """Each part of some codes in order: number, start and end."""
+    part = codes >> (8 * (DEPTH + 1) - bits)
+    cut = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
+    return zip(part[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(part)])
+
+
+def pack(codes: np.ndarray) -> bytes:
+    """Byte by byte, the lowest of all codes first: sorted codes share the high ones."""
+    return codes.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :DEPTH + 1].T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = len(data) // (DEPTH + 1)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :DEPTH + 1] = np.frombuffer(data, np.uint8).reshape(DEPTH + 1, n).T
+    return out.view("<i8").reshape(-1).astype(np.int64, copy=False)
+
+
+def pack_counts(n: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest takes; the first byte says how many."""
+    most = int(n.max()) if len(n) else 0
+    size = next(k for k in (1, 2, 4, 8) if most < 1 << 8 * k - (k == 8))
+    return bytes([size]) + n.astype(f"<u{size}").tobytes()
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 def counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -96,27 +161,112 @@ def counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
     return keys[cut], np.add.reduceat(n, cut)
 
 
-def window_counts(rows: DataFrame) -> DataFrame:
-    """(key, n) of all windows of ``rows``, counted in the texts that are not
-    ``held_out`` (if there is that column); a task sums its blocks first."""
-    def run(batches):
-        def out(keys, n):
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value of a sorted array starts, and how often it is there."""
+    cut = np.flatnonzero(np.append(True, values[1:] != values[:-1])[:len(values)])
+    return cut, np.diff(np.append(cut, len(values)))
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and their counts of sorted parts, which are emptied."""
+    codes, n = map(np.concatenate, zip(*parts))
+    parts.clear()
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    del order
+    cut, _ = runs(codes)
+    return codes[cut], np.add.reduceat(n, cut) if len(cut) else n
+
+
+#: All windows of some task that are in a part, and their counts.
+PACKED = "part int, codes binary, n binary"
 
+
+def packed(bits: int, codes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    rows = [(k, pack(codes[a:b]), pack_counts(n[a:b])) for k, a, b in by_part(codes, bits)]
+    for a in range(0, len(rows), 64):
+        k, c, m = zip(*rows[a:a + 64])
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(c, pa.binary()), pa.array(m, pa.binary())], names=["part", "codes", "n"])
+
+
+def window_rows(rows: DataFrame, bits: int) -> DataFrame:
+    """The windows of ``rows`` by part, counted in the texts that are not ``held_out``
+    (if there is that column), which give those of the others with a count of 0.  A
+    task sums its texts first."""
+    def run(batches):
         parts: list[tuple[np.ndarray, np.ndarray]] = []
+        buffer, used = np.empty(SORTED, np.int64), 0
+
+        def count():
+            # the lowest bit says that the symbol is in a text that is held out
+            marked = buffer[:used]
+            marked.sort()
+            cut, n = runs(marked)
+            codes = marked[cut]
+            n[codes & 1 == 1] = 0
+            codes >>= 1
+            cut, _ = runs(codes)
+            parts.append((codes[cut], np.add.reduceat(n, cut) if len(cut) else n))
+
         for block in blocks(batches, "text", BLOCK):
-            learned = ~np.array(block.column("held_out").to_pylist(), bool)
+            out = np.array(block.column("held_out").to_pylist(), np.int64)
             for keys, text in streams(texts(block)):
-                parts.append(counted(keys) if learned.all() else counted(keys, learned[text].astype(np.int64)))
-                if sum(len(k) for k, _ in parts) > HELD:
-                    parts = [counted(*map(np.concatenate, zip(*parts)))]
-                    if len(parts[0][0]) > HELD // 2:
-                        yield out(*parts.pop())
+                codes = dealt(keys)
+                codes <<= 1
+                codes |= out[text]
+                for a in range(0, len(codes), SORTED):
+                    piece = codes[a:a + SORTED]
+                    if used + len(piece) > SORTED:
+                        count()
+                        used = 0
+                        if sum(len(c) for c, _ in parts) > HELD + HELD // 2:
+                            parts = [merged(parts)]
+                            if len(parts[0][0]) > HELD:
+                                yield from packed(bits, *parts.pop())
+                    buffer[used:used + len(piece)] = piece
+                    used += len(piece)
+        if used:
+            count()
         if parts:
-            yield out(*counted(*map(np.concatenate, zip(*parts))))
+            yield from packed(bits, *merged(parts))
 
     held = F.col("held_out") if "held_out" in rows.columns else F.lit(False).alias("held_out")
-    return rows.select("text", held).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return rows.select("text", held).mapInArrow(run, PACKED)
+
+
+def summed(rows: DataFrame, bits: int) -> DataFrame:
+    """One row for each part, with the sums of the counts of its rows."""
+    def run(batches):
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        last, held = None, 0
+        for batch in batches:
+            for k, codes, n in zip(*(batch.column(c).to_pylist() for c in ("part", "codes", "n"))):
+                if k != last and held > GROWN:  # the last part may go on
+                    yield from packed(bits, *merged(parts))
+                    held = 0
+                elif held > 2 * GROWN:
+                    parts = [merged(parts)]
+                    held = len(parts[0][0]) // 2
+                last = k
+                parts.append((unpack(codes), unpack_counts(n)))
+                held += len(parts[-1][0])
+        if parts:
+            yield from packed(bits, *merged(parts))
+
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, PACKED)
+
+
+def window_counts(rows: DataFrame) -> DataFrame:
+    """(key, n) of all windows of ``rows``, counted in the texts that are not
+    ``held_out`` (if there is that column)."""
+    def run(batches):
+        for batch in batches:
+            for codes, n in zip(batch.column("codes").to_pylist(), batch.column("n").to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(undealt(unpack(codes))), pa.array(unpack_counts(n))], names=["key", "n"])
+
+    prepare(rows.sparkSession)
+    bits = part_bits(rows.sparkSession)
+    return summed(window_rows(rows, bits), bits).mapInArrow(run, "key long, n long")
 
 
 @dataclass
@@ -211,49 +361,85 @@ def grow(counts: DataFrame, min_share: float = 0.0, gain: float = GAIN) -> Tree:
 def probabilities(counts: DataFrame, least: int = LEAST, gain: float = GAIN) -> DataFrame:
     """(key, n, p): the log10 probability of every window of ``counts`` by the
     same tree as ``grow``'s, which is grown in parts."""
-    return scored_windows(counts, least, gain)[0]
+    def run(batches):
+        for batch in batches:
+            yield from packed(bits, *counted(dealt(batch.column("key").to_numpy()), batch.column("n").to_numpy()))
 
+    def flat(batches):
+        for batch in batches:
+            for codes, n, p in zip(*(batch.column(c).to_pylist() for c in ("codes", "n", "p"))):
+                codes, n = unpack(codes), unpack_counts(n)
+                yield pa.RecordBatch.from_arrays([pa.array(undealt(codes)), pa.array(n), pa.array(resolved(codes, p, head.value))], names=["key", "n", "p"])
 
-def scored_windows(counts: DataFrame, least: int = LEAST, gain: float = GAIN) -> tuple[DataFrame, str]:
-    """``probabilities``, and the table that it reads."""
     spark = counts.sparkSession
-    low = F.col("key").bitwiseAND(F.lit(low_bytes(HEAD)).cast("long"))
-    short = counts.groupBy(low.alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    prepare(spark)
+    bits = part_bits(spark)
+    path = write_scratch(summed(counts.select("key", "n").mapInArrow(run, PACKED), bits), "windows", free=True)
+    scored, short = scored_parts(spark.read.parquet(path), bits, least, gain)
+    head = spark.sparkContext.broadcast(short)
+    return spark.read.parquet(scored).select("codes", "n", "p").mapInArrow(flat, "key long, n long, p double")
+
+
+def scored_parts(parts: DataFrame, bits: int, least: int = LEAST, gain: float = GAIN) -> tuple[str, Tree]:
+    """The table of ``parts`` with the log10 probability of each window, NaN if no
+    context of ``HEAD`` bytes or more decides it; and the tree that gives the others."""
+    spark = parts.sparkSession
+
+    def shorter(batches):
+        for batch in batches:
+            for codes, n in zip(batch.column("codes").to_pylist(), batch.column("n").to_pylist()):
+                keys, n = counted(undealt(unpack(codes)) & low_bytes(HEAD), unpack_counts(n))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
+    short = parts.select("codes", "n").mapInArrow(shorter, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     short_key, short_n = short["key"].to_numpy(), short["n"].to_numpy()
-    every = build(short_key, short_n, 0, HEAD - 1, least, gain, cut_back=False)
-    shared = spark.sparkContext.broadcast(every)
+    shared = spark.sparkContext.broadcast(build(short_key, short_n, 0, HEAD - 1, least, gain, cut_back=False))
 
-    def scored(end: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    def scored(rows: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
         head = shared.value
+        codes, n = (np.concatenate([f(r[k]) for r in rows]) for k, f in ((1, unpack), (2, unpack_counts)))
+        key = undealt(codes)
         tree = build(key, n, HEAD, DEPTH, least, gain, below=head)
         p = np.log10(tree.probability(key, head.probability(key & low_bytes(HEAD))))
-        here = find(tree.contexts[0], end)[1]
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), pa.array(p, mask=~here)], names=["key", "n", "p"])
+        p[~find(tree.contexts[0], (key >> 8) & low_bytes(HEAD))[1]] = np.nan
+        needed = np.unique(tree.contexts[0] & low_bytes(HEAD - 1)).astype("<i8").tobytes()
+        cut = np.cumsum([0, *(len(r[1]) // (DEPTH + 1) for r in rows)]).tolist()
+        for i in range(0, len(rows), 64):
+            some = range(i, min(i + 64, len(rows)))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([rows[k][0] for k in some], pa.int32()), pa.array([rows[k][1] for k in some], pa.binary()),
+                pa.array([rows[k][2] for k in some], pa.binary()),
+                pa.array([p[cut[k]:cut[k + 1]].astype("<f8").tobytes() for k in some], pa.binary()),
+                pa.array([b"" if k else needed for k in some], pa.binary())], names=["part", "codes", "n", "p", "needed"])
 
     def run(batches):
-        parts: list[list[np.ndarray]] = []
+        rows, held = [], 0
         for batch in batches:
-            parts.append([batch.column(c).to_numpy() for c in ("end", "key", "n")])
-            if sum(len(x[0]) for x in parts) > CHUNK:
-                end, key, n = map(np.concatenate, zip(*parts))
-                cut = int(np.searchsorted(end, end[-1]))  # the last end may go on
-                if cut:
-                    yield scored(end[:cut], key[:cut], n[:cut])
-                parts = [[end[cut:], key[cut:], n[cut:]]]
-        if parts:
-            yield scored(*map(np.concatenate, zip(*parts)))
+            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "codes", "n"))):
+                rows.append(row)
+                held += len(row[1]) // (DEPTH + 1)
+                if held > GROWN:
+                    yield from scored(rows)
+                    rows, held = [], 0
+        if rows:
+            yield from scored(rows)
+
+    def contexts(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(b"".join(batch.column("needed").to_pylist()), "<i8")))], names=["context"])
 
-    end = F.shiftright("key", 8).bitwiseAND(F.lit(low_bytes(HEAD)).cast("long"))
-    dealt = counts.select(end.alias("end"), "key", "n").repartition("end").sortWithinPartitions("end")
-    path = write_scratch(dealt.mapInArrow(run, "key long, n long, p double"), "scored", free=True)
-    long = spark.read.parquet(path)
+    path = write_scratch(parts.mapInArrow(run, PACKED + ", p binary, needed binary"), "probabilities", free=True)
     # a short context that did not pass stays if a longer one needs it
-    needed = long.where("p is not null").select(
-        F.shiftright("key", 8).bitwiseAND(F.lit(low_bytes(HEAD - 1)).cast("long")).alias("context")).distinct().toArrow()
-    head = build(short_key, short_n, 0, HEAD - 1, least, gain, stay=needed["context"].to_numpy())
-    table = spark.createDataFrame(pa.table({"low": short_key, "short": np.log10(head.probability(short_key))}))
-    return (long.join(table, low == F.col("low"), "left")
-            .select("key", "n", F.coalesce("p", "short").alias("p"))), path
+    needed = spark.read.parquet(path).select("needed").mapInArrow(contexts, "context long").distinct().toArrow()
+    return path, build(short_key, short_n, 0, HEAD - 1, least, gain, stay=needed["context"].to_numpy())
+
+
+def resolved(codes: np.ndarray, p: bytes, head: Tree) -> np.ndarray:
+    """The log10 probabilities of a row's windows, with those that the short contexts give."""
+    p = np.frombuffer(p, "<f8").astype(np.float64)
+    none = np.flatnonzero(np.isnan(p))
+    p[none] = np.log10(head.probability(undealt(codes[none]) & low_bytes(HEAD)))
+    return p
 
 
 class Scores:
@@ -275,45 +461,40 @@ def text_scores(raw: list[bytes], scores: Scores) -> np.ndarray:
     return out
 
 
-class Frequent:
-    """log10 probabilities of some windows, found by a hashed guess, and by binary
-    search where two windows share a slot."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.bits = max(8, len(keys).bit_length() + 1)
-        self.guess = np.zeros(1 << self.bits, np.int32)
-        self.guess[self.slot(keys)] = np.arange(len(keys), dtype=np.int32)
-
-    def slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
-
-    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The values, and which windows have one."""
-        if not len(self.keys):
-            return np.zeros(len(keys)), np.zeros(len(keys), bool)
-        at = self.guess[self.slot(keys)]
-        found = self.keys[at] == keys
-        wrong = np.flatnonzero(~found)
-        at[wrong], found[wrong] = find(self.keys, keys[wrong])
-        return self.values[at], found
-
+def frequent(windows: DataFrame, most: int, head) -> tuple[np.ndarray, np.ndarray]:
+    """The codes, sorted, and the log10 probabilities of the windows with some count
+    or more: at most ``most``.  ``head`` is the broadcast tree of the short contexts."""
+    def sizes(batches):
+        for batch in batches:
+            n = np.concatenate([np.zeros(0, np.int64), *map(unpack_counts, batch.column("n").to_pylist())])
+            size, times = np.unique(np.frexp(n[n > 0].astype(np.float64))[1].astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(times.astype(np.int64))], names=["size", "n"])
 
-def frequent(windows: DataFrame, most: int) -> tuple[int, DataFrame]:
-    """A count, and the windows with at least that count: at most ``most``."""
-    by_size = {r.size: r.n for r in windows.where("n > 0").groupBy(F.length(F.bin("n")).alias("size"))
-               .agg(F.count("*").alias("n")).collect()}
+    def often(batches):
+        for batch in batches:
+            for codes, n, p in zip(*(batch.column(c).to_pylist() for c in ("codes", "n", "p"))):
+                n = unpack_counts(n)
+                if len(n) and n.max() >= least:
+                    codes = unpack(codes)
+                    here = n >= least
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(codes[here]), pa.array(resolved(codes[here], np.frombuffer(p, "<f8")[here].tobytes(), head.value))], names=["code", "p"])
+
+    by_size = {r.size: r.n for r in windows.select("n").mapInArrow(sizes, "size long, n long").groupBy("size").agg(F.sum("n").alias("n")).collect()}
     size = 65
     while size > 1 and sum(n for s, n in by_size.items() if s >= size - 1) <= most:
         size -= 1
     least = 1 << min(size - 1, 62)
-    return least, windows.where(F.col("n") >= least)
+    got = windows.select("codes", "n", "p").mapInArrow(often, "code long, p double").toArrow().sort_by("code")
+    return got["code"].to_numpy(), got["p"].to_numpy()
 
 
 # ----------------------------------------------------------- texts and words
 #: ``texts`` has a block's texts as an Arrow stream: a nested column costs the
-#: conversion of every row, also where it is null.
-WORD_ROWS = "block long, word binary, n long, wide boolean, places binary, texts binary"
+#: conversion of every row, also where it is null.  ``part`` and what follows are a
+#: block's windows of a part, the number of the text of each, and how often it is there.
+WORD_ROWS = ("block long, word binary, n long, wide boolean, places binary, texts binary, "
+             "part int, codes binary, at binary, times binary")
 
 
 def places_of(item: np.ndarray, text: np.ndarray, n: np.ndarray, size: int) -> tuple[bool, pa.Array]:
@@ -326,17 +507,23 @@ def places_of(item: np.ndarray, text: np.ndarray, n: np.ndarray, size: int) -> t
         None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(place.tobytes())])
 
 
-def window_names(keys: np.ndarray) -> pa.Array:
-    """Windows in the column of words: no word begins with spaces."""
-    name = np.full((len(keys), 10), 32, np.uint8)
-    name[:, 2:] = keys.astype(">i8").view(np.uint8).reshape(-1, 8)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(keys), [
-        None, pa.py_buffer((np.arange(len(keys) + 1, dtype=np.int32) * 10).tobytes()), pa.py_buffer(name.tobytes())])
+def chunk_pairs(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct (code, text) of chunks of texts, sorted, and how often each is there."""
+    for a in range(0, len(raw), NUMBERED):
+        for keys, text in streams(raw[a:a + NUMBERED]):
+            both = dealt(keys)
+            both <<= 8
+            both |= text
+            both = both.view(np.uint64)  # all 64 bits are in use
+            both.sort()
+            cut, n = runs(both)
+            both = both[cut]
+            yield (both >> np.uint64(8)).view(np.int64), (both & np.uint64(255)).view(np.int64) + a, n
 
 
-def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
-    """Rows (block, word or window, training count, places), windows only if they
-    are not among the frequent ones, and one row a block with its texts and their
+def word_rows(rows: DataFrame, broadcast, id_type: str, bits: int) -> DataFrame:
+    """Rows (block, word, training count, places), rows (block, part) with the windows
+    that are not among the frequent ones, and one row a block with its texts and their
     scores by the frequent windows.  A block's number is its task's and its place
     in the task, the same whenever the task runs."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -345,39 +532,52 @@ def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
     schema = to_arrow_schema(_parse_datatype_string(WORD_ROWS))
     id_arrow = to_arrow_schema(_parse_datatype_string(f"doc_id {id_type}")).field(0).type
 
+    def words(block: pa.RecordBatch, number: int, held: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
+        n_texts = block.num_rows
+        flat, counts = words_of(block, lower=True)
+        coded = flat.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        size = len(coded.dictionary)
+        # every text also has one end, the word after the last
+        pair, n = counted(np.concatenate((codes * n_texts + np.repeat(np.arange(n_texts), counts),
+                                          size * n_texts + np.arange(n_texts))))
+        word, text = np.divmod(pair, n_texts)
+        wide, places = places_of(word, text, n, size + 1)
+        learned = np.bincount(word, weights=n * ~held[text], minlength=size + 1).astype(np.int64)
+        names = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b"\n"], pa.binary())])
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(size + 1, number)), names, pa.array(learned), pa.array(np.full(size + 1, wide)), places,
+            *(pa.nulls(size + 1, f.type) for f in list(schema)[5:])], schema=schema), counts
+
+    def windows(block: pa.RecordBatch, number: int) -> tuple[list[pa.RecordBatch], np.ndarray]:
+        known, values = broadcast.value
+        score = np.zeros(block.num_rows)
+        rare = [(np.zeros(0, np.int64),) * 3]
+        for codes, text, n in chunk_pairs(texts(block)):
+            cut, times = runs(codes)
+            at, found = find(known, codes[cut])
+            value = np.where(found, values[at], 0.0) if len(known) else np.zeros(len(cut))
+            score += np.bincount(text, weights=n * np.repeat(value, times), minlength=len(score))
+            left = np.repeat(~found, times)
+            rare.append((codes[left], text[left], n[left]))
+        codes, text, n = map(np.concatenate, zip(*rare))
+        order = np.argsort(codes, kind="stable")
+        codes, text, n = codes[order], text[order], n[order]
+        parts = [(k, pack(codes[a:b]), pack_counts(text[a:b]), pack_counts(n[a:b])) for k, a, b in by_part(codes, bits)]
+        return [pa.RecordBatch.from_arrays([
+            pa.array([number] * len(some), pa.int64()), *(pa.nulls(len(some), f.type) for f in list(schema)[1:6]),
+            *(pa.array(c, f.type) for c, f in zip(zip(*some), list(schema)[6:]))], schema=schema)
+            for some in (parts[a:a + 64] for a in range(0, len(parts), 64))], score
+
     def run(batches):
-        known = Frequent(*broadcast.value)
         for k, block in enumerate(blocks(batches, "text", BLOCK)):
             number = (TaskContext.get().partitionId() << 32) | k
-            flat, counts = words_of(block, lower=True)
-            coded = flat.dictionary_encode()
-            n_texts, held = block.num_rows, np.array(block.column("held_out").to_pylist(), bool)
-            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            size = len(coded.dictionary)
-            # every text also has one end, the word after the last
-            pair, n = counted(np.concatenate((codes * n_texts + np.repeat(np.arange(n_texts), counts),
-                                              size * n_texts + np.arange(n_texts))))
-            word, text = np.divmod(pair, n_texts)
-            wide, places = places_of(word, text, n, size + 1)
-            learned = np.bincount(word, weights=n * ~held[text], minlength=size + 1).astype(np.int64)
-            words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b"\n"], pa.binary())])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(size + 1, number)), words, pa.array(learned), pa.array(np.full(size + 1, wide)), places,
-                pa.nulls(size + 1, pa.binary())], schema=schema)
-            score = np.zeros(n_texts)
-            for keys, text in streams(texts(block)):
-                values, found = known.of(keys)
-                score += np.bincount(text[found], weights=values[found], minlength=n_texts)
-                keys, text = keys[~found], text[~found]
-                order = np.lexsort((text, keys))
-                keys, text = keys[order], text[order]
-                new = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
-                pair = np.flatnonzero(new | np.append(True, text[1:] != text[:-1])[:len(keys)])
-                m = int(new.sum())
-                wide, places = places_of((np.cumsum(new) - 1)[pair], text[pair], np.diff(np.append(pair, len(keys))), m)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m, number)), window_names(keys[new]), pa.array(np.zeros(m, np.int64)),
-                    pa.array(np.full(m, wide)), places, pa.nulls(m, pa.binary())], schema=schema)
+            held = np.array(block.column("held_out").to_pylist(), bool)
+            batch, counts = words(block, number, held)
+            yield batch
+            del batch
+            rows, score = windows(block, number)
+            yield from rows
             own = pa.record_batch({"doc_id": block.column("doc_id").cast(id_arrow), "held_out": pa.array(held),
                                    "n_tokens": pa.array(counts + 1), "score": pa.array(score)})
             stream = pa.BufferOutputStream()
@@ -385,28 +585,67 @@ def word_rows(rows: DataFrame, broadcast, id_type: str) -> DataFrame:
                 out.write_batch(own)
             # no word has a space, so this row meets no total and is dealt by its block
             yield pa.RecordBatch.from_arrays([
-                pa.array([number]), pa.array([f" {number}".encode()], pa.binary()), pa.array([0]), pa.array([wide]),
-                pa.array([b""], pa.binary()), pa.array([stream.getvalue().to_pybytes()], pa.binary())], schema=schema)
+                pa.array([number]), pa.array([f" {number}".encode()], pa.binary()), pa.array([0]), pa.array([False]),
+                pa.array([b""], pa.binary()), pa.array([stream.getvalue().to_pybytes()], pa.binary()),
+                *(pa.nulls(1, f.type) for f in list(schema)[6:])], schema=schema)
 
     return rows.mapInArrow(run, WORD_ROWS)
 
 
+def part_sums(words: DataFrame, windows: DataFrame, head) -> DataFrame:
+    """(block, numbers of texts, sums): of the log10 probabilities of the windows that
+    blocks have emitted.  A part's windows come first, then its blocks, one by one."""
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+
+        def out():
+            rows = [(k, at, x[at]) for k, x in held.items() for at in [np.flatnonzero(x)]]
+            held.clear()
+            for a in range(0, len(rows), 64):
+                k, at, x = zip(*rows[a:a + 64])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(k, pa.int64()), pa.array([v.astype("<u4").tobytes() for v in at], pa.binary()),
+                    pa.array([v.astype("<f8").tobytes() for v in x], pa.binary())], names=["block", "places", "sums"])
+
+        part, known, value = None, np.zeros(0, np.int64), np.zeros(0)
+        for batch in batches:
+            for k, block, codes, at, times, p in zip(*(batch.column(c) for c in ("part", "block", "codes", "at", "times", "p"))):
+                codes = unpack(codes.as_py())
+                if p.is_valid:
+                    part, known, value = k.as_py(), codes, resolved(codes, p.as_py(), head.value)
+                    continue
+                place, found = find(known, codes)
+                if k.as_py() != part or not found.all():
+                    raise ValueError("a text has windows that were not counted: the documents have changed between two reads")
+                sums = np.bincount(unpack_counts(at.as_py()), weights=unpack_counts(times.as_py()) * value[place])
+                old = held.get(block.as_py(), np.zeros(0))
+                long, short = (sums, old) if len(sums) > len(old) else (old, sums)
+                long[:len(short)] += short
+                held[block.as_py()] = long
+            if sum(map(len, held.values())) > HELD:
+                yield from out()
+        yield from out()
+
+    rows = words.where("part is not null").select("part", "block", "codes", "at", "times", F.lit(None).cast("binary").alias("p"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("block", "long"), ("at", "binary"), ("times", "binary"))]
+    return (rows.unionByName(windows.select("part", "codes", "p", *none)).repartition("part").sortWithinPartitions("part", "block")
+            .mapInArrow(run, "block long, places binary, sums binary"))
+
+
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document, learned from those that are not ``held_out`` (a
     condition on doc_id)."""
     spark = docs.sparkSession
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     rows = id_text(docs, doc_id, text).select("doc_id", "text", held)
-    counted_path = write_scratch(window_counts(rows), "windows", free=True)
-    scored, scored_path = scored_windows(spark.read.parquet(counted_path))
-    windows = spark.read.parquet(write_scratch(scored, "probabilities", free=True))
-    for path in (counted_path, scored_path):  # read for the last time
-        drop_scratch(spark, path)
-    least, often = frequent(windows, HELD)
-    often = often.select("key", "p").toArrow().sort_by("key")
-    known = spark.sparkContext.broadcast((often["key"].to_numpy(), often["p"].to_numpy()))
+    bits = part_bits(spark)
+    counted_path = write_scratch(summed(window_rows(rows, bits), bits), "windows", free=True)
+    scored_path, short = scored_parts(spark.read.parquet(counted_path), bits)
+    drop_scratch(spark, counted_path)  # read for the last time
+    windows, head = spark.read.parquet(scored_path), spark.sparkContext.broadcast(short)
+    known = spark.sparkContext.broadcast(frequent(windows, HELD, head))
     id_type = docs.schema[doc_id].dataType.simpleString()
-    words = spark.read.parquet(write_scratch(word_rows(rows, known, id_type), "words", free=True))
+    words = spark.read.parquet(write_scratch(word_rows(rows, known, id_type, bits), "words", free=True))
     totals = spark.read.parquet(write_scratch(
         words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "totals", free=True))
     size = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -416,8 +655,12 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     def meet(t: pa.Table) -> pa.Table:
         own = pa.ipc.open_stream(pc.drop_null(t.column("texts"))[0].as_buffer()).read_all()
         t = t.filter(pc.is_null(t.column("texts")))
+        sums = t.filter(pc.is_valid(t.column("sums")))
+        t = t.filter(pc.is_null(t.column("sums")))
         base, known = np.zeros(own.num_rows), np.zeros(own.num_rows, np.int64)
-        score = own.column("score").to_numpy().copy()
+        score = own.column("score").to_numpy() + np.bincount(
+            np.frombuffer(b"".join(sums.column("places").to_pylist()), "<u4"),
+            weights=np.frombuffer(b"".join(sums.column("sums").to_pylist()), "<f8"), minlength=own.num_rows)
         for wide in (False, True):
             part = t.filter(pc.equal(t.column("wide"), wide)).combine_chunks()
             if not part.num_rows:
@@ -426,20 +669,18 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             place = np.frombuffer(b"".join(part.column("places").to_pylist()), np.uint32 if wide else np.uint16).reshape(-1, 2)
             size = size // (2 * place.itemsize)
             c = np.repeat(pc.fill_null(part.column("c"), 0).to_numpy(), size)
-            p = np.repeat(pc.fill_null(part.column("p"), np.nan).to_numpy(), size)
-            text, n, window = place[:, 0].astype(np.int64), place[:, 1], ~np.isnan(p)
-            base += np.bincount(text, weights=np.where(window, 0, n * np.log10(c + 1)), minlength=own.num_rows)
-            known += np.bincount(text, weights=n * ((c > 0) & ~window), minlength=own.num_rows).astype(np.int64)
-            score += np.bincount(text, weights=np.where(window, n * p, 0), minlength=own.num_rows)
+            text, n = place[:, 0].astype(np.int64), place[:, 1]
+            base += np.bincount(text, weights=n * np.log10(c + 1), minlength=own.num_rows)
+            known += np.bincount(text, weights=n * (c > 0), minlength=own.num_rows).astype(np.int64)
         tokens = own.column("n_tokens").to_numpy()
         return pa.table({
             "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": tokens, "n_known": known,
             "train_tokens": np.full(own.num_rows, n_all), "base_score": base - tokens * np.log10(n_all + v_all + 1),
             "score": score})
 
-    name = F.concat(F.lit(b"  "), F.unhex(F.lpad(F.hex("key"), 16, "0")))
-    rare = windows.where(F.col("n") < least).select(name.alias("word"), F.lit(None).cast("long").alias("c"), "p")
-    totals = totals.select("word", "c", F.lit(None).cast("double").alias("p")).unionByName(rare)
-    # totals have one row a word or window, so the parts of them that are built into tables are even
-    return (words.join(totals.hint("shuffle_hash"), "word", "left").select("block", "wide", "places", "texts", "c", "p")
-            .groupBy("block").applyInArrow(meet, out))
+    # totals have one row a word, so the parts of them that are built into tables are even
+    found = (words.where("part is null").select("block", "word", "wide", "places", "texts").join(totals.hint("shuffle_hash"), "word", "left")
+             .select("block", "wide", "places", "texts", "c", F.lit(None).cast("binary").alias("sums")))
+    sums = part_sums(words, windows, head).select(
+        "block", F.lit(False).alias("wide"), "places", F.lit(None).cast("binary").alias("texts"), F.lit(None).cast("long").alias("c"), "sums")
+    return found.unionByName(sums).groupBy("block").applyInArrow(meet, out)

@@ -531,6 +531,46 @@ def test_suffix_lm_rare_contexts(spark, monkeypatch, held):
     assert [p[k] for k in keys.tolist()] == pytest.approx(list(suffix_lm.Scores(suffix_lm.grow(more)).of(keys)))
 
 
+def test_suffix_lm_parts():
+    """Windows keep their bytes through a part's packed rows, whatever their first and last bytes."""
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.append(rng.integers(0, 1 << 56, 5000), [0, 1, (1 << 56) - 1]))
+    codes = np.sort(suffix_lm.dealt(keys))
+    assert codes.min() >= 0 and len(np.unique(codes)) == len(keys)
+    assert np.array_equal(np.sort(suffix_lm.undealt(suffix_lm.unpack(suffix_lm.pack(codes)))), keys)
+    end = lambda c: (suffix_lm.undealt(c) >> 8) & suffix_lm.low_bytes(suffix_lm.HEAD)
+    parts = list(suffix_lm.by_part(codes, 6))
+    assert sum(b - a for _, a, b in parts) == len(codes) and len({k for k, _, _ in parts}) == len(parts) <= 64
+    ends = [set(end(codes[a:b]).tolist()) for _, a, b in parts]
+    assert sum(map(len, ends)) == len(set().union(*ends))
+    for n in ([], [0], [255, 256], [1 << 16, 3], [1 << 40, (1 << 62)]):
+        assert suffix_lm.unpack_counts(suffix_lm.pack_counts(np.array(n, np.int64))).tolist() == n
+
+
+@pytest.mark.parametrize("held", [2 << 20, 3])
+def test_suffix_lm_one_row_a_part(spark, monkeypatch, held):
+    """Blocks emit windows by part, not one by one; with more texts than a chunk numbers
+    and a text longer than a chunk, texts score as by the whole tree."""
+    from forecourt import session
+
+    monkeypatch.setattr(suffix_lm, "HELD", held)
+    rng = np.random.default_rng(5)
+    names = ["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(400)]
+    texts = [" ".join(rng.choice(names, 12)) for _ in range(700)] + [" ".join(rng.choice(names, 100_000)), "\xff\u00ff \U0010ffff"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = docs.select("doc_id", "text", (F.col("doc_id") % 7 == 2).alias("held_out"))
+    want = suffix_lm.text_scores([t.encode() for t in texts], suffix_lm.Scores(suffix_lm.grow(suffix_lm.window_counts(rows))))
+    folder = session.scratch_path(spark, "tables")
+    before = set(session.list_names(spark, folder))
+    got = {r.doc_id: r.score for r in suffix_lm.score(docs, F.col("doc_id") % 7 == 2).collect()}
+    assert [got[k] for k in range(len(texts))] == pytest.approx(list(want))
+    new, = (x for x in session.list_names(spark, folder) if x not in before and x.startswith("words-"))
+    words = spark.read.parquet(f"{folder}/{new}")
+    # a row for each distinct word, the end and the block's texts; windows: one for each part
+    assert words.where("part is null").count() <= len(names) + 4
+    assert words.where("part is not null").count() <= 1 << suffix_lm.part_bits(spark)
+
+
 def test_suffix_lm_six_bytes(spark):
     """The sixth byte before a symbol decides where five are the same."""
     few = spark.createDataFrame([(k, t) for k, t in enumerate(["xabcdep", "yabcdeq"] * 30)], "doc_id long, text string")
