@@ -24,7 +24,7 @@ the training texts), are too many for a broadcast.  Blocks of texts emit a row f
 each part that they have other windows of, and the part sums their log probabilities
 by text; they emit a row for each distinct word with the texts it occurs in, and
 these meet the totals in a join (a frequent word has one row a block and its rows
-can be split).  Both come back to their block, where the texts' sums are taken.
+can be split).  Of both only the sums that a task has of a text come back to its block.
 
 * null or empty text: the end symbol only; null id: never held out.
 * repeated rows: each is learned from and scored.
@@ -583,30 +583,47 @@ def word_rows(rows: DataFrame, broadcast, id_type: str, bits: int) -> DataFrame:
             stream = pa.BufferOutputStream()
             with pa.ipc.new_stream(stream, own.schema) as out:
                 out.write_batch(own)
-            # no word has a space, so this row meets no total and is dealt by its block
             yield pa.RecordBatch.from_arrays([
-                pa.array([number]), pa.array([f" {number}".encode()], pa.binary()), pa.array([0]), pa.array([False]),
-                pa.array([b""], pa.binary()), pa.array([stream.getvalue().to_pybytes()], pa.binary()),
+                pa.array([number]), pa.nulls(1, pa.binary()), pa.array([0]), pa.array([False]), pa.nulls(1, pa.binary()),
+                pa.array([stream.getvalue().to_pybytes()], pa.binary()),
                 *(pa.nulls(1, f.type) for f in list(schema)[6:])], schema=schema)
 
     return rows.mapInArrow(run, WORD_ROWS)
 
 
+#: Sums that a task has of a block's texts: their numbers, the sums of log10 values,
+#: and for words how many are known.
+SUMS = "block long, places binary, sums binary, known binary"
+
+
+def add(held: dict[int, np.ndarray], block: int, sums: np.ndarray) -> None:
+    """Add to a block's sums, a column for each of its first texts."""
+    old = held.get(block)
+    if old is not None:
+        long, short = (sums, old) if sums.shape[1] > old.shape[1] else (old, sums)
+        long[:, :short.shape[1]] += short
+        sums = long
+    held[block] = sums
+
+
+def sum_rows(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows of the sums that are not zero; ``held`` is emptied."""
+    rows = [(k, at, x[:, at]) for k, x in held.items() for at in [np.flatnonzero(x.any(axis=0))]]
+    held.clear()
+    for a in range(0, len(rows), 64):
+        k, at, x = zip(*rows[a:a + 64])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(k, pa.int64()), pa.array([v.astype("<u4").tobytes() for v in at], pa.binary()),
+            pa.array([v[0].astype("<f8").tobytes() for v in x], pa.binary()),
+            pa.array([pack_counts(v[1].astype(np.int64)) if len(v) > 1 else None for v in x], pa.binary())],
+            names=["block", "places", "sums", "known"])
+
+
 def part_sums(words: DataFrame, windows: DataFrame, head) -> DataFrame:
-    """(block, numbers of texts, sums): of the log10 probabilities of the windows that
-    blocks have emitted.  A part's windows come first, then its blocks, one by one."""
+    """Sums of the log10 probabilities of the windows that blocks have emitted.  A
+    part's windows come first, then its blocks, one by one."""
     def run(batches):
         held: dict[int, np.ndarray] = {}
-
-        def out():
-            rows = [(k, at, x[at]) for k, x in held.items() for at in [np.flatnonzero(x)]]
-            held.clear()
-            for a in range(0, len(rows), 64):
-                k, at, x = zip(*rows[a:a + 64])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(k, pa.int64()), pa.array([v.astype("<u4").tobytes() for v in at], pa.binary()),
-                    pa.array([v.astype("<f8").tobytes() for v in x], pa.binary())], names=["block", "places", "sums"])
-
         part, known, value = None, np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
             for k, block, codes, at, times, p in zip(*(batch.column(c) for c in ("part", "block", "codes", "at", "times", "p"))):
@@ -617,19 +634,52 @@ def part_sums(words: DataFrame, windows: DataFrame, head) -> DataFrame:
                 place, found = find(known, codes)
                 if k.as_py() != part or not found.all():
                     raise ValueError("a text has windows that were not counted: the documents have changed between two reads")
-                sums = np.bincount(unpack_counts(at.as_py()), weights=unpack_counts(times.as_py()) * value[place])
-                old = held.get(block.as_py(), np.zeros(0))
-                long, short = (sums, old) if len(sums) > len(old) else (old, sums)
-                long[:len(short)] += short
-                held[block.as_py()] = long
-            if sum(map(len, held.values())) > HELD:
-                yield from out()
-        yield from out()
+                add(held, block.as_py(), np.bincount(unpack_counts(at.as_py()), weights=unpack_counts(times.as_py()) * value[place])[None])
+            if sum(x.size for x in held.values()) > HELD:
+                yield from sum_rows(held)
+        yield from sum_rows(held)
 
     rows = words.where("part is not null").select("part", "block", "codes", "at", "times", F.lit(None).cast("binary").alias("p"))
     none = [F.lit(None).cast(t).alias(c) for c, t in (("block", "long"), ("at", "binary"), ("times", "binary"))]
     return (rows.unionByName(windows.select("part", "codes", "p", *none)).repartition("part").sortWithinPartitions("part", "block")
-            .mapInArrow(run, "block long, places binary, sums binary"))
+            .mapInArrow(run, SUMS))
+
+
+def word_sums(rows: DataFrame) -> DataFrame:
+    """Sums of the log10 counts of words, of ``rows`` with their totals ``c``."""
+    def sums(t: pa.Table, held: dict[int, np.ndarray]) -> None:
+        for wide in (False, True):
+            part = t.filter(pc.equal(t.column("wide"), wide)).sort_by("block").combine_chunks()
+            if not part.num_rows:
+                continue
+            size = pc.binary_length(part.column("places")).to_numpy()
+            place = np.frombuffer(b"".join(part.column("places").to_pylist()), np.uint32 if wide else np.uint16).reshape(-1, 2)
+            size = size // (2 * place.itemsize)
+            c = np.repeat(pc.fill_null(part.column("c"), 0).to_numpy(), size)
+            text, n = place[:, 0].astype(np.int64), place[:, 1]
+            both = n * np.log10(c + 1), n * (c > 0)
+            block = part.column("block").to_numpy()
+            cut, _ = runs(block)
+            ends = np.concatenate(([0], np.cumsum(size)))[np.append(cut, len(block))].tolist()
+            for k, a, b in zip(block[cut].tolist(), ends, ends[1:]):
+                if b > a:
+                    add(held, k, np.stack([np.bincount(text[a:b], weights=x[a:b]) for x in both]))
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        parts: list[pa.RecordBatch] = []
+        for batch in batches:
+            parts.append(batch)
+            if sum(x.nbytes for x in parts) > BLOCK:
+                sums(pa.Table.from_batches(parts), held)
+                parts = []
+                if sum(x.size for x in held.values()) > HELD:
+                    yield from sum_rows(held)
+        if parts:
+            sums(pa.Table.from_batches(parts), held)
+        yield from sum_rows(held)
+
+    return rows.select("block", "wide", "places", "c").mapInArrow(run, SUMS)
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -654,33 +704,24 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     def meet(t: pa.Table) -> pa.Table:
         own = pa.ipc.open_stream(pc.drop_null(t.column("texts"))[0].as_buffer()).read_all()
-        t = t.filter(pc.is_null(t.column("texts")))
-        sums = t.filter(pc.is_valid(t.column("sums")))
-        t = t.filter(pc.is_null(t.column("sums")))
-        base, known = np.zeros(own.num_rows), np.zeros(own.num_rows, np.int64)
-        score = own.column("score").to_numpy() + np.bincount(
-            np.frombuffer(b"".join(sums.column("places").to_pylist()), "<u4"),
-            weights=np.frombuffer(b"".join(sums.column("sums").to_pylist()), "<f8"), minlength=own.num_rows)
-        for wide in (False, True):
-            part = t.filter(pc.equal(t.column("wide"), wide)).combine_chunks()
-            if not part.num_rows:
+        base, known, score = np.zeros(own.num_rows), np.zeros(own.num_rows), own.column("score").to_numpy().copy()
+        for at, x, n in zip(*(t.column(c).to_pylist() for c in ("places", "sums", "known"))):
+            if at is None:
                 continue
-            size = pc.binary_length(part.column("places")).to_numpy()
-            place = np.frombuffer(b"".join(part.column("places").to_pylist()), np.uint32 if wide else np.uint16).reshape(-1, 2)
-            size = size // (2 * place.itemsize)
-            c = np.repeat(pc.fill_null(part.column("c"), 0).to_numpy(), size)
-            text, n = place[:, 0].astype(np.int64), place[:, 1]
-            base += np.bincount(text, weights=n * np.log10(c + 1), minlength=own.num_rows)
-            known += np.bincount(text, weights=n * (c > 0), minlength=own.num_rows).astype(np.int64)
+            at, x = np.frombuffer(at, "<u4"), np.frombuffer(x, "<f8")
+            if n is None:
+                score[at] += x
+            else:
+                base[at] += x
+                known[at] += unpack_counts(n)
         tokens = own.column("n_tokens").to_numpy()
         return pa.table({
-            "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": tokens, "n_known": known,
+            "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": tokens, "n_known": known.astype(np.int64),
             "train_tokens": np.full(own.num_rows, n_all), "base_score": base - tokens * np.log10(n_all + v_all + 1),
             "score": score})
 
     # totals have one row a word, so the parts of them that are built into tables are even
-    found = (words.where("part is null").select("block", "word", "wide", "places", "texts").join(totals.hint("shuffle_hash"), "word", "left")
-             .select("block", "wide", "places", "texts", "c", F.lit(None).cast("binary").alias("sums")))
-    sums = part_sums(words, windows, head).select(
-        "block", F.lit(False).alias("wide"), "places", F.lit(None).cast("binary").alias("texts"), F.lit(None).cast("long").alias("c"), "sums")
-    return found.unionByName(sums).groupBy("block").applyInArrow(meet, out)
+    found = words.where("part is null and texts is null").select("block", "word", "wide", "places").join(totals.hint("shuffle_hash"), "word", "left")
+    sums = word_sums(found).unionByName(part_sums(words, windows, head)).withColumn("texts", F.lit(None).cast("binary"))
+    own = words.where("texts is not null").select("block", *(F.lit(None).cast("binary").alias(c) for c in ("places", "sums", "known")), "texts")
+    return own.unionByName(sums).groupBy("block").applyInArrow(meet, out)

@@ -571,6 +571,27 @@ def test_suffix_lm_one_row_a_part(spark, monkeypatch, held):
     assert words.where("part is not null").count() <= 1 << suffix_lm.part_bits(spark)
 
 
+def test_suffix_lm_word_sums(spark):
+    """A task gives one row for each block, whatever the number of its words."""
+    rng = np.random.default_rng(9)
+    rows, base, known = [], collections.Counter(), collections.Counter()
+    for block, wide, n_texts in ((7, False, 40), (1 << 40, True, 70_000)):
+        for _ in range(3000):
+            texts, c = np.unique(rng.integers(0, n_texts, 3)), int(rng.integers(0, 5))
+            n = rng.integers(1, 9, len(texts))
+            rows.append((block, wide, bytearray(np.stack((texts, n), axis=1).astype(np.uint32 if wide else np.uint16).tobytes()), c or None))
+            for t, m in zip(texts.tolist(), n.tolist()):
+                base[block, t] += m * np.log10(c + 1)
+                known[block, t] += m * (c > 0)
+    got = suffix_lm.word_sums(spark.createDataFrame(rows, "block long, wide boolean, places binary, c long").coalesce(1)).collect()
+    assert sorted(r.block for r in got) == [7, 1 << 40]
+    for r in got:
+        at = np.frombuffer(r.places, "<u4").tolist()
+        assert set(at) == {t for (b, t), x in base.items() if b == r.block and x}
+        assert np.frombuffer(r.sums, "<f8").tolist() == pytest.approx([base[r.block, t] for t in at])
+        assert suffix_lm.unpack_counts(bytes(r.known)).tolist() == [known[r.block, t] for t in at]
+
+
 def test_suffix_lm_six_bytes(spark):
     """The sixth byte before a symbol decides where five are the same."""
     few = spark.createDataFrame([(k, t) for k, t in enumerate(["xabcdep", "yabcdeq"] * 30)], "doc_id long, text string")
