@@ -238,15 +238,16 @@ def summed(rows: DataFrame, bits: int) -> DataFrame:
     """One row for each part, with the sums of the counts of its rows."""
     def run(batches):
         parts: list[tuple[np.ndarray, np.ndarray]] = []
-        last, held = None, 0
+        last, held, most = None, 0, 2 * GROWN
         for batch in batches:
             for k, codes, n in zip(*(batch.column(c).to_pylist() for c in ("part", "codes", "n"))):
                 if k != last and held > GROWN:  # the last part may go on
                     yield from packed(bits, *merged(parts))
-                    held = 0
-                elif held > 2 * GROWN:
+                    held, most = 0, 2 * GROWN
+                elif held > most:
                     parts = [merged(parts)]
-                    held = len(parts[0][0]) // 2
+                    held = len(parts[0][0])
+                    most = max(most, 2 * held)  # so that a large part is not sorted for each of its rows
                 last = k
                 parts.append((unpack(codes), unpack_counts(n)))
                 held += len(parts[-1][0])
@@ -376,6 +377,7 @@ def probabilities(counts: DataFrame, least: int = LEAST, gain: float = GAIN) ->
     bits = part_bits(spark)
     path = write_scratch(summed(counts.select("key", "n").mapInArrow(run, PACKED), bits), "windows", free=True)
     scored, short = scored_parts(spark.read.parquet(path), bits, least, gain)
+    drop_scratch(spark, path)
     head = spark.sparkContext.broadcast(short)
     return spark.read.parquet(scored).select("codes", "n", "p").mapInArrow(flat, "key long, n long, p double")
 

@@ -554,6 +554,8 @@ def test_suffix_lm_one_row_a_part(spark, monkeypatch, held):
     from forecourt import session
 
     monkeypatch.setattr(suffix_lm, "HELD", held)
+    if held < 100:
+        monkeypatch.setattr(suffix_lm, "GROWN", 50)
     rng = np.random.default_rng(5)
     names = ["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(400)]
     texts = [" ".join(rng.choice(names, 12)) for _ in range(700)] + [" ".join(rng.choice(names, 100_000)), "\xff\u00ff \U0010ffff"]
