@@ -358,3 +358,31 @@ def test_fuzzy_links_candidates_need_two_segments(spark):
     # a pair (i, j) of segments at each place once: a name of 12 characters is looked for 63 times, of its own length
     places = ER.probe_places(4)
     assert len(places) == len(set(places)) and sum(p[0] == 0 for p in places) == 63
+
+
+def test_signatures_reject_chance_candidates_and_no_pair(spark):
+    """The distance is taken behind the signatures' test, also where a caller adds a condition, and no pair within
+    tau edits is rejected: short and long texts, some not ASCII, changed at any place."""
+    import random
+    rnd = random.Random(7)
+    letters = "abcdefgh é漢1Q\u0000"
+    rows = []
+    for _ in range(1500):
+        a = "".join(rnd.choice(letters) for _ in range(rnd.choice([1, 3, 8, 12, 15, 16, 17, 19, 30])))
+        b = list(a)
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randint(0, len(b))
+            b[at:at + rnd.randint(0, 1)] = rnd.choice(["", rnd.choice(letters)])
+        rows.append(tuple(sorted((a, "".join(b)), key=len)))
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("d", F.length("b") - F.length("a"))
+    for tau in (1, 2, 3, 4):
+        near = df.where(F.levenshtein("a", "b") <= tau)
+        passed = ER.may_be_near(ER.signature(F.col("a")), ER.signature(F.col("b")), F.col("d"), tau)
+        assert near.count() > 300 and near.where(~passed).count() == 0
+    words = spark.createDataFrame([("".join(rnd.choice("abcdefghijklmnop") for _ in range(12)),) for _ in range(400)], "s string")
+    pairs = words.toDF("a").crossJoin(words.toDF("b")).where("a < b and substring(a, 1, 1) = substring(b, 1, 1)")
+    passed = ER.may_be_near(ER.signature(F.col("a")), ER.signature(F.col("b")), F.lit(0), 4)
+    assert pairs.where(passed).count() < pairs.count() / 20
+    names = spark.createDataFrame([(1, "X", "anna bell"), (2, "X", "anna bela")], "id long, blk string, s string")
+    plan = ER.fuzzy_links(names, "id", "blk", "s", 2).where("src <> dst")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("bit_count") < plan.index("levenshtein")
