@@ -148,3 +148,24 @@ def test_check_digit_of_odd_vins(spark):
 def test_check_digit_calls_no_function_per_character(spark):
     plan = spark.createDataFrame([("1",)], "c string").select(V.check_digit_ok(F.col("c")))._jdf.queryExecution().optimizedPlan().toString()
     assert "zip_with" not in plan and "split(" not in plan
+
+
+def test_numbers_are_trimmed_once_and_times_meet_few_patterns(spark):
+    from pyspark.sql import functions as F
+
+    from forecourt.functions import clean as C
+
+    rows = [(" NGN 1,234.50 ",), (" 1,234 ",), ("\t12,5 km ",), ("  ",), ("",), (None,), ("1 2",), (" ₦ 7",)]
+    df = spark.createDataFrame(rows, "x string")
+    got = [r[0] for r in df.select(C.clean_numeric("x")).collect()]
+    assert got == ["1234.50", "1234", "12.5", None, None, None, "1 2", "7"]
+    plan = df.select(C.clean_numeric("x").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 1
+    times = ["1700000000000", "1700000000000\n", "1700000000000\r\n", "170000000000", "17000000000000", "05/03/2024", "05/03/2024 10:00", "5/3/2024",
+             "2024-03-05", "2024-03-05 10:11:12", " 2024-03-05", "2024-13-05", "20240305-1", "ab-cd", "", None]
+    t = spark.createDataFrame([(x,) for x in times], "x string")
+    x = F.col("x")
+    plain = (F.when(x.rlike(r"^\d{13}$"), F.timestamp_millis(x.try_cast("bigint")).cast("timestamp_ntz"))
+             .when(x.rlike(r"^\d{2}/\d{2}/\d{4}"), F.try_to_timestamp(x, F.lit("dd/MM/yyyy")).cast("timestamp_ntz"))
+             .when(x.rlike(r"^\d{4}-\d{2}-\d{2}"), x.try_cast("timestamp_ntz")))
+    assert [r[0] for r in t.select(C.parse_ts("x")).collect()] == [r[0] for r in t.select(plain).collect()]

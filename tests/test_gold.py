@@ -189,3 +189,11 @@ def test_a_legacy_id_listed_twice(spark):
     wo = spark.createDataFrame([wo_row("WO-000001", "2024-03-01 10:59:00")], ",".join(f"{c} string" for c in WO_COLS))
     migration = spark.createDataFrame([("C1", "CUST-2"), ("C1", "CUST-1"), ("C9", "CUST-9")], "legacy_id string, customer_id string")
     assert [r.customer_id for r in silver.clean_work_orders(wo, migration).collect()] == ["CUST-1"]
+
+
+def test_quarantine_payloads_are_parsed_once(spark):
+    import __spark_entry__
+
+    q = __spark_entry__.queries()["quarantine_records"](spark, "/root/testdata/sf0.001")
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple") > 0 and "get_json_object" not in plan
